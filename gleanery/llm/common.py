@@ -62,7 +62,7 @@ class Memo(dict):
     emptied between batches once it holds `bound` chunks, so its memory is bounded.
     """
 
-    def __init__(self, encode, tail, bound: int = 300_000):
+    def __init__(self, encode, tail, bound: int = 600_000):
         super().__init__()
         self.encode, self.tail, self.bound = encode, list(tail), bound
         self.reset()
@@ -110,6 +110,70 @@ class Memo(dict):
         return ids, np.diff(np.concatenate([[0], ends]))
 
 
+def slices(texts, most: int = 4_000_000):
+    """(from, to) of runs of texts with about `most` characters; a longer text is a run of its own."""
+    first = held = 0
+    for i, t in enumerate(texts):
+        held += len(t or "")
+        if held > most:
+            yield first, i + 1
+            first, held = i + 1, 0
+    if first < len(texts):
+        yield first, len(texts)
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte-level BPE's public letter for each byte: printable Latin-1 as it is, the others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+def word_encoder(tok, bound: int = 300_000):
+    """Encoder of white-space-free chunks for the lower-casing word BPE.
+
+    Chunks of printable ASCII (no apostrophe) and Latin letters need no normaliser but lower case, and their
+    pre-tokens are runs of letters, single digits and runs of signs: these go to the tokenizer's model directly.
+    All others go through the whole tokenizer, in batches.
+    """
+    import re
+
+    plain = re.compile("[!-&(-~À-ÖØ-öø-ſ]+").fullmatch
+    pieces = re.compile("[A-Za-zÀ-ÖØ-öø-ſ]+|[0-9]|[^A-Za-z0-9À-ÖØ-öø-ſ]+").findall
+    model, letters = tok.model, byte_letters()
+
+    class Pieces(dict):
+        def __missing__(self, piece):
+            low = piece if piece.isascii() else piece.encode().decode("latin-1").translate(letters)
+            ids = self[piece] = [t.id for t in model.tokenize(low)]
+            return ids
+
+    book = Pieces()
+
+    def encode(todo):
+        out, odd = [None] * len(todo), []
+        if len(book) > bound:
+            book.clear()
+        for k, chunk in enumerate(todo):
+            if not plain(chunk) or "İ" in chunk or "<|" in chunk:
+                odd.append(k)
+                continue
+            low = chunk.lower()
+            if low.isalpha():
+                out[k] = book[low]
+            elif low[:-1].isalpha():
+                out[k] = book[low[:-1]] + book[low[-1]]
+            else:
+                out[k] = [i for p in pieces(low) for i in book[p]]
+        for k in range(0, len(odd), 1000):
+            part = odd[k : k + 1000]
+            for j, e in zip(part, tok.encode_batch_fast([todo[i] for i in part], add_special_tokens=False), strict=True):
+                out[j] = e.ids
+        return out
+
+    return encode
+
+
 def load_tokenizer(path: str, name: str):
     """A tokenizers.Tokenizer of this executor's copy of the file; `path` may be on the driver only."""
     from tokenizers import Tokenizer

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import Memo, load_tokenizer, written
+from gleanery.llm.common import Memo, load_tokenizer, slices, word_encoder, written
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -64,7 +64,7 @@ def packer(tokenizer_path: str | None, tokenizer_name: str, end_id: int, seq_len
 
         part = TaskContext.get().partitionId()
         tok = load_tokenizer(tokenizer_path, tokenizer_name)
-        memo = Memo(lambda todo: [e.ids for e in tok.encode_batch_fast(todo, add_special_tokens=False)], [end_id])
+        memo = Memo(word_encoder(tok), [end_id])
         rows: list[tuple] = []
         made = 0
 
@@ -90,16 +90,17 @@ def packer(tokenizer_path: str | None, tokenizer_name: str, end_id: int, seq_len
 
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            ids, counts = memo.batch(texts, white_chunks)
-            ends = np.cumsum(counts)
-            raw = memoryview(ids.astype("<u4").tobytes())
-            for doc, n, end in zip(doc_ids, counts.tolist(), ends.tolist(), strict=True):
-                first = end - n
-                for s in range(0, n, seq_len):
-                    size = min(seq_len, n - s)
-                    data = raw[4 * (first + s) : 4 * (first + s + size)]
-                    windows.place((doc, s, size, zlib.crc32(data), n, bytes(data) if with_ids else None), size)
-            yield flush()
+            for lo, hi in slices(texts):
+                ids, counts = memo.batch(texts[lo:hi], white_chunks)
+                ends = np.cumsum(counts)
+                raw = memoryview(ids.astype("<u4").tobytes())
+                for doc, n, end in zip(doc_ids[lo:hi], counts.tolist(), ends.tolist(), strict=True):
+                    first = end - n
+                    for s in range(0, n, seq_len):
+                        size = min(seq_len, n - s)
+                        data = raw[4 * (first + s) : 4 * (first + s + size)]
+                        windows.place((doc, s, size, zlib.crc32(data), n, bytes(data) if with_ids else None), size)
+                yield flush()
         for w in sorted(windows.held):
             emit(windows.held[w], done=False)
         yield flush()
