@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 SAMPLE = 12_000
 FEATURES = 200_000
 MIN_DOCS = 4
-L1 = 2e-4
+L1 = 4e-3
+MISS = 4.0  # how much a toxic document weighs in the fit, against a clean one
 MEMO = 300_000
 
 CLASSES = 64
@@ -29,7 +30,7 @@ LETTERS = "abcdefghijklmnopqrstuvwxyzäöüßéèêàâçñíóáúœîïûôù
 
 #: What a character may stand for besides itself.
 STANDS_FOR = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
-SUBSTITUTE, SHRINK, DROP = -1.0, -1.0, -3.0
+SUBSTITUTE, SHRINK, DROP = -1.0, -1.0, -8.0
 FILLERS = "-_.*~'"
 EDGE = "".join(c for c in "!\"#%&'()*+,-./:;<=>?[\\]^_`{|}~")
 
@@ -211,11 +212,14 @@ def fit(y: np.ndarray, words: list[np.ndarray], l1: float = L1, steps: int = 150
         norm = np.linalg.norm(u) or 1.0
         u /= norm
     rate = 1 / (0.25 * max(norm, 1.0) * 1.1)
+    weight = np.where(y == 1, MISS, 1.0)
+    rate /= MISS
     for _ in range(steps):
         r = 1 / (1 + np.exp(-np.clip(x(v) + vb, -30, 30))) - y
+        r *= weight
         new = v - rate * xt(r) / n
-        new = np.sign(new) * np.maximum(np.abs(new) - rate * l1 * 25, 0)
-        nb = vb - rate * r.mean() * 4
+        new = np.sign(new) * np.maximum(np.abs(new) - rate * l1, 0)
+        nb = vb - rate * r.mean()
         t, told = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
         v, vb = new + (told - 1) / t * (new - w), nb + (told - 1) / t * (nb - b)
         w, b = new, nb
