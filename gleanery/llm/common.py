@@ -9,6 +9,7 @@ import uuid
 import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import gleanery
 
@@ -37,6 +38,16 @@ def written(df: DataFrame, tag: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bit_filter(keys: DataFrame, bits: int = 23) -> np.ndarray:
+    """Boolean table of 2**bits cells, set for the keys (column k) low bits: a bounded pre-filter without misses."""
+    bit = F.col("k").bitwiseAND((1 << bits) - 1)
+    got = keys.select(F.shiftright(bit, 15).alias("bucket"), bit.bitwiseAND(0x7FFF).alias("at")).groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("map")).toArrow()
+    out = np.zeros(1 << bits, dtype=bool)
+    for b, m in zip(got.column("bucket").to_pylist(), got.column("map").to_pylist(), strict=True):
+        out[b << 15 : (b + 1) << 15] = np.unpackbits(np.frombuffer(m, dtype=np.uint8), bitorder="little")
+    return out
+
+
 def fold(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (unsigned, wraps around)."""
     x = x ^ (x >> np.uint64(30))

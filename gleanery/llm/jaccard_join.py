@@ -20,13 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import fold, ranges, slices, written
+from gleanery.llm.common import bit_filter, fold, ranges, slices, written
 from gleanery.llm.graph import components
 
 WORDS = 8  # 64-bit words of a sketch
 CROWD = 48
 BLOCK = 2048
-NODE_BITS = 23
 
 _MULT = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3]
 
@@ -310,16 +309,6 @@ def _verify(percent: int):
     return run
 
 
-def bit_filter(keys: DataFrame, bits: int = NODE_BITS) -> np.ndarray:
-    """Boolean table of 2**bits cells, set for the keys (column k) low bits: a bounded pre-filter without misses."""
-    bit = F.col("k").bitwiseAND((1 << bits) - 1)
-    got = keys.select(F.shiftright(bit, 15).alias("bucket"), bit.bitwiseAND(0x7FFF).alias("at")).groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("map")).toArrow()
-    out = np.zeros(1 << bits, dtype=bool)
-    for b, m in zip(got.column("bucket").to_pylist(), got.column("map").to_pylist(), strict=True):
-        out[b << 15 : (b + 1) << 15] = np.unpackbits(np.frombuffer(m, dtype=np.uint8), bitorder="little")
-    return out
-
-
 def _wanted_sets(n: int, wanted):
     def run(batches):
         hashes, seen, table = WordHash(), set(), np.unpackbits(wanted.value, bitorder="little")
