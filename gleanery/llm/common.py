@@ -75,6 +75,9 @@ class Memo(dict):
 
     def __init__(self, encode, tail, bound: int = 600_000):
         super().__init__()
+        import gc
+
+        gc.set_threshold(1_000_000, 50, 100)  # millions of small lists live here, none in cycles
         self.encode, self.tail, self.bound = encode, list(tail), bound
         self.reset()
 
