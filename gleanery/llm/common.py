@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,18 @@ def bit_filter(keys: DataFrame, bits: int = 23) -> np.ndarray:
     return out
 
 
+def table_filter(keys: DataFrame):
+    """A boolean function of a long column: true for the keys (column k), and for a few others by chance."""
+    wanted = keys.sparkSession.sparkContext.broadcast(np.packbits(bit_filter(keys), bitorder="little"))
+
+    @F.pandas_udf("boolean")
+    def hit(k: pd.Series) -> pd.Series:
+        table = np.unpackbits(wanted.value, bitorder="little").view(bool)
+        return pd.Series(table[k.to_numpy() & (len(table) - 1)])
+
+    return hit
+
+
 def fold(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (unsigned, wraps around)."""
     x = x ^ (x >> np.uint64(30))

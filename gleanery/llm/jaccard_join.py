@@ -20,57 +20,64 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import bit_filter, fold, ranges, slices, written
+from gleanery.llm.common import fold, ranges, slices, table_filter, written
 from gleanery.llm.graph import components
 
 WORDS = 8  # 64-bit words of a sketch
 CROWD = 48
 BLOCK = 2048
+RESIDENTS = 1024
 
+BASE = 0x9E3779B97F4A7C15
 _MULT = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3]
 
 
-class WordHash(dict):
-    """64-bit hash of each word, remembered for up to `bound` words."""
-
-    def __init__(self, bound: int = 500_000):
-        super().__init__()
-        import xxhash
-
-        self.digest, self.bound = xxhash.xxh3_64_intdigest, bound
-
-    def __missing__(self, word):
-        h = self[word] = self.digest(word)
-        return h
-
-    def of(self, text: str) -> np.ndarray:
-        if len(self) > self.bound:
-            self.clear()
-        words = text.encode("utf-8", "surrogatepass").lower().split()
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+class WordHash:
+    """64-bit hashes of the words of texts, A-Z lower-cased: polynomials over their bytes, mixed with their length."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, dtype=np.uint64)
+        self.blank = np.zeros(256, dtype=bool)
+        self.blank[[9, 10, 11, 12, 13, 32]] = True
+
+    def of(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes of all words, number of words of each text)."""
+        parts = [t.encode("utf-8", "surrogatepass").lower() if t else b"" for t in texts]
+        data = np.frombuffer(b" ".join([b"", *parts, b""]), dtype=np.uint8)  # a blank before each text and at the end
+        if len(self.up) <= len(data):
+            n = 2 * len(data) + 1
+            self.up, self.down = np.full(n, BASE, dtype=np.uint64), np.full(n, pow(BASE, -1, 1 << 64), dtype=np.uint64)
+            self.up[0] = self.down[0] = 1
+            self.up, self.down = np.multiply.accumulate(self.up), np.multiply.accumulate(self.down)
+        edge = np.diff(self.blank[data].view(np.int8))
+        start, end = np.flatnonzero(edge == -1) + 1, np.flatnonzero(edge == 1) + 1
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)], out=sums[1:])
+        h = fold((sums[end] - sums[start]) * self.down[start] + (end - start).astype(np.uint64))
+        ends = np.cumsum([len(p) + 1 for p in parts])
+        return h, np.diff(np.concatenate([[0], np.searchsorted(start, ends)]))
 
 
 def shingle_sets(texts, n: int, hashes: WordHash) -> list[np.ndarray]:
     """Sorted different n-gram hashes of each text; the whole sequence counts as one where there are fewer words."""
-    words = [hashes.of(t) if t else np.zeros(0, dtype=np.uint64) for t in texts]
-    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    flat = np.concatenate(words) if len(words) else np.zeros(0, dtype=np.uint64)
+    flat, size = hashes.of(texts)
     h = np.zeros(max(0, len(flat) - n + 1), dtype=np.uint64)
     for k in range(n):
         h += flat[k : k + len(h)] * np.uint64(_MULT[k])
     h = fold(h)
     first = np.cumsum(size) - size
     out = []
-    for w, s, c in zip(words, first.tolist(), size.tolist(), strict=True):
+    for s, c in zip(first.tolist(), size.tolist(), strict=True):
         if c >= n:
-            out.append(np.unique(h[s : s + c - n + 1]))
+            own = np.sort(h[s : s + c - n + 1])
+            out.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
         elif c:
-            short = np.uint64(0)
+            short = np.zeros(1, dtype=np.uint64)
             for k in range(c):
-                short = short + w[k : k + 1] * np.uint64(_MULT[k])
+                short += flat[s + k : s + k + 1] * np.uint64(_MULT[k])
             out.append(fold(short + np.uint64(c)))
         else:
-            out.append(w)
+            out.append(flat[:0])
     return out
 
 
@@ -165,41 +172,32 @@ def _keys(s: np.ndarray) -> tuple[int, int]:
     return (d & (2**64 - 1)) - 2**63, (d >> 64) - 2**63
 
 
-def describe(n: int):
-    """(doc_id, text) to (doc_id, n_shingles, k1, k2, sketch words)."""
-
-    def run(batches):
-        hashes = WordHash()
-        for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for lo, hi in slices(texts):
-                sets = shingle_sets(texts[lo:hi], n, hashes)
-                keys = [_keys(s) for s in sets]
-                words = np.stack([sketch(s) for s in sets])
-                cols = [ids.slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())]
-                cols += [pa.array(words[:, j]) for j in range(WORDS)]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "k1", "k2", *(f"w{j}" for j in range(WORDS))])
-
-    return run
-
-
-def sign(n: int, percent: int):
-    """(text) to (sig, k1); each set once in a partition."""
+def describe(n: int, percent: int):
+    """(doc_id, th, text) to (doc_id, th, n_shingles, k1, k2, sketch words, signatures); each set is signed once in a
+    partition, where it comes first."""
 
     def run(batches):
         hashes, bands, seen = WordHash(), Bands(percent), set()
         for batch in batches:
-            texts = batch.column(0).to_pylist()
+            texts = batch.column(2).to_pylist()
             for lo, hi in slices(texts, 2_000_000):
-                fresh, keys = [], []
-                for s in shingle_sets(texts[lo:hi], n, hashes):
-                    k = _keys(s)[0]
+                sets = shingle_sets(texts[lo:hi], n, hashes)
+                keys = [_keys(s) for s in sets]
+                fresh = []
+                for i, (s, k) in enumerate(zip(sets, keys, strict=True)):
                     if len(s) and k not in seen:
                         seen.add(k)
-                        fresh.append(s)
-                        keys.append(k)
-                sig, src = signatures(fresh, bands)
-                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(np.array(keys, dtype=np.int64)[src])], ["sig", "k1"])
+                        fresh.append(i)
+                sig, src = signatures([sets[i] for i in fresh], bands)
+                order = np.argsort(src, kind="stable")
+                count = np.zeros(len(sets), dtype=np.int64)
+                count[fresh] = np.bincount(src, minlength=len(fresh))
+                ends = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+                words = np.stack([sketch(s) for s in sets])
+                cols = [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())]
+                cols += [pa.array(words[:, j]) for j in range(WORDS)]
+                cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(sig[order].view(np.int64))))
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "th", "n_shingles", "k1", "k2", *(f"w{j}" for j in range(WORDS)), "sigs"])
 
     return run
 
@@ -295,40 +293,60 @@ def crowds(percent: int):
     return run
 
 
-def _verify(percent: int):
-    def run(batches):
-        for batch in batches:
-            a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            ok = []
-            for x, y in zip(a, b, strict=True):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"]).filter(pa.array(ok, pa.bool_()))
-
-    return run
-
+def _wanted_sets(n: int):
+    """(text) to (k1, k2, set), each set once in a partition."""
 
-def _wanted_sets(n: int, wanted):
     def run(batches):
-        hashes, seen, table = WordHash(), set(), np.unpackbits(wanted.value, bitorder="little")
-        mask = len(table) - 1
+        hashes, seen = WordHash(), set()
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for lo, hi in slices(texts):
                 rows = []
                 for s in shingle_sets(texts[lo:hi], n, hashes):
-                    if len(s):
-                        k = _keys(s)
-                        if table[k[0] & mask] and k not in seen:
-                            seen.add(k)
-                            rows.append((*k, s.tobytes()))
+                    k = _keys(s)
+                    if len(s) and k not in seen:
+                        seen.add(k)
+                        rows.append((*k, s.tobytes()))
                 k1, k2, sets = zip(*rows, strict=True) if rows else ((), (), ())
                 yield pa.RecordBatch.from_arrays([pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(sets, pa.binary())], ["k1", "k2", "set"])
 
     return run
 
 
+def verify(percent: int):
+    """Rows (label, chunk, cid, set, partners) sorted by (label, chunk, residents first) to links (u, v) that span the
+    components of all links in them. Residents of a chunk (no partners) are held; others stream by."""
+
+    def run(batches):
+        now, held, root = None, {}, {}
+
+        def find(x):
+            while root.get(x, x) != x:
+                root[x] = x = root.get(root[x], root[x])
+            return x
+
+        for batch in batches:
+            links = []
+            for label, chunk, cid, data, partners in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                if (label, chunk) != now:
+                    now, held, root = (label, chunk), {}, {}
+                own = np.frombuffer(data, dtype=np.uint64)
+                if partners is None:
+                    held[cid] = own
+                    continue
+                for v in partners:
+                    a, b = find(cid), find(v)
+                    if a != b:
+                        both = len(np.intersect1d(own, held[v], assume_unique=True))
+                        if 100 * both >= percent * (len(own) + len(held[v]) - both):
+                            root[a] = b
+                            links.append((cid, v))
+            u, v = zip(*links, strict=True) if links else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    return run
+
+
 def similar_documents(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, the smallest doc_id that links reach.
 
@@ -336,16 +354,17 @@ def similar_documents(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     set, link with nothing and are their own component. Repeated rows and equal texts are one class; null ids take
     part, but never name a component unless all of it is null. The result is exact at every size.
     """
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    schema = "doc_id long, n_shingles long, k1 long, k2 long, " + ", ".join(f"w{j} long" for j in range(WORDS))
-    described = written(docs.mapInArrow(describe(shingle), schema), "described")
+    text = F.col("text").cast("string")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
     words = [f"w{j}" for j in range(WORDS)]
+    schema = "doc_id long, th long, n_shingles long, k1 long, k2 long, " + ", ".join(f"{w} long" for w in words) + ", sigs array<long>"
+    described = written(docs.mapInArrow(describe(shingle, percent), schema), "described")
     # one row per class; ids of classes are their smallest doc_id, or a negative stand-in where all ids are null
     lead = F.coalesce(F.min("doc_id"), -F.abs(F.xxhash64("k1", "k2")) - 2)
-    classes = written(described.filter("n_shingles > 0").groupBy("k1", "k2").agg(lead.alias("cid"), F.first("n_shingles").alias("n"), *(F.first(w).alias(w) for w in words)), "classes")
+    classes = described.filter("n_shingles > 0").groupBy("k1", "k2").agg(lead.alias("cid"), *(F.min(c).alias(c) for c in ("th", "n_shingles", *words)))
+    classes = written(classes.withColumnRenamed("n_shingles", "n"), "classes")
 
-    signed = docs.select("text").mapInArrow(sign(shingle, percent), "sig long, k1 long")
+    signed = described.select(F.explode("sigs").alias("sig"), "k1")
     met = written(signed.repartition("sig").sortWithinPartitions("sig", "k1").mapInArrow(meet(CROWD, BLOCK), "a long, b long, sig long, chunk long"), "met")
     pairs = met.filter("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     packed = met.filter("b is null").select("sig", "chunk", F.col("a").alias("k1"))
@@ -360,49 +379,36 @@ def similar_documents(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     x, y = (classes.select(F.col("k1").alias(s), F.col("cid").alias(f"c{s}"), F.col("n").alias(f"n{s}"), *(F.col(w).alias(f"{w}{s}") for w in words)) for s in "ab")
     bits = sum((F.bit_count(F.col(f"{w}a").bitwiseXOR(F.col(f"{w}b"))) for w in words), F.lit(0))
     able = (bits * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)) & (F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb"))
-    left = written(pairs.join(x, "a").join(y, "b").filter(able).select("a", "b", F.least("ca", "cb").alias("u"), F.greatest("ca", "cb").alias("v")), "candidates")
+    left = written(pairs.join(x, "a").join(y, "b").filter(able).select(F.least("ca", "cb").alias("u"), F.greatest("ca", "cb").alias("v")).distinct(), "candidates")
 
-    linked = _linked(spark, docs, classes, left, shingle, percent)
-    out = described.join(classes.select("k1", "k2", "cid"), ["k1", "k2"], "left")
-    if linked is not None:
-        out = out.join(components(linked).withColumnRenamed("node", "cid"), "cid", "left")
-    else:
+    out = described.select("doc_id", "n_shingles", "k1", "k2").join(classes.select("k1", "k2", "cid"), ["k1", "k2"], "left")
+    if left.isEmpty():
         out = out.withColumn("component", F.lit(None).cast("long"))
+    else:
+        out = out.join(components(_linked(docs, classes, left, shingle, percent)).withColumnRenamed("node", "cid"), "cid", "left")
     found = F.coalesce("component", "cid", "doc_id")
     return out.select("doc_id", "n_shingles", F.when((found < -1) & F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(found).alias("component_id"))
 
 
-def _linked(spark, docs, classes, left, shingle, percent):
-    """Verified links (u, v) of class ids that span the same components as all links; None if there is no pair."""
-    n_pairs = left.count()
-    if not n_pairs:
-        return None
-    nodes = left.select(F.explode(F.array(F.col("a"), F.col("b"))).alias("k")).distinct()
-    wanted = spark.sparkContext.broadcast(np.packbits(bit_filter(nodes), bitorder="little"))
-    sets = docs.select("text").mapInArrow(_wanted_sets(shingle, wanted), "k1 long, k2 long, set binary")
-    sets = sets.join(nodes.withColumnRenamed("k", "k1"), "k1", "left_semi").dropDuplicates(["k1", "k2"])
-    sets = written(sets.join(classes.select("k1", "k2", "cid"), ["k1", "k2"]).select("cid", "set"), "sets")
-    n_nodes = sets.count()
-    left, links = left.select("u", "v").distinct(), None
-    for _ in range(1000):
-        if n_pairs <= 4 * n_nodes:
-            chosen = left
-        else:  # many pairs of few sets: a star around each set's first partner joins most of them
-            chosen = left.groupBy("v").agg(F.min("u").alias("u")).select("u", "v").unionByName(left.groupBy("u").agg(F.min("v").alias("v")).select("u", "v")).distinct()
-            chosen = written(chosen, "chosen")
-        both = chosen.join(sets.select(F.col("cid").alias("u"), F.col("set").alias("x")), "u").join(sets.select(F.col("cid").alias("v"), F.col("set").alias("y")), "v")
-        found = written(both.select("u", "v", "x", "y").mapInArrow(_verify(percent), "u long, v long"), "links")
-        links = found if links is None else links.unionByName(found)
-        if chosen is left:
-            return links
-        labels = components(links)
-        a, b = (labels.select(F.col("node").alias(c), F.col("component").alias(f"l{c}")) for c in "uv")
-        left = left.join(chosen, ["u", "v"], "left_anti").join(a, "u", "left").join(b, "v", "left")
-        left = written(left.filter(F.coalesce("lu", "u") != F.coalesce("lv", "v")).select("u", "v"), "candidates")
-        n_pairs = left.count()
-        if not n_pairs:
-            return links
-    raise RuntimeError("links did not settle")
+def _linked(docs, classes, left, shingle, percent):
+    """Verified links (u, v) of class ids that span the same components as all links.
+
+    Sets meet by component of the candidate pairs, in chunks of about RESIDENTS: each set travels once to its own
+    chunk, and once to each other chunk where it has partners.
+    """
+    labels = written(components(left), "labels")
+    sizes = labels.groupBy("component").agg(F.ceil(F.count("*") / RESIDENTS).alias("chunks"))
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks"))
+    labels = written(labels.join(sizes, "component").select(F.col("node").alias("cid"), F.col("component").alias("label"), chunk.alias("chunk")), "labels")
+    nodes = labels.join(classes.select("cid", "k1", "k2", "th"), "cid")
+    nodes = written(nodes, "nodes")
+    sets = docs.filter(table_filter(nodes.select(F.col("th").alias("k")))("th")).select("text").mapInArrow(_wanted_sets(shingle), "k1 long, k2 long, set binary")
+    sets = written(nodes.join(sets.dropDuplicates(["k1", "k2"]), ["k1", "k2"]).select("cid", "label", "chunk", "set"), "sets")
+    asks = left.join(labels.select(F.col("cid").alias("v"), "label", "chunk"), "v").groupBy("u", "label", "chunk").agg(F.collect_list("v").alias("partners"))
+    asking = sets.select(F.col("cid").alias("u"), "set").join(asks, "u").select("label", "chunk", F.col("u").alias("cid"), "set", "partners")
+    both = sets.select("label", "chunk", "cid", "set", F.lit(None).cast("array<long>").alias("partners")).unionByName(asking)
+    both = both.withColumn("_asks", F.col("partners").isNotNull()).repartition("label", "chunk").sortWithinPartitions("label", "chunk", "_asks", "cid").drop("_asks")
+    return written(both.mapInArrow(verify(percent), "u long, v long"), "links")
 
 
 def near_duplicates_dropped(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
