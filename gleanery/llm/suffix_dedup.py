@@ -13,11 +13,11 @@ So each start of a window belongs to one anchor, and only windows of the same an
    grouping: groups of suffixes with equal Lyndon prefix are processed in descending order, each moving the previous
    smaller suffixes of its members to longer prefixes, and then each suffix, in ascending order, emits those whose
    Lyndon prefix ends before it to the front of their groups. No symbols are renamed recursively.
-4. Anchors with more than `CROWD` contexts (a passage in very many documents) are split by window: equal windows
-   of theirs are counted by hash, so that no task gathers them.
+4. Anchors with more than `CROWD` contexts (a passage in very many documents) are split into parts of ever fewer
+   starts, keyed by all that a part's windows share, so that no task gathers a crowd.
 5. Repeated starts go back to all documents with that context.
 
-Hashes of 64 bits stand for strings in steps 1, 2 and 4.
+Hashes of 64 bits stand for equal strings in steps 1, 2 and 4.
 """
 
 from __future__ import annotations
@@ -25,12 +25,11 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import bit_filter, fold, written
+from gleanery.llm.common import bit_filter, fold, table_filter, written
 
 LENGTH, ANCHOR = 200, 100
 CROWD = 512
@@ -160,16 +159,16 @@ def _trim(sides: list[bytes]) -> tuple[int, list[int]]:
 class Contexts:
     """Distinct contexts of several anchors, and the window starts in them that repeat."""
 
-    def __init__(self, length: int, anchor: int):
-        self.length, self.anchor = length, anchor
+    def __init__(self, length: int):
+        self.length = length
         self.symbols: list[int] = []
         self.widths: list[int] = []
         self.rows: list[tuple] = []  # (row key, owned starts, place of the anchor, first place in symbols, shared, kept)
         self.groups = 0
 
-    def add(self, rows: list[tuple]) -> None:
-        """rows: (key, owned starts, place of the anchor, bytes) of one anchor."""
-        lefts, rights = [r[3][: r[2]][::-1] for r in rows], [r[3][r[2] + self.anchor :] for r in rows]
+    def add(self, rows: list[tuple], anchor: int) -> None:
+        """rows: (key, owned starts, place of the anchor, bytes) of one anchor of that many bytes."""
+        lefts, rights = [r[3][: r[2]][::-1] for r in rows], [r[3][r[2] + anchor :] for r in rows]
         left, lmost = _trim(lefts)
         right, rmost = _trim(rights)
         for (key, own, at, _), x, y, a, b in zip(rows, lefts, rights, lmost, rmost, strict=True):
@@ -178,7 +177,7 @@ class Contexts:
             self.symbols.append(256 + self.groups)
             self.symbols += y[right:b]
             self.symbols.append(-len(self.rows))  # ends a context: unlike any other
-            self.widths += [1] * (a - left) + [left + self.anchor + right] + [1] * (b - right + 1)
+            self.widths += [1] * (a - left) + [left + anchor + right] + [1] * (b - right + 1)
         self.groups += 1
 
     def repeated(self):
@@ -306,8 +305,8 @@ def list_anchors(length: int, anchor: int, wanted):
     return run
 
 
-def cut_contexts(length: int):
-    """(text, asked) to (fp, ctx, n, m, own, at, data)."""
+def cut_contexts(length: int, anchor: int):
+    """(text, asked) to (fp, ctx, n, own, at, anchor, data)."""
 
     def run(batches):
         for batch in batches:
@@ -315,15 +314,15 @@ def cut_contexts(length: int):
             for text, asked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 data = _bytes(text)
                 for a in asked:
-                    out.append((a["fp"], a["ctx"], a["n"], a["m"], a["own"], a["at"], data[a["s"] : a["s"] + a["own"] - 1 + length]))
+                    out.append((a["fp"], a["ctx"], a["n"], a["own"], a["at"], anchor, data[a["s"] : a["s"] + a["own"] - 1 + length]))
             cols = list(zip(*out, strict=True)) if out else [()] * 7
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:6]), pa.array(cols[6], pa.binary())], ["fp", "ctx", "n", "m", "own", "at", "data"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:6]), pa.array(cols[6], pa.binary())], ["fp", "ctx", "n", "own", "at", "anchor", "data"])
 
     return run
 
 
-def sort_contexts(length: int, anchor: int):
-    """Rows (fp, ctx, n, own, at, data) sorted by (fp, ctx) to (fp, ctx, lo, hi), by suffix arrays of whole anchors."""
+def sort_contexts(length: int):
+    """Rows (fp, ctx, own, at, anchor, data) sorted by (fp, ctx) to (fp, ctx, lo, hi), by suffix arrays of whole anchors."""
 
     def run(batches):
         def close(book):
@@ -331,45 +330,74 @@ def sort_contexts(length: int, anchor: int):
             cols = list(zip(*rows, strict=True)) if rows else [()] * 4
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["fp", "ctx", "lo", "hi"])
 
-        book, group, now = Contexts(length, anchor), {}, None
+        book, group, now, size = Contexts(length), {}, None, 0
         for batch in batches:
-            for fp, ctx, own, at, data in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3, 4, 5)), strict=True):
+            for fp, ctx, own, at, anchor, data in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
                 if fp != now:
                     if len(group) > 1:
-                        book.add(list(group.values()))
-                    group, now = {}, fp
+                        book.add(list(group.values()), size)
+                    group, now, size = {}, fp, anchor
                     if len(book.symbols) > SYMBOLS:
                         yield close(book)
-                        book = Contexts(length, anchor)
+                        book = Contexts(length)
                 group[ctx] = ((fp, ctx), own, at, data)
         if len(group) > 1:
-            book.add(list(group.values()))
+            book.add(list(group.values()), size)
         yield close(book)
 
     return run
 
 
-def split_contexts(length: int, anchor: int):
-    """Contexts of crowded anchors to their windows: (fp, ctx, n, i, key)."""
+def split_contexts(length: int, block: int):
+    """Contexts to parts of at most `block` starts: what all windows of a part share is its anchor, so parts meet only
+    where that is equal. (fp, ctx, n, own, at, anchor, data) to (ofp, octx, off, fp, ctx, n, own, at, anchor, data)."""
 
     def run(batches):
-        book = Anchors(length, anchor)
+        import xxhash
+
+        signed = lambda h: h - 2**63
         for batch in batches:
-            for fp, ctx, n, own, at, data in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
-                i = np.arange(own)
-                key = fold(book.spans(book.sums(data), i, i + length) + (at - i).astype(np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([*(pa.array(np.full(own, x)) for x in (fp, ctx, n)), pa.array(i), pa.array(key)], ["fp", "ctx", "n", "i", "key"])
+            out = []
+            for fp, ctx, n, own, at, _, data in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
+                # a part's distance from the anchor is fixed, and so is what the windows of a whole part share
+                for b in range(max(0, at - own + 1) // block, at // block + 1):
+                    first = at - (b + 1) * block + 1
+                    off, end = max(0, first), min(own, first + block)
+                    part = data[off : end - 1 + length]
+                    core = data[first + block - 1 : first + length]
+                    key = signed(xxhash.xxh3_64_intdigest(core + f"{fp},{b}".encode()))
+                    whole = signed(xxhash.xxh3_64_intdigest(part + f"{end - off},{first - off}".encode()))
+                    out.append((fp, ctx, off, key, whole, n, end - off, first + block - 1 - off, len(core), part))
+            cols = list(zip(*out, strict=True)) if out else [()] * 10
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:9]), pa.array(cols[9], pa.binary())], ["ofp", "octx", "off", *CONTEXT])
 
     return run
 
 
-def _table_filter(wanted):
-    @F.pandas_udf("boolean")
-    def hit(k: pd.Series) -> pd.Series:
-        table = np.unpackbits(wanted.value, bitorder="little").view(bool)
-        return pd.Series(table[k.to_numpy() & (len(table) - 1)])
+CONTEXT = ["fp", "ctx", "n", "own", "at", "anchor", "data"]
+CONTEXT_TYPES = "fp long, ctx long, n long, own long, at long, anchor long, data binary"
 
-    return hit
+
+def repeated_starts(contexts: DataFrame, length: int, blocks: tuple[int, ...]) -> DataFrame:
+    """(fp, ctx, lo, hi): the starts in each context that repeat in another one of its anchor, or in its own copies.
+
+    contexts: one row for each (fp, ctx). Anchors of more than CROWD contexts are split into parts, in turn smaller.
+    """
+    out = contexts.filter("n > 1").select("fp", "ctx", F.lit(0).cast("long").alias("lo"), F.col("own").alias("hi"))
+    several = contexts.groupBy("fp").agg(F.count("*").alias("m"), F.count_if(F.col("n") == 1).alias("single")).filter("m > 1 and single > 0")
+    several = written(several, "anchors")
+    some = contexts.join(several, "fp")
+    few = some.filter(F.col("m") <= CROWD) if blocks else some
+    few = few.select("fp", "ctx", "own", "at", "anchor", "data").repartition("fp").sortWithinPartitions("fp", "ctx")
+    out = out.unionByName(few.mapInArrow(sort_contexts(length), "fp long, ctx long, lo long, hi long"))
+    if blocks and not several.filter(F.col("m") > CROWD).isEmpty():
+        crowd = some.filter(F.col("m") > CROWD).select(*CONTEXT)
+        parts = written(crowd.mapInArrow(split_contexts(length, blocks[0]), f"ofp long, octx long, off long, {CONTEXT_TYPES}"), "parts")
+        distinct = parts.groupBy("fp", "ctx").agg(F.sum("n").alias("n"), *(F.first(c).alias(c) for c in CONTEXT[3:]))
+        again = repeated_starts(written(distinct, "parts"), length, blocks[1:])
+        back = parts.select("ofp", "octx", "off", "fp", "ctx").join(again, ["fp", "ctx"])
+        out = out.unionByName(back.select(F.col("ofp").alias("fp"), F.col("octx").alias("ctx"), (F.col("off") + F.col("lo")).alias("lo"), (F.col("off") + F.col("hi")).alias("hi")))
+    return out
 
 
 def marked(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[DataFrame, DataFrame]:
@@ -387,27 +415,20 @@ def marked(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> tuple
 
     contexts = listed.groupBy("fp", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "s", "own", "at")).alias("r"))
     contexts = written(contexts.select("fp", "ctx", "n", "r.*"), "contexts")
-    groups = contexts.groupBy("fp").agg(F.count("*").alias("m"), F.count_if(F.col("n") == 1).alias("single")).filter("m > 1 and single > 0")
+    groups = contexts.groupBy("fp").agg(F.count("*").alias("m"), F.count_if(F.col("n") == 1).alias("single")).filter("m > 1 and single > 0").select("fp")
+    groups = written(groups, "anchors")
     asked = written(contexts.join(groups, "fp"), "contexts")
-    docs_asked = spark.sparkContext.broadcast(np.packbits(bit_filter(asked.select(F.col("th").alias("k"))), bitorder="little"))
-    by_doc = asked.groupBy("doc_id", "th").agg(F.collect_list(F.struct("fp", "ctx", "n", "m", "own", "at", "s")).alias("asked"))
-    held = keyed.filter(_table_filter(docs_asked)(F.col("th")))
+    by_doc = asked.groupBy("doc_id", "th").agg(F.collect_list(F.struct("fp", "ctx", "n", "own", "at", "s")).alias("asked"))
+    held = keyed.filter(table_filter(asked.select(F.col("th").alias("k")))("th"))
     same = held["doc_id"].eqNullSafe(by_doc["doc_id"]) & (held["th"] == by_doc["th"])
-    cut = held.join(by_doc, same).select("text", "asked").mapInArrow(cut_contexts(length), "fp long, ctx long, n long, m long, own long, at long, data binary")
-    cut = written(cut, "cut")
-    plain = ["fp", "ctx", "n", "own", "at", "data"]
-    few = cut.filter(F.col("m") <= CROWD).select(*plain).repartition("fp").sortWithinPartitions("fp", "ctx")
-    repeats = contexts.filter("n > 1").select("fp", "ctx", F.lit(0).cast("long").alias("lo"), F.col("own").alias("hi"))
-    repeats = repeats.unionByName(few.mapInArrow(sort_contexts(length, anchor), "fp long, ctx long, lo long, hi long"))
-    crowd = cut.filter(F.col("m") > CROWD).select(*plain)
-    if not crowd.isEmpty():
-        windows = crowd.dropDuplicates(["fp", "ctx"]).mapInArrow(split_contexts(length, anchor), "fp long, ctx long, n long, i long, key long")
-        twice = windows.groupBy("key").agg(F.sum("n").alias("c")).filter("c > 1").select("key")
-        repeats = repeats.unionByName(windows.join(twice, "key", "left_semi").select("fp", "ctx", F.col("i").alias("lo"), (F.col("i") + 1).alias("hi")))
+    cut = held.join(by_doc, same).select("text", "asked").mapInArrow(cut_contexts(length, anchor), CONTEXT_TYPES)
+    cut = written(cut.dropDuplicates(["fp", "ctx"]), "cut")
+    repeats = contexts.join(groups, "fp", "left_anti").filter("n > 1").select("fp", "ctx", F.lit(0).cast("long").alias("lo"), F.col("own").alias("hi"))
+    repeats = repeats.unionByName(repeated_starts(cut, length, (max(1, length // 8), max(1, length // 40), 1)))
     spans = listed.join(repeats, ["fp", "ctx"]).select("doc_id", "th", (F.col("s") + F.col("lo")).alias("a"), (F.col("s") + F.col("hi") - 1 + length).alias("b"))
     spans = written(spans.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("_spans")), "spans")
 
-    hit = _table_filter(spark.sparkContext.broadcast(np.packbits(bit_filter(spans.select(F.col("th").alias("k"))), bitorder="little")))
+    hit = table_filter(spans.select(F.col("th").alias("k")))
     th = F.xxhash64(F.col("text").cast("string"))
     clean, some = docs.filter(~hit(th)), docs.filter(hit(th)).withColumn("_th", th)
     spans = spans.select(F.col("doc_id").alias("_id"), F.col("th").alias("_t"), "_spans")
