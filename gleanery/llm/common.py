@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 import numpy as np
-import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,16 +48,22 @@ def bit_filter(keys: DataFrame, bits: int = 23) -> np.ndarray:
     return out
 
 
-def table_filter(keys: DataFrame):
-    """A boolean function of a long column: true for the keys (column k), and for a few others by chance."""
-    wanted = keys.sparkSession.sparkContext.broadcast(np.packbits(bit_filter(keys), bitorder="little"))
+def perhaps(df: DataFrame, key: str, keys: DataFrame, inside: bool = True, bits: int = 23) -> DataFrame:
+    """The rows of df whose long column `key` is among the keys (column k), and a few others by chance; or, with
+    inside=False, exactly the rest.
 
-    @F.pandas_udf("boolean")
-    def hit(k: pd.Series) -> pd.Series:
-        table = np.unpackbits(wanted.value, bitorder="little").view(bool)
-        return pd.Series(table[k.to_numpy() & (len(table) - 1)])
-
-    return hit
+    Keys' low bits set bits of at most 2**(bits - 6) words, the bound of what is broadcast. Filtering with it before a
+    join saves shuffling what cannot match; where keys fill the table, it only stops saving.
+    """
+    mask, one = (1 << bits) - 1, F.lit(1).cast("long")
+    low = lambda c: c.bitwiseAND(F.lit(mask).cast("long"))
+    bit = lambda c: c.bitwiseAND(F.lit(63).cast("long")).cast("int")
+    k = F.col("k")
+    words = keys.select(F.shiftright(low(k), 6).alias("_slot"), F.call_function("shiftleft", one, bit(k)).alias("_one"))
+    words = words.groupBy("_slot").agg(F.bit_or("_one").alias("_word"))
+    hit = F.coalesce(F.call_function("shiftrightunsigned", F.col("_word"), bit(F.col(key))).bitwiseAND(one), F.lit(0)) == 1
+    out = df.withColumn("_slot", F.shiftright(low(F.col(key)), 6)).join(F.broadcast(words), "_slot", "left")
+    return out.filter(hit if inside else ~hit).select(*df.columns)
 
 
 def fold(x: np.ndarray) -> np.ndarray:

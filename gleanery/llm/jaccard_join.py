@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import fold, ranges, slices, table_filter, written
+from gleanery.llm.common import fold, perhaps, ranges, slices, written
 from gleanery.llm.graph import components
 
 WORDS = 8  # 64-bit words of a sketch
@@ -402,7 +402,7 @@ def _linked(docs, classes, left, shingle, percent):
     labels = written(labels.join(sizes, "component").select(F.col("node").alias("cid"), F.col("component").alias("label"), chunk.alias("chunk")), "labels")
     nodes = labels.join(classes.select("cid", "k1", "k2", "th"), "cid")
     nodes = written(nodes, "nodes")
-    sets = docs.filter(table_filter(nodes.select(F.col("th").alias("k")))("th")).select("text").mapInArrow(_wanted_sets(shingle), "k1 long, k2 long, set binary")
+    sets = perhaps(docs, "th", nodes.select(F.col("th").alias("k"))).select("text").mapInArrow(_wanted_sets(shingle), "k1 long, k2 long, set binary")
     sets = written(nodes.join(sets.dropDuplicates(["k1", "k2"]), ["k1", "k2"]).select("cid", "label", "chunk", "set"), "sets")
     asks = left.join(labels.select(F.col("cid").alias("v"), "label", "chunk"), "v").groupBy("u", "label", "chunk").agg(F.collect_list("v").alias("partners"))
     asking = sets.select(F.col("cid").alias("u"), "set").join(asks, "u").select("label", "chunk", F.col("u").alias("cid"), "set", "partners")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import bit_filter, fold, table_filter, written
+from gleanery.llm.common import bit_filter, fold, perhaps, written
 
 LENGTH, ANCHOR = 200, 100
 CROWD = 512
@@ -419,7 +419,7 @@ def marked(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> tuple
     groups = written(groups, "anchors")
     asked = written(contexts.join(groups, "fp"), "contexts")
     by_doc = asked.groupBy("doc_id", "th").agg(F.collect_list(F.struct("fp", "ctx", "n", "own", "at", "s")).alias("asked"))
-    held = keyed.filter(table_filter(asked.select(F.col("th").alias("k")))("th"))
+    held = perhaps(keyed, "th", asked.select(F.col("th").alias("k")))
     same = held["doc_id"].eqNullSafe(by_doc["doc_id"]) & (held["th"] == by_doc["th"])
     cut = held.join(by_doc, same).select("text", "asked").mapInArrow(cut_contexts(length, anchor), CONTEXT_TYPES)
     cut = written(cut.dropDuplicates(["fp", "ctx"]), "cut")
@@ -428,9 +428,8 @@ def marked(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> tuple
     spans = listed.join(repeats, ["fp", "ctx"]).select("doc_id", "th", (F.col("s") + F.col("lo")).alias("a"), (F.col("s") + F.col("hi") - 1 + length).alias("b"))
     spans = written(spans.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("_spans")), "spans")
 
-    hit = table_filter(spans.select(F.col("th").alias("k")))
-    th = F.xxhash64(F.col("text").cast("string"))
-    clean, some = docs.filter(~hit(th)), docs.filter(hit(th)).withColumn("_th", th)
+    hashed, found = docs.withColumn("_th", F.xxhash64(F.col("text").cast("string"))), spans.select(F.col("th").alias("k"))
+    clean, some = perhaps(hashed, "_th", found, inside=False).drop("_th"), perhaps(hashed, "_th", found)
     spans = spans.select(F.col("doc_id").alias("_id"), F.col("th").alias("_t"), "_spans")
     some = some.join(spans, some["doc_id"].cast("long").eqNullSafe(spans["_id"]) & (some["_th"] == spans["_t"]), "left")
     return clean, some.select(*docs.columns, "_spans")
