@@ -314,8 +314,11 @@ def _wanted_sets(n: int):
 
 
 def verify(percent: int):
-    """Rows (label, chunk, cid, set, partners) sorted by (label, chunk, residents first) to links (u, v) that span the
-    components of all links in them. Residents of a chunk (no partners) are held; others stream by."""
+    """Rows (label, chunk, cid, set, partners, chunks) sorted by (label, chunk, residents first) to (u, v, linked): links
+    that span the components of all links here, and, not linked, pairs whose partner lives under another label.
+
+    Residents of a chunk (no partners) are held; others stream by. A set's partner of this chunk is known by its hash.
+    """
 
     def run(batches):
         now, held, root = None, {}, {}
@@ -326,8 +329,8 @@ def verify(percent: int):
             return x
 
         for batch in batches:
-            links = []
-            for label, chunk, cid, data, partners in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+            out = []
+            for label, chunk, cid, data, partners, chunks in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
                 if (label, chunk) != now:
                     now, held, root = (label, chunk), {}, {}
                 own = np.frombuffer(data, dtype=np.uint64)
@@ -335,14 +338,33 @@ def verify(percent: int):
                     held[cid] = own
                     continue
                 for v in partners:
+                    if v % chunks != chunk:
+                        continue
+                    if v not in held:
+                        out.append((cid, v, False))
+                        continue
                     a, b = find(cid), find(v)
-                    if a != b:
-                        both = len(np.intersect1d(own, held[v], assume_unique=True))
-                        if 100 * both >= percent * (len(own) + len(held[v]) - both):
-                            root[a] = b
-                            links.append((cid, v))
-            u, v = zip(*links, strict=True) if links else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+                    if a != b and similar(own, held[v], percent):
+                        root[a] = b
+                        out.append((cid, v, True))
+            u, v, linked = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(linked, pa.bool_())], ["u", "v", "linked"])
+
+    return run
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def verify_pairs(percent: int):
+    """Rows (u, v, x, y) with both sets to (u, v, linked)."""
+
+    def run(batches):
+        for batch in batches:
+            ok = [similar(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), percent) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(ok, pa.bool_())], ["u", "v", "linked"]).filter(pa.array(ok, pa.bool_()))
 
     return run
 
@@ -393,22 +415,38 @@ def similar_documents(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 def _linked(docs, classes, left, shingle, percent):
     """Verified links (u, v) of class ids that span the same components as all links.
 
-    Sets meet by component of the candidate pairs, in chunks of about RESIDENTS: each set travels once to its own
-    chunk, and once to each other chunk where it has partners.
+    Sets meet under labels, the components of each set's edge to its smallest partner, in chunks of about RESIDENTS: a
+    set travels to its own chunk, and with the list of its partners to its label's chunks. Pairs that labels part
+    meet in the next round, and what two rounds leave, pair by pair.
     """
-    labels = written(components(left), "labels")
-    sizes = labels.groupBy("component").agg(F.ceil(F.count("*") / RESIDENTS).alias("chunks"))
-    chunk = F.pmod(F.xxhash64("node"), F.col("chunks"))
-    labels = written(labels.join(sizes, "component").select(F.col("node").alias("cid"), F.col("component").alias("label"), chunk.alias("chunk")), "labels")
-    nodes = labels.join(classes.select("cid", "k1", "k2", "th"), "cid")
+    nodes = left.select("u").unionByName(left.select(F.col("v").alias("u"))).distinct().join(classes.select(F.col("cid").alias("u"), "k1", "k2", "th"), "u")
     nodes = written(nodes, "nodes")
     sets = perhaps(docs, "th", nodes.select(F.col("th").alias("k"))).select("text").mapInArrow(_wanted_sets(shingle), "k1 long, k2 long, set binary")
-    sets = written(nodes.join(sets.dropDuplicates(["k1", "k2"]), ["k1", "k2"]).select("cid", "label", "chunk", "set"), "sets")
-    asks = left.join(labels.select(F.col("cid").alias("v"), "label", "chunk"), "v").groupBy("u", "label", "chunk").agg(F.collect_list("v").alias("partners"))
-    asking = sets.select(F.col("cid").alias("u"), "set").join(asks, "u").select("label", "chunk", F.col("u").alias("cid"), "set", "partners")
-    both = sets.select("label", "chunk", "cid", "set", F.lit(None).cast("array<long>").alias("partners")).unionByName(asking)
-    both = both.withColumn("_asks", F.col("partners").isNotNull()).repartition("label", "chunk").sortWithinPartitions("label", "chunk", "_asks", "cid").drop("_asks")
-    return written(both.mapInArrow(verify(percent), "u long, v long"), "links")
+    sets = written(nodes.join(sets, ["k1", "k2"]).dropDuplicates(["u"]).select(F.col("u").alias("cid"), "set"), "sets")
+    links = []
+    for _ in range(2):
+        least = left.groupBy("v").agg(F.min("u").alias("u")).select("u", "v").unionByName(left.groupBy("u").agg(F.min("v").alias("v")).select("u", "v"))
+        labels = written(components(least), "labels")
+        sizes = labels.groupBy("component").agg(F.ceil(F.count("*") / RESIDENTS).alias("chunks"))
+        labels = written(labels.join(sizes, "component").select(F.col("node").alias("cid"), F.col("component").alias("label"), "chunks").join(sets, "cid"), "labels")
+        asks = left.groupBy(F.col("u").alias("cid")).agg(F.collect_list("v").alias("partners"))
+        asking = labels.join(asks, "cid").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+        living = labels.withColumn("partners", F.lit(None).cast("array<long>")).withColumn("chunk", F.pmod("cid", "chunks"))
+        both = living.unionByName(asking).withColumn("_asks", F.col("partners").isNotNull())
+        both = both.repartition("label", "chunk").sortWithinPartitions("label", "chunk", "_asks", "cid").select("label", "chunk", "cid", "set", "partners", "chunks")
+        found = written(both.mapInArrow(verify(percent), "u long, v long, linked boolean"), "links")
+        links.append(found.filter("linked").select("u", "v"))
+        left = found.filter("not linked").select("u", "v")
+        if left.isEmpty():
+            break
+    else:
+        x, y = (sets.select(F.col("cid").alias(c), F.col("set").alias(n)) for c, n in (("u", "x"), ("v", "y")))
+        found = left.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(verify_pairs(percent), "u long, v long, linked boolean")
+        links.append(written(found, "links").select("u", "v"))
+    out = links[0]
+    for more in links[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def near_duplicates_dropped(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
