@@ -135,6 +135,7 @@ class Memo(dict):
             codes.append(0)
             sizes[k] = len(part) + 1
         self.settle()
+        self.codes, self.sizes = codes, sizes  # of the last batch
         codes = np.array(codes, dtype=np.int64)
         count = self.count[codes]
         ids = self.ids[ranges(self.first[codes], count)]

@@ -3,7 +3,7 @@
 The model protobuf is parsed here (wire format of three small messages), and its parts rebuilt: the normaliser with
 its compiled character map, white-space rules and metaspace marker; unigram scores, or BPE merges in the order of
 their pieces' scores; byte fallback; and the decoder. Text falls into chunks at the markers, which no piece crosses,
-so a chunk is encoded once and remembered; new chunks of a batch are encoded multithreaded. Each new chunk is also
+so a chunk is encoded and decoded once and remembered; new chunks of a batch are encoded multithreaded. Each new chunk is also
 encoded by the sentencepiece library, and where the two differ, its ids are taken and the document is not at parity.
 """
 
@@ -126,6 +126,7 @@ def codec(data: bytes, threads: int, keep_ids: bool):
         spec = Spec(data)
         tok, own = spec.tokenizer(), sentencepiece.SentencePieceProcessor(model_proto=data)
         odd: set[str] = set()  # chunks that the two libraries encode differently
+        said = [""]  # what each chunk's ids decode to
 
         # chunks come without the dummy prefix, which both libraries put before a text; other chunks begin with a blank
         def encode(todo):
@@ -139,6 +140,7 @@ def codec(data: bytes, threads: int, keep_ids: bool):
                     if a != b:
                         odd.add(t)
                     out.append(b)
+                said.extend(tok.decode_batch(out[k:], skip_special_tokens=False))
             return out
 
         plain = spec.splits and spec.dummy_prefix and spec.escape and not spec.remove_extra and not spec.charsmap
@@ -159,9 +161,14 @@ def codec(data: bytes, threads: int, keep_ids: bool):
             for lo, hi in slices(texts):
                 if memo.n > memo.bound:
                     odd.clear()
+                    said[1:] = []
                 ids, counts = memo.batch(texts[lo:hi], chunks)
                 parts = np.split(ids, np.cumsum(counts)[:-1])
-                decoded = tok.decode_batch([p.tolist() for p in parts], skip_special_tokens=False)
+                if plain:  # bytes and blanks of a chunk never join another's, and the decoder takes off a chunk's first blank
+                    ends = np.cumsum(memo.sizes).tolist()
+                    decoded = [" ".join([said[c] for c in memo.codes[a : b - 1]]) for a, b in zip([0, *ends], ends, strict=False)]
+                else:
+                    decoded = tok.decode_batch([p.tolist() for p in parts], skip_special_tokens=False)
                 crc = [zlib.crc32(p.astype("<u4").tobytes()) for p in parts]
                 back = [d == (t or "") for d, t in zip(decoded, texts[lo:hi], strict=True)]
                 sha = [hashlib.sha256(d.encode("utf-8", "surrogatepass")).hexdigest() for d in decoded]
