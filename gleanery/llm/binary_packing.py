@@ -22,7 +22,7 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = PAD_ID = 50256
 WIDTH = 2048
 ROWS = 64
-STRETCH = 6_000_000
+STRETCH = 3_000_000
 
 
 class Capacities:
@@ -183,12 +183,13 @@ def packer(tokenizer_path, tokenizer_name, end_id, pad_id, width, n_rows, stretc
 
 MATRIX = ["matrix_id", "n_rows", "width", "ids", "cu_seqlens", "cu_sizes", "position_ids", "pieces"]
 TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("row", pa.int64())]))]
+DIGEST = "matrix_id long, n_rows long, ids_crc32 long, cu_seqlens_crc32 long, position_ids_crc32 long, doc_ids array<long>, starts array<long>, lengths array<long>, rows array<long>"
 SCHEMA = "matrix_id long, n_rows long, width long, ids binary, cu_seqlens binary, cu_sizes array<long>, position_ids binary, pieces array<struct<doc_id:long,start:long,length:long,row:long>>"
 
 
 def packed_matrices(
     docs: DataFrame, tokenizer_path: str | None = None, tokenizer_name: str = TOKENIZER, end_id: int = END_ID, pad_id: int = PAD_ID,
-    width: int = WIDTH, n_rows: int = ROWS, stretch: int = STRETCH,
+    width: int = WIDTH, n_rows: int = ROWS, stretch: int = STRETCH, checksums: bool = False,
 ) -> DataFrame:
     """One row per matrix: matrix_id, n_rows, width, ids and position_ids (n_rows x width, row-major, little-endian
     unsigned 32-bit), cu_seqlens (each row's from 0, one after another; cu_sizes says how many) and the pieces
@@ -196,9 +197,11 @@ def packed_matrices(
 
     Every document's ids end with end_id; a null or empty text is that alone. Each row of docs is packed on its own,
     whatever its id; other columns are left out. No rows give no matrices. Padding positions count from 0.
+    With checksums=True the same work gives the CRC-32 of each binary in its place, and the pieces as lists.
     """
     run = packer(tokenizer_path, tokenizer_name, end_id, pad_id, width, n_rows, stretch)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return docs.mapInArrow(lambda batches: _digest(run(batches)), DIGEST) if checksums else docs.mapInArrow(run, SCHEMA)
 
 
 def write_matrices(docs: DataFrame, path: str, **options) -> None:
@@ -237,8 +240,7 @@ def _digest(batches):
 
 def op7_best_fit_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The matrices with their binaries as checksums."""
-    matrices = packed_matrices(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return matrices.mapInArrow(_digest, "matrix_id long, n_rows long, ids_crc32 long, cu_seqlens_crc32 long, position_ids_crc32 long, doc_ids array<long>, starts array<long>, lengths array<long>, rows array<long>")
+    return packed_matrices(spark.read.parquet(f"{sf_dir}/documents.parquet"), checksums=True)
 
 
 QUERIES = {"op7_best_fit_matrices": op7_best_fit_matrices}
