@@ -27,6 +27,7 @@ WORDS = 8  # 64-bit words of a sketch
 CROWD = 48
 BLOCK = 2048
 RESIDENTS = 1024
+NEED = 3
 
 BASE = 0x9E3779B97F4A7C15
 _MULT = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3]
@@ -98,7 +99,9 @@ class Bands:
 
     def plan(self, band: int) -> tuple[int, int, int]:
         """(segments, how many of the first have one-deletion neighbourhoods, skips) of a band; no segments where only
-        equal sets are similar."""
+        equal sets are similar. H differences spoil at most H segments; with NEED more, besides both sets' skips,
+        similar sets agree in NEED. In small bands, where all have neighbourhoods that take two differences each to
+        spoil, they agree in one."""
         self.reach(self.low[0] if not self.high else self.high[-1])
         while len(self.high) <= band:
             self.reach(self.low[-1])
@@ -108,7 +111,7 @@ class Bands:
         if h <= 3:
             return (h + 2) // 2, (h + 2) // 2, 0
         skips = h // 20 + 1
-        return h + 2 * skips, 1, skips
+        return h + NEED + 2 * skips, 1, skips
 
 
 def signatures(sets: list[np.ndarray], bands: Bands):
@@ -150,11 +153,13 @@ def signatures(sets: list[np.ndarray], bands: Bands):
     rank = np.empty(len(total), dtype=np.int64)
     rank[order] = np.arange(len(total)) - base[owner[order]]
     kept = np.flatnonzero(rank >= skips[owner])
-    sig = [fold(total[kept] + salt[kept])]
+    # the lowest bit tells small bands, where one signature is enough for a pair
+    one, small = np.uint64(1), (skips[owner] == 0).astype(np.uint64)
+    sig = [fold(total[kept] + salt[kept]) & ~one | small[kept]]
     src = [of[owner[kept]]]
     near_token = np.flatnonzero(seg < near[row])
     c = cell[near_token]
-    sig.append(fold(total[c] - value[near_token] + salt[c]))
+    sig.append(fold(total[c] - value[near_token] + salt[c]) & ~one | small[c])
     src.append(of[row[near_token]])
     return np.concatenate(sig), np.concatenate(src)
 
@@ -172,84 +177,104 @@ def _keys(s: np.ndarray) -> tuple[int, int]:
     return (d & (2**64 - 1)) - 2**63, (d >> 64) - 2**63
 
 
-def describe(n: int, percent: int):
-    """(doc_id, th, text) to (doc_id, th, n_shingles, k1, k2, sketch words, signatures); each set is signed once in a
-    partition, where it comes first."""
+def describe(n: int):
+    """(doc_id, th, text) to (doc_id, th, n_shingles, k1, k2, sketch words)."""
 
     def run(batches):
-        hashes, bands, seen = WordHash(), Bands(percent), set()
+        hashes = WordHash()
         for batch in batches:
             texts = batch.column(2).to_pylist()
             for lo, hi in slices(texts, 2_000_000):
                 sets = shingle_sets(texts[lo:hi], n, hashes)
                 keys = [_keys(s) for s in sets]
-                fresh = []
-                for i, (s, k) in enumerate(zip(sets, keys, strict=True)):
-                    if len(s) and k not in seen:
-                        seen.add(k)
-                        fresh.append(i)
-                sig, src = signatures([sets[i] for i in fresh], bands)
-                order = np.argsort(src, kind="stable")
-                count = np.zeros(len(sets), dtype=np.int64)
-                count[fresh] = np.bincount(src, minlength=len(fresh))
-                ends = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
                 words = np.stack([sketch(s) for s in sets])
                 cols = [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())]
                 cols += [pa.array(words[:, j]) for j in range(WORDS)]
-                cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(sig[order].view(np.int64))))
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "th", "n_shingles", "k1", "k2", *(f"w{j}" for j in range(WORDS)), "sigs"])
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "th", "n_shingles", "k1", "k2", *(f"w{j}" for j in range(WORDS))])
+
+    return run
+
+
+def sign(n: int, percent: int):
+    """(text) to (sig, k1); each set once in a partition."""
+
+    def run(batches):
+        hashes, bands, seen = WordHash(), Bands(percent), set()
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for lo, hi in slices(texts, 2_000_000):
+                fresh, keys = [], []
+                for s in shingle_sets(texts[lo:hi], n, hashes):
+                    k = _keys(s)
+                    if len(s) and k not in seen:
+                        seen.add(k)
+                        fresh.append(s)
+                        keys.append(k[0])
+                sig, src = signatures(fresh, bands)
+                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(np.array(keys, dtype=np.int64)[src])], ["sig", "k1"])
 
     return run
 
 
 def meet(crowd: int, block: int):
-    """Rows sorted by (sig, k1) to pairs (a, b, null, null) of small groups and (sig, k1, chunk) of crowds."""
+    """Rows sorted by (sig, k1) to pairs (a, b, weight) of small groups, NEED of which weights make a candidate, and
+    (k1, null, sig, chunk) of crowds."""
 
-    def rows(a, b, sig=None, chunk=None):
+    def rows(a, b, sig, chunk=None):
         none = pa.nulls(len(a), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(a), none if b is None else pa.array(b), none if sig is None else pa.array(sig), none if chunk is None else pa.array(chunk)], ["a", "b", "sig", "chunk"])
+        if b is None:
+            cols = [pa.array(a), none, pa.array(sig), pa.array(chunk)]
+        else:
+            cols = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.where(sig & 1, NEED, 1)), none]
+        return pa.RecordBatch.from_arrays(cols, ["a", "b", "sig", "chunk"])
+
+    def groups(sig, key):
+        start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        return start, np.diff(np.append(start, len(sig)))
+
+    def whole(sig, key):
+        if not len(sig):
+            return
+        start, size = groups(sig, key)
+        group = np.repeat(np.arange(len(start)), size)
+        out = np.flatnonzero(size[group] > crowd)
+        if len(out):
+            yield rows(key[out], None, sig[out], (out - start[group[out]]) // block)
+        for g in np.unique(size[(size > 1) & (size <= crowd)]).tolist():
+            s = start[size == g]
+            i, j = np.triu_indices(g, 1)
+            yield rows(key[(s[:, None] + i).ravel()], key[(s[:, None] + j).ravel()], np.repeat(sig[s], len(i)))
 
     def run(batches):
-        held_sig = held_key = np.zeros(0, dtype=np.int64)
-        passed = 0  # rows of the group at hand that were given out as a crowd already
-        done = False
-        stream = iter(batches)
-        while not done:
-            batch = next(stream, None)
-            done = batch is None
-            sig = np.concatenate([held_sig, batch.column(0).to_numpy()]) if not done else held_sig
-            key = np.concatenate([held_key, batch.column(1).to_numpy()]) if not done else held_key
+        held_sig = held_key = np.zeros(0, dtype=np.int64)  # of the last group, as long as it is no crowd
+        flow = None  # (signature, rows given out, last key) of a crowd that goes on
+        for batch in batches:
+            sig, key = np.concatenate([held_sig, batch.column(0).to_numpy()]), np.concatenate([held_key, batch.column(1).to_numpy()])
+            held_sig = held_key = sig[:0]
             if not len(sig):
                 continue
-            fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])])
+            fresh = np.concatenate([[flow is None or (sig[0], key[0]) != (flow[0], flow[2])], (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])])
             sig, key = sig[fresh], key[fresh]
-            start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-            size = np.diff(np.concatenate([start, [len(sig)]]))
+            if flow is not None and len(sig):
+                n = int(np.searchsorted(sig, flow[0], "right"))
+                if n:
+                    yield rows(key[:n], None, sig[:n], (flow[1] + np.arange(n)) // block)
+                    flow = (flow[0], flow[1] + n, key[n - 1])
+                    sig, key = sig[n:], key[n:]
+                if len(sig):
+                    flow = None
+            if not len(sig):
+                continue
+            start, size = groups(sig, key)
             last = start[-1]
-            tail = len(sig) - last
-            if done:
-                keep = len(sig)
-            elif passed or tail > crowd + 1:
-                keep = len(sig) - 1  # a crowd flows on; its last row stays, to know it again
+            yield from whole(sig[:last], key[:last])
+            sig, key = sig[last:], key[last:]
+            if len(sig) > crowd:
+                yield rows(key, None, sig, np.arange(len(sig)) // block)
+                flow = (sig[0], len(sig), key[-1])
             else:
-                keep = last
-            held_sig, held_key = sig[keep:], key[keep:]
-            group = np.repeat(np.arange(len(start)), size)
-            place = np.arange(len(sig)) - start[group] + np.where(group == 0, passed, 0)
-            crowded = size > crowd
-            crowded[0] |= passed > 0
-            out = np.flatnonzero(crowded[group][:keep])
-            if len(out):
-                yield rows(key[out], None, sig[out], place[out] // block)
-            if keep < len(sig) and keep > last:  # part of the last group went out as a crowd
-                passed = int(place[keep])
-            elif len(start) > 1 or keep == len(sig):
-                passed = 0
-            small = np.flatnonzero(~crowded & (size > 1) & (start + size <= keep))
-            for g in np.unique(size[small]).tolist():
-                s = start[small[size[small] == g]]
-                i, j = np.triu_indices(g, 1)
-                yield rows(key[(s[:, None] + i).ravel()], key[(s[:, None] + j).ravel()])
+                held_sig, held_key = sig, key
+        yield from whole(held_sig, held_key)
 
     return run
 
@@ -287,72 +312,90 @@ def crowds(percent: int):
             start = np.flatnonzero(new).tolist() + [len(new)]
             for s, e in zip(start[: None if done else -2], start[1 : None if done else -1], strict=False):
                 if e > s + 1:
-                    yield from block(held[4][s:e], held[5][s:e], np.stack([x[s:e] for x in held[6:]], 1), held[3][s:e], held[1][s] == held[2][s])
+                    yield from block(held[4][s:e], held[5][s:e], np.stack([x[s:e] for x in held[6:]], 1).view(np.uint64), held[3][s:e], held[1][s] == held[2][s])
             held = [x[start[-2] if not done else start[-1] :] for x in held]
 
     return run
 
 
 def _wanted_sets(n: int):
-    """(text) to (k1, k2, set), each set once in a partition."""
+    """(doc_id, text) to (doc_id, k1, k2, set)."""
 
     def run(batches):
-        hashes, seen = WordHash(), set()
+        hashes = WordHash()
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for lo, hi in slices(texts):
-                rows = []
-                for s in shingle_sets(texts[lo:hi], n, hashes):
-                    k = _keys(s)
-                    if len(s) and k not in seen:
-                        seen.add(k)
-                        rows.append((*k, s.tobytes()))
-                k1, k2, sets = zip(*rows, strict=True) if rows else ((), (), ())
-                yield pa.RecordBatch.from_arrays([pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(sets, pa.binary())], ["k1", "k2", "set"])
+            texts = batch.column(1).to_pylist()
+            for lo, hi in slices(texts, 2_000_000):
+                sets = shingle_sets(texts[lo:hi], n, hashes)
+                keys = [_keys(s) for s in sets]
+                cols = [batch.column(0).slice(lo, hi - lo), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "k1", "k2", "set"])
 
     return run
 
 
 def verify(percent: int):
-    """Rows (label, chunk, cid, set, partners, chunks) sorted by (label, chunk, residents first) to (u, v, linked): links
-    that span the components of all links here, and, not linked, pairs whose partner lives under another label.
+    """Rows (label, chunk, lives, cid, set, partners, chunks) sorted by (label, chunk), residents first, to (u, v, linked):
+    links that span the components of all links here, and, not linked, pairs whose partner lives under another label.
 
-    Residents of a chunk (no partners) are held; others stream by. A set's partner of this chunk is known by its hash.
+    Residents of a chunk are held, and ask when all are; sets of other chunks stream by. A set's partner of this chunk is
+    known by its hash.
     """
 
     def run(batches):
-        now, held, root = None, {}, {}
+        now, held, asking, root = None, {}, [], {}
 
         def find(x):
             while root.get(x, x) != x:
                 root[x] = x = root.get(root[x], root[x])
             return x
 
-        for batch in batches:
-            out = []
-            for label, chunk, cid, data, partners, chunks in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+        def ask(cid, own, partners, chunks):
+            for v in partners:
+                if v % chunks != now[1]:
+                    continue
+                if v not in held:
+                    out.append((cid, v, False))
+                    continue
+                a, b = find(cid), find(v)
+                if a != b and similar(own, held[v], percent):
+                    root[a] = b
+                    out.append((cid, v, True))
+
+        def settle():
+            for cid, partners, chunks in asking:
+                ask(cid, held[cid], partners, chunks)
+            asking.clear()
+
+        out: list[tuple] = []
+        for batch in _ended(batches):
+            for label, chunk, lives, cid, data, partners, chunks in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True) if batch is not None else ():
                 if (label, chunk) != now:
+                    settle()
                     now, held, root = (label, chunk), {}, {}
                 own = np.frombuffer(data, dtype=np.uint64)
-                if partners is None:
+                if lives:
                     held[cid] = own
-                    continue
-                for v in partners:
-                    if v % chunks != chunk:
-                        continue
-                    if v not in held:
-                        out.append((cid, v, False))
-                        continue
-                    a, b = find(cid), find(v)
-                    if a != b and similar(own, held[v], percent):
-                        root[a] = b
-                        out.append((cid, v, True))
+                    if partners:
+                        asking.append((cid, partners, chunks))
+                else:
+                    settle()
+                    ask(cid, own, partners or (), chunks)
+            if batch is None:
+                settle()
             u, v, linked = zip(*out, strict=True) if out else ((), (), ())
+            out.clear()
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(linked, pa.bool_())], ["u", "v", "linked"])
 
     return run
 
 
+def _ended(batches):
+    """The batches, then None."""
+    yield from batches
+    yield None
+
+
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     both = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * both >= percent * (len(x) + len(y) - both)
@@ -379,16 +422,16 @@ def similar_documents(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     text = F.col("text").cast("string")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
     words = [f"w{j}" for j in range(WORDS)]
-    schema = "doc_id long, th long, n_shingles long, k1 long, k2 long, " + ", ".join(f"{w} long" for w in words) + ", sigs array<long>"
-    described = written(docs.mapInArrow(describe(shingle, percent), schema), "described")
+    schema = "doc_id long, th long, n_shingles long, k1 long, k2 long, " + ", ".join(f"{w} long" for w in words)
+    described = written(docs.mapInArrow(describe(shingle), schema), "described")
     # one row per class; ids of classes are their smallest doc_id, or a negative stand-in where all ids are null
     lead = F.coalesce(F.min("doc_id"), -F.abs(F.xxhash64("k1", "k2")) - 2)
     classes = described.filter("n_shingles > 0").groupBy("k1", "k2").agg(lead.alias("cid"), *(F.min(c).alias(c) for c in ("th", "n_shingles", *words)))
     classes = written(classes.withColumnRenamed("n_shingles", "n"), "classes")
 
-    signed = described.select(F.explode("sigs").alias("sig"), "k1")
+    signed = docs.select("text").mapInArrow(sign(shingle, percent), "sig long, k1 long")
     met = written(signed.repartition("sig").sortWithinPartitions("sig", "k1").mapInArrow(meet(CROWD, BLOCK), "a long, b long, sig long, chunk long"), "met")
-    pairs = met.filter("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = met.filter("b is not null").groupBy("a", "b").agg(F.sum("sig").alias("weight")).filter(F.col("weight") >= NEED).select("a", "b")
     packed = met.filter("b is null").select("sig", "chunk", F.col("a").alias("k1"))
     if not packed.isEmpty():
         several = packed.groupBy("sig").agg((F.max("chunk") + 1).alias("chunks"))
@@ -419,30 +462,33 @@ def _linked(docs, classes, left, shingle, percent):
     set travels to its own chunk, and with the list of its partners to its label's chunks. Pairs that labels part
     meet in the next round, and what two rounds leave, pair by pair.
     """
-    nodes = left.select("u").unionByName(left.select(F.col("v").alias("u"))).distinct().join(classes.select(F.col("cid").alias("u"), "k1", "k2", "th"), "u")
-    nodes = written(nodes, "nodes")
-    sets = perhaps(docs, "th", nodes.select(F.col("th").alias("k"))).select("text").mapInArrow(_wanted_sets(shingle), "k1 long, k2 long, set binary")
-    sets = written(nodes.join(sets, ["k1", "k2"]).dropDuplicates(["u"]).select(F.col("u").alias("cid"), "set"), "sets")
+    nodes = left.select("u").unionByName(left.select(F.col("v").alias("u"))).distinct()
+    nodes = written(nodes.join(classes.select(F.col("cid").alias("u"), "k1", "k2", "th"), "u"), "nodes")
+    wanted = perhaps(docs, "th", nodes.select(F.col("th").alias("k"))).select("doc_id", "text").mapInArrow(_wanted_sets(shingle), "doc_id long, k1 long, k2 long, set binary")
+    # a class's set comes from the document that names it, or, where ids are null, from any
+    own = (F.col("doc_id") == F.col("u")) | (F.col("u") < -1)
     links = []
-    for _ in range(2):
+    for last in (False, True):
         least = left.groupBy("v").agg(F.min("u").alias("u")).select("u", "v").unionByName(left.groupBy("u").agg(F.min("v").alias("v")).select("u", "v"))
         labels = written(components(least), "labels")
         sizes = labels.groupBy("component").agg(F.ceil(F.count("*") / RESIDENTS).alias("chunks"))
-        labels = written(labels.join(sizes, "component").select(F.col("node").alias("cid"), F.col("component").alias("label"), "chunks").join(sets, "cid"), "labels")
-        asks = left.groupBy(F.col("u").alias("cid")).agg(F.collect_list("v").alias("partners"))
-        asking = labels.join(asks, "cid").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-        living = labels.withColumn("partners", F.lit(None).cast("array<long>")).withColumn("chunk", F.pmod("cid", "chunks"))
-        both = living.unionByName(asking).withColumn("_asks", F.col("partners").isNotNull())
-        both = both.repartition("label", "chunk").sortWithinPartitions("label", "chunk", "_asks", "cid").select("label", "chunk", "cid", "set", "partners", "chunks")
+        asks = left.groupBy(F.col("u").alias("node")).agg(F.collect_list("v").alias("partners"))
+        labels = labels.join(sizes, "component").join(asks, "node", "left").select(F.col("node").alias("u"), F.col("component").alias("label"), "chunks", "partners")
+        labels = written(labels.join(nodes.drop("th"), "u"), "labels")
+        sets = labels.join(wanted, ["k1", "k2"]).filter(own).select("label", F.col("u").alias("cid"), "set", "partners", "chunks")
+        chunks = F.when(F.col("partners").isNull(), F.array(F.pmod("cid", "chunks"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+        both = sets.withColumn("chunk", F.explode(chunks)).withColumn("lives", F.col("chunk") == F.pmod("cid", "chunks"))
+        both = both.repartition("label", "chunk").sortWithinPartitions("label", "chunk", F.desc("lives"), "cid").select("label", "chunk", "lives", "cid", "set", "partners", "chunks")
         found = written(both.mapInArrow(verify(percent), "u long, v long, linked boolean"), "links")
         links.append(found.filter("linked").select("u", "v"))
         left = found.filter("not linked").select("u", "v")
         if left.isEmpty():
             break
-    else:
-        x, y = (sets.select(F.col("cid").alias(c), F.col("set").alias(n)) for c, n in (("u", "x"), ("v", "y")))
-        found = left.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(verify_pairs(percent), "u long, v long, linked boolean")
-        links.append(written(found, "links").select("u", "v"))
+        if last:
+            sets = nodes.join(wanted, ["k1", "k2"]).filter(own)
+            x, y = (sets.select(F.col("u").alias(c), F.col("set").alias(n)) for c, n in (("u", "x"), ("v", "y")))
+            found = left.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(verify_pairs(percent), "u long, v long, linked boolean")
+            links.append(written(found, "links").select("u", "v"))
     out = links[0]
     for more in links[1:]:
         out = out.unionByName(more)
