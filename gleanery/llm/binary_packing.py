@@ -89,10 +89,15 @@ def byte_encoder(tok, bound: int = 300_000):
     pieces = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ſ]+| ?[0-9]+| ?[^ A-Za-z0-9À-ÖØ-öø-ſ]+").findall
     model, letters = tok.model, byte_letters()
     to_letters = {i: letters[i] for i in range(256)}
+    blank = letters[32]
 
     class Pieces(dict):
         def __missing__(self, piece):
-            ids = self[piece] = [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(to_letters))]
+            if piece.isascii():
+                mapped = blank + piece[1:] if piece[0] == " " else piece
+            else:
+                mapped = piece.encode().decode("latin-1").translate(to_letters)
+            ids = self[piece] = [t.id for t in model.tokenize(mapped)]
             return ids
 
     book = Pieces()
@@ -102,12 +107,12 @@ def byte_encoder(tok, bound: int = 300_000):
             book.clear()
         out, odd = [None] * len(todo), []
         for k, chunk in enumerate(todo):
-            if not plain(chunk) or "<|" in chunk:
-                odd.append(k)
-            elif chunk[1:].isalpha():
-                out[k] = book[chunk] if chunk[0] == " " or chunk[0].isalpha() else [i for p in pieces(chunk) for i in book[p]]
-            elif chunk[-1] in ".," and chunk[1:-1].isalpha() and chunk[0] == " ":
+            if chunk[0] == " " and chunk.isascii() and chunk[1:].isalpha():
+                out[k] = book[chunk]
+            elif chunk[0] == " " and chunk[-1] in ".," and chunk.isascii() and chunk[1:-1].isalpha():
                 out[k] = book[chunk[:-1]] + book[chunk[-1]]
+            elif not plain(chunk) or "<|" in chunk:
+                odd.append(k)
             else:
                 out[k] = [i for p in pieces(chunk) for i in book[p]]
         for k in range(0, len(odd), 1000):
@@ -125,7 +130,7 @@ def packer(tokenizer_path, tokenizer_name, end_id, pad_id, width, n_rows, stretc
 
         part = TaskContext.get().partitionId()
         tok = load_tokenizer(tokenizer_path, tokenizer_name)
-        memo = Memo(byte_encoder(tok), [end_id])
+        memo = Memo(byte_encoder(tok, 200_000), [end_id], 400_000)
         made = 0
 
         def pack(held):

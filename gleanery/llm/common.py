@@ -188,6 +188,9 @@ def word_encoder(tok, bound: int = 300_000):
         if len(book) > bound:
             book.clear()
         for k, chunk in enumerate(todo):
+            if chunk.isascii() and chunk.isalpha():
+                out[k] = book[chunk.lower()]
+                continue
             if not plain(chunk) or "İ" in chunk or "<|" in chunk:
                 odd.append(k)
                 continue
