@@ -216,17 +216,16 @@ def sign(n: int, percent: int):
     return run
 
 
-def meet(crowd: int, block: int):
+def meet(crowd: int):
     """Rows sorted by (sig, k1) to pairs (a, b, weight) of small groups, NEED of which weights make a candidate, and
-    (k1, null, sig, chunk) of crowds."""
+    (k1, null, sig) of crowds."""
 
-    def rows(a, b, sig, chunk=None):
-        none = pa.nulls(len(a), pa.int64())
+    def rows(a, b, sig):
         if b is None:
-            cols = [pa.array(a), none, pa.array(sig), pa.array(chunk)]
+            cols = [pa.array(a), pa.nulls(len(a), pa.int64()), pa.array(sig)]
         else:
-            cols = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.where(sig & 1, NEED, 1)), none]
-        return pa.RecordBatch.from_arrays(cols, ["a", "b", "sig", "chunk"])
+            cols = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.where(sig & 1, NEED, 1))]
+        return pa.RecordBatch.from_arrays(cols, ["a", "b", "sig"])
 
     def groups(sig, key):
         start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
@@ -239,7 +238,7 @@ def meet(crowd: int, block: int):
         group = np.repeat(np.arange(len(start)), size)
         out = np.flatnonzero(size[group] > crowd)
         if len(out):
-            yield rows(key[out], None, sig[out], (out - start[group[out]]) // block)
+            yield rows(key[out], None, sig[out])
         for g in np.unique(size[(size > 1) & (size <= crowd)]).tolist():
             s = start[size == g]
             i, j = np.triu_indices(g, 1)
@@ -247,19 +246,19 @@ def meet(crowd: int, block: int):
 
     def run(batches):
         held_sig = held_key = np.zeros(0, dtype=np.int64)  # of the last group, as long as it is no crowd
-        flow = None  # (signature, rows given out, last key) of a crowd that goes on
+        flow = None  # (signature, last key) of a crowd that goes on
         for batch in batches:
             sig, key = np.concatenate([held_sig, batch.column(0).to_numpy()]), np.concatenate([held_key, batch.column(1).to_numpy()])
             held_sig = held_key = sig[:0]
             if not len(sig):
                 continue
-            fresh = np.concatenate([[flow is None or (sig[0], key[0]) != (flow[0], flow[2])], (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])])
+            fresh = np.concatenate([[flow is None or (sig[0], key[0]) != flow], (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])])
             sig, key = sig[fresh], key[fresh]
             if flow is not None and len(sig):
                 n = int(np.searchsorted(sig, flow[0], "right"))
                 if n:
-                    yield rows(key[:n], None, sig[:n], (flow[1] + np.arange(n)) // block)
-                    flow = (flow[0], flow[1] + n, key[n - 1])
+                    yield rows(key[:n], None, sig[:n])
+                    flow = (flow[0], key[n - 1])
                     sig, key = sig[n:], key[n:]
                 if len(sig):
                     flow = None
@@ -270,8 +269,8 @@ def meet(crowd: int, block: int):
             yield from whole(sig[:last], key[:last])
             sig, key = sig[last:], key[last:]
             if len(sig) > crowd:
-                yield rows(key, None, sig, np.arange(len(sig)) // block)
-                flow = (sig[0], len(sig), key[-1])
+                yield rows(key, None, sig)
+                flow = (sig[0], key[-1])
             else:
                 held_sig, held_key = sig, key
         yield from whole(held_sig, held_key)
@@ -280,10 +279,12 @@ def meet(crowd: int, block: int):
 
 
 def crowds(percent: int):
-    """Rows (lo, hi, chunk, k1, n, words) sorted by (sig, lo, hi): pairs that size and sketch allow."""
+    """Rows (family, lo, hi, chunk, cid, n, words) sorted by (family, lo, hi) to (family, u, partners): the sets v > u that
+    size and sketch allow, and a row without partners for each set that is only a partner."""
 
-    def block(k, n, w, c, same):
+    def block(fam, k, n, w, c, same):
         left, right = (np.arange(len(k)),) * 2 if same else (np.flatnonzero(c == c.min()), np.flatnonzero(c == c.max()))
+        u, v = [], []
         for i in range(0, len(left), 256):
             x = left[i : i + 256]
             diff = np.zeros((len(x), len(right)), dtype=np.int64)
@@ -292,9 +293,18 @@ def crowds(percent: int):
             a, b = n[x][:, None], n[right][None, :]
             ok = (diff * (100 + percent) <= (a + b) * (100 - percent)) & (np.minimum(a, b) * 100 >= percent * np.maximum(a, b)) & (k[x][:, None] < k[right][None, :] if same else True)
             p, q = np.nonzero(ok)
-            if len(p):
-                u, v = k[x[p]], k[right[q]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
+            u.append(np.minimum(k[x[p]], k[right[q]]))
+            v.append(np.maximum(k[x[p]], k[right[q]]))
+        u, v = np.concatenate(u), np.concatenate(v)
+        if len(u):
+            order = np.lexsort((v, u))
+            u, v = u[order], v[order]
+            start = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(v)).astype(np.int32)), pa.array(v))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(start), fam)), pa.array(u[start]), lists], ["family", "u", "partners"])
+            alone = np.setdiff1d(v, u)
+            none = pa.ListArray.from_arrays(pa.array(np.zeros(len(alone) + 1, dtype=np.int32)), pa.array(v[:0]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(alone), fam)), pa.array(alone), none], ["family", "u", "partners"])
 
     def run(batches):
         held = None
@@ -312,7 +322,7 @@ def crowds(percent: int):
             start = np.flatnonzero(new).tolist() + [len(new)]
             for s, e in zip(start[: None if done else -2], start[1 : None if done else -1], strict=False):
                 if e > s + 1:
-                    yield from block(held[4][s:e], held[5][s:e], np.stack([x[s:e] for x in held[6:]], 1).view(np.uint64), held[3][s:e], held[1][s] == held[2][s])
+                    yield from block(held[0][s], held[4][s:e], held[5][s:e], np.stack([x[s:e] for x in held[6:]], 1).view(np.uint64), held[3][s:e], held[1][s] == held[2][s])
             held = [x[start[-2] if not done else start[-1] :] for x in held]
 
     return run
@@ -430,53 +440,66 @@ def similar_documents(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     classes = written(classes.withColumnRenamed("n_shingles", "n"), "classes")
 
     signed = docs.select("text").mapInArrow(sign(shingle, percent), "sig long, k1 long")
-    met = written(signed.repartition("sig").sortWithinPartitions("sig", "k1").mapInArrow(meet(CROWD, BLOCK), "a long, b long, sig long, chunk long"), "met")
+    met = written(signed.repartition("sig").sortWithinPartitions("sig", "k1").mapInArrow(meet(CROWD), "a long, b long, sig long"), "met")
     pairs = met.filter("b is not null").groupBy("a", "b").agg(F.sum("sig").alias("weight")).filter(F.col("weight") >= NEED).select("a", "b")
-    packed = met.filter("b is null").select("sig", "chunk", F.col("a").alias("k1"))
-    if not packed.isEmpty():
-        several = packed.groupBy("sig").agg((F.max("chunk") + 1).alias("chunks"))
-        spread = packed.join(several, "sig").select("sig", "chunk", "k1", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other"))
-        spread = spread.join(classes.select("k1", "n", *words), "k1")
-        dealt = spread.select("sig", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "k1", "n", *words)
-        dealt = dealt.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi")
-        pairs = pairs.unionByName(dealt.mapInArrow(crowds(percent), "a long, b long")).distinct()
-
     x, y = (classes.select(F.col("k1").alias(s), F.col("cid").alias(f"c{s}"), F.col("n").alias(f"n{s}"), *(F.col(w).alias(f"{w}{s}") for w in words)) for s in "ab")
     bits = sum((F.bit_count(F.col(f"{w}a").bitwiseXOR(F.col(f"{w}b"))) for w in words), F.lit(0))
     able = (bits * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)) & (F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb"))
     left = written(pairs.join(x, "a").join(y, "b").filter(able).select(F.least("ca", "cb").alias("u"), F.greatest("ca", "cb").alias("v")).distinct(), "candidates")
+    packed = met.filter("b is null").select("sig", F.col("a").alias("k1"))
+    lists = None if packed.isEmpty() else written(_crowded(packed, classes, words, percent), "lists")
 
     out = described.select("doc_id", "n_shingles", "k1", "k2").join(classes.select("k1", "k2", "cid"), ["k1", "k2"], "left")
-    if left.isEmpty():
+    if left.isEmpty() and (lists is None or lists.isEmpty()):
         out = out.withColumn("component", F.lit(None).cast("long"))
     else:
-        out = out.join(components(_linked(docs, classes, left, shingle, percent)).withColumnRenamed("node", "cid"), "cid", "left")
+        out = out.join(components(_linked(docs, classes, left, lists, shingle, percent)).withColumnRenamed("node", "cid"), "cid", "left")
     found = F.coalesce("component", "cid", "doc_id")
     return out.select("doc_id", "n_shingles", F.when((found < -1) & F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(found).alias("component_id"))
 
 
-def _linked(docs, classes, left, shingle, percent):
+def _crowded(packed, classes, words, percent):
+    """(family, u, partners) of the sets in crowds. A family is all sets that crowds connect; each two sets of it are
+    compared once by sketch, in blocks of two chunks of about BLOCK."""
+    lead = packed.groupBy("sig").agg(F.min("k1").alias("v"))
+    family = written(components(packed.join(lead, "sig").select(F.col("k1").alias("u"), "v").distinct()), "families")
+    sizes = family.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("chunks"))
+    members = family.join(sizes, "component").join(classes.select(F.col("k1").alias("node"), "cid", "n", *words), "node")
+    spread = members.withColumn("chunk", F.pmod(F.xxhash64("cid"), "chunks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    dealt = spread.select("component", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "cid", "n", *words)
+    return dealt.repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi").mapInArrow(crowds(percent), "family long, u long, partners array<long>")
+
+
+def _linked(docs, classes, left, lists, shingle, percent):
     """Verified links (u, v) of class ids that span the same components as all links.
 
-    Sets meet under labels, the components of each set's edge to its smallest partner, in chunks of about RESIDENTS: a
-    set travels to its own chunk, and with the list of its partners to its label's chunks. Pairs that labels part
-    meet in the next round, and what two rounds leave, pair by pair.
+    left: candidate pairs; lists: (family, u, partners) of crowds, or None. Sets meet under labels, the components of each
+    set's edge to its smallest partner or to its family's smallest set, in chunks of about RESIDENTS: a set travels to
+    its own chunk, and with the list of its partners to theirs. Pairs that labels part meet in the next round, and
+    what two rounds leave, pair by pair.
     """
-    nodes = left.select("u").unionByName(left.select(F.col("v").alias("u"))).distinct()
+    none = F.array().cast("array<long>")
+    nodes = left.select("u").unionByName(left.select(F.col("v").alias("u")))
+    nodes = (nodes if lists is None else nodes.unionByName(lists.select("u"))).distinct()
     nodes = written(nodes.join(classes.select(F.col("cid").alias("u"), "k1", "k2", "th"), "u"), "nodes")
     wanted = perhaps(docs, "th", nodes.select(F.col("th").alias("k"))).select("doc_id", "text").mapInArrow(_wanted_sets(shingle), "doc_id long, k1 long, k2 long, set binary")
     # a class's set comes from the document that names it, or, where ids are null, from any
     own = (F.col("doc_id") == F.col("u")) | (F.col("u") < -1)
     links = []
     for last in (False, True):
-        least = left.groupBy("v").agg(F.min("u").alias("u")).select("u", "v").unionByName(left.groupBy("u").agg(F.min("v").alias("v")).select("u", "v"))
-        labels = written(components(least), "labels")
+        edges = left.groupBy("v").agg(F.min("u").alias("u")).select("u", "v").unionByName(left.groupBy("u").agg(F.min("v").alias("v")).select("u", "v"))
+        asks = left.groupBy("u").agg(F.collect_list("v").alias("partners")).unionByName(left.select(F.col("v").alias("u"), none.alias("partners")).distinct())
+        if lists is not None:
+            edges = edges.unionByName(lists.join(lists.groupBy("family").agg(F.min("u").alias("v")), "family").select("u", "v"))
+            asks = asks.unionByName(lists.select("u", "partners"))
+            lists = None
+        labels = written(components(edges), "labels")
         sizes = labels.groupBy("component").agg(F.ceil(F.count("*") / RESIDENTS).alias("chunks"))
-        asks = left.groupBy(F.col("u").alias("node")).agg(F.collect_list("v").alias("partners"))
+        asks = asks.groupBy(F.col("u").alias("node")).agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners"))
         labels = labels.join(sizes, "component").join(asks, "node", "left").select(F.col("node").alias("u"), F.col("component").alias("label"), "chunks", "partners")
         labels = written(labels.join(nodes.drop("th"), "u"), "labels")
         sets = labels.join(wanted, ["k1", "k2"]).filter(own).select("label", F.col("u").alias("cid"), "set", "partners", "chunks")
-        chunks = F.when(F.col("partners").isNull(), F.array(F.pmod("cid", "chunks"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+        chunks = F.array_union(F.array(F.pmod("cid", "chunks")), F.transform(F.coalesce("partners", none), lambda v: F.pmod(v, F.col("chunks"))))
         both = sets.withColumn("chunk", F.explode(chunks)).withColumn("lives", F.col("chunk") == F.pmod("cid", "chunks"))
         both = both.repartition("label", "chunk").sortWithinPartitions("label", "chunk", F.desc("lives"), "cid").select("label", "chunk", "lives", "cid", "set", "partners", "chunks")
         found = written(both.mapInArrow(verify(percent), "u long, v long, linked boolean"), "links")
