@@ -72,31 +72,35 @@ def best_fit_decreasing(lengths: np.ndarray, width: int) -> list[list[int]]:
     return rows
 
 
+START = "\x00"  # before the key of a text's first chunk, which has no blank
+
+
 def blank_chunks(text: str) -> list[str]:
-    """Chunks that begin with the last blank before a character that is none: pre-tokens never cross these."""
+    """Keys of chunks that begin with the last blank before a character that is none, without that blank: pre-tokens
+    never cross these. A text's first chunk, without a blank, has START before it."""
     import re
 
-    first, *rest = text.split(" ") if "  " not in text else re.split(" (?=[^ ])", text)
-    return ([first] if first else []) + [" " + w for w in rest]
+    keys = text.split(" ") if "  " not in text else re.split(" (?=[^ ])", text)
+    keys[0] = START + keys[0]
+    return keys
 
 
 def byte_encoder(tok, bound: int = 300_000):
-    """Encoder of such chunks for byte-level BPE. Printable ASCII without apostrophes and Latin letters fall into blank
+    """Encoder of such keys for byte-level BPE. Printable ASCII without apostrophes and Latin letters fall into blank
     and letters, blank and digits, blank and signs, which go to the model directly; others go through all of it."""
     import re
 
-    plain = re.compile(" ?[!-&(-~À-ÖØ-öø-ſ]+").fullmatch
+    plain = re.compile("[!-&(-~À-ÖØ-öø-ſ]+").fullmatch
     pieces = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ſ]+| ?[0-9]+| ?[^ A-Za-z0-9À-ÖØ-öø-ſ]+").findall
-    model, letters = tok.model, byte_letters()
-    to_letters = {i: letters[i] for i in range(256)}
-    blank = letters[32]
+    letters = byte_letters()
+    model, blank = tok.model, letters[32]
 
     class Pieces(dict):
+        """Ids of a blank and the piece; of the piece alone under START."""
+
         def __missing__(self, piece):
-            if piece.isascii():
-                mapped = blank + piece[1:] if piece[0] == " " else piece
-            else:
-                mapped = piece.encode().decode("latin-1").translate(to_letters)
+            text = piece[1:] if piece[0] == START else " " + piece
+            mapped = text.replace(" ", blank) if text.isascii() else text.encode().decode("latin-1").translate(letters)
             ids = self[piece] = [t.id for t in model.tokenize(mapped)]
             return ids
 
@@ -106,18 +110,19 @@ def byte_encoder(tok, bound: int = 300_000):
         if len(book) > bound:
             book.clear()
         out, odd = [None] * len(todo), []
-        for k, chunk in enumerate(todo):
-            if chunk[0] == " " and chunk.isascii() and chunk[1:].isalpha():
-                out[k] = book[chunk]
-            elif chunk[0] == " " and chunk[-1] in ".," and chunk.isascii() and chunk[1:-1].isalpha():
-                out[k] = book[chunk[:-1]] + book[chunk[-1]]
-            elif not plain(chunk) or "<|" in chunk:
-                odd.append(k)
+        for k, key in enumerate(todo):
+            if key.isascii() and key.isalpha():
+                out[k] = book[key]
+            elif key[-1:] in (".", ",") and key.isascii() and key[:-1].isalpha():
+                out[k] = book[key[:-1]] + book[START + key[-1]]
+            elif plain(key) and "<|" not in key:
+                out[k] = [i for p in pieces(" " + key) for i in book[p[1:] if p[0] == " " else START + p]]
             else:
-                out[k] = [i for p in pieces(chunk) for i in book[p]]
+                odd.append(k)
         for k in range(0, len(odd), 1000):
             part = odd[k : k + 1000]
-            for j, e in zip(part, tok.encode_batch_fast([todo[i] for i in part], add_special_tokens=False), strict=True):
+            texts = [todo[i][1:] if todo[i][:1] == START else " " + todo[i] for i in part]
+            for j, e in zip(part, tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
                 out[j] = e.ids
         return out
 
@@ -130,7 +135,7 @@ def packer(tokenizer_path, tokenizer_name, end_id, pad_id, width, n_rows, stretc
 
         part = TaskContext.get().partitionId()
         tok = load_tokenizer(tokenizer_path, tokenizer_name)
-        memo = Memo(byte_encoder(tok, 200_000), [end_id], 400_000)
+        memo = Memo(byte_encoder(tok, 250_000), [end_id], 600_000)
         made = 0
 
         def pack(held):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import sys
 import tempfile
 import uuid
@@ -102,22 +103,20 @@ class Memo(dict):
     def reset(self):
         self.clear()
         self.todo: list[str] = []
-        self.n = 1
         self.ids = np.array(self.tail, dtype=np.uint32)
         self.first = np.zeros(1, dtype=np.int64)
         self.count = np.array([len(self.tail)], dtype=np.int64)
 
     def __missing__(self, chunk):
-        code = self[chunk] = self.n
-        self.n += 1
         self.todo.append(chunk)
+        code = self[chunk] = len(self) + 1
         return code
 
     def settle(self):
         if self.todo:
             got = self.encode(self.todo)
             count = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
-            flat = np.fromiter((i for x in got for i in x), dtype=np.uint32, count=int(count.sum()))
+            flat = np.fromiter(itertools.chain.from_iterable(got), dtype=np.uint32, count=int(count.sum()))
             self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(count) - count])
             self.ids = np.concatenate([self.ids, flat])
             self.count = np.concatenate([self.count, count])
@@ -125,7 +124,7 @@ class Memo(dict):
 
     def batch(self, texts, chunks):
         """(ids of all texts one after another, number of ids of each text); each text ends with the tail."""
-        if self.n > self.bound:
+        if len(self) > self.bound:
             self.reset()
         get = self.__getitem__
         codes, sizes = [], np.empty(len(texts), dtype=np.int64)

@@ -159,7 +159,7 @@ def codec(data: bytes, threads: int, keep_ids: bool):
         for batch in batches:
             docs, texts = batch.column(0), batch.column(1).to_pylist()
             for lo, hi in slices(texts):
-                if memo.n > memo.bound:
+                if len(memo) > memo.bound:
                     odd.clear()
                     said[1:] = []
                 ids, counts = memo.batch(texts[lo:hi], chunks)
