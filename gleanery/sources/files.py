@@ -29,7 +29,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: str = RECORD, bom: bool =
     full = S.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     parsed = lines.withColumn("_r", F.from_json("value", S.StructType([*full.fields, S.StructField("_corrupt", S.StringType())]), {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}))
     wrong = F.col("_r._corrupt").isNotNull() | ~F.col("value").rlike(r"^\s*\{")
-    checked = F.when(wrong, F.raise_error(F.concat(F.lit("malformed line in "), F.col("_file"), F.lit(": "), F.substring("value", 1, 80)))).otherwise(F.col("_r"))
+    checked = F.when(F.col("value").rlike(r"\S") & wrong, F.raise_error(F.concat(F.lit("malformed line in "), F.col("_file"), F.lit(": "), F.substring("value", 1, 80)))).otherwise(F.col("_r"))
     return parsed.withColumn("_r", checked).select(*(F.col(f"_r.{f.name}").alias(f.name) for f in full.fields), "_ord")
 
 
