@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from gleanery.schema import LETTERS
 
@@ -17,7 +18,7 @@ SCORE_PREFIX = r"(?U)^\d+[.、．\s]*(（[^）]+）|\([^)]+\))?\s*"
 WIDE, NARROW = "ＡＢＣＤａｂｃｄ", "ABCDabcd"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def compatibility_form(s: pd.Series) -> pd.Series:
     """HTML entities resolved, then Unicode NFKC."""
     import html

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from gleanery.functions import text as T
 from gleanery.schema import LETTERS, MODES
@@ -107,7 +108,7 @@ def _exact_p(improved, degraded):
     return min(1.0, 2 * sum(math.comb(d, i) for i in range(k + 1)) / 2**d) if d else 1.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def mcnemar_p(improved: pd.Series, degraded: pd.Series) -> pd.Series:
     """Exact two-sided p of a McNemar test; runs on rows already aggregated."""
     return pd.Series([_exact_p(int(a), int(b)) for a, b in zip(improved, degraded, strict=True)], dtype="float64")
