@@ -26,8 +26,9 @@ from gleanery.llm.graph import components
 WORDS = 8  # 64-bit words of a sketch
 CROWD = 48
 BLOCK = 2048
-RESIDENTS = 1024
-NEED = 3
+ONE = 1 - 1e-9
+RESIDENTS = 4_000_000  # n-grams of a chunk's sets, 32 MB
+NEEDS = [1, 3, 6, 12, 24, 48, 96, 192]
 
 BASE = 0x9E3779B97F4A7C15
 _MULT = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3]
@@ -97,21 +98,22 @@ class Bands:
         self.reach(int(sizes.max(initial=1)) + 1)
         return np.searchsorted(np.array(self.high), sizes)
 
-    def plan(self, band: int) -> tuple[int, int, int]:
-        """(segments, how many of the first have one-deletion neighbourhoods, skips) of a band; no segments where only
-        equal sets are similar. H differences spoil at most H segments; with NEED more, besides both sets' skips,
-        similar sets agree in NEED. In small bands, where all have neighbourhoods that take two differences each to
-        spoil, they agree in one."""
+    def plan(self, band: int) -> tuple[int, int, int, int]:
+        """(segments, how many of the first have one-deletion neighbourhoods, skips, place in NEEDS) of a band; no segments
+        where only equal sets are similar. H differences spoil at most H segments; with NEEDS more, besides both sets'
+        skips, similar sets agree in that many. In small bands, where all have neighbourhoods that take two
+        differences each to spoil, they agree in one."""
         self.reach(self.low[0] if not self.high else self.high[-1])
         while len(self.high) <= band:
             self.reach(self.low[-1])
         h = 2 * self.high[band] * (100 - self.percent) // (100 + self.percent)
         if h == 0:
-            return 0, 0, 0
+            return 0, 0, 0, 0
         if h <= 3:
-            return (h + 2) // 2, (h + 2) // 2, 0
+            return (h + 2) // 2, (h + 2) // 2, 0, 0
         skips = h // 20 + 1
-        return h + NEED + 2 * skips, 1, skips
+        need = max(k for k in range(1, len(NEEDS)) if k == 1 or NEEDS[k] <= h // 16)
+        return h + NEEDS[need] + 2 * skips, 1, skips, need
 
 
 def signatures(sets: list[np.ndarray], bands: Bands):
@@ -127,9 +129,9 @@ def signatures(sets: list[np.ndarray], bands: Bands):
     of = np.concatenate([at, at[both]])
     band = np.concatenate([band, band[both] + 1])
     plans = np.array([bands.plan(b) for b in range(int(band.max()) + 1)], dtype=np.int64)
-    segments, near, skips = plans[band].T
+    segments, near, skips, need = plans[band].T
     use = segments > 0
-    of, band, segments, near, skips = of[use], band[use], segments[use], near[use], skips[use]
+    of, band, segments, near, skips, need = of[use], band[use], segments[use], near[use], skips[use], need[use]
     if not len(of):
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
     n = size[of]
@@ -153,13 +155,13 @@ def signatures(sets: list[np.ndarray], bands: Bands):
     rank = np.empty(len(total), dtype=np.int64)
     rank[order] = np.arange(len(total)) - base[owner[order]]
     kept = np.flatnonzero(rank >= skips[owner])
-    # the lowest bit tells small bands, where one signature is enough for a pair
-    one, small = np.uint64(1), (skips[owner] == 0).astype(np.uint64)
-    sig = [fold(total[kept] + salt[kept]) & ~one | small[kept]]
+    # the lowest bits tell the place in NEEDS
+    low, kind = np.uint64(7), need[owner].astype(np.uint64)
+    sig = [fold(total[kept] + salt[kept]) & ~low | kind[kept]]
     src = [of[owner[kept]]]
     near_token = np.flatnonzero(seg < near[row])
     c = cell[near_token]
-    sig.append(fold(total[c] - value[near_token] + salt[c]) & ~one | small[c])
+    sig.append(fold(total[c] - value[near_token] + salt[c]) & ~low | kind[c])
     src.append(of[row[near_token]])
     return np.concatenate(sig), np.concatenate(src)
 
@@ -217,14 +219,13 @@ def sign(n: int, percent: int):
 
 
 def meet(crowd: int):
-    """Rows sorted by (sig, k1) to pairs (a, b, weight) of small groups, NEED of which weights make a candidate, and
-    (k1, null, sig) of crowds."""
+    """Rows sorted by (sig, k1) to pairs (a, b, place in NEEDS) of small groups, and (k1, null, sig) of crowds."""
 
     def rows(a, b, sig):
         if b is None:
             cols = [pa.array(a), pa.nulls(len(a), pa.int64()), pa.array(sig)]
         else:
-            cols = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.where(sig & 1, NEED, 1))]
+            cols = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(sig & 7)]
         return pa.RecordBatch.from_arrays(cols, ["a", "b", "sig"])
 
     def groups(sig, key):
@@ -441,13 +442,23 @@ def similar_documents(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     signed = docs.select("text").mapInArrow(sign(shingle, percent), "sig long, k1 long")
     met = written(signed.repartition("sig").sortWithinPartitions("sig", "k1").mapInArrow(meet(CROWD), "a long, b long, sig long"), "met")
-    pairs = met.filter("b is not null").groupBy("a", "b").agg(F.sum("sig").alias("weight")).filter(F.col("weight") >= NEED).select("a", "b")
-    x, y = (classes.select(F.col("k1").alias(s), F.col("cid").alias(f"c{s}"), F.col("n").alias(f"n{s}"), *(F.col(w).alias(f"{w}{s}") for w in words)) for s in "ab")
+    share = F.element_at(F.array(*(F.lit(1 / n) for n in NEEDS)), F.col("sig").bitwiseAND(F.lit(7).cast("long")).cast("int") + 1)
+    packed = met.filter("b is null").select("sig", F.col("a").alias("k1"))
+    crowded = written(packed.groupBy("k1").agg(F.sum(share).alias("c")), "crowded")
+    # shares of similar sets' common signatures add up to one; those in crowds are at most either set's in crowds
+    pairs = met.filter("b is not null").groupBy("a", "b").agg(F.sum(share).alias("w"))
+    sure, rest = pairs.filter(F.col("w") >= ONE), pairs.filter(F.col("w") < ONE)
+    ids = crowded.select(F.col("k1").alias("k"))
+    pairs = sure.unionByName(perhaps(perhaps(rest, "a", ids), "b", ids))
+    rated = classes.join(crowded, "k1", "left").withColumn("c", F.coalesce("c", F.lit(0.0)))
+    x, y = (rated.select(F.col("k1").alias(s), F.col("cid").alias(f"c{s}"), F.col("n").alias(f"n{s}"), F.col("c").alias(f"s{s}"), *(F.col(w).alias(f"{w}{s}") for w in words)) for s in "ab")
     bits = sum((F.bit_count(F.col(f"{w}a").bitwiseXOR(F.col(f"{w}b"))) for w in words), F.lit(0))
     able = (bits * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)) & (F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb"))
+    able &= F.col("w") + F.least("sa", "sb") >= ONE
     left = written(pairs.join(x, "a").join(y, "b").filter(able).select(F.least("ca", "cb").alias("u"), F.greatest("ca", "cb").alias("v")).distinct(), "candidates")
-    packed = met.filter("b is null").select("sig", F.col("a").alias("k1"))
-    lists = None if packed.isEmpty() else written(_crowded(packed, classes, words, percent), "lists")
+    # two sets that may have all their common signatures in crowds are compared there
+    deep = packed.join(crowded.filter(F.col("c") >= ONE).select("k1"), "k1", "left_semi")
+    lists = None if deep.isEmpty() else written(_crowded(deep, classes, words, percent), "lists")
 
     out = described.select("doc_id", "n_shingles", "k1", "k2").join(classes.select("k1", "k2", "cid"), ["k1", "k2"], "left")
     if left.isEmpty() and (lists is None or lists.isEmpty()):
@@ -474,14 +485,14 @@ def _linked(docs, classes, left, lists, shingle, percent):
     """Verified links (u, v) of class ids that span the same components as all links.
 
     left: candidate pairs; lists: (family, u, partners) of crowds, or None. Sets meet under labels, the components of each
-    set's edge to its smallest partner or to its family's smallest set, in chunks of about RESIDENTS: a set travels to
+    set's edge to its smallest partner or to its family's smallest set, in chunks of about RESIDENTS n-grams: a set travels to
     its own chunk, and with the list of its partners to theirs. Pairs that labels part meet in the next round, and
     what two rounds leave, pair by pair.
     """
     none = F.array().cast("array<long>")
     nodes = left.select("u").unionByName(left.select(F.col("v").alias("u")))
     nodes = (nodes if lists is None else nodes.unionByName(lists.select("u"))).distinct()
-    nodes = written(nodes.join(classes.select(F.col("cid").alias("u"), "k1", "k2", "th"), "u"), "nodes")
+    nodes = written(nodes.join(classes.select(F.col("cid").alias("u"), "k1", "k2", "th", "n"), "u"), "nodes")
     wanted = perhaps(docs, "th", nodes.select(F.col("th").alias("k"))).select("doc_id", "text").mapInArrow(_wanted_sets(shingle), "doc_id long, k1 long, k2 long, set binary")
     # a class's set comes from the document that names it, or, where ids are null, from any
     own = (F.col("doc_id") == F.col("u")) | (F.col("u") < -1)
@@ -494,10 +505,10 @@ def _linked(docs, classes, left, lists, shingle, percent):
             asks = asks.unionByName(lists.select("u", "partners"))
             lists = None
         labels = written(components(edges), "labels")
-        sizes = labels.groupBy("component").agg(F.ceil(F.count("*") / RESIDENTS).alias("chunks"))
+        sizes = labels.join(nodes.select(F.col("u").alias("node"), "n"), "node").groupBy("component").agg(F.ceil(F.sum("n") / RESIDENTS).alias("chunks"))
         asks = asks.groupBy(F.col("u").alias("node")).agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners"))
         labels = labels.join(sizes, "component").join(asks, "node", "left").select(F.col("node").alias("u"), F.col("component").alias("label"), "chunks", "partners")
-        labels = written(labels.join(nodes.drop("th"), "u"), "labels")
+        labels = written(labels.join(nodes.drop("th", "n"), "u"), "labels")
         sets = labels.join(wanted, ["k1", "k2"]).filter(own).select("label", F.col("u").alias("cid"), "set", "partners", "chunks")
         chunks = F.array_union(F.array(F.pmod("cid", "chunks")), F.transform(F.coalesce("partners", none), lambda v: F.pmod(v, F.col("chunks"))))
         both = sets.withColumn("chunk", F.explode(chunks)).withColumn("lives", F.col("chunk") == F.pmod("cid", "chunks"))
