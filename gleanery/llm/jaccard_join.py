@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import fold, perhaps, ranges, slices, written
@@ -457,7 +457,7 @@ def similar_documents(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     able &= F.col("w") + F.least("sa", "sb") >= ONE
     left = written(pairs.join(x, "a").join(y, "b").filter(able).select(F.least("ca", "cb").alias("u"), F.greatest("ca", "cb").alias("v")).distinct(), "candidates")
     # two sets that may have all their common signatures in crowds are compared there
-    deep = packed.join(crowded.filter(F.col("c") >= ONE).select("k1"), "k1", "left_semi")
+    deep = packed.withColumn("c", F.sum(share).over(Window.partitionBy("k1"))).filter(F.col("c") >= ONE)
     lists = None if deep.isEmpty() else written(_crowded(deep, classes, words, percent), "lists")
 
     out = described.select("doc_id", "n_shingles", "k1", "k2").join(classes.select("k1", "k2", "cid"), ["k1", "k2"], "left")
@@ -472,8 +472,8 @@ def similar_documents(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 def _crowded(packed, classes, words, percent):
     """(family, u, partners) of the sets in crowds. A family is all sets that crowds connect; each two sets of it are
     compared once by sketch, in blocks of two chunks of about BLOCK."""
-    lead = packed.groupBy("sig").agg(F.min("k1").alias("v"))
-    family = written(components(packed.join(lead, "sig").select(F.col("k1").alias("u"), "v").distinct()), "families")
+    led = packed.select(F.col("k1").alias("u"), F.min("k1").over(Window.partitionBy("sig")).alias("v")).distinct()
+    family = written(components(led), "families")
     sizes = family.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("chunks"))
     members = family.join(sizes, "component").join(classes.select(F.col("k1").alias("node"), "cid", "n", *words), "node")
     spread = members.withColumn("chunk", F.pmod(F.xxhash64("cid"), "chunks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
