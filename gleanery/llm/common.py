@@ -8,12 +8,15 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import gleanery
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 # Functions travel by value, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(gleanery)
 for _name in ("gleanery.llm", __name__):
@@ -35,10 +38,30 @@ def written(df: DataFrame, tag: str = "table") -> DataFrame:
     """df written as Parquet in the shared folder and read again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    rows = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(min(int(rows), 2000)))  # whole texts travel in these batches
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_ROWS, rows)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(run):
+    """The function over batches, giving freed memory back at its end: workers live on for other stages."""
+
+    def out(batches):
+        import ctypes
+
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "malloc_trim"):
+            libc.malloc_trim(0)
+
+    return out
+
+
 def bit_filter(keys: DataFrame, bits: int = 23) -> np.ndarray:
     """Boolean table of 2**bits cells, set for the keys (column k) low bits: a bounded pre-filter without misses."""
     bit = F.col("k").bitwiseAND((1 << bits) - 1)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import fold, perhaps, ranges, slices, written
+from gleanery.llm.common import fold, perhaps, ranges, released, slices, written
 from gleanery.llm.graph import components
 
 WORDS = 8  # 64-bit words of a sketch
@@ -186,7 +186,7 @@ def describe(n: int):
         hashes = WordHash()
         for batch in batches:
             texts = batch.column(2).to_pylist()
-            for lo, hi in slices(texts, 2_000_000):
+            for lo, hi in slices(texts, 500_000):
                 sets = shingle_sets(texts[lo:hi], n, hashes)
                 keys = [_keys(s) for s in sets]
                 words = np.stack([sketch(s) for s in sets])
@@ -204,7 +204,7 @@ def sign(n: int, percent: int):
         hashes, bands, seen = WordHash(), Bands(percent), set()
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            for lo, hi in slices(texts, 2_000_000):
+            for lo, hi in slices(texts, 500_000):
                 fresh, keys = [], []
                 for s in shingle_sets(texts[lo:hi], n, hashes):
                     k = _keys(s)
@@ -336,7 +336,7 @@ def _wanted_sets(n: int):
         hashes = WordHash()
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for lo, hi in slices(texts, 2_000_000):
+            for lo, hi in slices(texts, 500_000):
                 sets = shingle_sets(texts[lo:hi], n, hashes)
                 keys = [_keys(s) for s in sets]
                 cols = [batch.column(0).slice(lo, hi - lo), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
@@ -434,13 +434,13 @@ def similar_documents(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
     words = [f"w{j}" for j in range(WORDS)]
     schema = "doc_id long, th long, n_shingles long, k1 long, k2 long, " + ", ".join(f"{w} long" for w in words)
-    described = written(docs.mapInArrow(describe(shingle), schema), "described")
+    described = written(docs.mapInArrow(released(describe(shingle)), schema), "described")
     # one row per class; ids of classes are their smallest doc_id, or a negative stand-in where all ids are null
     lead = F.coalesce(F.min("doc_id"), -F.abs(F.xxhash64("k1", "k2")) - 2)
     classes = described.filter("n_shingles > 0").groupBy("k1", "k2").agg(lead.alias("cid"), *(F.min(c).alias(c) for c in ("th", "n_shingles", *words)))
     classes = written(classes.withColumnRenamed("n_shingles", "n"), "classes")
 
-    signed = docs.select("text").mapInArrow(sign(shingle, percent), "sig long, k1 long")
+    signed = docs.select("text").mapInArrow(released(sign(shingle, percent)), "sig long, k1 long")
     met = written(signed.repartition("sig").sortWithinPartitions("sig", "k1").mapInArrow(meet(CROWD), "a long, b long, sig long"), "met")
     share = F.element_at(F.array(*(F.lit(1 / n) for n in NEEDS)), F.col("sig").bitwiseAND(F.lit(7).cast("long")).cast("int") + 1)
     packed = met.filter("b is null").select("sig", F.col("a").alias("k1"))
@@ -478,7 +478,7 @@ def _crowded(packed, classes, words, percent):
     members = family.join(sizes, "component").join(classes.select(F.col("k1").alias("node"), "cid", "n", *words), "node")
     spread = members.withColumn("chunk", F.pmod(F.xxhash64("cid"), "chunks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     dealt = spread.select("component", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "cid", "n", *words)
-    return dealt.repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi").mapInArrow(crowds(percent), "family long, u long, partners array<long>")
+    return dealt.repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi").mapInArrow(released(crowds(percent)), "family long, u long, partners array<long>")
 
 
 def _linked(docs, classes, left, lists, shingle, percent):
@@ -493,7 +493,7 @@ def _linked(docs, classes, left, lists, shingle, percent):
     nodes = left.select("u").unionByName(left.select(F.col("v").alias("u")))
     nodes = (nodes if lists is None else nodes.unionByName(lists.select("u"))).distinct()
     nodes = written(nodes.join(classes.select(F.col("cid").alias("u"), "k1", "k2", "th", "n"), "u"), "nodes")
-    wanted = perhaps(docs, "th", nodes.select(F.col("th").alias("k"))).select("doc_id", "text").mapInArrow(_wanted_sets(shingle), "doc_id long, k1 long, k2 long, set binary")
+    wanted = perhaps(docs, "th", nodes.select(F.col("th").alias("k"))).select("doc_id", "text").mapInArrow(released(_wanted_sets(shingle)), "doc_id long, k1 long, k2 long, set binary")
     # a class's set comes from the document that names it, or, where ids are null, from any
     own = (F.col("doc_id") == F.col("u")) | (F.col("u") < -1)
     links = []
@@ -513,7 +513,7 @@ def _linked(docs, classes, left, lists, shingle, percent):
         chunks = F.array_union(F.array(F.pmod("cid", "chunks")), F.transform(F.coalesce("partners", none), lambda v: F.pmod(v, F.col("chunks"))))
         both = sets.withColumn("chunk", F.explode(chunks)).withColumn("lives", F.col("chunk") == F.pmod("cid", "chunks"))
         both = both.repartition("label", "chunk").sortWithinPartitions("label", "chunk", F.desc("lives"), "cid").select("label", "chunk", "lives", "cid", "set", "partners", "chunks")
-        found = written(both.mapInArrow(verify(percent), "u long, v long, linked boolean"), "links")
+        found = written(both.mapInArrow(released(verify(percent)), "u long, v long, linked boolean"), "links")
         links.append(found.filter("linked").select("u", "v"))
         left = found.filter("not linked").select("u", "v")
         if left.isEmpty():

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import bit_filter, fold, perhaps, written
+from gleanery.llm.common import bit_filter, fold, perhaps, released, written
 
 LENGTH, ANCHOR = 200, 100
 CROWD = 512
@@ -389,7 +389,7 @@ def repeated_starts(contexts: DataFrame, length: int, blocks: tuple[int, ...]) -
     some = contexts.join(several, "fp")
     few = some.filter(F.col("m") <= CROWD) if blocks else some
     few = few.select("fp", "ctx", "own", "at", "anchor", "data").repartition("fp").sortWithinPartitions("fp", "ctx")
-    out = out.unionByName(few.mapInArrow(sort_contexts(length), "fp long, ctx long, lo long, hi long"))
+    out = out.unionByName(few.mapInArrow(released(sort_contexts(length)), "fp long, ctx long, lo long, hi long"))
     if blocks and not several.filter(F.col("m") > CROWD).isEmpty():
         crowd = some.filter(F.col("m") > CROWD).select(*CONTEXT)
         parts = written(crowd.mapInArrow(split_contexts(length, blocks[0]), f"ofp long, octx long, off long, {CONTEXT_TYPES}"), "parts")
@@ -407,10 +407,10 @@ def marked(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> tuple
     """
     spark = docs.sparkSession
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("th"), F.col("text").cast("string").alias("text"))
-    counted = keyed.select("text").mapInArrow(count_anchors(length, anchor), "fp long, n long")
+    counted = keyed.select("text").mapInArrow(released(count_anchors(length, anchor)), "fp long, n long")
     again = written(counted.groupBy("fp").agg(F.sum("n").alias("n")).filter("n > 1").select(F.col("fp").alias("k")), "anchors")
     wanted = spark.sparkContext.broadcast(np.packbits(bit_filter(again, BITS), bitorder="little"))
-    listed = keyed.mapInArrow(list_anchors(length, anchor, wanted), "fp long, ctx long, doc_id long, th long, s long, own long, at long")
+    listed = keyed.mapInArrow(released(list_anchors(length, anchor, wanted)), "fp long, ctx long, doc_id long, th long, s long, own long, at long")
     listed = written(listed, "anchors")
 
     contexts = listed.groupBy("fp", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "s", "own", "at")).alias("r"))
@@ -421,7 +421,7 @@ def marked(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> tuple
     by_doc = asked.groupBy("doc_id", "th").agg(F.collect_list(F.struct("fp", "ctx", "n", "own", "at", "s")).alias("asked"))
     held = perhaps(keyed, "th", asked.select(F.col("th").alias("k")))
     same = held["doc_id"].eqNullSafe(by_doc["doc_id"]) & (held["th"] == by_doc["th"])
-    cut = held.join(by_doc, same).select("text", "asked").mapInArrow(cut_contexts(length, anchor), CONTEXT_TYPES)
+    cut = held.join(by_doc, same).select("text", "asked").mapInArrow(released(cut_contexts(length, anchor)), CONTEXT_TYPES)
     cut = written(cut.dropDuplicates(["fp", "ctx"]), "cut")
     repeats = contexts.join(groups, "fp", "left_anti").filter("n > 1").select("fp", "ctx", F.lit(0).cast("long").alias("lo"), F.col("own").alias("hi"))
     repeats = repeats.unionByName(repeated_starts(cut, length, (max(1, length // 8), max(1, length // 40), 1)))
