@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import Memo, load_tokenizer, slices, word_encoder, written
+from gleanery.llm.common import Memo, load_tokenizer, released, slices, word_encoder, written
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -58,13 +58,13 @@ class Windows:
             bisect.insort(self.free, (room - n, w))
 
 
-def packer(tokenizer_path: str | None, tokenizer_name: str, end_id: int, seq_len: int, open_windows: int, with_ids: bool):
+def packer(tokenizer_path: str | None, tokenizer_name: str, end_id: int, seq_len: int, open_windows: int, with_ids: bool, memo_words: int):
     def run(batches):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
         tok = load_tokenizer(tokenizer_path, tokenizer_name)
-        memo = Memo(word_encoder(tok), [end_id])
+        memo = Memo(word_encoder(tok, memo_words // 2), [end_id], memo_words)
         rows: list[tuple] = []
         made = 0
 
@@ -90,7 +90,7 @@ def packer(tokenizer_path: str | None, tokenizer_name: str, end_id: int, seq_len
 
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, 2_000_000):
                 ids, counts = memo.batch(texts[lo:hi], white_chunks)
                 ends = np.cumsum(counts)
                 raw = memoryview(ids.astype("<u4").tobytes())
@@ -139,17 +139,18 @@ def merger(seq_len: int, fan_in: int):
 
 def pack_documents(
     docs: DataFrame, tokenizer_path: str | None = None, tokenizer_name: str = TOKENIZER, end_id: int = END_ID, seq_len: int = SEQ_LEN,
-    open_windows: int = OPEN_WINDOWS, fan_in: int = FAN_IN, with_ids: bool = False,
+    open_windows: int = OPEN_WINDOWS, fan_in: int = FAN_IN, with_ids: bool = False, memo_words: int = 600_000,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids, little-endian
     unsigned 32-bit, if with_ids).
 
     A null or empty text is its end id alone. Null ids and repeated rows are packed like any other row, each row on
-    its own. Other columns are left out. An empty table gives no rows. Nothing is cut but what exceeds a window.
+    its own. Other columns are left out. An empty table gives no rows. Nothing is cut but what exceeds a window. Up to memo_words
+    different words are remembered by a task, about 250 bytes each; how many changes only the time.
     """
     schema = PIECE + (", ids binary" if with_ids else "") + ", done boolean, part long"
     schema = ", ".join(sorted(schema.split(", "), key=lambda c: ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "sequence_id", "`offset`", "done", "part"].index(c.split()[0])))
-    raw = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(packer(tokenizer_path, tokenizer_name, end_id, seq_len, open_windows, with_ids), schema)
+    raw = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(released(packer(tokenizer_path, tokenizer_name, end_id, seq_len, open_windows, with_ids, memo_words)), schema)
     pieces = written(raw, "packing")  # read twice below
     plain = [c for c in pieces.columns if c not in ("done", "part")]
     full = pieces.filter("done").select(*plain)
