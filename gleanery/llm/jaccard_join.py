@@ -437,7 +437,9 @@ def similar_documents(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     described = written(docs.mapInArrow(released(describe(shingle)), schema), "described")
     # one row per class; ids of classes are their smallest doc_id, or a negative stand-in where all ids are null
     lead = F.coalesce(F.min("doc_id"), -F.abs(F.xxhash64("k1", "k2")) - 2)
-    classes = described.filter("n_shingles > 0").groupBy("k1", "k2").agg(lead.alias("cid"), *(F.min(c).alias(c) for c in ("th", "n_shingles", *words)))
+    # the text hash is that of a document with the class's name: _linked reads the set from there
+    th = F.coalesce(F.min_by("th", "doc_id"), F.min("th"))
+    classes = described.filter("n_shingles > 0").groupBy("k1", "k2").agg(lead.alias("cid"), th.alias("th"), *(F.min(c).alias(c) for c in ("n_shingles", *words)))
     classes = written(classes.withColumnRenamed("n_shingles", "n"), "classes")
 
     signed = docs.select("text").mapInArrow(released(sign(shingle, percent)), "sig long, k1 long")

@@ -80,6 +80,19 @@ def test_jaccard_join(spark, monkeypatch, n, percent):
     assert got == jaccard_brute(rows, n, percent)
 
 
+def test_classes_of_different_texts_keep_their_links(spark):
+    rng, rows = random.Random(11), []
+    for k in range(24):
+        w = [f"w{rng.randrange(500)}" for _ in range(60)]
+        near = [*w[:30], f"v{k}", *w[31:]]
+        texts = [" ".join(w), " ".join(w).upper(), "  ".join(w), "\n".join(w), " ".join(near), " ".join(near).upper()]
+        rng.shuffle(texts)
+        rows += [(None if k % 6 == 5 and i % 2 else 10 * k + i, t) for i, t in enumerate(texts)]
+    got = sorted((tuple(r) for r in jaccard_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()), key=str)
+    assert len({c for _, _, c in got}) == 24
+    assert got == jaccard_brute(rows, 4, 85)
+
+
 def test_jaccard_edge_tables(spark):
     schema = "doc_id long, text string"
     assert jaccard_join.similar_documents(spark.createDataFrame([], schema), 4, 85).count() == 0
