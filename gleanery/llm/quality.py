@@ -1,14 +1,13 @@
 """Quality rules and n-gram perplexity.
 
 The language model is a modified Kneser-Ney model of order 5 over the characters of words, with word beginnings
-and ends as symbols, one for each language. Spark counts the n-grams of the whole corpus: each Arrow batch is
-pre-aggregated to its different words and n-grams, then groupBy sums them. Continuation counts, discounts and
+and ends as symbols, one for each language. Spark counts the n-grams of the whole corpus: each run of characters is
+pre-aggregated to its different n-grams, then groupBy sums them. Continuation counts, discounts and
 interpolation are DataFrame operations on the n-gram tables, so no language is ever gathered in one task.
 
-The model is kept as sorted hash arrays: a 25-bit slot and a 16-bit check of each n-gram's hash, and its log
-probability. One n-gram owns a slot (the most frequent); others there are found missing by their check and back
-off. So whatever the corpus, the arrays hold at most 2**25 entries of 10 bytes (335 MB), which is the proven bound
-of what is broadcast. The counts behind them are those of all documents.
+The model is kept as sorted arrays of all n-grams' 64-bit hashes and log probabilities, 12 bytes an entry, none
+left out. They are gathered and broadcast in shards of at most about `SHARD` entries, and mapped from the
+broadcasts' files, so what a process must hold does not grow with the corpus.
 
 Perplexity bands are per language: the mean log probability of a document must lie within `WIDTH` robust standard
 deviations of its language's median, plus `SHORT / sqrt(characters)`, the sampling error of short texts. Beyond
@@ -17,6 +16,9 @@ the upper perplexity band a text is gibberish or markup, beyond the lower one it
 
 from __future__ import annotations
 
+import itertools
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,13 +28,15 @@ from gleanery.llm.common import fold, ranges, released, written
 
 ORDER = 5
 BEGIN, END = "\x02", "\x03"
-SLOT_BITS, CHECK_BITS = 25, 16
 WIDTH, SHORT = 6.0, 4.0
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 WORDS_BOUND = 150_000
 FEW_LANGUAGES = 10_000
 SLICE_CHARS = 1_500_000
-COUNT_CHARS = 9_000_000
+COUNT_CHARS = 4_000_000
+PIECE = 500_000  # n-grams of a long text that are counted or scored at a time
+SHARD = 1 << 21  # entries of the model that are gathered and broadcast at a time
+MARK = b"kneser-ney arrays"
 
 _MULT = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
@@ -56,39 +60,64 @@ def _salt(lang: str, kind: str) -> int:
     return zlib.crc32(data) << 32 | zlib.crc32(data[::-1])
 
 
-def _slots(words: list[str]):
-    """(text of all padded words, its code points, start of each n-gram, index of its word)."""
-    padded = "".join(BEGIN * (ORDER - 1) + w + END for w in words)
-    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    first = np.cumsum(size + ORDER) - (size + ORDER)
-    return padded, _points(padded), ranges(first, size + 1), np.repeat(np.arange(len(words)), size + 1)
-
-
-def count_grams(batches):
-    """(lang, gram, n) of each run of about COUNT_CHARS characters."""
-    from collections import Counter, defaultdict
-
-    def grams_of(words):
-        for lang, found in words.items():
-            padded, points, at, of = _slots([w.decode("utf-8", "surrogatepass") for w in found])
-            n = np.fromiter(found.values(), dtype=np.int64, count=len(found))[of]
-            _, first, inverse = np.unique(_gram_hash(points, at, ORDER, 0), return_index=True, return_inverse=True)
-            total = np.bincount(inverse, weights=n).astype(np.int64)
-            grams = [padded[i : i + ORDER] for i in at[first].tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(total)], ["lang", "gram", "n"])
-
-    words: dict[str, Counter] = defaultdict(Counter)
-    held = 0
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if text:
-                words[lang or ""].update(text.encode("utf-8", "surrogatepass").split())
-                held += len(text)
-                if held > COUNT_CHARS:
-                    yield from grams_of(words)
-                    words.clear()
-                    held = 0
-    yield from grams_of(words)
+def _runs(text: str, across: bool) -> list[str]:
+    """The words of a text, or, across blanks, the text as one run with END for each run of blanks."""
+    words = text.encode("utf-8", "surrogatepass").split()
+    if across:
+        words = [END.encode().join(words)] if words else []
+    return [w.decode("utf-8", "surrogatepass") for w in words]
+
+
+def _pieces(run: str):
+    """The padded run in pieces of at most PIECE n-grams, each with the context of its first."""
+    padded = BEGIN * (ORDER - 1) + run + END
+    for s in range(0, len(run) + 1, PIECE):
+        yield padded[s : s + PIECE + ORDER - 1]
+
+
+def _slots(pieces: list[str]):
+    """(text of all pieces, its code points, start of each n-gram, index of its piece)."""
+    text = "".join(pieces)
+    size = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+    first, count = np.cumsum(size) - size, size - (ORDER - 1)
+    return text, _points(text), ranges(first, count), np.repeat(np.arange(len(pieces)), count)
+
+
+def _different(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a place of each different hash in order, first rank of each, ranks' places)."""
+    order = np.argsort(h)
+    line = h[order]
+    start = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else order
+    return order[start], start, order
+
+
+def count_grams(across: bool):
+    """(lang, text) to (lang, gram, n) of each run of about COUNT_CHARS characters."""
+
+    def grams_of(lang, pieces):
+        text, points, at, _ = _slots(pieces)
+        place, start, order = _different(_gram_hash(points, at, ORDER, 0))
+        n = np.diff(np.append(start, len(order)))
+        grams = [text[i : i + ORDER] for i in at[place].tolist()]
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(n)], ["lang", "gram", "n"])
+
+    def run(batches):
+        held: dict[str, list[str]] = {}
+        size: dict[str, int] = {}
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                lang = lang or ""
+                for piece in itertools.chain.from_iterable(map(_pieces, _runs(text or "", across))):
+                    held.setdefault(lang, []).append(piece)
+                    size[lang] = size.get(lang, 0) + len(piece)
+                    if sum(size.values()) > COUNT_CHARS:
+                        most = max(size, key=size.get)
+                        yield grams_of(most, held.pop(most))
+                        del size[most]
+        for lang, pieces in held.items():
+            yield grams_of(lang, pieces)
+
+    return run
 
 
 def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
@@ -141,86 +170,126 @@ def _keyed(order: int, kind: str):
             for lang, rows in by.items():
                 points = _points("".join(grams[i] for i in rows))
                 key[rows] = _gram_hash(points, np.arange(len(rows), dtype=np.int64) * order, order, _salt(lang, kind))
-            key >>= np.uint64(64 - SLOT_BITS - CHECK_BITS)
-            yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), batch.column(2), batch.column(3).cast(pa.float32())], ["key", "c", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(2).cast(pa.float32())], ["key", "value"])
 
     return run
 
 
+def model_table(docs: DataFrame, text: str = "text", lang: str = "lang", across: bool = False) -> DataFrame:
+    """(key, value) of all n-grams and back-off weights of all orders."""
+    counts = docs.select(F.col(lang).cast("string"), F.col(text).cast("string")).mapInArrow(released(count_grams(across)), "lang string, gram string, n long")
+    counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("c"))
+    keyed = None
+    for k, (grams, contexts) in enumerate(kneser_ney(counts), 1):
+        parts = [grams.select("lang", "gram", "lp").mapInArrow(_keyed(k, "p"), "key long, value float")]
+        if k > 1:
+            parts.append(contexts.select("lang", "ctx", "lb").mapInArrow(_keyed(k - 1, "b"), "key long, value float"))
+        for x in parts:
+            keyed = x if keyed is None else keyed.unionByName(x)
+    return written(keyed, "kn-arrays")
+
+
+def shards(table: DataFrame):
+    """Sorted (keys, values) of at most about SHARD entries, by the first bits of the keys, one after another."""
+    n, bits = table.count(), 0
+    while n >> bits > SHARD:
+        bits += 1
+    for i in range(1 << bits):
+        part = (table.filter(F.shiftrightunsigned("key", 64 - bits) == i) if bits else table).toArrow()
+        keys, values = part.column("key").to_numpy().view(np.uint64), part.column("value").to_numpy()
+        order = np.argsort(keys)
+        yield keys[order], values[order]
+
+
+def packed(keys: np.ndarray, values: np.ndarray) -> bytes:
+    """Both arrays behind MARK, padded so that the keys are aligned in the file of a broadcast."""
+    head = MARK + len(keys).to_bytes(8, "little")
+    at = pickle.dumps(head + bytes(1 << 17), pickle.HIGHEST_PROTOCOL).index(MARK) + len(head) + 1
+    pad = -at % 8
+    return b"".join([head, bytes([pad]), bytes(pad), keys.tobytes(), values.tobytes(), bytes(1 << 17)])
+
+
+def unpacked(broadcast) -> tuple[np.ndarray, np.ndarray]:
+    """The arrays of a broadcast of packed(), mapped from its file where the executor has one: workers share its pages."""
+    path = getattr(broadcast, "_path", None)
+    data = np.memmap(path, np.uint8, "r") if path else np.frombuffer(broadcast.value, np.uint8)
+    at = data[:64].tobytes().find(MARK)
+    if at < 0:
+        data = np.frombuffer(broadcast.value, np.uint8)
+        at = 0
+    at += len(MARK)
+    n = int.from_bytes(data[at : at + 8].tobytes(), "little")
+    at += 9 + int(data[at + 8])
+    keys, values = data[at : at + 8 * n], data[at + 8 * n : at + 12 * n]
+    return np.require(keys.view(np.uint64), requirements="A"), np.require(values.view(np.float32), requirements="A")
+
+
 class Model:
-    """Sorted hash arrays of a Kneser-Ney model and its look-ups."""
+    """Sorted hash arrays of a Kneser-Ney model in shards by the first bits of the hash, and their look-ups."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.keys, self.values = keys, values
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]]):
+        self.parts, self.bits = parts, len(parts).bit_length() - 1
 
     @classmethod
-    def trained(cls, docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-        counts = docs.select(F.col(lang).cast("string"), F.col(text).cast("string")).mapInArrow(released(count_grams), "lang string, gram string, n long")
-        counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("c"))
-        keyed = None
-        for k, (grams, contexts) in enumerate(kneser_ney(counts), 1):
-            parts = [grams.select("lang", "gram", "c", "lp").mapInArrow(_keyed(k, "p"), "key long, c long, value float")]
-            if k > 1:
-                parts.append(contexts.select("lang", "ctx", "c", "lb").mapInArrow(_keyed(k - 1, "b"), "key long, c long, value float"))
-            for x in parts:
-                keyed = x if keyed is None else keyed.unionByName(x)
-        # one entry a slot: at most 2**SLOT_BITS rows, whatever the corpus
-        slot = F.shiftright("key", CHECK_BITS)
-        best = keyed.groupBy(slot.alias("slot")).agg(F.max(F.struct("c", "key", "value")).alias("b")).select("b.key", "b.value")
-        table = written(best, "kn-arrays").toArrow()
-        keys, values = table.column("key").to_numpy(), table.column("value").to_numpy()
-        order = np.argsort(keys)
-        return cls(keys[order], values[order].astype(np.float16))
-
-    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
-        return self.keys, self.values
+    def trained(cls, docs: DataFrame, text: str = "text", lang: str = "lang", across: bool = False) -> Model:
+        return cls(list(shards(model_table(docs, text, lang, across))))
 
     def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        key = (h >> np.uint64(64 - SLOT_BITS - CHECK_BITS)).astype(np.int64)
-        if not len(self.keys):
-            return np.zeros(len(key), dtype=bool), np.zeros(len(key))
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return self.keys[at] == key, self.values[at].astype(np.float64)
-
-    def score(self, lang: str, words: list[str]) -> np.ndarray:
-        """Log probability of each word, its end included."""
-        if not words:
-            return np.zeros(0)
-        _, points, at, of = _slots(words)
-        out = np.zeros(len(at))
-        open_ = np.arange(len(at))
+        hit, value = np.zeros(len(h), dtype=bool), np.zeros(len(h))
+        which = h >> np.uint64(64 - self.bits) if self.bits else np.zeros(len(h), dtype=np.uint64)
+        for i, (keys, values) in enumerate(self.parts):
+            mine = np.flatnonzero(which == i)
+            if len(mine) and len(keys):
+                at = np.minimum(np.searchsorted(keys, h[mine]), len(keys) - 1)
+                hit[mine], value[mine] = keys[at] == h[mine], values[at]
+        return hit, value
+
+    def _grams(self, lang: str, points: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Log probability of the last symbol of each n-gram."""
+        place, start, order = _different(_gram_hash(points, at, ORDER, _salt(lang, "p")))
+        first = at[place]
+        lp = np.zeros(len(first))
+        open_ = np.arange(len(first))
         for k in range(ORDER, 0, -1):
-            start = at[open_] + (ORDER - k)
-            hit, value = self._find(_gram_hash(points, start, k, _salt(lang, "p")))
-            out[open_[hit]] += value[hit]
-            open_, start = open_[~hit], start[~hit]
+            begin = first[open_] + (ORDER - k)
+            hit, value = self._find(_gram_hash(points, begin, k, _salt(lang, "p")))
+            lp[open_[hit]] += value[hit]
+            open_, begin = open_[~hit], begin[~hit]
             if not len(open_):
                 break
             if k > 1:
-                hit, value = self._find(_gram_hash(points, start, k - 1, _salt(lang, "b")))
-                out[open_[hit]] += value[hit]
+                hit, value = self._find(_gram_hash(points, begin, k - 1, _salt(lang, "b")))
+                lp[open_[hit]] += value[hit]
             else:
-                out[open_] -= 16.0
-        return np.bincount(of, weights=out, minlength=len(words))
-
-
-class _Scored(dict):
-    """Codes of the words of one language; settle() scores those that are new."""
-
-    def __init__(self, model: Model, lang: str):
-        super().__init__()
-        self.model, self.lang, self.values, self.todo = model, lang, np.zeros(0), []
-
+                lp[open_] -= 16.0
+        out = np.empty(len(at))
+        out[order] = np.repeat(lp, np.diff(np.append(start, len(order))))
+        return out
+
+    def score(self, lang: str, runs: list[str]) -> np.ndarray:
+        """Log probability of each run, its end included."""
+        out = np.zeros(len(runs))
+        held, of, size = [], [], 0
+        for i, run in enumerate(runs):
+            for piece in _pieces(run):
+                held.append(piece)
+                of.append(i)
+                size += len(piece)
+                if size > SLICE_CHARS:
+                    out += self._sums(lang, held, of, len(runs))
+                    held, of, size = [], [], 0
+        return out + self._sums(lang, held, of, len(runs)) if held else out
+
+    def _sums(self, lang, pieces, of, n):
+        _, points, at, which = _slots(pieces)
+        return np.bincount(np.array(of)[which], weights=self._grams(lang, points, at), minlength=n)
+
+
+class _Codes(dict):
     def __missing__(self, word):
         code = self[word] = len(self)
-        self.todo.append(word)
         return code
 
-    def settle(self):
-        if self.todo:
-            self.values = np.concatenate([self.values, self.model.score(self.lang, [w.decode("utf-8", "surrogatepass") for w in self.todo])])
-            self.todo = []
-
 
 def _repeated(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """For each document, its words in 5-word windows that are found twice or more in it."""
@@ -242,25 +311,22 @@ def _repeated(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def judge(model):
-    """Batches of (doc_id, lang, text) to the figures of each document; model: the broadcast arrays of a Model."""
+    """Batches of (doc_id, lang, text) to the figures of each document; model: the broadcast shards of a Model."""
 
     def run(batches):
-        m = Model(*model.value)
-        memo: dict[str, _Scored] = {}
+        m = Model([unpacked(b) for b in model])
+        memo = _Codes()
         blank = " \t\n\x0b\x0c\r"
 
         def figures(ids, langs, texts):
-            if sum(map(len, memo.values())) > WORDS_BOUND:
+            if len(memo) > WORDS_BOUND:
                 memo.clear()
             sizes, chars, symbols, dup, codes, at = [], [], [], [], [], {}
             for i, (lang, text) in enumerate(zip(langs, texts, strict=True)):
                 text, lang = text or "", lang or ""
                 words = text.encode("utf-8", "surrogatepass").split()
-                book = memo.get(lang)
-                if book is None:
-                    book = memo[lang] = _Scored(m, lang)
-                codes.append(np.fromiter(map(book.__getitem__, words), dtype=np.int64, count=len(words)))
-                at.setdefault(lang, []).append(i)
+                codes.append(np.fromiter(map(memo.__getitem__, words), dtype=np.int64, count=len(words)))
+                at.setdefault(lang, []).extend((i, w.decode("utf-8", "surrogatepass")) for w in words)
                 sizes.append(len(words))
                 chars.append(len(text) - sum(map(text.count, blank)))
                 symbols.append(sum(map(text.count, "#*$%&|<>")))
@@ -273,9 +339,7 @@ def judge(model):
                 dup.append(again)
             lp = np.zeros(len(texts))
             for lang, rows in at.items():
-                memo[lang].settle()
-                for i in rows:
-                    lp[i] = memo[lang].values[codes[i]].sum()
+                np.add.at(lp, [i for i, _ in rows], m.score(lang, [run for _, run in rows]))
             sizes = np.array(sizes, dtype=np.int64)
             repeat = _repeated(np.concatenate(codes) if codes else np.zeros(0, dtype=np.int64), sizes)
             chars = np.array(chars, dtype=np.int64)
@@ -308,7 +372,7 @@ def quality(docs: DataFrame, width: float = WIDTH, short: float = SHORT) -> Data
     """
     spark: SparkSession = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
-    model = spark.sparkContext.broadcast(Model.trained(docs).arrays())
+    model = [spark.sparkContext.broadcast(packed(*part)) for part in shards(model_table(docs))]
     schema = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_steps long, mean_lp double"
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     figures = written(docs.mapInArrow(released(judge(model)), schema), "quality").withColumn("base_failed", failed)

@@ -89,6 +89,24 @@ def test_kneser_ney_is_the_textbook_model(spark):
     assert model.score("l", ["zzz"])[0] < model.score("l", ["abba"])[0]
 
 
+def test_model_keeps_every_n_gram(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("text", "lang")
+    table = quality.model_table(docs)
+    grams, contexts = set(), set()
+    for r in docs.collect():
+        for w in WORD.findall(r.text or ""):
+            w = "\x02" * 4 + w + "\x03"
+            found = {w[i + 5 - k : i + 5] for i in range(len(w) - 4) for k in range(1, 6)}
+            grams |= {(r.lang, g) for g in found}
+            contexts |= {(r.lang, g[:-1]) for g in found if len(g) > 1}
+    monkeypatch.setattr(quality, "SHARD", 10_000)
+    model = quality.Model([quality.unpacked(spark.sparkContext.broadcast(quality.packed(*part))) for part in quality.shards(table)])
+    assert len(model.parts) > 4 and sum(len(k) for k, _ in model.parts) == len(grams) + len(contexts)
+    monkeypatch.setattr(quality, "SHARD", 1 << 30)
+    words = ["there", "unseenqq", "x"]
+    assert np.allclose(model.score("en", words), quality.Model(list(quality.shards(table))).score("en", words))
+
+
 def pieces_hold(pieces, texts, encode, size):
     by = {}
     for r in pieces:
