@@ -1,7 +1,7 @@
 """Quality rules and n-gram perplexity.
 
-The language model is a modified Kneser-Ney model of order 5 over the characters of words, with word beginnings
-and ends as symbols, one for each language. Spark counts the n-grams of the whole corpus: each run of characters is
+The language model is a modified Kneser-Ney model of order 5 over characters, across words: a document is one run
+of words with one symbol for the blanks between two, one model for each language. Spark counts the n-grams of the whole corpus: each run of characters is
 pre-aggregated to its different n-grams, then groupBy sums them. Continuation counts, discounts and
 interpolation are DataFrame operations on the n-gram tables, so no language is ever gathered in one task.
 
@@ -326,7 +326,8 @@ def judge(model):
                 text, lang = text or "", lang or ""
                 words = text.encode("utf-8", "surrogatepass").split()
                 codes.append(np.fromiter(map(memo.__getitem__, words), dtype=np.int64, count=len(words)))
-                at.setdefault(lang, []).extend((i, w.decode("utf-8", "surrogatepass")) for w in words)
+                if words:
+                    at.setdefault(lang, []).append((i, END.encode().join(words).decode("utf-8", "surrogatepass")))
                 sizes.append(len(words))
                 chars.append(len(text) - sum(map(text.count, blank)))
                 symbols.append(sum(map(text.count, "#*$%&|<>")))
@@ -339,7 +340,7 @@ def judge(model):
                 dup.append(again)
             lp = np.zeros(len(texts))
             for lang, rows in at.items():
-                np.add.at(lp, [i for i, _ in rows], m.score(lang, [run for _, run in rows]))
+                lp[[i for i, _ in rows]] = m.score(lang, [run for _, run in rows])
             sizes = np.array(sizes, dtype=np.int64)
             repeat = _repeated(np.concatenate(codes) if codes else np.zeros(0, dtype=np.int64), sizes)
             chars = np.array(chars, dtype=np.int64)
@@ -372,7 +373,7 @@ def quality(docs: DataFrame, width: float = WIDTH, short: float = SHORT) -> Data
     """
     spark: SparkSession = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
-    model = [spark.sparkContext.broadcast(packed(*part)) for part in shards(model_table(docs))]
+    model = [spark.sparkContext.broadcast(packed(*part)) for part in shards(model_table(docs, across=True))]
     schema = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_steps long, mean_lp double"
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     figures = written(docs.mapInArrow(released(judge(model)), schema), "quality").withColumn("base_failed", failed)

@@ -107,6 +107,26 @@ def test_model_keeps_every_n_gram(spark, monkeypatch):
     assert np.allclose(model.score("en", words), quality.Model(list(quality.shards(table))).score("en", words))
 
 
+def test_n_grams_cross_words(spark):
+    """Texts of one bag of words differ by their order, and pieces of a long text score as the whole."""
+    rng = np.random.default_rng(3)
+    phrases = [" ".join("".join(rng.choice(list("abcdefghij"), 4)) for _ in range(5)) for _ in range(12)]
+    rows = [(i, "l", "\n".join(phrases[j] for j in rng.permutation(12))) for i in range(60)]
+    salad = " ".join(rng.permutation(rows[0][2].split()))
+    got = {r.doc_id: r.perplexity for r in quality.quality(spark.createDataFrame([*rows, (99, "l", salad)], "doc_id long, lang string, text string")).collect()}
+    assert got[99] > 1.2 * max(p for d, p in got.items() if d != 99)
+
+
+def test_long_texts_are_scored_in_pieces(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("text", "lang")
+    model = quality.Model.trained(docs, across=True)
+    runs = [r for x in docs.head(20) for r in quality._runs(x.text or "", True)]
+    whole = model.score("en", runs)
+    monkeypatch.setattr(quality, "PIECE", 37)
+    monkeypatch.setattr(quality, "SLICE_CHARS", 1000)
+    assert np.allclose(model.score("en", runs), whole)
+
+
 def pieces_hold(pieces, texts, encode, size):
     by = {}
     for r in pieces:
