@@ -10,8 +10,11 @@ left out. They are gathered and broadcast in shards of at most about `SHARD` ent
 broadcasts' files, so what a process must hold does not grow with the corpus.
 
 Perplexity bands are per language: the mean log probability of a document must lie within `WIDTH` robust standard
-deviations of its language's median, plus `SHORT / sqrt(characters)`, the sampling error of short texts. Beyond
-the upper perplexity band a text is gibberish or markup, beyond the lower one it is a stock phrase repeated.
+deviations of its language's median. Deviations are times sqrt(characters), and their spread is that of
+documents of the language with a like length (powers of two), since what is left of sampling error after that differs with
+length; where these are fewer than `LEAST`, it is at least the language's. A language with fewer documents has at
+least `FEW` of such deviations. Beyond the upper perplexity band a text is gibberish or markup, beyond the lower one it is
+a stock phrase repeated.
 """
 
 from __future__ import annotations
@@ -28,10 +31,11 @@ from gleanery.llm.common import fold, ranges, released, written
 
 ORDER = 5
 BEGIN, END = "\x02", "\x03"
-WIDTH, SHORT = 6.0, 4.0
+WIDTH = 4.0
+LEAST, FEW = 100, 4.0
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 WORDS_BOUND = 150_000
-FEW_LANGUAGES = 10_000
+FEW_BANDS = 100_000
 SLICE_CHARS = 1_500_000
 COUNT_CHARS = 4_000_000
 PIECE = 500_000  # n-grams of a long text that are counted or scored at a time
@@ -364,7 +368,7 @@ def judge(model):
 FIGURES = ["doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_steps", "mean_lp"]
 
 
-def quality(docs: DataFrame, width: float = WIDTH, short: float = SHORT) -> DataFrame:
+def quality(docs: DataFrame, width: float = WIDTH) -> DataFrame:
     """One row per document: doc_id, lang, the base figures, base_failed, kept, perplexity and its band.
 
     Null and empty texts have no words, fail the base rules and are not kept. A null language is one of its own.
@@ -377,19 +381,30 @@ def quality(docs: DataFrame, width: float = WIDTH, short: float = SHORT) -> Data
     schema = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_steps long, mean_lp double"
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     figures = written(docs.mapInArrow(released(judge(model)), schema), "quality").withColumn("base_failed", failed)
-    q = F.percentile_approx("mean_lp", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(10_000))
-    bands = figures.filter("not base_failed").groupBy("lang").agg(q.alias("q")).select("lang", F.col("q")[1].alias("middle"), ((F.col("q")[2] - F.col("q")[0]) / 1.349).alias("spread"))
-    # a row per language; where they are few, as languages are, the join need not deal out documents by language
-    bands = written(bands, "bands")
-    out = figures.join(F.broadcast(bands) if bands.count() <= FEW_LANGUAGES else bands, "lang", "left")
-    off = F.abs(F.col("mean_lp") - F.col("middle"))
-    within = off <= width * F.col("spread") + short / F.sqrt(F.greatest("n_steps", F.lit(1)))
+    steps = F.greatest("n_steps", F.lit(1))
+    figures = figures.withColumn("length", F.floor(F.log2(steps)).cast("int"))
+    quarters = lambda c: F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(10_000))
+    wide = lambda q: (F.col(q)[2] - F.col(q)[0]) / 1.349
+    good = figures.filter("not base_failed")
+    middles = written(good.groupBy("lang").agg(F.percentile_approx("mean_lp", F.lit(0.5), F.lit(10_000)).alias("middle")), "bands")
+    middles = F.broadcast(middles) if middles.count() <= FEW_BANDS else middles
+    good = good.join(middles, "lang").withColumn("z", (F.col("mean_lp") - F.col("middle")) * F.sqrt(steps))
+    langs = good.groupBy("lang").agg(F.first("middle").alias("middle"), quarters("z").alias("ql"), F.count("*").alias("nl"))
+    lengths = good.groupBy("lang", "length").agg(quarters("z").alias("qb"), F.count("*").alias("nb"))
+    # width times spread, times sqrt(characters)
+    scaled = width * F.when(F.col("nb") >= LEAST, wide("qb")).otherwise(F.greatest(wide("qb"), wide("ql")))
+    scaled = F.when(F.col("nl") >= LEAST, scaled).otherwise(F.greatest(scaled, F.lit(FEW)))
+    bands = written(lengths.join(langs, "lang").select("lang", "length", "middle", scaled.alias("scaled")), "bands")
+    # rows by language and length; where they are few, as languages are, the join need not deal out documents by them
+    out = figures.join(F.broadcast(bands) if bands.count() <= FEW_BANDS else bands, ["lang", "length"], "left")
+    reach = F.col("scaled") / F.sqrt(steps)
+    within = F.abs(F.col("mean_lp") - F.col("middle")) <= reach
     return out.select(
         "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(within, F.lit(False))).alias("kept"),
         F.exp(-F.col("mean_lp")).alias("perplexity"),
-        F.exp(-(F.col("middle") + width * F.col("spread"))).alias("band_low"),
-        F.exp(-(F.col("middle") - width * F.col("spread"))).alias("band_high"),
+        F.exp(-(F.col("middle") + reach)).alias("band_low"),
+        F.exp(-(F.col("middle") - reach)).alias("band_high"),
     )
 
 
