@@ -16,17 +16,12 @@ from gleanery.llm.suffix_dedup import repeats_removed
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the perplexity bands keep. A verdict holds for all rows of its id and text;
-    rows with a null id are judged by their text alone."""
-    key = F.xxhash64("text")
-    figures = quality(docs.select("doc_id", "lang", "text"))
-    gone = written(figures.filter("not kept").select("doc_id").distinct(), "rejected")
-    kept_ids = docs.join(gone.filter("doc_id is not null"), "doc_id", "left_anti").select(*docs.columns)
-    if docs.filter("doc_id is null").isEmpty():
-        return kept_ids
-    nameless = docs.filter("doc_id is null").withColumn("_key", key)
-    judged = quality(nameless.select(F.col("_key").alias("doc_id"), "lang", "text")).filter("kept").select(F.col("doc_id").alias("_key")).distinct()
-    return kept_ids.filter("doc_id is not null").unionByName(nameless.join(judged, "_key", "left_semi").select(*docs.columns))
+    """Documents that the base rules and the perplexity bands keep. A verdict holds for all rows of its id, language and
+    text; rows with a null id are judged with the others, by language and text."""
+    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string")))
+    figures = quality(keyed.select(F.col("_key").alias("doc_id"), "lang", "text"))
+    gone = written(figures.filter("not kept").select(F.col("doc_id").alias("_key")).distinct(), "rejected")
+    return keyed.join(gone, "_key", "left_anti").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -230,6 +230,14 @@ def test_embeddings(spark, monkeypatch):
     assert embedding_dedup.near_vectors(df.limit(0)).count() == 0
 
 
+def test_rejected_rows_leave_other_texts_of_their_id(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    twice = docs.filter("doc_id < 20").withColumn("text", F.lit("this text is much too short"))
+    kept = {r.doc_id for r in quality.quality(docs.unionByName(twice)).filter("kept").collect()}
+    got = corpus_pipeline.quality_rules(spark, docs.unionByName(twice), "").collect()
+    assert any(d < 20 for d in kept) and {r.doc_id for r in got} == kept and all(r.text != "this text is much too short" for r in got)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns = docs.columns
