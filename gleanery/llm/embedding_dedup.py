@@ -1,13 +1,17 @@
 """Embedding near-duplicates by counting collisions of one-dimensional projections.
 
-Unit vectors are projected on orthogonal random directions. A few projections cut space into cells two windows wide:
-a vector lives in one cell and asks in every cell that its own window reaches, so a pair meets in exactly one
-place for each direction of asking. There the other projections of the residents are sorted, each query's window is a
-range of ranks in each, and the ranges that hold a resident are counted. Pairs whose count reaches a threshold,
-the quantile that pairs of the wanted cosine pass with the wanted recall, are verified in double precision.
-
-Equal vectors are one class. A cell's residents and askers are dealt into blocks of at most `BLOCK`, so no
-task holds a hot cell; a block gives link counts and a spanning forest of its links, never the pairs.
+Unit vectors are projected on many random directions. Each direction and sign is a line; a vector is filed on the `top`
+lines on which it reaches furthest, where few others are. A line is sorted by its projection, and a query's window on it, as wide as near pairs spread, holds the vectors
+that collide with it there. For each pair so touched, once, on the first line that both are filed on, the
+collisions of both vectors' windows on `PROJECTIONS` more projections are counted; pairs whose count reaches a threshold are
+verified in double precision. No other pair is looked at.
+
+How many lines a vector is filed on and the threshold are calibrated for the wanted recall on random pairs of the wanted
+cosine, for each length of vectors and number of directions. Larger tables take more directions, so that lines stay
+short; recall is the same. Past the most directions, lines grow with the table.
+
+Equal vectors are one class. A line of more than `BLOCK` classes is dealt into chunks, and each two chunks meet in one
+block, so no task holds a crowded line; a block gives link counts and a spanning forest of its links, never the pairs.
 """
 
 from __future__ import annotations
@@ -19,142 +23,170 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import written
+from gleanery.llm.common import ranges, released, written
 from gleanery.llm.graph import components
 
 COSINE = 0.9
 RECALL = 0.97
 PROJECTIONS = 24
-BLOCK = 4096
-TILE = 64
+LINES = (65536, 16384, 4096, 1024, 256, 64, 16, 4, 1)
+TOP = 16
+SHARE = 64  # vectors for each direction, up to the most directions
+CELLS = 4_000_000  # projections held at a time
+BLOCK = 8192
+PAIRS = 100_000  # looked at together
+USUAL = 16
+TRIALS = 1500
 SEED = 20
 
 
-def _within(window: float, sigma: float) -> float:
-    return math.erf(window / sigma / math.sqrt(2))
+def touching(la, ra, lb, rb, window: float) -> np.ndarray:
+    """For each pair of rows, the lines of the first by the lines of the second: true where they are one line, on which each
+    is within the other's window."""
+    return (la[:, :, None] == lb[:, None, :]) & (np.abs(ra[:, :, None] - rb[:, None, :]) <= np.float32(window))
 
 
-def calibrated(cosine: float, recall: float, keys: int, projections: int) -> tuple[float, float, int]:
-    """(window of key projections, window of counted ones, least count): half of the loss is left to either."""
-    sigma, keep = math.sqrt(2 * (1 - cosine)), math.sqrt(recall)
-    lo, hi = 0.0, 10 * sigma
-    for _ in range(60):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if _within(mid, sigma) ** keys < keep else (lo, mid)
-    window = 1.35 * sigma
-    p, tail, least = _within(window, sigma), 0.0, projections
-    for k in range(projections, -1, -1):
-        tail += math.comb(projections, k) * p**k * (1 - p) ** (projections - k)
-        if tail >= keep:
-            least = k
-            break
-    return hi, window, least
-
-
-def directions(dim: int, count: int) -> np.ndarray:
+def directions(dim: int, count: int, seed: int) -> np.ndarray:
     """count rows of length sqrt(dim), orthogonal within each run of dim."""
-    rng, out = np.random.default_rng(SEED), []
-    while sum(map(len, out)) < count:
+    rng, out = np.random.default_rng([seed, dim]), []
+    while dim * len(out) < count:
         q, _ = np.linalg.qr(rng.standard_normal((dim, dim)))
         out.append(q.T * math.sqrt(dim))
     return np.concatenate(out)[:count]
 
 
-def unit(column) -> tuple[np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
-    """(valid, {dim: (rows, unit vectors)}) of an Arrow list column."""
-    by: dict[int, list] = {}
-    valid = np.zeros(len(column), dtype=bool)
-    for i, v in enumerate(column.to_pylist()):
-        if v and None not in v:
-            by.setdefault(len(v), []).append((i, v))
+class Plan:
+    """What vectors of a length are filed and counted by: at most `most` directions, fewer where TOP lines would not do."""
+
+    def __init__(self, most: int, cosine: float, recall: float, projections: int):
+        self.most, self.cosine, self.recall, self.projections = most, cosine, recall, projections
+        self.plans: dict[int, tuple[int, int, float, int]] = {}
+        self.made: dict = {}
+
+    def __getstate__(self):
+        return self.__dict__ | {"made": {}}
+
+    def __call__(self, dim: int) -> tuple[int, int, float, int]:
+        """(directions, top, window, least count)."""
+        if dim not in self.plans:
+            self.plans[dim] = self.calibrated(dim)
+        return self.plans[dim]
+
+    def lines(self, dim: int, count: int) -> np.ndarray:
+        if (dim, count) not in self.made:
+            self.made[dim, count] = directions(dim, count, SEED)
+        return self.made[dim, count]
+
+    def counted(self, x: np.ndarray) -> np.ndarray:
+        """The projections whose collisions are counted."""
+        return x @ directions(x.shape[1], self.projections, SEED + 1).T
+
+    def furthest(self, x: np.ndarray, count: int, top: int) -> tuple[np.ndarray, np.ndarray]:
+        """(lines, reach on them) of each vector's furthest projections, furthest first; line 2j is direction j, 2j + 1 its
+        opposite."""
+        lines, reaches, step = [], [], max(1, CELLS // count)
+        for s in range(0, len(x), step):
+            p = x[s : s + step] @ self.lines(x.shape[1], count).T
+            reach = np.abs(p)
+            at = np.argpartition(-reach, top - 1, axis=1)[:, :top] if top < count else np.tile(np.arange(count), (len(p), 1))
+            at = np.take_along_axis(at, np.argsort(-np.take_along_axis(reach, at, 1), axis=1, kind="stable"), 1)
+            lines.append((2 * at + (np.take_along_axis(p, at, 1) < 0)).astype(np.int32))
+            reaches.append(np.take_along_axis(reach, at, 1).astype(np.float32))
+        return np.concatenate(lines), np.concatenate(reaches)
+
+    def calibrated(self, dim: int) -> tuple[int, int, float, int]:
+        """The plan with which random pairs of the wanted cosine are found with the wanted recall, half of the loss left to
+        either step."""
+        rng = np.random.default_rng([SEED, dim, 1])
+        keep, window = math.sqrt(self.recall), 1.35 * math.sqrt(2 * (1 - self.cosine))
+        x, y = (rng.standard_normal((TRIALS, dim)) for _ in range(2))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        y -= (x * y).sum(1, keepdims=True) * x
+        norm = np.linalg.norm(y, axis=1, keepdims=True)
+        y = self.cosine * x + math.sqrt(max(0.0, 1 - self.cosine**2)) * y / np.where(norm > 1e-9, norm, 1) if dim > 1 else x
+        for count in (c for c in LINES if c <= self.most):
+            most = min(TOP, count)
+            met = touching(*self.furthest(x, count, most), *self.furthest(y, count, most), window)
+            top = next((t for t in range(1, most + 1) if met[:, :t, :t].any((1, 2)).mean() >= keep), 0)
+            if top:
+                break
+        else:
+            top = most
+        met = met[:, :top, :top].any((1, 2))
+        collisions = (np.abs(self.counted(x) - self.counted(y)) <= window).sum(1)[met]
+        return count, top, window, int(np.quantile(collisions, 1 - keep, method="lower")) if len(collisions) else 0
+
+
+def units(column) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """{dim: (rows, unit vectors)} of an Arrow column of lists, all valid; in double precision."""
+    flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    size = np.diff(ends)
     out = {}
-    for dim, rows in by.items():
-        x = np.array([v for _, v in rows], dtype=np.float64)
-        at = np.array([i for i, _ in rows])
-        top = np.abs(x).max(axis=1)
-        ok = np.isfinite(x).all(axis=1) & (top > 0)
-        x, at = x[ok] / top[ok][:, None], at[ok]
+    for dim in np.unique(size).tolist():
+        at = np.flatnonzero(size == dim)
+        x = flat[ends[at][:, None] + np.arange(dim)].astype(np.float64)
+        x = x / np.abs(x).max(axis=1, keepdims=True)
         out[dim] = (at, x / np.linalg.norm(x, axis=1, keepdims=True))
-        valid[at] = True
-    return valid, out
+    return out
 
 
-def place(keys: int, window: float):
-    """(cid, weight, embedding) to (cell, ask, cid, weight, vector): one row at home, one for each cell asked."""
+def file_vectors(plan):
+    """(key, weight, vector) to (dim, line, key, weight, lines, reach, vector), a row for each line that a vector is filed on."""
 
     def run(batches):
         for batch in batches:
-            _, by = unit(batch.column(2))
-            for dim, (at, x) in by.items():
-                p = x @ directions(dim, keys).T
-                low, high = np.floor((p - window) / (2 * window)).astype(np.int64), np.floor((p + window) / (2 * window)).astype(np.int64)
-                home = np.floor(p / (2 * window)).astype(np.int64)
-                cells, rows, ask = [home], [np.arange(len(at))], [np.zeros(len(at), dtype=bool)]
-                for corner in range(1 << keys):
-                    side = np.array([corner >> k & 1 for k in range(keys)], dtype=bool)
-                    new = ~((high == low) & side).any(axis=1)  # where both ends are in one cell it is asked once
-                    cells.append(np.where(side, high, low)[new])
-                    rows.append(np.flatnonzero(new))
-                    ask.append(np.ones(int(new.sum()), dtype=bool))
-                cells, rows = np.concatenate(cells), np.concatenate(rows)
-                names = [f"{dim}:" + ",".join(map(str, c)) for c in cells.tolist()]
-                flat = pa.array(x[rows].ravel())
-                vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * dim), flat)
-                take = pa.array(at[rows])
-                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.concatenate(ask)), batch.column(0).take(take), batch.column(1).take(take), vectors], ["cell", "ask", "cid", "weight", "vector"])
+            for dim, (at, x) in units(batch.column(2)).items():
+                lines, top, _, _ = plan(dim)
+                for s in range(0, len(at), 2000):
+                    line, reach = plan.furthest(x[s : s + 2000], lines, top)
+                    take = pa.array(np.repeat(at[s : s + 2000], top))
+                    rows = pa.array(np.repeat(np.arange(len(line)), top))
+                    both = [pa.array([r.tobytes() for r in m], pa.binary()).take(rows) for m in (line, reach)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(line.size, dim)), pa.array(line.ravel().astype(np.int64)), batch.column(0).take(take), batch.column(1).take(take), *both, batch.column(2).take(take)], ["dim", "line", "k1", "weight", "lines", "reach", "vector"])
 
     return run
 
 
-def count_block(q, h, proj, window: float, least: int):
-    """(query, resident) index pairs whose windows collide `least` times or more."""
-    m = len(proj)
-    ph, pq = h @ proj.T, q @ proj.T
-    rank = np.empty((m, len(h)), dtype=np.uint16)
-    lo, width = np.empty((m, len(q)), dtype=np.uint16), np.empty((m, len(q)), dtype=np.uint16)
-    for j in range(m):
-        order = np.argsort(ph[:, j], kind="stable")
-        rank[j, order] = np.arange(len(h), dtype=np.uint16)
-        line = ph[order, j]
-        a, b = np.searchsorted(line, pq[:, j] - window, "left"), np.searchsorted(line, pq[:, j] + window, "right")
-        lo[j], width[j] = a, b - a
-    for s in range(0, len(q), TILE):
-        count = np.zeros((min(TILE, len(q) - s), len(h)), dtype=np.uint8)
-        for j in range(m):
-            count += (rank[j][None, :] - lo[j, s : s + TILE, None]) < width[j, s : s + TILE, None]
-        a, b = np.nonzero(count >= least)
-        yield a + s, b
-
-
-def compare(cosine: float, keys: int, projections: int, window: float, least: int):
-    """Rows (cell, hb, qb, ask, cid, weight, vector) sorted by block to (u, v, n): link weights have v null, edges n null."""
-
-    def block(ask, cid, weight, vector):
-        q, h = np.flatnonzero(ask), np.flatnonzero(~ask)
-        if not len(q) or not len(h):
-            return
-        x = np.stack(vector)
-        proj = directions(x.shape[1], keys + projections)[keys:]
-        found = [np.zeros((2, 0), dtype=np.int64)]
-        for a, b in count_block(x[q], x[h], proj, window, least):
-            a, b = q[a], h[b]
-            other = cid[a] != cid[b]
-            a, b = a[other], b[other]
-            for s in range(0, len(a), 65536):
-                u, v = a[s : s + 65536], b[s : s + 65536]
-                ok = np.einsum("ij,ij->i", x[u], x[v]) >= cosine
-                found.append(np.stack([u[ok], v[ok]]))
+def compare(plan, cosine: float):
+    """Rows (dim, line, lo, hi, chunk, key, weight, lines, reach, vector) sorted by block to (u, v, n): link weights have v
+    null, edges n null."""
+
+    def block(dim, line, same, chunk, key, weight, filed, reach, x):
+        _, _, window, least = plan(dim)
+        q = plan.counted(x).T.copy()
+        here = reach[filed == line]
+        order = np.argsort(here, kind="stable")
+        # each vector's window, from its own place up: a pair is met by the one that comes first
+        spread = np.searchsorted(here[order], here[order] + np.float32(window * 1.0001), "right") - np.arange(len(order)) - 1
+        ends, s, found = np.cumsum(spread), 0, [np.zeros((2, 0), dtype=np.int64)]
+        while s < len(order):
+            e = max(s + 1, int(np.searchsorted(ends, (ends[s - 1] if s else 0) + PAIRS, "right")))
+            a = order[np.repeat(np.arange(s, e), spread[s:e])]
+            b = order[ranges(np.arange(s, e) + 1, spread[s:e])]
+            s = e
+            part = np.abs(here[a] - here[b]) <= np.float32(window)
+            if not same:
+                part &= chunk[a] != chunk[b]
+            a, b = a[part], b[part]
+            count = np.zeros(len(a), dtype=np.uint8)
+            for line_q in q:
+                count += np.abs(line_q[a] - line_q[b]) <= window
+            a, b = a[count >= least], b[count >= least]
+            if len(a):
+                # the first line on which both are touched counts the pair
+                met = touching(filed[a], reach[a], filed[b], reach[b], window) & (filed[a] < line)[:, :, None]
+                a, b = a[~met.any((1, 2))], b[~met.any((1, 2))]
+                ok = np.einsum("ij,ij->i", x[a], x[b]) >= cosine
+                found.append(np.stack([a[ok], b[ok]]))
         a, b = np.concatenate(found, axis=1)
         if not len(a):
             return
-        n = np.zeros(len(cid), dtype=np.int64)
+        n = np.zeros(len(key), dtype=np.int64)
         np.add.at(n, a, weight[b])
+        np.add.at(n, b, weight[a])
         hit = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(cid[hit]), pa.nulls(len(hit), pa.int64()), pa.array(n[hit])], ["u", "v", "n"])
-        # a resident and an asker of one id are one node
-        names, node = np.unique(cid, return_inverse=True)
-        a, b = node[a], node[b]
-        label = np.arange(len(names))
+        yield pa.RecordBatch.from_arrays([pa.array(key[hit]), pa.nulls(len(hit), pa.int64()), pa.array(n[hit])], ["u", "v", "n"])
+        label = np.arange(len(key))
         while True:
             old = label.copy()
             low = np.minimum(label[a], label[b])
@@ -163,65 +195,75 @@ def compare(cosine: float, keys: int, projections: int, window: float, least: in
             label = label[label]
             if (label == old).all():
                 break
-        moved = np.flatnonzero(label != np.arange(len(names)))
-        yield pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[label[moved]]), pa.nulls(len(moved), pa.int64())], ["u", "v", "n"])
+        moved = np.flatnonzero(label != np.arange(len(key)))
+        yield pa.RecordBatch.from_arrays([pa.array(key[moved]), pa.array(key[label[moved]]), pa.nulls(len(moved), pa.int64())], ["u", "v", "n"])
 
     def run(batches):
-        now, ask, cid, weight, vector = None, [], [], [], []
-        for batch in batches:
-            vectors = batch.column(6)
-            flat, ends = vectors.values.to_numpy(), vectors.offsets.to_numpy()
-            keyed = zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True)
-            for i, (cell, hb, qb, a, c, w) in enumerate(keyed):
-                if (cell, hb, qb) != now:
-                    if now is not None:
-                        yield from block(np.array(ask), np.array(cid), np.array(weight), vector)
-                    now, ask, cid, weight, vector = (cell, hb, qb), [], [], [], []
-                ask.append(a)
-                cid.append(c)
-                weight.append(w)
-                vector.append(flat[ends[i] : ends[i + 1]])
-        if now is not None:
-            yield from block(np.array(ask), np.array(cid), np.array(weight), vector)
+        now, held = None, []
 
-    return run
+        def close():
+            table = pa.Table.from_batches(held).combine_chunks()
+            if len(table) > 1:
+                ((_, x),) = units(table.column(9).chunk(0)).values()
+                chunk, key, weight = (table.column(k).to_numpy() for k in (4, 5, 6))
+                filed, reach = (np.frombuffer(b"".join(table.column(k).to_pylist()), t).reshape(len(key), -1) for k, t in ((7, np.int32), (8, np.float32)))
+                yield from block(now[0], now[1], now[2] == now[3], chunk, key, weight, filed, reach, x)
 
+        for batch in batches:
+            ids = np.stack([batch.column(k).to_numpy() for k in range(4)], 1)
+            start = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]).any(1)])).tolist() if len(ids) else []
+            for s, e in zip(start, [*start[1:], len(ids)], strict=True):
+                if tuple(ids[s].tolist()) != now:
+                    if held:
+                        yield from close()
+                    now, held = tuple(ids[s].tolist()), []
+                held.append(batch.slice(s, e - s))
+        if held:
+            yield from close()
 
-def _validity(batches):
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(unit(batch.column(4))[0])], ["vec_id", "k1", "k2", "dim", "valid"])
+    return run
 
 
-def near_vectors(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL, projections: int = PROJECTIONS) -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL, projections: int = PROJECTIONS, most: int = 0) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept.
 
     Null, empty and zero vectors and those with null or non-finite components have no links and are kept; vectors of
-    different lengths never link. Each repeated row is a vector of its own. A null id links like any other, but never
-    names a component unless all ids in it are null. A table without rows gives none.
+    different lengths never link. Each repeated row is a vector of its own, and so is each row of an id that has several
+    vectors. A null id links like any other, but never names a component unless all ids in it are null. A table
+    without rows gives none. Other columns are left out. Cosines are those of the components as doubles.
     """
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    rows = rows.withColumn("k1", F.xxhash64("embedding")).withColumn("k2", F.xxhash64(F.lit(7), "embedding"))
-    ids = written(rows.select("vec_id", "k1", "k2", F.size("embedding").alias("dim"), "embedding").mapInArrow(_validity, "vec_id long, k1 long, k2 long, dim int, valid boolean"), "vectors")
-    lead = F.coalesce(F.min("vec_id"), -F.abs(F.first("k1")) - 2)
-    classes = rows.groupBy("k1", "k2").agg(lead.alias("cid"), F.count("*").alias("weight"), F.first("embedding").alias("embedding"))
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind if kind == "array<float>" else "array<double>").alias("embedding"))
+    number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    valid = F.coalesce(F.forall("embedding", number) & F.exists("embedding", lambda x: x != 0), F.lit(False))
+    rows = rows.withColumn("valid", valid).withColumn("k1", F.when(F.col("valid"), F.xxhash64("embedding")))
+    classes = rows.filter("valid").groupBy("k1").agg(F.count("*").alias("weight"), F.min("vec_id").alias("lead"), F.first("embedding").alias("embedding"))
     classes = written(classes, "vectors")
-    n = classes.count()
-    keys = max(1, min(6, int(math.log(max(n, 1) / 1500 + 1e-9) / math.log(2.7)))) if n > 1500 else 1
-    wide, window, least = calibrated(cosine, recall, keys, projections)
-    placed = written(classes.select("cid", "weight", "embedding").mapInArrow(place(keys, wide), "cell string, ask boolean, cid long, weight long, vector array<double>"), "placed")
-    blocks = placed.groupBy("cell").agg(F.ceil(F.count_if(~F.col("ask")) / BLOCK).alias("hbs"), F.ceil(F.count_if("ask") / BLOCK).alias("qbs")).filter("hbs > 0 and qbs > 0")
-    dealt = placed.join(blocks, "cell")
-    own = F.pmod(F.xxhash64("cid"), F.when(F.col("ask"), F.col("qbs")).otherwise(F.col("hbs")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("ask"), F.col("hbs")).otherwise(F.col("qbs")) - 1))
-    dealt = dealt.select("*", own.alias("own"), other.alias("other")).select("cell", F.when(F.col("ask"), F.col("other")).otherwise(F.col("own")).alias("hb"), F.when(F.col("ask"), F.col("own")).otherwise(F.col("other")).alias("qb"), "ask", "cid", "weight", "vector")
-    found = dealt.repartition("cell", "hb", "qb").sortWithinPartitions("cell", "hb", "qb").mapInArrow(compare(cosine, keys, projections, window, least), "u long, v long, n long")
+    # the driver calibrates for the usual lengths, tasks for any others that they meet
+    usual = classes.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(USUAL).collect()
+    wanted = classes.count() // SHARE
+    plan = Plan(most or next((c for c in reversed(LINES[:-4]) if c >= wanted), LINES[0]), cosine, recall, projections)
+    for r in usual:
+        plan(r.dim)
+    filed = classes.select("k1", "weight", "embedding").mapInArrow(released(file_vectors(plan)), f"dim long, line long, k1 long, weight long, lines binary, reach binary, vector {rows.schema['embedding'].dataType.simpleString()}")
+    filed = written(filed, "filed")
+    chunks = filed.groupBy("dim", "line").agg(F.ceil(F.count("*") / BLOCK).alias("chunks"), F.count("*").alias("m")).filter("m > 1")
+    dealt = filed.join(chunks, ["dim", "line"]).withColumn("chunk", F.pmod(F.xxhash64("k1"), "chunks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    dealt = dealt.select("dim", "line", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "k1", "weight", "lines", "reach", "vector")
+    found = dealt.repartition("dim", "line", "lo", "hi").sortWithinPartitions("dim", "line", "lo", "hi").mapInArrow(released(compare(plan, cosine)), "u long, v long, n long")
     found = written(found, "linked")
-    counts = found.filter("v is null").groupBy(F.col("u").alias("cid")).agg(F.sum("n").alias("n"))
-    parts = components(found.filter("v is not null").select("u", "v")).withColumnRenamed("node", "cid")
-    out = ids.join(classes.select("k1", "k2", "cid", "weight"), ["k1", "k2"]).join(counts, "cid", "left").join(parts, "cid", "left")
-    links = F.when(F.col("valid"), F.coalesce("n", F.lit(0)) + F.col("weight") - 1).otherwise(F.lit(0)).cast("long")
-    part = F.when(F.col("valid"), F.coalesce("component", "cid")).otherwise(F.col("vec_id"))
-    out = out.select("vec_id", links.alias("n_links"), F.when(F.col("vec_id").isNull() & (part < -1), F.lit(None)).otherwise(part).alias("component_id"))
+    counts = found.filter("v is null").groupBy(F.col("u").alias("k1")).agg(F.sum("n").alias("n"))
+    parts = components(found.filter("v is not null").select("u", "v")).withColumnRenamed("node", "k1")
+    named = classes.select("k1", "weight", "lead").join(parts, "k1", "left").join(counts, "k1", "left")
+    own = F.coalesce("component", "k1")
+    names = written(named.withColumn("component", own), "named")
+    names = names.join(names.groupBy("component").agg(F.min("lead").alias("component_id")), "component")
+    links = F.coalesce("n", F.lit(0)) + F.col("weight") - 1
+    names = names.select("k1", links.alias("n_links"), "component_id")
+    out = rows.select("vec_id", "k1", "valid").join(names, "k1", "left")
+    part = F.when(F.col("valid"), F.col("component_id")).otherwise(F.col("vec_id"))
+    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), part.alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 

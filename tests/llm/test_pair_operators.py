@@ -204,32 +204,73 @@ def test_repeats_removed_keeps_rows_and_columns(spark):
     assert got[2] == ("", 0) and got[3] == ("clean", 5) and got[4] == (None, None) and got[1][0].startswith("one") and len(got[1][0]) < 20
 
 
-def test_embeddings(spark, monkeypatch):
-    monkeypatch.setattr(embedding_dedup, "BLOCK", 64)
-    rng = np.random.default_rng(0)
-    x = rng.standard_normal((600, 16))
-    near = x[:300] / np.linalg.norm(x[:300], axis=1, keepdims=True)
+def planted(seed, n, dim, low, high, copies=True):
+    """n random vectors, and one near each at a cosine between low and high."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, dim))
+    near = x / np.linalg.norm(x, axis=1, keepdims=True)
     noise = rng.standard_normal(near.shape)
     noise -= (noise * near).sum(1, keepdims=True) * near
     noise /= np.linalg.norm(noise, axis=1, keepdims=True)
-    c = rng.uniform(0.88, 0.97, 300)[:, None]
-    v = np.concatenate([x, c * near + np.sqrt(1 - c * c) * noise, x[:5], np.repeat(x[:1], 40, 0)])
+    c = rng.uniform(low, high, n)[:, None]
+    return np.concatenate([x, c * near + np.sqrt(1 - c * c) * noise])
+
+
+def linked_brute(rows, cosine=0.9):
+    """(vec_id, n_links, component_id) of each row."""
+    good = [i for i, (_, v) in enumerate(rows) if v and all(c is not None and np.isfinite(c) for c in v) and any(v)]
+    edges = []
+    for dim in {len(rows[i][1]) for i in good}:
+        at = [i for i in good if len(rows[i][1]) == dim]
+        u = np.array([rows[i][1] for i in at])
+        u /= np.abs(u).max(1, keepdims=True)
+        u /= np.linalg.norm(u, axis=1, keepdims=True)
+        edges += [(at[a], at[b]) for a, b in zip(*np.nonzero(np.triu(u @ u.T >= cosine, 1)), strict=True)]
+    part, n, low = union_find(range(len(rows)), edges), Counter(x for e in edges for x in e), defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            low[part[i]].append(d)
+    return sorted(((d, n[i], min(low[part[i]], default=None)) for i, (d, _) in enumerate(rows)), key=str)
+
+
+@pytest.mark.parametrize("block", [8192, 16])
+def test_embeddings(spark, monkeypatch, block):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+    v = planted(0, 300, 16, 0.93, 0.97)
+    v = np.concatenate([v, v[:5], np.repeat(v[:1], 40, 0)])
     rows = [(i, [float(a) for a in r]) for i, r in enumerate(v)]
-    rows += [(9000, None), (9001, [0.0] * 16), (9002, [float("inf")] + [0.0] * 15), (9003, []), (9004, [None] + [1.0] * 15), (9005, [1e300] * 16), (9006, [1.0] * 16), (9007, [1.0] * 3), (None, rows[3][1])]
+    rows += [(9000, None), (9001, [0.0] * 16), (9002, [float("inf")] + [0.0] * 15), (9003, []), (9004, [None] + [1.0] * 15), (9005, [1e300] * 16), (9006, [1.0] * 16), (9007, [1.0] * 3), (9008, [float("nan")] * 16), (9009, [-2.0]), (9010, [-3.0]), (None, rows[3][1])]
+    # ids with several vectors: each row is a vector of its own
+    rows += [(5, rows[200][1]), (5, [float(a) for a in np.random.default_rng(9).standard_normal(16)]), (7, rows[7][1])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("label", F.lit(1))
-    got = {r.vec_id: r for r in embedding_dedup.near_vectors(df).collect()}
-    u = v / np.linalg.norm(v, axis=1, keepdims=True)
-    cos = u @ u.T
-    np.fill_diagonal(cos, 0)
-    want = (cos >= 0.9).sum(1) + (u @ u[3] >= 0.9)
-    have = np.array([got[i].n_links for i in range(len(v))])
-    assert (have <= want).all() and have.sum() >= 0.9 * want.sum()
-    assert all((got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True) for i in (9000, 9001, 9002, 9003, 9004, 9007))
-    assert got[9005].n_links == got[9006].n_links == 1 and got[9006].component_id == 9005
-    assert got[0].component_id == 0 and got[None].component_id == got[3].component_id
+    found = embedding_dedup.near_vectors(df).collect()
+    got, want = sorted(((r.vec_id, r.n_links, r.component_id) for r in found), key=str), linked_brute(rows)
+    assert all(r.kept == (r.vec_id == r.component_id) for r in found) and len(got) == len(want)
+    assert sum(g == w for g, w in zip(got, want, strict=True)) >= 0.97 * len(want) and sum(n for _, n, _ in got) <= sum(n for _, n, _ in want)
+    odd = {x for x in got if x[0] is not None and x[0] >= 9000}
+    assert odd == {x for x in want if x[0] is not None and x[0] >= 9000}
     assert embedding_dedup.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("most", "dim"), [(64, 64), (1024, 32), (4096, 64)])
+def test_embeddings_recall_with_any_number_of_directions(spark, most, dim):
+    v = planted(most, 1500, dim, 0.9, 0.92)
+    rows = [(i, [float(a) for a in r]) for i, r in enumerate(v)]
+    got = embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), most=most)
+    want = sum(n for _, n, _ in linked_brute([(i, list(np.float32(r).astype(float))) for i, r in rows]))
+    assert 0.95 * want <= got.agg(F.sum("n_links")).first()[0] <= want
+
+
+def test_embeddings_of_a_crowd(spark):
+    """A crowd of near vectors on the same lines: all links are counted."""
+    rng = np.random.default_rng(4)
+    v = rng.standard_normal(64) * 3 + 0.4 * rng.standard_normal((700, 64))
+    rows = [(i, [float(a) for a in r]) for i, r in enumerate(v)]
+    got = embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    want = linked_brute(rows)
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got.collect()), key=str) == want and want[0][1] == 699
+
+
 def test_rejected_rows_leave_other_texts_of_their_id(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     twice = docs.filter("doc_id < 20").withColumn("text", F.lit("this text is much too short"))
