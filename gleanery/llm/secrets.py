@@ -3,13 +3,15 @@
 Base patterns are reported wherever they match. Weak candidates (short or unlabelled identifiers, bare secrets,
 endpoints) mean little alone; within a document they are interval-joined by a sorted sweep, and one is reported
 only when its complementary parts lie within `scope` code points: an identifier needs a secret, a secret needs an
-identifier, an endpoint needs both. Each candidate looks only at its nearest neighbour of either kind on both
-sides, so a document with many candidates costs a sort, never all pairs. Nothing is shuffled.
+identifier, an endpoint needs both. A candidate asks the sorted spans of the other kind for the furthest end among those that
+begin within its scope, so a document with many candidates costs a sort, never all pairs. Nothing is shuffled.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import re
 
 import pyarrow as pa
@@ -27,6 +29,20 @@ WEAK_SECRET = r"""(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[
 ENDPOINT = r"""\b(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s"'<>]{4,}|\b(?:host|endpoint|server|region)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{4,}"""
 
 
+class Spans:
+    """Spans (start, kind, end), which may overlap, sorted for interval look-ups: starts, and the furthest end up to each."""
+
+    def __init__(self, spans):
+        spans = sorted(spans)
+        self.starts = [s for s, _, _ in spans]
+        self.ends = list(itertools.accumulate((e for _, _, e in spans), max))
+
+    def reach(self, start: int, end: int) -> bool:
+        """True if a span begins at `end` or before and ends at `start` or after."""
+        k = bisect.bisect_right(self.starts, end)
+        return k > 0 and self.ends[k - 1] >= start
+
+
 def finder(scope: int):
     """text -> ({base kind: count}, base spans, all spans); a span is (start, kind's rank, end)."""
     assign = re.compile(ASSIGN, re.ASCII | re.IGNORECASE)
@@ -34,13 +50,6 @@ def finder(scope: int):
     weak_id, weak_secret = re.compile(WEAK_ID, re.ASCII | re.IGNORECASE), re.compile(WEAK_SECRET, re.ASCII)
     endpoint = re.compile(ENDPOINT, re.ASCII | re.IGNORECASE)
 
-    def near(sorted_spans, start, end):
-        """True if a span of the list begins or ends within the scope (spans of a list do not overlap)."""
-        import bisect
-
-        k = bisect.bisect_left(sorted_spans, (start,))
-        return any(0 <= j < len(sorted_spans) and sorted_spans[j][0] - end <= scope and start - sorted_spans[j][2] <= scope for j in (k - 1, k))
-
     def find(text: str):
         base = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 6] if ":" in text or "=" in text else []
         if "AKIA" in text:
@@ -54,31 +63,22 @@ def finder(scope: int):
         labelled = "=" in text or ":" in text
         ids = [(m.start(), 3, m.end()) for m in weak_id.finditer(text)] if labelled or "KIA" in text else []
         if ids or base:
-            taken = [(s, e) for s, _, e in base]
-            free = lambda found: [x for x in found if not any(s < x[2] and x[0] < e for s, e in around(taken, x))]
+            taken = Spans(base)
+            free = lambda found: [x for x in found if not taken.reach(x[0] + 1, x[2] - 1)]
             secrets = free([(m.start(), 4, m.end()) for m in weak_secret.finditer(text)])
             ids = free(ids)
-            all_ids = sorted(ids + [x for x in base if x[1] == 1])
-            all_secrets = sorted(secrets + [x for x in base if x[1] != 1])
-            if all_ids and all_secrets:
-                spans += [x for x in ids if near(all_secrets, x[0], x[2])]
-                spans += [x for x in secrets if near(all_ids, x[0], x[2])]
+            all_ids = Spans(ids + [x for x in base if x[1] == 1])
+            all_secrets = Spans(secrets + [x for x in base if x[1] != 1])
+            if all_ids.starts and all_secrets.starts:
+                near = lambda spans, x: spans.reach(x[0] - scope, x[2] + scope)
+                spans += [x for x in ids if near(all_secrets, x)]
+                spans += [x for x in secrets if near(all_ids, x)]
                 if labelled:
                     ends = free([(m.start(), 5, m.end()) for m in endpoint.finditer(text)])
-                    spans += [x for x in ends if near(all_ids, x[0], x[2]) and near(all_secrets, x[0], x[2])]
+                    spans += [x for x in ends if near(all_ids, x) and near(all_secrets, x)]
                 spans.sort()
         return counts, base, spans
 
-    def around(taken, x):
-        """Those of the sorted spans that may overlap x: each ends after the one before begins, so a few suffice."""
-        import bisect
-
-        k = bisect.bisect_left(taken, (x[2], -1))
-        lo = k
-        while lo and taken[lo - 1][1] > x[0]:
-            lo -= 1
-        return taken[max(0, lo - 3) : k]
-
     return find
 
 
@@ -108,7 +108,7 @@ def scan_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans (kind:start:end, comma-joined).
 
     Null and empty texts have no spans. Each row is judged on its own, so null ids, repeated rows and other columns
-    do not matter. Offsets are code points, ends exclusive.
+    do not matter; a very long text is scanned whole, in the memory of its own spans. Offsets are code points, ends exclusive.
     """
     schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(scanner(scope), schema)
