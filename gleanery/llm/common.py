@@ -25,28 +25,47 @@ for _name in ("gleanery.llm", __name__):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or one made for tests."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir, or, in one process, a temporary one."""
     sc = spark.sparkContext
     found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="gleanery-"))
         found = sc.getCheckpointDir()
     return found
 
 
+#: Paths of the tables that this process has written and not dropped.
+_tables: list[str] = []
+
+
 def written(df: DataFrame, tag: str = "table") -> DataFrame:
-    """df written as Parquet in the shared folder and read again: cuts lineage and survives lost executors."""
+    """df written as Parquet in the shared folder and read again: cuts lineage and survives lost executors.
+
+    Whole texts travel in Arrow batches, so the session's batches are lowered to 2000 rows for good: a change that
+    every thread makes alike.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-    rows = spark.conf.get(BATCH_ROWS)
-    spark.conf.set(BATCH_ROWS, str(min(int(rows), 2000)))  # whole texts travel in these batches
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(BATCH_ROWS, rows)
+    if int(spark.conf.get(BATCH_ROWS)) > 2000:
+        spark.conf.set(BATCH_ROWS, "2000")
+    df.write.parquet(path)
+    _tables.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(spark: SparkSession, keep: int = 0) -> int:
+    """Delete the tables that written() has made after the first `keep`, but for the last; how many are left. For
+    callers that have written a result and read none of the tables behind it again."""
+    jvm = spark.sparkContext._jvm
+    for path in _tables[keep:-1]:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    del _tables[keep:-1]
+    return len(_tables)
+
+
 def released(run):
     """The function over batches, giving freed memory back at its end: workers live on for other stages."""
 
@@ -112,19 +131,23 @@ class Memo(dict):
     """Token ids of chunks that never influence one another, each encoded once by the tokenizer.
 
     encode(list of chunks) -> list of id lists. Code 0 stands for `tail`, which ends a text. The memo is
-    emptied between batches once it holds `bound` chunks, so its memory is bounded.
+    emptied between batches once it holds `bound` chunks or `room` characters, so its memory is bounded.
     """
 
-    def __init__(self, encode, tail, bound: int = 600_000):
+    def __init__(self, encode, tail, bound: int = 600_000, room: int = 16_000_000):
         super().__init__()
         import gc
 
         gc.set_threshold(1_000_000, 50, 100)  # millions of small lists live here, none in cycles
-        self.encode, self.tail, self.bound = encode, list(tail), bound
+        self.encode, self.tail, self.bound, self.room = encode, list(tail), bound, room
         self.reset()
 
+    def full(self) -> bool:
+        return len(self) > self.bound or self.chars > self.room
+
     def reset(self):
         self.clear()
+        self.chars = 0
         self.todo: list[str] = []
         self.ids = np.array(self.tail, dtype=np.uint32)
         self.first = np.zeros(1, dtype=np.int64)
@@ -137,6 +160,7 @@ class Memo(dict):
 
     def settle(self):
         if self.todo:
+            self.chars += sum(map(len, self.todo))
             got = self.encode(self.todo)
             count = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
             flat = np.fromiter(itertools.chain.from_iterable(got), dtype=np.uint32, count=int(count.sum()))
@@ -147,7 +171,7 @@ class Memo(dict):
 
     def batch(self, texts, chunks):
         """(ids of all texts one after another, number of ids of each text); each text ends with the tail."""
-        if len(self) > self.bound:
+        if self.full():
             self.reset()
         get = self.__getitem__
         codes, sizes = [], np.empty(len(texts), dtype=np.int64)

@@ -4,7 +4,7 @@ The model protobuf is parsed here (wire format of three small messages), and its
 its compiled character map, white-space rules and metaspace marker; unigram scores, or BPE merges in the order of
 their pieces' scores; byte fallback; and the decoder. Text falls into chunks at the markers, which no piece crosses,
 so a chunk is encoded and decoded once and remembered; new chunks of a batch are encoded multithreaded. Each new chunk is also
-encoded by the sentencepiece library, and where the two differ, its ids are taken and the document is not at parity.
+encoded by the sentencepiece library: where the two differ, the document is not at parity. The ids are the rebuilt tokenizer's.
 """
 
 from __future__ import annotations
@@ -139,7 +139,7 @@ def codec(data: bytes, threads: int, keep_ids: bool):
                         a, b = [tok.token_to_id(MARK)], [own.piece_to_id(MARK)]
                     if a != b:
                         odd.add(t)
-                    out.append(b)
+                    out.append(a)
                 said.extend(tok.decode_batch(out[k:], skip_special_tokens=False))
             return out
 
@@ -159,7 +159,7 @@ def codec(data: bytes, threads: int, keep_ids: bool):
         for batch in batches:
             docs, texts = batch.column(0), batch.column(1).to_pylist()
             for lo, hi in slices(texts):
-                if len(memo) > memo.bound:
+                if memo.full():
                     odd.clear()
                     said[1:] = []
                 ids, counts = memo.batch(texts[lo:hi], chunks)
@@ -189,7 +189,8 @@ def encode_documents(docs: DataFrame, model_path: str | None = None, model_name:
     library), and ids if asked for.
 
     Null and empty texts have no ids and decode to the empty text. Each row is encoded on its own; other columns are
-    left out. The model file is read by the driver, and its bytes travel with the plan.
+    left out, repeated rows and null ids do not matter, no rows give none. A very long text is encoded whole, chunk by chunk
+    where the model allows it. The model file is read by the driver, and its bytes travel with the plan.
     """
     import public_tokenizers
 
