@@ -5,8 +5,9 @@ lattice of what each character may stand for; Viterbi picks the reading that a c
 channel's costs favour most. The trigram model is counted over all documents. The words of the text as written
 and as restored are the features of an L1-regularised logistic regression.
 
-The classifier is fitted on at most `SAMPLE` labelled documents (those with the smallest hash of their id), a
-documented bound; what is broadcast are its at most `FEATURES` weights and the 64**3 trigram table.
+The classifier is fitted on at most `SAMPLE` labelled documents, those with the smallest hash of their id, one text each: the
+documented bound of what the driver holds (the different words of so many texts) and, with it, of the weights that are
+broadcast, one for each word of at least `MIN_DOCS` of them. The 64**3 trigram table is counted over all documents.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SAMPLE = 12_000
-FEATURES = 200_000
 MIN_DOCS = 4
 L1 = 4e-3
 MISS = 4.0  # how much a toxic document weighs in the fit, against a clean one
@@ -93,25 +93,21 @@ class Channel:
                 out.append([c, 1])
         return out
 
+    def _options(self, c: str, n: int) -> list[tuple[str, float]]:
+        """What a run of n characters c may yield, and at what cost."""
+        if c in FILLERS:
+            return [("", 0.0)]
+        if c in STANDS_FOR or c.isdigit():
+            return [("", DROP)] + [(s * k, SUBSTITUTE) for s in STANDS_FOR.get(c, "") for k in ((1, 2) if n > 1 else (1,))]
+        return [(c, 0.0 if n == 1 else SHRINK)] + ([(c * 2, 0.0 if n == 2 else SHRINK)] if n > 1 else [])
+
     def decode(self, token: str) -> str:
-        """The best reading of a lower-case token: each run of a character yields it once or twice (or as often as
-        written), what it may stand for, or, for fillers, nothing. Linear in the token's length."""
+        """The best reading of a lower-case token: each run of a character yields it once or, where it is written twice
+        or more, twice, what it may stand for, or, for fillers, nothing. Linear in the token's length."""
         code = lambda c: int(self.table[min(ord(c), 0xFFFF)])
         states = {(0, 0): (0.0, None)}
         for c, n in self._runs(token):
-            options = []
-            if c in FILLERS:
-                options.append(("", 0.0))
-            elif c in STANDS_FOR or c.isdigit():
-                options.append(("", DROP))
-                for s in STANDS_FOR.get(c, ""):
-                    options.append((s, SUBSTITUTE))
-                    if n > 1:
-                        options.append((s * 2, SUBSTITUTE))
-            else:
-                options.append((c, 0.0 if n == 1 else SHRINK))
-                if n > 1:
-                    options.append((c * 2, 0.0 if n == 2 else SHRINK))
+            options = self._options(c, n)
             new: dict = {}
             for (a, b), (score, back) in states.items():
                 for emit, cost in options:
@@ -185,7 +181,7 @@ def featurize(lp):
 
 def fit(y: np.ndarray, words: list[np.ndarray], l1: float = L1, steps: int = 150) -> tuple[np.ndarray, np.ndarray, float]:
     """L1 logistic regression over present words by FISTA: (hashes, weights, bias). Words in under MIN_DOCS documents
-    are left out, and beyond FEATURES the rarest."""
+    are left out."""
     n = len(y)
     if n == 0 or y.min() == y.max():
         p = min(max(float(y.mean()) if n else 0.5, 1e-3), 1 - 1e-3) if n else 0.5
@@ -194,8 +190,6 @@ def fit(y: np.ndarray, words: list[np.ndarray], l1: float = L1, steps: int = 150
     flat = np.concatenate(words) if size.sum() else np.zeros(0, dtype=np.int64)
     names, col, df = np.unique(flat, return_inverse=True, return_counts=True)
     keep = df >= MIN_DOCS
-    if keep.sum() > FEATURES:
-        keep &= df >= np.sort(df[keep])[-FEATURES]
     row = np.repeat(np.arange(n), size)[keep[col]]
     col = (np.cumsum(keep) - 1)[col[keep[col]]]
     names = names[keep]
@@ -258,14 +252,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 
     Only the text enters a score. Null and empty texts get the score of a text without words. Labels of held-out
     ids, null labels and null ids are never learned from; without labels of both kinds every score is their rate
-    (a half where there are none). Repeated rows are scored alike.
+    (a half where there are none). Repeated rows are scored alike. An id with several labels counts as toxic if one says so;
+    one with several texts is learned from that with the smallest hash. Very long texts are scored whole.
     """
     sc = docs.sparkSession.sparkContext
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     lp = sc.broadcast(trigram_model(docs))
     marked = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("y")).filter(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marked = marked.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # the sample's bound
-    learned = docs.join(F.broadcast(marked), "doc_id").select(F.col("y").cast("long").alias("y"), "text").limit(2 * sample)
+    texts = docs.join(F.broadcast(marked), "doc_id").groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
+    learned = texts.orderBy("doc_id").select(F.col("y").cast("long").alias("y"), "text")
     got = learned.mapInArrow(featurize(lp), "y long, words array<long>").toArrow()
     y = got.column("y").to_numpy().astype(np.float64) if got.num_rows else np.zeros(0)
     weights = sc.broadcast(fit(y, [x.values.to_numpy() for x in got.column("words")]))
