@@ -91,6 +91,14 @@ def bit_filter(keys: DataFrame, bits: int = 23) -> np.ndarray:
     return out
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, or one like it, that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def perhaps(df: DataFrame, key: str, keys: DataFrame, inside: bool = True, bits: int = 23) -> DataFrame:
     """The rows of df whose long column `key` is among the keys (column k), and a few others by chance; or, with
     inside=False, exactly the rest.
@@ -102,10 +110,11 @@ def perhaps(df: DataFrame, key: str, keys: DataFrame, inside: bool = True, bits:
     low = lambda c: c.bitwiseAND(F.lit(mask).cast("long"))
     bit = lambda c: c.bitwiseAND(F.lit(63).cast("long")).cast("int")
     k = F.col("k")
-    words = keys.select(F.shiftright(low(k), 6).alias("_slot"), F.call_function("shiftleft", one, bit(k)).alias("_one"))
-    words = words.groupBy("_slot").agg(F.bit_or("_one").alias("_word"))
-    hit = F.coalesce(F.call_function("shiftrightunsigned", F.col("_word"), bit(F.col(key))).bitwiseAND(one), F.lit(0)) == 1
-    out = df.withColumn("_slot", F.shiftright(low(F.col(key)), 6)).join(F.broadcast(words), "_slot", "left")
+    slot, word = unused(df, "_slot"), unused(df, "_word")
+    words = keys.select(F.shiftright(low(k), 6).alias(slot), F.call_function("shiftleft", one, bit(k)).alias("one"))
+    words = words.groupBy(slot).agg(F.bit_or("one").alias(word))
+    hit = F.coalesce(F.call_function("shiftrightunsigned", F.col(word), bit(F.col(key))).bitwiseAND(one), F.lit(0)) == 1
+    out = df.withColumn(slot, F.shiftright(low(F.col(key)), 6)).join(F.broadcast(words), slot, "left")
     return out.filter(hit if inside else ~hit).select(*df.columns)
 
 

@@ -7,22 +7,41 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.common import written
 
+HUB, HUBS, SALTS = 1000, 10_000, 64
+
+
+def with_least(df: DataFrame, rows: int, key: str, value: str, name: str) -> DataFrame:
+    """df, of at most `rows` rows, with the least `value` of each row's key as column `name`.
+
+    Minima are combined before the shuffle and joined back. Keys with more than HUB rows and a share of over 1 / HUBS of
+    all, of which there are at most HUBS, are broadcast, and their rows dealt out in SALTS parts.
+    """
+    limit = max(HUB, rows // HUBS)
+    least = df.groupBy(key).agg(F.min(value).alias(name), F.count("*").alias("_n"))
+    if rows <= limit:
+        return df.join(least.drop("_n"), key)
+    hubs = least.filter(F.col("_n") > limit).select(key, F.lit(True).alias("_hub"))
+    salt = F.when(F.col("_hub"), F.pmod(F.xxhash64(value), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    salts = F.when(F.col("_n") > limit, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    dealt = df.join(F.broadcast(hubs), key, "left").withColumn("_salt", salt).drop("_hub")
+    return dealt.join(least.withColumn("_salt", F.explode(salts)).drop("_n"), [key, "_salt"]).drop("_salt")
+
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of the undirected edges (u, v); component is its smallest node.
 
-    Each round is a large star and a small star: minima are combined before the shuffle and joined back, and the
-    join splits skewed nodes. Self-loops and repeated edges do no harm; nodes without an edge to another are absent.
+    Each round is a large star and a small star; a hub's edges are dealt over many tasks. Self-loops and repeated edges do no
+    harm; nodes without an edge to another are absent.
     """
     e = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     e = written(e, "edges")
     for _ in range(rounds):
+        n = 2 * e.count()
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        large = with_least(both, n, "u", "v", "m").filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        small = with_least(large, n, "u", "v", "m")
+        ends = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v"))))
+        e = written(small.select(ends.alias("e")).select("e.u", "e.v").filter("u <> v").distinct(), "edges")
         inner = e.join(e.select(F.col("u").alias("v")).distinct(), "v", "left_semi").limit(1)
         if inner.isEmpty():
             break

@@ -8,25 +8,34 @@ the band has twice as many segments more, so that two sets' different choices st
 bands get few segments, all with neighbourhoods.
 
 Pairs that share a signature are held against a 512-bit sketch, whose differing bits bound the sets' difference from
-below, and those left are verified on the sets themselves. Signatures of more than `CROWD` sets are compared
-in blocks of at most 2 * BLOCK sets each by sketch, so no task holds a whole crowd and no pair is dropped. Only
-components are wanted, so links inside a component already found need no verification.
+below, and those left are verified on the sets themselves. Only components are wanted, so links inside a component already
+found need no verification.
+
+Signatures of more than `CROWD` sets are crowds. Sets that may have all their common signatures in crowds are first
+verified against a few leaders of their crowds, one row each, which joins most copies of a text. What is then still in different
+components of a crowd's family is compared in blocks of two chunks of about BLOCK sets by sketch, and verified: first at
+most `TRY` partners of a set in each other component, then, for what these have not joined, all. So no task holds a
+whole crowd, no pair inside a component is written, and no pair is dropped.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import fold, perhaps, ranges, released, slices, written
-from gleanery.llm.graph import components
+from gleanery.llm.common import fold, perhaps, ranges, released, slices, unused, written
+from gleanery.llm.graph import components, with_least
 
 WORDS = 8  # 64-bit words of a sketch
 CROWD = 48
 BLOCK = 2048
 ONE = 1 - 1e-9
+LEADERS = 3
+TRY = 16
 RESIDENTS = 4_000_000  # n-grams of a chunk's sets, 32 MB
 NEEDS = [1, 3, 6, 12, 24, 48, 96, 192]
 
@@ -172,15 +181,15 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view("<i8")
 
 
-def _keys(s: np.ndarray) -> tuple[int, int]:
+def _key(s: np.ndarray) -> int:
+    """64-bit hash of a set, by which equal sets are one class."""
     import xxhash
 
-    d = xxhash.xxh3_128_intdigest(s.tobytes())
-    return (d & (2**64 - 1)) - 2**63, (d >> 64) - 2**63
+    return xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63
 
 
 def describe(n: int):
-    """(doc_id, th, text) to (doc_id, th, n_shingles, k1, k2, sketch words)."""
+    """(doc_id, dh, text) to (doc_id, dh, n_shingles, k1, sketch words)."""
 
     def run(batches):
         hashes = WordHash()
@@ -188,38 +197,63 @@ def describe(n: int):
             texts = batch.column(2).to_pylist()
             for lo, hi in slices(texts, 500_000):
                 sets = shingle_sets(texts[lo:hi], n, hashes)
-                keys = [_keys(s) for s in sets]
                 words = np.stack([sketch(s) for s in sets])
-                cols = [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())]
+                cols = [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array([_key(s) for s in sets], pa.int64())]
                 cols += [pa.array(words[:, j]) for j in range(WORDS)]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "th", "n_shingles", "k1", "k2", *(f"w{j}" for j in range(WORDS))])
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "dh", "n_shingles", "k1", *(f"w{j}" for j in range(WORDS))])
 
     return run
 
 
-def sign(n: int, percent: int):
-    """(text) to (sig, k1); each set once in a partition."""
+class Crowds:
+    """Tells which of a task's signatures need not be dealt out: of those that over `crowd` of its sets share, the first
+    crowd + 1 rows, which tell that it is a crowd, are."""
+
+    def __init__(self, crowd: int):
+        self.crowd = crowd
+        self.sent: dict[int, int] = {}
+
+    def known(self, sig: np.ndarray) -> np.ndarray:
+        """Which of these (signature, set) rows are crowds' and can go their way at once."""
+        out = np.zeros(len(sig), dtype=bool)
+        order = np.argsort(sig, kind="stable")
+        line = sig[order]
+        start = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else order
+        size = np.diff(np.append(start, len(line)))
+        often = size > max(1, self.crowd // 8)
+        if self.sent:
+            often |= np.isin(line[start], np.fromiter(self.sent, dtype=sig.dtype, count=len(self.sent)))
+        for s, n in zip(start[often].tolist(), size[often].tolist(), strict=True):
+            before = self.sent.get(int(line[s]), 0)
+            self.sent[int(line[s])] = before + n
+            out[order[s + max(0, min(n, self.crowd + 1 - before)) : s + n]] = True
+        return out
+
+
+def sign(n: int, percent: int, crowd: int):
+    """(text) to (sig, k1, known); each set once in a partition."""
 
     def run(batches):
-        hashes, bands, seen = WordHash(), Bands(percent), set()
+        hashes, bands, seen, crowds_ = WordHash(), Bands(percent), set(), Crowds(crowd)
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for lo, hi in slices(texts, 500_000):
                 fresh, keys = [], []
                 for s in shingle_sets(texts[lo:hi], n, hashes):
-                    k = _keys(s)
+                    k = _key(s)
                     if len(s) and k not in seen:
                         seen.add(k)
                         fresh.append(s)
-                        keys.append(k[0])
+                        keys.append(k)
                 sig, src = signatures(fresh, bands)
-                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(np.array(keys, dtype=np.int64)[src])], ["sig", "k1"])
+                known = crowds_.known(sig)
+                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(np.array(keys, dtype=np.int64)[src]), pa.array(known)], ["sig", "k1", "known"])
 
     return run
 
 
 def meet(crowd: int):
-    """Rows sorted by (sig, k1) to pairs (a, b, place in NEEDS) of small groups, and (k1, null, sig) of crowds."""
+    """Rows (sig, k1, known) sorted by (sig, k1) to pairs (a, b, place in NEEDS) of small groups, and (k1, null, sig) of crowds."""
 
     def rows(a, b, sig):
         if b is None:
@@ -249,7 +283,11 @@ def meet(crowd: int):
         held_sig = held_key = np.zeros(0, dtype=np.int64)  # of the last group, as long as it is no crowd
         flow = None  # (signature, last key) of a crowd that goes on
         for batch in batches:
-            sig, key = np.concatenate([held_sig, batch.column(0).to_numpy()]), np.concatenate([held_key, batch.column(1).to_numpy()])
+            sig, key, known = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            if known.any():
+                yield rows(key[known], None, sig[known])
+                sig, key = sig[~known], key[~known]
+            sig, key = np.concatenate([held_sig, sig]), np.concatenate([held_key, key])
             held_sig = held_key = sig[:0]
             if not len(sig):
                 continue
@@ -279,12 +317,14 @@ def meet(crowd: int):
     return run
 
 
-def crowds(percent: int):
-    """Rows (family, lo, hi, chunk, cid, n, words) sorted by (family, lo, hi) to (family, u, partners): the sets v > u that
-    size and sketch allow, and a row without partners for each set that is only a partner."""
+def crowds(percent: int, most: int | None):
+    """Rows (family, lo, hi, chunk, k1, component, n, words) sorted by (family, lo, hi) to (family, u, partners, cut): the sets of
+    other components that size and sketch allow, at most `most` of each component (cut tells if there were more), and a row
+    without partners for each set that is only a partner."""
 
-    def block(fam, k, n, w, c, same):
+    def block(fam, k, part, n, w, c, same):
         left, right = (np.arange(len(k)),) * 2 if same else (np.flatnonzero(c == c.min()), np.flatnonzero(c == c.max()))
+        _, part, crew = np.unique(part, return_inverse=True, return_counts=True)
         u, v = [], []
         for i in range(0, len(left), 256):
             x = left[i : i + 256]
@@ -292,20 +332,31 @@ def crowds(percent: int):
             for j in range(WORDS):
                 diff += np.bitwise_count(w[x, j][:, None] ^ w[right, j][None, :])
             a, b = n[x][:, None], n[right][None, :]
-            ok = (diff * (100 + percent) <= (a + b) * (100 - percent)) & (np.minimum(a, b) * 100 >= percent * np.maximum(a, b)) & (k[x][:, None] < k[right][None, :] if same else True)
+            ok = (diff * (100 + percent) <= (a + b) * (100 - percent)) & (np.minimum(a, b) * 100 >= percent * np.maximum(a, b)) & (part[x][:, None] != part[right][None, :])
+            if same:
+                ok &= x[:, None] < right[None, :]
             p, q = np.nonzero(ok)
-            u.append(np.minimum(k[x[p]], k[right[q]]))
-            v.append(np.maximum(k[x[p]], k[right[q]]))
+            u.append(x[p])
+            v.append(right[q])
         u, v = np.concatenate(u), np.concatenate(v)
         if len(u):
-            order = np.lexsort((v, u))
+            # the one of the smaller component here asks
+            turn = (crew[part[u]] > crew[part[v]]) | ((crew[part[u]] == crew[part[v]]) & (part[u] > part[v]))
+            u, v = np.where(turn, v, u), np.where(turn, u, v)
+            order = np.lexsort((v, part[v], u))
             u, v = u[order], v[order]
+            cut = np.zeros(len(u), dtype=bool)
+            if most is not None:
+                run = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (part[v[1:]] != part[v[:-1]])]))
+                rank = np.arange(len(u)) - np.repeat(run, np.diff(np.append(run, len(u))))
+                cut, held = np.isin(u, u[rank >= most]), rank < most
+                u, v, cut = u[held], v[held], cut[held]
             start = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
-            lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(v)).astype(np.int32)), pa.array(v))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(start), fam)), pa.array(u[start]), lists], ["family", "u", "partners"])
+            lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(v)).astype(np.int32)), pa.array(k[v]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(start), fam)), pa.array(k[u[start]]), lists, pa.array(cut[start])], ["family", "u", "partners", "cut"])
             alone = np.setdiff1d(v, u)
-            none = pa.ListArray.from_arrays(pa.array(np.zeros(len(alone) + 1, dtype=np.int32)), pa.array(v[:0]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(alone), fam)), pa.array(alone), none], ["family", "u", "partners"])
+            none = pa.ListArray.from_arrays(pa.array(np.zeros(len(alone) + 1, dtype=np.int32)), pa.array(k[:0]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(alone), fam)), pa.array(k[alone]), none, pa.array(np.zeros(len(alone), dtype=bool))], ["family", "u", "partners", "cut"])
 
     def run(batches):
         held = None
@@ -323,24 +374,24 @@ def crowds(percent: int):
             start = np.flatnonzero(new).tolist() + [len(new)]
             for s, e in zip(start[: None if done else -2], start[1 : None if done else -1], strict=False):
                 if e > s + 1:
-                    yield from block(held[0][s], held[4][s:e], held[5][s:e], np.stack([x[s:e] for x in held[6:]], 1).view(np.uint64), held[3][s:e], held[1][s] == held[2][s])
+                    yield from block(held[0][s], held[4][s:e], held[5][s:e], held[6][s:e], np.stack([x[s:e] for x in held[7:]], 1).view(np.uint64), held[3][s:e], held[1][s] == held[2][s])
             held = [x[start[-2] if not done else start[-1] :] for x in held]
 
     return run
 
 
 def _wanted_sets(n: int):
-    """(doc_id, text) to (doc_id, k1, k2, set)."""
+    """(dh, text) to (dh, k1, set), each document's once in a partition."""
 
     def run(batches):
-        hashes = WordHash()
+        hashes, seen = WordHash(), set()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo, hi in slices(texts, 500_000):
-                sets = shingle_sets(texts[lo:hi], n, hashes)
-                keys = [_keys(s) for s in sets]
-                cols = [batch.column(0).slice(lo, hi - lo), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "k1", "k2", "set"])
+                fresh = [i for i in range(lo, hi) if not (names[i] in seen or seen.add(names[i]))]
+                sets = shingle_sets([texts[i] for i in fresh], n, hashes)
+                cols = [pa.array([names[i] for i in fresh], pa.int64()), pa.array([_key(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["dh", "k1", "set"])
 
     return run
 
@@ -423,29 +474,23 @@ def verify_pairs(percent: int):
     return run
 
 
-def similar_documents(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, the smallest doc_id that links reach.
-
-    Words are runs of what is not ASCII white space, A-Z lower-cased. Null texts and texts without words have an empty
-    set, link with nothing and are their own component. Repeated rows and equal texts are one class; null ids take
-    part, but never name a component unless all of it is null. The result is exact at every size.
-    """
+def classified(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, dh, n_shingles, k1) of each row, dh being a hash of id and text, and (k1, component, component_id) of each
+    class of equal sets that are not empty."""
     text = F.col("text").cast("string")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash().alias("dh"), text.alias("text"))
     words = [f"w{j}" for j in range(WORDS)]
-    schema = "doc_id long, th long, n_shingles long, k1 long, k2 long, " + ", ".join(f"{w} long" for w in words)
+    schema = "doc_id long, dh long, n_shingles long, k1 long, " + ", ".join(f"{w} long" for w in words)
     described = written(docs.mapInArrow(released(describe(shingle)), schema), "described")
-    # one row per class; ids of classes are their smallest doc_id, or a negative stand-in where all ids are null
-    lead = F.coalesce(F.min("doc_id"), -F.abs(F.xxhash64("k1", "k2")) - 2)
-    # the text hash is that of a document with the class's name: _linked reads the set from there
-    th = F.coalesce(F.min_by("th", "doc_id"), F.min("th"))
-    classes = described.filter("n_shingles > 0").groupBy("k1", "k2").agg(lead.alias("cid"), th.alias("th"), *(F.min(c).alias(c) for c in ("n_shingles", *words)))
+    # a class is read from the row that names it, or, where all ids are null, from any
+    classes = described.filter("n_shingles > 0").groupBy("k1").agg(F.min("doc_id").alias("lead"), F.coalesce(F.min_by("dh", "doc_id"), F.min("dh")).alias("dh"), *(F.min(c).alias(c) for c in ("n_shingles", *words)))
     classes = written(classes.withColumnRenamed("n_shingles", "n"), "classes")
 
-    signed = docs.select("text").mapInArrow(released(sign(shingle, percent)), "sig long, k1 long")
-    met = written(signed.repartition("sig").sortWithinPartitions("sig", "k1").mapInArrow(meet(CROWD), "a long, b long, sig long"), "met")
+    signed = docs.select("text").mapInArrow(released(sign(shingle, percent, CROWD)), "sig long, k1 long, known boolean")
+    dealt = signed.repartition(F.when(F.col("known"), F.xxhash64("sig", "k1")).otherwise(F.col("sig"))).sortWithinPartitions("sig", "k1")
+    met = written(dealt.mapInArrow(meet(CROWD), "a long, b long, sig long"), "met")
     share = F.element_at(F.array(*(F.lit(1 / n) for n in NEEDS)), F.col("sig").bitwiseAND(F.lit(7).cast("long")).cast("int") + 1)
-    packed = met.filter("b is null").select("sig", F.col("a").alias("k1"))
+    packed = written(met.filter("b is null").select("sig", F.col("a").alias("k1")).distinct(), "crowds")
     crowded = written(packed.groupBy("k1").agg(F.sum(share).alias("c")), "crowded")
     # shares of similar sets' common signatures add up to one; those in crowds are at most either set's in crowds
     pairs = met.filter("b is not null").groupBy("a", "b").agg(F.sum(share).alias("w"))
@@ -453,38 +498,96 @@ def similar_documents(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     ids = crowded.select(F.col("k1").alias("k"))
     pairs = sure.unionByName(perhaps(perhaps(rest, "a", ids), "b", ids))
     rated = classes.join(crowded, "k1", "left").withColumn("c", F.coalesce("c", F.lit(0.0)))
-    x, y = (rated.select(F.col("k1").alias(s), F.col("cid").alias(f"c{s}"), F.col("n").alias(f"n{s}"), F.col("c").alias(f"s{s}"), *(F.col(w).alias(f"{w}{s}") for w in words)) for s in "ab")
+    x, y = (rated.select(F.col("k1").alias(s), F.col("n").alias(f"n{s}"), F.col("c").alias(f"s{s}"), *(F.col(w).alias(f"{w}{s}") for w in words)) for s in "ab")
     bits = sum((F.bit_count(F.col(f"{w}a").bitwiseXOR(F.col(f"{w}b"))) for w in words), F.lit(0))
     able = (bits * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)) & (F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb"))
     able &= F.col("w") + F.least("sa", "sb") >= ONE
-    left = written(pairs.join(x, "a").join(y, "b").filter(able).select(F.least("ca", "cb").alias("u"), F.greatest("ca", "cb").alias("v")).distinct(), "candidates")
+    left = pairs.join(x, "a").join(y, "b").filter(able).select(F.col("a").alias("u"), F.col("b").alias("v"))
     # two sets that may have all their common signatures in crowds are compared there
-    deep = packed.withColumn("c", F.sum(share).over(Window.partitionBy("k1"))).filter(F.col("c") >= ONE)
-    lists = None if deep.isEmpty() else written(_crowded(deep, classes, words, percent), "lists")
-
-    out = described.select("doc_id", "n_shingles", "k1", "k2").join(classes.select("k1", "k2", "cid"), ["k1", "k2"], "left")
-    if left.isEmpty() and (lists is None or lists.isEmpty()):
-        out = out.withColumn("component", F.lit(None).cast("long"))
-    else:
-        out = out.join(components(_linked(docs, classes, left, lists, shingle, percent)).withColumnRenamed("node", "cid"), "cid", "left")
-    found = F.coalesce("component", "cid", "doc_id")
-    return out.select("doc_id", "n_shingles", F.when((found < -1) & F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(found).alias("component_id"))
-
-
-def _crowded(packed, classes, words, percent):
-    """(family, u, partners) of the sets in crowds. A family is all sets that crowds connect; each two sets of it are
-    compared once by sketch, in blocks of two chunks of about BLOCK."""
-    led = packed.select(F.col("k1").alias("u"), F.min("k1").over(Window.partitionBy("sig")).alias("v")).distinct()
-    family = written(components(led), "families")
-    sizes = family.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("chunks"))
-    members = family.join(sizes, "component").join(classes.select(F.col("k1").alias("node"), "cid", "n", *words), "node")
-    spread = members.withColumn("chunk", F.pmod(F.xxhash64("cid"), "chunks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    dealt = spread.select("component", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "cid", "n", *words)
-    return dealt.repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi").mapInArrow(released(crowds(percent)), "family long, u long, partners array<long>")
+    deep = packed.join(crowded.filter(F.col("c") >= ONE).select("k1"), "k1", "left_semi")
+    deep = written(deep, "deep")
+    rows = deep.count()
+    if rows:
+        left = left.unionByName(_led(deep, rows))
+    left = written(left.distinct(), "candidates")
+
+    links = docs.sparkSession.createDataFrame([], "u long, v long") if left.isEmpty() else _linked(docs, classes, left, None, shingle, percent)
+    joined = components(links)
+    if rows:
+        family = deep.select(F.col("k1").alias("u"), "sig")
+        family = written(components(with_least(family, rows, "sig", "u", "v").select("u", "v")), "families")
+        for most in (TRY, None):
+            lists = _crowded(family, joined, classes, words, percent, most)
+            lists = None if lists is None else written(lists, "lists")
+            if lists is None or lists.isEmpty():
+                break
+            links = links.unionByName(_linked(docs, classes, left.limit(0), lists.drop("cut"), shingle, percent))
+            joined = components(links)
+            if lists.filter("cut").isEmpty():
+                break
+    named = classes.select("k1", "lead").join(joined.withColumnRenamed("node", "k1"), "k1", "left").withColumn("component", F.coalesce("component", "k1"))
+    named = written(named, "named")
+    return described.select("doc_id", "dh", "n_shingles", "k1"), named.join(named.groupBy("component").agg(F.min("lead").alias("component_id")), "component").select("k1", "component", "component_id")
+
+
+def row_hash():
+    """Hash of a row's id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")))
+
+
+def similar_documents(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, the smallest doc_id that links reach.
+
+    Words are runs of what is not ASCII white space, A-Z lower-cased. Null texts and texts without words have an empty
+    set, link with nothing and are their own component. Repeated rows and equal texts are one class, and each row of an id
+    that has several texts is a document of its own; null ids take part, but never name a component unless all of it is null.
+    Very long texts are taken whole, one at a time. Other columns are left out; no rows give none. The result is exact at
+    every size, up to equal 64-bit hashes of different sets.
+    """
+    rows, named = classified(docs, shingle, percent)
+    out = rows.join(named.select("k1", "component_id", F.lit(True).alias("found")), "k1", "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("found"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def _led(deep: DataFrame, rows: int) -> DataFrame:
+    """Pairs (u, v) of each set of a crowd and LEADERS sets of its crowds, the same for most of a crowd."""
+    out = []
+    for r in range(LEADERS):
+        ranked = deep.withColumn("r", F.xxhash64("k1", F.lit(r)))
+        leader = with_least(ranked.withColumn("s", F.struct("r", "k1")), rows, "sig", "s", "m").groupBy("k1").agg(F.min("m")["k1"].alias("m"))
+        out.append(leader.filter("m <> k1").select(F.col("k1").alias("u"), F.col("m").alias("v")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def _crowded(family, joined, classes, words, percent, most):
+    """(family, u, partners, cut) of the sets in crowds that are not joined yet, or None. A family is all sets that crowds
+    connect; each two sets of it from different components are compared once by sketch, in blocks of two chunks of about BLOCK.
+
+    A component of BLOCK sets or more has chunks of its own, which never meet one another; the others share theirs.
+    """
+    members = family.select(F.col("component").alias("family"), F.col("node").alias("k1"))
+    members = members.join(joined.select(F.col("node").alias("k1"), "component"), "k1", "left").withColumn("component", F.coalesce("component", "k1"))
+    members = written(members, "members")
+    sizes = written(members.groupBy("family", "component").agg(F.count("*").alias("m")), "sizes")
+    small = F.coalesce(F.sum(F.when(F.col("m") < BLOCK, F.col("m"))), F.lit(0))
+    several = sizes.groupBy("family").agg(F.count("*").alias("parts"), F.ceil(small / BLOCK).alias("mixed")).filter("parts > 1")
+    if several.isEmpty():
+        return None
+    big = sizes.filter(F.col("m") >= BLOCK).join(several, "family").withColumn("chunks", F.ceil(F.col("m") / BLOCK))
+    ends = F.sum("chunks").over(Window.partitionBy("family").orderBy("component"))  # a row for BLOCK sets or more
+    big = written(big.select("family", "component", "chunks", (F.col("mixed") + ends - F.col("chunks")).alias("first")), "big")
+    total = several.join(big.groupBy("family").agg(F.sum("chunks").alias("own")), "family", "left").select("family", "mixed", (F.col("mixed") + F.coalesce("own", F.lit(0))).alias("total"))
+    dealt = members.join(total, "family").join(big, ["family", "component"], "left").join(classes.select("k1", "n", *words), "k1")
+    hashed = F.xxhash64("k1")
+    chunk = F.when(F.col("chunks").isNull(), F.pmod(F.xxhash64("component"), F.col("mixed"))).otherwise(F.col("first") + F.pmod(hashed, F.col("chunks")))
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("total") - 1), lambda c: F.col("chunks").isNull() | (c < F.col("first")) | (c >= F.col("first") + F.col("chunks")))
+    dealt = dealt.withColumn("chunk", chunk).withColumn("other", F.explode(others))
+    dealt = dealt.select("family", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "k1", "component", "n", *words)
+    return dealt.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi").mapInArrow(released(crowds(percent, most)), "family long, u long, partners array<long>, cut boolean")
 
 
 def _linked(docs, classes, left, lists, shingle, percent):
-    """Verified links (u, v) of class ids that span the same components as all links.
+    """Verified links (u, v) of classes that span the same components as all links.
 
     left: candidate pairs; lists: (family, u, partners) of crowds, or None. Sets meet under labels, the components of each
     set's edge to its smallest partner or to its family's smallest set, in chunks of about RESIDENTS n-grams: a set travels to
@@ -494,10 +597,8 @@ def _linked(docs, classes, left, lists, shingle, percent):
     none = F.array().cast("array<long>")
     nodes = left.select("u").unionByName(left.select(F.col("v").alias("u")))
     nodes = (nodes if lists is None else nodes.unionByName(lists.select("u"))).distinct()
-    nodes = written(nodes.join(classes.select(F.col("cid").alias("u"), "k1", "k2", "th", "n"), "u"), "nodes")
-    wanted = perhaps(docs, "th", nodes.select(F.col("th").alias("k"))).select("doc_id", "text").mapInArrow(released(_wanted_sets(shingle)), "doc_id long, k1 long, k2 long, set binary")
-    # a class's set comes from the document that names it, or, where ids are null, from any
-    own = (F.col("doc_id") == F.col("u")) | (F.col("u") < -1)
+    nodes = written(nodes.join(classes.select(F.col("k1").alias("u"), "dh", "n"), "u"), "nodes")
+    wanted = perhaps(docs, "dh", nodes.select(F.col("dh").alias("k"))).select("dh", "text").mapInArrow(released(_wanted_sets(shingle)), "dh long, k1 long, set binary").withColumnRenamed("k1", "u")
     links = []
     for last in (False, True):
         edges = left.groupBy("v").agg(F.min("u").alias("u")).select("u", "v").unionByName(left.groupBy("u").agg(F.min("v").alias("v")).select("u", "v"))
@@ -510,8 +611,8 @@ def _linked(docs, classes, left, lists, shingle, percent):
         sizes = labels.join(nodes.select(F.col("u").alias("node"), "n"), "node").groupBy("component").agg(F.ceil(F.sum("n") / RESIDENTS).alias("chunks"))
         asks = asks.groupBy(F.col("u").alias("node")).agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners"))
         labels = labels.join(sizes, "component").join(asks, "node", "left").select(F.col("node").alias("u"), F.col("component").alias("label"), "chunks", "partners")
-        labels = written(labels.join(nodes.drop("th", "n"), "u"), "labels")
-        sets = labels.join(wanted, ["k1", "k2"]).filter(own).select("label", F.col("u").alias("cid"), "set", "partners", "chunks")
+        labels = written(labels.join(nodes.drop("n"), "u"), "labels")
+        sets = labels.join(wanted, ["u", "dh"]).select("label", F.col("u").alias("cid"), "set", "partners", "chunks")
         chunks = F.array_union(F.array(F.pmod("cid", "chunks")), F.transform(F.coalesce("partners", none), lambda v: F.pmod(v, F.col("chunks"))))
         both = sets.withColumn("chunk", F.explode(chunks)).withColumn("lives", F.col("chunk") == F.pmod("cid", "chunks"))
         both = both.repartition("label", "chunk").sortWithinPartitions("label", "chunk", F.desc("lives"), "cid").select("label", "chunk", "lives", "cid", "set", "partners", "chunks")
@@ -521,24 +622,32 @@ def _linked(docs, classes, left, lists, shingle, percent):
         if left.isEmpty():
             break
         if last:
-            sets = nodes.join(wanted, ["k1", "k2"]).filter(own)
+            sets = nodes.join(wanted, ["u", "dh"])
             x, y = (sets.select(F.col("u").alias(c), F.col("set").alias(n)) for c, n in (("u", "x"), ("v", "y")))
             found = left.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(verify_pairs(percent), "u long, v long, linked boolean")
             links.append(written(found, "links").select("u", "v"))
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out
+    return reduce(DataFrame.unionByName, links)
 
 
 def near_duplicates_dropped(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document of each group of similar ones, that with the smallest doc_id; columns stay.
+    """docs with one row of each group of similar ones, that with the smallest doc_id, and of those the smallest hash of id and
+    text; columns stay. Of rows with the same id and text any one stays.
 
-    Documents with a null id, and those without words, stay.
+    Rows with a null id come last in their group. Rows without words are in no group and stay.
     """
-    found = similar_documents(docs, shingle, percent)
-    gone = written(found.filter("component_id <> doc_id").select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows, named = classified(docs, shingle, percent)
+    rows = rows.join(named.select("k1", "component"), "k1")  # not those without words
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "dh")
+    first = written(rows.groupBy("component").agg(F.min(place)["dh"].alias("first")), "first")
+    twice = written(rows.groupBy("component", "dh").agg(F.count("*").alias("n")).join(first, "component"), "rows")
+    key = unused(docs, "_key")
+    keyed = docs.withColumn(key, row_hash())
+    gone = twice.filter("dh <> first").select(F.col("dh").alias(key)).distinct()
+    keyed = keyed.join(gone, key, "left_anti")
+    several = twice.filter("dh = first and n > 1").select(F.col("dh").alias(key))
+    if not several.isEmpty():
+        keyed = keyed.join(several, key, "left_anti").unionByName(keyed.join(several, key, "left_semi").dropDuplicates([key]))
+    return keyed.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op9_partition_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gleanery.llm import embedding_dedup, jaccard_join, quality, secrets, suffix_dedup
+from gleanery.llm import embedding_dedup, graph, jaccard_join, quality, secrets, suffix_dedup
 from gleanery.llm.graph import components
 from tests.conftest import SF
 
@@ -73,6 +73,8 @@ def test_jaccard_join(spark, monkeypatch, n, percent):
     monkeypatch.setattr(jaccard_join, "CROWD", 4)
     monkeypatch.setattr(jaccard_join, "BLOCK", 8)
     monkeypatch.setattr(jaccard_join, "RESIDENTS", 300)
+    monkeypatch.setattr(jaccard_join, "TRY", 2)
+    monkeypatch.setattr(graph, "HUB", 5)
     rows = families(n, n, [1] * 30 + [2, 3, 5, 8, 30, 60])
     rows += [(None, None), (900, ""), (901, " \n"), (902, "one"), (903, "ONE"), (None, rows[0][1]), (904, "only two"), (rows[3][0], rows[3][1]), (905, "é É"), (906, "é é"), (907, "big " * 5000), (908, "big " * 5001)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("cid", F.lit("clash")).repartition(3)
@@ -99,7 +101,38 @@ def test_jaccard_edge_tables(spark):
     rows = jaccard_join.similar_documents(spark.createDataFrame([(None, "a b c d e f")] * 2, schema), 4, 85).collect()
     assert [tuple(r) for r in rows] == [(None, 3, None)] * 2
     kept = jaccard_join.near_duplicates_dropped(spark.createDataFrame([(2, "a b c d e f"), (1, "a b c d e f"), (3, None), (None, "a b c d e f")], schema))
-    assert sorted((str(r.doc_id) for r in kept.collect())) == ["1", "3", "None"]
+    assert sorted((str(r.doc_id) for r in kept.collect())) == ["1", "3"]
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Ids that repeat with other texts lose no text, repeated rows go to one, clashing columns stay."""
+    a, b = "a b c d e f g", "x y z w v u t"
+    rows = [(5, a), (5, a), (1, b), (5, b), (9, "nine other words stand in this one here"), (None, a), (None, "no id but its own text here"), (None, "no id but its own text here"), (4, ""), (4, "")]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, _key long").repartition(3)
+    got = jaccard_join.near_duplicates_dropped(df)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(5, a), (1, b), rows[4], (None, rows[6][1]), (4, ""), (4, "")], key=str)
+    ids = sorted((tuple(r) for r in jaccard_join.similar_documents(df, 5, 80).collect()), key=str)
+    assert ids == jaccard_brute(rows, 5, 80)
+
+
+def test_crowds_of_near_copies_join_by_leaders(spark, monkeypatch):
+    """A large group of near copies, some too far from any leader, is one component; no list of partners holds the group."""
+    monkeypatch.setattr(jaccard_join, "CROWD", 8)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 32)
+    monkeypatch.setattr(jaccard_join, "TRY", 2)
+    rng, rows = random.Random(8), []
+    base = [f"w{i}" for i in range(150)]
+    for i in range(300):
+        x = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            x[rng.randrange(len(x))] = f"v{rng.randrange(10000)}"
+        rows.append((i, " ".join(x)))
+    seen = []
+    monkeypatch.setattr(jaccard_join, "_crowded", lambda *x, f=jaccard_join._crowded: seen.append(f(*x)) or seen[-1])
+    got = sorted((tuple(r) for r in jaccard_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 4, 85).collect()), key=str)
+    assert got == jaccard_brute(rows, 4, 85)
+    assert all(x is None or x.agg(F.sum(F.size("partners"))).first()[0] < 300 * 60 for x in seen)
 
 
 def test_similar_sets_share_enough_signatures():
@@ -130,7 +163,8 @@ def test_crowds_flow_across_batches():
         sig, key = np.sort(rng.integers(0, 12, n) * 8), rng.integers(0, 40, n)
         order = np.lexsort((key, sig))
         sig, key, step = sig[order], key[order], int(rng.integers(1, 30))
-        batches = [pa.RecordBatch.from_arrays([pa.array(sig[i : i + step]), pa.array(key[i : i + step])], ["sig", "k1"]) for i in range(0, n, step)]
+        known = np.zeros(n, dtype=bool)
+        batches = [pa.RecordBatch.from_arrays([pa.array(x[i : i + step]) for x in (sig, key, known)], ["sig", "k1", "known"]) for i in range(0, n, step)]
         pairs, crowd = Counter(), defaultdict(list)
         for b in jaccard_join.meet(5)(iter(batches)):
             for a, c, s in zip(*(x.to_pylist() for x in b.columns), strict=True):
