@@ -1,9 +1,10 @@
 """Quality rules and n-gram perplexity.
 
 The language model is a modified Kneser-Ney model of order 5 over characters, across words: a document is one run
-of words with one symbol for the blanks between two, one model for each language. Spark counts the n-grams of the whole corpus: each run of characters is
-pre-aggregated to its different n-grams, then groupBy sums them. Continuation counts, discounts and
-interpolation are DataFrame operations on the n-gram tables, so no language is ever gathered in one task.
+of words with one symbol for the blanks between two, one model for each language. Spark counts the n-grams of all documents that
+the base rules let pass: each run of characters is pre-aggregated to its different n-grams, then groupBy sums them.
+Continuation counts, discounts and interpolation are DataFrame operations on the n-gram tables, so no language is ever
+gathered in one task.
 
 The model is kept as sorted arrays of all n-grams' 64-bit hashes and log probabilities, 12 bytes an entry, none
 left out. They are gathered and broadcast in shards of at most about `SHARD` entries, and mapped from the
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import fold, ranges, released, written
+from gleanery.llm.common import fold, ranges, released, slices, written
 
 ORDER = 5
 BEGIN, END = "\x02", "\x03"
@@ -64,9 +65,8 @@ def _salt(lang: str, kind: str) -> int:
     return zlib.crc32(data) << 32 | zlib.crc32(data[::-1])
 
 
-def _runs(text: str, across: bool) -> list[str]:
-    """The words of a text, or, across blanks, the text as one run with END for each run of blanks."""
-    words = text.encode("utf-8", "surrogatepass").split()
+def _runs(words, across: bool) -> list[str]:
+    """A text's words (bytes), or, across blanks, the text as one run with END for each run of blanks."""
     if across:
         words = [END.encode().join(words)] if words else []
     return [w.decode("utf-8", "surrogatepass") for w in words]
@@ -95,8 +95,14 @@ def _different(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order[start], start, order
 
 
-def count_grams(across: bool):
-    """(lang, text) to (lang, gram, n) of each run of about COUNT_CHARS characters."""
+def _failed(sizes: np.ndarray, repeat: np.ndarray) -> np.ndarray:
+    """Which documents the base rules reject."""
+    return (sizes < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * sizes)
+
+
+def count_grams(across: bool, passing: bool):
+    """(lang, text) to (lang, gram, n) of each run of about COUNT_CHARS characters; with passing, of the texts only that the
+    base rules let pass."""
 
     def grams_of(lang, pieces):
         text, points, at, _ = _slots(pieces)
@@ -108,16 +114,26 @@ def count_grams(across: bool):
     def run(batches):
         held: dict[str, list[str]] = {}
         size: dict[str, int] = {}
+        memo = _Codes()
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                lang = lang or ""
-                for piece in itertools.chain.from_iterable(map(_pieces, _runs(text or "", across))):
-                    held.setdefault(lang, []).append(piece)
-                    size[lang] = size.get(lang, 0) + len(piece)
-                    if sum(size.values()) > COUNT_CHARS:
-                        most = max(size, key=size.get)
-                        yield grams_of(most, held.pop(most))
-                        del size[most]
+            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for lo, hi in slices(texts, SLICE_CHARS):
+                words = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts[lo:hi]]
+                if passing:
+                    if len(memo) > WORDS_BOUND:
+                        memo.clear()
+                    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+                    codes = np.fromiter(map(memo.__getitem__, itertools.chain.from_iterable(words)), dtype=np.int64, count=int(sizes.sum()))
+                    words = [() if f else w for w, f in zip(words, _failed(sizes, _repeated(codes, sizes)).tolist(), strict=True)]
+                for lang, found in zip(langs[lo:hi], words, strict=True):
+                    lang = lang or ""
+                    for piece in itertools.chain.from_iterable(map(_pieces, _runs(found, across))):
+                        held.setdefault(lang, []).append(piece)
+                        size[lang] = size.get(lang, 0) + len(piece)
+                        if sum(size.values()) > COUNT_CHARS:
+                            most = max(size, key=size.get)
+                            yield grams_of(most, held.pop(most))
+                            del size[most]
         for lang, pieces in held.items():
             yield grams_of(lang, pieces)
 
@@ -179,9 +195,9 @@ def _keyed(order: int, kind: str):
     return run
 
 
-def model_table(docs: DataFrame, text: str = "text", lang: str = "lang", across: bool = False) -> DataFrame:
-    """(key, value) of all n-grams and back-off weights of all orders."""
-    counts = docs.select(F.col(lang).cast("string"), F.col(text).cast("string")).mapInArrow(released(count_grams(across)), "lang string, gram string, n long")
+def model_table(docs: DataFrame, text: str = "text", lang: str = "lang", across: bool = False, passing: bool = False) -> DataFrame:
+    """(key, value) of all n-grams and back-off weights of all orders, of all texts or of those that pass the base rules."""
+    counts = docs.select(F.col(lang).cast("string"), F.col(text).cast("string")).mapInArrow(released(count_grams(across, passing)), "lang string, gram string, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("c"))
     keyed = None
     for k, (grams, contexts) in enumerate(kneser_ney(counts), 1):
@@ -355,12 +371,8 @@ def judge(model):
 
         for batch in batches:
             ids, langs, texts = (batch.column(k).to_pylist() for k in range(3))
-            first, held = 0, 0
-            for i, t in enumerate(texts):
-                held += len(t or "")
-                if held > SLICE_CHARS or i == len(texts) - 1:
-                    yield figures(ids[first : i + 1], langs[first : i + 1], texts[first : i + 1])
-                    first, held = i + 1, 0
+            for lo, hi in slices(texts, SLICE_CHARS):
+                yield figures(ids[lo:hi], langs[lo:hi], texts[lo:hi])
 
     return run
 
@@ -372,12 +384,13 @@ def quality(docs: DataFrame, width: float = WIDTH) -> DataFrame:
     """One row per document: doc_id, lang, the base figures, base_failed, kept, perplexity and its band.
 
     Null and empty texts have no words, fail the base rules and are not kept. A null language is one of its own.
-    Null ids and repeated rows are judged like any other row; a table without rows gives none. Bands are taken from
-    the documents that pass the base rules; where a language has none, nothing of it is kept anyway.
+    Null ids and repeated rows are judged like any other row; a table without rows gives none. Model and bands are taken
+    from the documents that pass the base rules; where a language has none, nothing of it is kept anyway. Very long texts are
+    counted and scored whole, in pieces. Other columns are left out.
     """
     spark: SparkSession = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
-    model = [spark.sparkContext.broadcast(packed(*part)) for part in shards(model_table(docs, across=True))]
+    model = [spark.sparkContext.broadcast(packed(*part)) for part in shards(model_table(docs, across=True, passing=True))]
     schema = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_steps long, mean_lp double"
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     figures = written(docs.mapInArrow(released(judge(model)), schema), "quality").withColumn("base_failed", failed)
