@@ -36,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-#: Paths of the tables that this process has written and not dropped.
+#: Paths of the tables that this process has written, empty where they were dropped.
 _tables: list[str] = []
 
 
@@ -55,14 +55,15 @@ def written(df: DataFrame, tag: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_tables(spark: SparkSession, keep: int = 0) -> int:
-    """Delete the tables that written() has made after the first `keep`, but for the last; how many are left. For
-    callers that have written a result and read none of the tables behind it again."""
+def drop_tables(spark: SparkSession, since: int) -> int:
+    """Delete all but the last of the tables that written() has made after its first `since`; how many it has made. For callers
+    that have written a result and read none of the tables behind it again."""
     jvm = spark.sparkContext._jvm
-    for path in _tables[keep:-1]:
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-    del _tables[keep:-1]
+    for i in range(since, len(_tables) - 1):
+        if _tables[i]:
+            at = jvm.org.apache.hadoop.fs.Path(_tables[i])
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            _tables[i] = ""
     return len(_tables)
 
 

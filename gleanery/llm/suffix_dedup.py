@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import bit_filter, fold, perhaps, released, written
+from gleanery.llm.common import bit_filter, fold, perhaps, released, unused, written
 
 LENGTH, ANCHOR = 200, 100
 CROWD = 512
@@ -401,7 +401,7 @@ def repeated_starts(contexts: DataFrame, length: int, blocks: tuple[int, ...]) -
 
 
 def marked(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[DataFrame, DataFrame]:
-    """(docs without any repeated byte, the others with _spans: array of (a, b), the repeated byte ranges of `text`).
+    """(docs without any repeated byte, the others with one more column: array of (a, b), the repeated byte ranges of `text`).
 
     The ranges are sorted and disjoint. Together the two hold all rows and columns of docs.
     """
@@ -428,11 +428,12 @@ def marked(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> tuple
     spans = listed.join(repeats, ["fp", "ctx"]).select("doc_id", "th", (F.col("s") + F.col("lo")).alias("a"), (F.col("s") + F.col("hi") - 1 + length).alias("b"))
     spans = written(spans.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("_spans")), "spans")
 
-    hashed, found = docs.withColumn("_th", F.xxhash64(F.col("text").cast("string"))), spans.select(F.col("th").alias("k"))
-    clean, some = perhaps(hashed, "_th", found, inside=False).drop("_th"), perhaps(hashed, "_th", found)
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("th").alias("_t"), "_spans")
-    some = some.join(spans, some["doc_id"].cast("long").eqNullSafe(spans["_id"]) & (some["_th"] == spans["_t"]), "left")
-    return clean, some.select(*docs.columns, "_spans")
+    th, of, hashed_as = unused(docs, "_th"), unused(docs, "_id"), unused(docs, "_t")
+    hashed, found = docs.withColumn(th, F.xxhash64(F.col("text").cast("string"))), spans.select(F.col("th").alias("k"))
+    clean, some = perhaps(hashed, th, found, inside=False).drop(th), perhaps(hashed, th, found)
+    spans = spans.select(F.col("doc_id").alias(of), F.col("th").alias(hashed_as), F.col("_spans").alias(unused(docs, "_spans")))
+    some = some.join(spans, some["doc_id"].cast("long").eqNullSafe(spans[of]) & (some[th] == spans[hashed_as]), "left")
+    return clean, some.select(*(F.col(f"`{c}`") for c in docs.columns), unused(docs, "_spans"))
 
 
 def _merged(spans):

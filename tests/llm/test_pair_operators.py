@@ -234,7 +234,10 @@ def test_repeats(spark, monkeypatch, crowd):
 def test_repeats_removed_keeps_rows_and_columns(spark):
     passage = "".join(random.Random(2).choice("abcdefgh é") for _ in range(260))
     rows = [(1, "one " + passage + " end", 9), (2, passage, 9), (3, "clean", 5), (4, None, None)]
-    got = {r.doc_id: (r.text, r.n_chars) for r in suffix_dedup.repeats_removed(spark.createDataFrame(rows, "doc_id long, text string, n_chars long")).collect()}
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    clash = suffix_dedup.repeats_removed(df.withColumns({c: F.lit("clash") for c in ("_th", "_t", "_id", "_spans", "_slot", "_word", "th")}))
+    assert clash.filter("_th = 'clash' and _spans = 'clash' and _slot = 'clash'").count() == 4
+    got = {r.doc_id: (r.text, r.n_chars) for r in suffix_dedup.repeats_removed(df).collect()}
     assert got[2] == ("", 0) and got[3] == ("clean", 5) and got[4] == (None, None) and got[1][0].startswith("one") and len(got[1][0]) < 20
 
 

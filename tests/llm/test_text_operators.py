@@ -120,7 +120,7 @@ def test_n_grams_cross_words(spark):
 def test_long_texts_are_scored_in_pieces(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("text", "lang")
     model = quality.Model.trained(docs, across=True)
-    runs = [r for x in docs.head(20) for r in quality._runs(x.text or "", True)]
+    runs = [r for x in docs.head(20) for r in quality._runs((x.text or "").encode().split(), True)]
     whole = model.score("en", runs)
     monkeypatch.setattr(quality, "PIECE", 37)
     monkeypatch.setattr(quality, "SLICE_CHARS", 1000)
@@ -207,6 +207,29 @@ def test_secrets(spark, odd, nothing):
     assert normal(secrets.redact_secrets(odd).drop("n_chars").collect()) == normal(odd.drop("n_chars").collect())
 
 
+def test_credentials_link_as_a_nested_loop_does():
+    """Every candidate against every other one, over texts in which spans overlap, nest and crowd."""
+    rng, find = np.random.default_rng(7), secrets.finder(40)
+    parts = ["token=" + "0af1" * 8 + "-" + "Xy9" * 6, "client_id = user42", "Ab3" * 12, "0af1" * 7, "host: db.example.com", "AKIA" + "Q7" * 9, "AKIA" + "Q7" * 5, "password: hunter22", "pwd=abcd", "https://a.b.c/d", "x " * 15, "x " * 60, "account-key=", "\n"]
+    kinds = [re.compile(p, re.ASCII | f) for p, f in ((secrets.WEAK_ID, re.IGNORECASE), (secrets.WEAK_SECRET, 0), (secrets.ENDPOINT, re.IGNORECASE))]
+    linked = 0
+    for _ in range(1500):
+        text = " ".join(parts[i] for i in rng.integers(0, len(parts), rng.integers(1, 14)))
+        base = base_spans(text)
+        weak = [[(m.start(), 3 + k, m.end()) for m in p.finditer(text)] for k, p in enumerate(kinds)]
+        ids, keys, ends = ([x for x in w if not any(y[0] < x[2] and x[0] < y[2] for y in base)] for w in weak)
+        if not base and not weak[0]:
+            ids = keys = ends = []
+        near = lambda x, others: any(y[0] - x[2] <= 40 and x[0] - y[2] <= 40 for y in others)
+        all_ids, all_keys = ids + [x for x in base if x[1] == 1], keys + [x for x in base if x[1] != 1]
+        want = base + [x for x in ids if near(x, all_keys)] + [x for x in keys if near(x, all_ids)] + [x for x in ends if near(x, all_ids) and near(x, all_keys)]
+        assert find(text)[2] == sorted(want)
+        linked += len(want) - len(base)
+    assert linked > 1000
+    long = "token=" + "0a" * 15 + "-" + "z" * 316 + " client_id = user42"
+    assert [k for _, k, _ in secrets.finder(300)(long)[2]] == [0, 2, 3]
+
+
 def test_sentencepiece_parity(spark, odd, nothing):
     import public_tokenizers
     import sentencepiece
@@ -248,11 +271,70 @@ def test_unigram_model_with_normaliser_spec():
         assert tok.encode(t, add_special_tokens=False).ids == sp.encode(t)
 
 
+def test_unigram_documents_with_character_map(spark, tmp_path, odd):
+    """The whole operator over a unigram model whose normaliser maps characters and takes out extra blanks."""
+    import struct
+
+    import public_tokenizers
+    import sentencepiece
+
+    def field(n, kind, value):
+        size = len(value)
+        head = bytes([n << 3 | kind])
+        return head + (bytes([size & 127 | 128, size >> 7 & 127 | 128, size >> 14]) + value if kind == 2 else value)
+
+    def piece(text, score, kind=1):
+        return field(1, 2, field(1, 2, text.encode()) + field(2, 5, struct.pack("<f", score)) + field(3, 0, bytes([kind])))
+
+    pieces = [piece("<unk>", 0, 2), piece("<s>", 0, 3), piece("</s>", 0, 3)] + [piece(f"<0x{i:02X}>", 0, 6) for i in range(256)]
+    pieces += [piece(t, s) for t, s in (("▁", -2.0), ("▁ab", -1.0), ("a", -3.0), ("b", -3.5), ("ab", -2.5), ("c", -4.0), ("▁a", -2.2), ("▁c", -2.9))]
+    # a map of one character: full-width a becomes a; double array of its three bytes, then the replacement
+    charsmap = one_character_map("ａ", "a")
+    data = b"".join(pieces) + field(2, 2, field(3, 0, b"\x01") + bytes([0x98, 0x02, 0x01])) + field(3, 2, field(1, 2, b"own") + field(2, 2, charsmap))
+    path = tmp_path / "own.model"
+    path.write_bytes(data)
+    sp = sentencepiece.SentencePieceProcessor(model_proto=data)
+    assert sp.encode("ａb") == sp.encode("ab")
+    texts = ["ａb ab", "  ab   c ", "cab é", "", "a" * 50, "ab c " * 200, "ａ"]
+    docs = spark.createDataFrame([*enumerate(texts), (99, None)], "doc_id long, text string")
+    enc = sentencepiece_codec.encode_documents(docs, model_path=str(path), ids=True)
+    for r in enc.collect():
+        assert list(r.ids) == sp.encode(texts[r.doc_id] if r.doc_id != 99 else "") and r.parity
+    assert public_tokenizers.path(sentencepiece_codec.MODEL) != str(path)
+
+
+def one_character_map(source: str, target: str) -> bytes:
+    """A compiled character map with a single rule: size of the trie in bytes, double-array trie, replacements."""
+    import struct
+
+    data = source.encode()
+    units = [0] * 2048
+    # darts units: offset << 10 | label, bit 8 for a node with a value, values have bit 31
+    at, bases = 0, [256 * (k + 1) for k in range(len(data) + 1)]
+    label = 0
+    for k, byte in enumerate([*data, 0]):
+        child = bases[k] ^ byte
+        leaf = k == len(data)
+        units[at] = (at ^ bases[k]) << 10 | (1 << 8 if leaf else 0) | label
+        at, label = child, byte
+    units[at] = 1 << 31
+    return struct.pack("<I", 4 * len(units)) + struct.pack(f"<{len(units)}I", *units) + target.encode() + b"\0"
+
+
+def test_memo_is_bounded_by_characters():
+    memo = packing.Memo(lambda todo: [[len(t)] for t in todo], [0], bound=1000, room=100)
+    for k in range(20):
+        ids, counts = memo.batch([f"{k:030d} {k:020d}"], packing.white_chunks)
+        assert ids.tolist() == [30, 20, 0] and counts.tolist() == [3] and memo.chars <= 150
+
+
 def test_urls(spark, nothing):
     con = duckdb.connect()
     urls = [
         None, "", "no", "://", "http://COM/", "http://a.com", "https://www.example.com/en/x?y", "https://example.com/en/", "https://example.com/EN/", "http://x.net/es/#f", "http://net/fr/", "http://xnet/fr/", "http://a.b?c=/net/es/",
-        "http://casino-win.example.org/x", "http://x.org/free-bets", "http://x.org/freebets", "http://x.org/cheap-PILLS/", "http://a.com:80/en/", "http://x.org/a://b.com/", "http://ÉA.com/\nq",
+        "http://casino-win.example.org/x", "http://x.org/free-bets", "http://x.org/freebets", "http://x.org/cheap-PILLS/", "http://a.com:80/en/", "http://x.org/a://b.com/", "http://ÉA.com/\nq", "http://x.org/casino\n", "http://x.org/poker-\n/x.html", "http://x.org/a-xxx\u2028",
+        "http://ads-track.org", "http://m.adult-x.org/en/", "http://notadult.org/adults", "http://x.org/poker-tips/a.html", "http://x.org/poker-tips/a.htm", "http://x.org/a-poker", "http://x.org/a-poker_b", "http://x.org/a-poker-b/c",
+        "http://spam-farm.example.org/", "http://x.org/casino.php", "http://x.org/casino2", "http://link-farm.a.b/", "http://a.link.farm/", "http://x.org/en/xxx", "http://x-porn", "http://ads.x.com/",
     ]
     rows = [(i, u) for i, u in enumerate(urls)] + [(1, ""), (None, "http://a.com/")]
     pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("clash"))
@@ -264,6 +346,13 @@ def test_urls(spark, nothing):
     clean = lambda x: [tuple("" if c == "NULL" else c.removesuffix(".0") for c in r) for r in x]
     assert sorted(clean(got)) == sorted(clean(want))
     assert normal([tuple(r) for r in url_filter.filter_urls(pages, inline=0).select(*cols).collect()]) == got
+    # every rule on every URL, without the index
+    rules = url_filter.compile_rules()
+    for r in url_filter.filter_urls(pages).collect():
+        fits = [x for x in rules if re.search(x["pattern"].replace(r"\z", r"\Z"), r.host + (r.path if x["size"] else r.path.lower()))]
+        best = max((x for x in fits if x["size"]), key=lambda x: x["size"], default=None)
+        assert (r.rule, r.verdict) == ((best["rule"], best["verdict"]) if best else (None, "block" if fits else "allow"))
+    assert len(rules) > 300
     by = {r.page_id: r for r in url_filter.filter_urls(pages).collect() if r.page_id is not None}
     assert (by[6].rule, by[6].verdict) == ("www.example.com/en/", "allow") and by[13].verdict == by[14].verdict == by[16].verdict == "block" and by[15].verdict == "allow"
     assert url_filter.filter_urls(nothing.select(F.lit(1).alias("page_id"), F.col("text").alias("url"))).count() == 0
@@ -332,6 +421,35 @@ def test_deobfuscation(spark):
     assert channel.spaced("an i d i o t here") == ["idiot"]
 
 
+def test_viterbi_finds_the_best_of_all_readings():
+    """Over random character models and tokens, no reading of the lattice beats the decoded one."""
+    import itertools
+
+    rng = np.random.default_rng(5)
+    letters = "abio01!$4-*x"
+    for _ in range(300):
+        channel = toxicity.Channel(np.log(rng.dirichlet(np.ones(toxicity.CLASSES), (toxicity.CLASSES, toxicity.CLASSES))).astype(np.float32) if _ % 50 == 0 else channel.lp)
+        token = "".join(rng.choice(list(letters)) * int(rng.integers(1, 4)) for _ in range(rng.integers(1, 6)))
+        scores = {}
+        for path in itertools.product(*(channel._options(c, n) for c, n in channel._runs(token))):
+            text, cost, a, b = "".join(e for e, _ in path), sum(c for _, c in path), 0, 0
+            for z in [*(int(channel.table[ord(c)]) for c in text), 0]:
+                cost += float(channel.lp[a, b, z])
+                a, b = b, z
+            scores[text] = max(cost, scores.get(text, -np.inf))
+        got = channel.decode(token)
+        assert got in scores and scores[got] >= max(scores.values()) - 1e-6
+
+
+def test_training_rows_are_determined_by_the_data(spark):
+    """One text of each id is learned from, whatever the order of rows, and repeated rows do not change a score."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    more = docs.unionByName(docs).unionByName(docs.withColumn("text", F.reverse("text")))
+    runs = [{(r.doc_id, r.score) for r in toxicity.toxicity(more.repartition(n), labels, sample=50).collect()} for n in (2, 5)]
+    assert runs[0] == runs[1] and len(runs[0]) <= 2 * docs.count()
+
+
 def test_guard_leaves_other_queries(tmp_path):
     import subprocess
     import sys
