@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import written
+from gleanery.llm.common import drop_tables, unused, written
 from gleanery.llm.jaccard_join import near_duplicates_dropped
 from gleanery.llm.packing import pack_documents
 from gleanery.llm.quality import quality
@@ -18,10 +18,11 @@ from gleanery.llm.suffix_dedup import repeats_removed
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the perplexity bands keep. A verdict holds for all rows of its id, language and
     text; rows with a null id are judged with the others, by language and text."""
-    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string")))
-    figures = quality(keyed.select(F.col("_key").alias("doc_id"), "lang", "text"))
-    gone = written(figures.filter("not kept").select(F.col("doc_id").alias("_key")).distinct(), "rejected")
-    return keyed.join(gone, "_key", "left_anti").select(*docs.columns)
+    key = unused(docs, "_key")
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string")))
+    figures = quality(keyed.select(F.col(key).alias("doc_id"), "lang", "text"))
+    gone = written(figures.filter("not kept").select(F.col("doc_id").alias(key)).distinct(), "rejected")
+    return keyed.join(gone, key, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,12 +55,15 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; each stage's output is written as Parquet in the shared folder and read again."""
+    """The last stage's rows; each stage's output is written as Parquet in the shared folder and read again, and then the
+    tables that the stage wrote on its way are dropped."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    tables = drop_tables(spark, 10**9)
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = written(docs, "stage")
+            tables = drop_tables(spark, tables) - 1
     return docs
 
 
