@@ -55,15 +55,27 @@ def written(df: DataFrame, tag: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, i: int) -> None:
+    if _tables[i]:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_tables[i])
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        _tables[i] = ""
+
+
+def dropped(table: DataFrame) -> None:
+    """Delete a table of written() that nothing reads again: what came of it has been written in turn."""
+    for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        for i in range(len(_tables) - 1, -1, -1):
+            if _tables[i] and path.endswith(_tables[i].rsplit("/", 1)[1]):
+                _delete(table.sparkSession, i)
+                break
+
+
 def drop_tables(spark: SparkSession, since: int) -> int:
     """Delete all but the last of the tables that written() has made after its first `since`; how many it has made. For callers
     that have written a result and read none of the tables behind it again."""
-    jvm = spark.sparkContext._jvm
     for i in range(since, len(_tables) - 1):
-        if _tables[i]:
-            at = jvm.org.apache.hadoop.fs.Path(_tables[i])
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-            _tables[i] = ""
+        _delete(spark, i)
     return len(_tables)
 
 

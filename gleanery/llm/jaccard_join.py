@@ -34,7 +34,7 @@ WORDS = 8  # 64-bit words of a sketch
 CROWD = 48
 BLOCK = 2048
 ONE = 1 - 1e-9
-LEADERS = 3
+LEADERS, FOLLOWERS = 3, 256
 TRY = 16
 RESIDENTS = 4_000_000  # n-grams of a chunk's sets, 32 MB
 NEEDS = [1, 3, 6, 12, 24, 48, 96, 192]
@@ -507,21 +507,21 @@ def classified(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame,
     deep = packed.join(crowded.filter(F.col("c") >= ONE).select("k1"), "k1", "left_semi")
     deep = written(deep, "deep")
     rows = deep.count()
+    left = written(left, "candidates")
+    nodes = left.select("u").unionByName(left.select(F.col("v").alias("u"))).unionByName(deep.select(F.col("k1").alias("u"))).distinct()
+    sets = _sets(docs, written(nodes.join(classes.select(F.col("k1").alias("u"), "dh", "n"), "u"), "nodes"), shingle)
+    links = docs.sparkSession.createDataFrame([], "u long, v long") if left.isEmpty() else _linked(sets, left, None, percent)
     if rows:
-        left = left.unionByName(_led(deep, rows))
-    left = written(left.distinct(), "candidates")
-
-    links = docs.sparkSession.createDataFrame([], "u long, v long") if left.isEmpty() else _linked(docs, classes, left, None, shingle, percent)
+        links = links.unionByName(_starred(sets, _led(deep, rows), percent))
     joined = components(links)
     if rows:
-        family = deep.select(F.col("k1").alias("u"), "sig")
-        family = written(components(with_least(family, rows, "sig", "u", "v").select("u", "v")), "families")
+        families = _families(deep, joined)
         for most in (TRY, None):
-            lists = _crowded(family, joined, classes, words, percent, most)
+            lists = _crowded(families, joined, classes, words, percent, most)
             lists = None if lists is None else written(lists, "lists")
             if lists is None or lists.isEmpty():
                 break
-            links = links.unionByName(_linked(docs, classes, left.limit(0), lists.drop("cut"), shingle, percent))
+            links = links.unionByName(_linked(sets, left.limit(0), lists.drop("cut"), percent))
             joined = components(links)
             if lists.filter("cut").isEmpty():
                 break
@@ -549,24 +549,54 @@ def similar_documents(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.when(F.col("found"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def _sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """(u, n, set) of classes (u, dh, n), each read from the row that names it."""
+    wanted = perhaps(docs, "dh", nodes.select(F.col("dh").alias("k"))).select("dh", "text").mapInArrow(released(_wanted_sets(shingle)), "dh long, k1 long, set binary")
+    return written(nodes.join(wanted.withColumnRenamed("k1", "u"), ["u", "dh"]).select("u", "n", "set"), "sets")
+
+
 def _led(deep: DataFrame, rows: int) -> DataFrame:
-    """Pairs (u, v) of each set of a crowd and LEADERS sets of its crowds, the same for most of a crowd."""
-    out = []
-    for r in range(LEADERS):
-        ranked = deep.withColumn("r", F.xxhash64("k1", F.lit(r)))
-        leader = with_least(ranked.withColumn("s", F.struct("r", "k1")), rows, "sig", "s", "m").groupBy("k1").agg(F.min("m")["k1"].alias("m"))
-        out.append(leader.filter("m <> k1").select(F.col("k1").alias("u"), F.col("m").alias("v")))
-    return reduce(DataFrame.unionByName, out)
+    """Pairs (u, v) of a set in crowds and the smallest set of each of LEADERS of its signatures, those of least hash, which
+    sets that share most signatures mostly have in common."""
+    least = deep.groupBy("k1").agg(*(F.min_by("sig", F.xxhash64("sig", F.lit(r))).alias(f"s{r}") for r in range(LEADERS)))
+    chosen = least.select("k1", F.explode(F.array(*(F.xxhash64(F.lit(r), f"s{r}") for r in range(LEADERS)))).alias("g"))
+    return written(with_least(chosen, LEADERS * rows, "g", "k1", "m").filter("m <> k1").select(F.col("k1").alias("u"), F.col("m").alias("v")).distinct(), "led")
+
+
+def _starred(sets: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
+    """The links among pairs (u, v) of many u and few v: a v's set goes to each part of about FOLLOWERS of its u."""
+    parts = stars.groupBy("v").agg(F.ceil(F.count("*") / FOLLOWERS).alias("parts"))
+    label = lambda part: F.xxhash64("v", part).alias("label")
+    asks = stars.join(parts, "v").select(label(F.pmod(F.xxhash64("u"), "parts")), F.lit(False).alias("lives"), "u", F.array("v").alias("partners"))
+    homes = parts.select("v", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    homes = homes.select(label(F.col("part")), F.lit(True).alias("lives"), F.col("v").alias("u"), F.array().cast("array<long>").alias("partners"))
+    rows = asks.unionByName(homes).join(sets.select("u", "set"), "u").select("label", F.lit(0).cast("long").alias("chunk"), "lives", F.col("u").alias("cid"), "set", "partners", F.lit(1).cast("long").alias("chunks"))
+    found = rows.repartition("label").sortWithinPartitions("label", F.desc("lives"), "cid").mapInArrow(released(verify(percent)), "u long, v long, linked boolean")
+    return written(found, "links").filter("linked").select("u", "v")
+
+
+def _families(deep: DataFrame, joined: DataFrame) -> DataFrame:
+    """(k1, family) of the sets in crowds: a family is all sets that crowds or links connect."""
+    tops = _placed(deep, joined).select("sig", "component").distinct()
+    tops = written(tops, "tops")
+    edges = with_least(tops, tops.count(), "sig", "component", "v").select(F.col("component").alias("u"), "v")
+    family = components(edges).select(F.col("node").alias("component"), F.col("component").alias("family"))
+    members = _placed(deep.select("k1").distinct(), joined).join(family, "component", "left")
+    return written(members.select("k1", F.coalesce("family", "component").alias("family")), "families")
+
+
+def _placed(df: DataFrame, joined: DataFrame) -> DataFrame:
+    """df with the component of each k1."""
+    return df.join(joined.select(F.col("node").alias("k1"), "component"), "k1", "left").withColumn("component", F.coalesce("component", "k1"))
 
 
-def _crowded(family, joined, classes, words, percent, most):
-    """(family, u, partners, cut) of the sets in crowds that are not joined yet, or None. A family is all sets that crowds
-    connect; each two sets of it from different components are compared once by sketch, in blocks of two chunks of about BLOCK.
+def _crowded(families, joined, classes, words, percent, most):
+    """(family, u, partners, cut) of the sets in crowds that are not joined yet, or None. Each two sets of a family from
+    different components are compared once by sketch, in blocks of two chunks of about BLOCK.
 
     A component of BLOCK sets or more has chunks of its own, which never meet one another; the others share theirs.
     """
-    members = family.select(F.col("component").alias("family"), F.col("node").alias("k1"))
-    members = members.join(joined.select(F.col("node").alias("k1"), "component"), "k1", "left").withColumn("component", F.coalesce("component", "k1"))
+    members = _placed(families, joined)
     members = written(members, "members")
     sizes = written(members.groupBy("family", "component").agg(F.count("*").alias("m")), "sizes")
     small = F.coalesce(F.sum(F.when(F.col("m") < BLOCK, F.col("m"))), F.lit(0))
@@ -586,7 +616,7 @@ def _crowded(family, joined, classes, words, percent, most):
     return dealt.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi").mapInArrow(released(crowds(percent, most)), "family long, u long, partners array<long>, cut boolean")
 
 
-def _linked(docs, classes, left, lists, shingle, percent):
+def _linked(sets, left, lists, percent):
     """Verified links (u, v) of classes that span the same components as all links.
 
     left: candidate pairs; lists: (family, u, partners) of crowds, or None. Sets meet under labels, the components of each
@@ -595,10 +625,6 @@ def _linked(docs, classes, left, lists, shingle, percent):
     what two rounds leave, pair by pair.
     """
     none = F.array().cast("array<long>")
-    nodes = left.select("u").unionByName(left.select(F.col("v").alias("u")))
-    nodes = (nodes if lists is None else nodes.unionByName(lists.select("u"))).distinct()
-    nodes = written(nodes.join(classes.select(F.col("k1").alias("u"), "dh", "n"), "u"), "nodes")
-    wanted = perhaps(docs, "dh", nodes.select(F.col("dh").alias("k"))).select("dh", "text").mapInArrow(released(_wanted_sets(shingle)), "dh long, k1 long, set binary").withColumnRenamed("k1", "u")
     links = []
     for last in (False, True):
         edges = left.groupBy("v").agg(F.min("u").alias("u")).select("u", "v").unionByName(left.groupBy("u").agg(F.min("v").alias("v")).select("u", "v"))
@@ -607,14 +633,13 @@ def _linked(docs, classes, left, lists, shingle, percent):
             edges = edges.unionByName(lists.join(lists.groupBy("family").agg(F.min("u").alias("v")), "family").select("u", "v"))
             asks = asks.unionByName(lists.select("u", "partners"))
             lists = None
-        labels = written(components(edges), "labels")
-        sizes = labels.join(nodes.select(F.col("u").alias("node"), "n"), "node").groupBy("component").agg(F.ceil(F.sum("n") / RESIDENTS).alias("chunks"))
+        labels = components(edges)
+        sizes = labels.join(sets.select(F.col("u").alias("node"), "n"), "node").groupBy("component").agg(F.ceil(F.sum("n") / RESIDENTS).alias("chunks"))
         asks = asks.groupBy(F.col("u").alias("node")).agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners"))
         labels = labels.join(sizes, "component").join(asks, "node", "left").select(F.col("node").alias("u"), F.col("component").alias("label"), "chunks", "partners")
-        labels = written(labels.join(nodes.drop("n"), "u"), "labels")
-        sets = labels.join(wanted, ["u", "dh"]).select("label", F.col("u").alias("cid"), "set", "partners", "chunks")
+        labels = labels.join(sets, "u").select("label", F.col("u").alias("cid"), "set", "partners", "chunks")
         chunks = F.array_union(F.array(F.pmod("cid", "chunks")), F.transform(F.coalesce("partners", none), lambda v: F.pmod(v, F.col("chunks"))))
-        both = sets.withColumn("chunk", F.explode(chunks)).withColumn("lives", F.col("chunk") == F.pmod("cid", "chunks"))
+        both = labels.withColumn("chunk", F.explode(chunks)).withColumn("lives", F.col("chunk") == F.pmod("cid", "chunks"))
         both = both.repartition("label", "chunk").sortWithinPartitions("label", "chunk", F.desc("lives"), "cid").select("label", "chunk", "lives", "cid", "set", "partners", "chunks")
         found = written(both.mapInArrow(released(verify(percent)), "u long, v long, linked boolean"), "links")
         links.append(found.filter("linked").select("u", "v"))
@@ -622,7 +647,6 @@ def _linked(docs, classes, left, lists, shingle, percent):
         if left.isEmpty():
             break
         if last:
-            sets = nodes.join(wanted, ["u", "dh"])
             x, y = (sets.select(F.col("u").alias(c), F.col("set").alias(n)) for c, n in (("u", "x"), ("v", "y")))
             found = left.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(verify_pairs(percent), "u long, v long, linked boolean")
             links.append(written(found, "links").select("u", "v"))
