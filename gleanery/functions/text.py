@@ -32,6 +32,11 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value worked out once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def normal_text(c: Column, number: bool = False) -> Column:
     """Null as '', entities, NFKC, no invisible or control characters, single blanks; without a question number."""
     t = compatibility_form(F.coalesce(c, F.lit("")))
@@ -116,6 +121,7 @@ def final_answer(c: Column, mode: Column) -> Column:
     return F.when(fits & ~early & (letter != ""), letter)
 
 
+# Phrases by which an explanation claims an answer.
 CLAIMS = (r"故选[：:\s]*([A-D])", r"【答案】\s*([A-D])", r"(?:正确答案|故答案为|本题选|所以选)[：:\s]*([A-D])", r"答案[：:\s]+([A-D])", r"([A-D])\s*项正确")
 
 

@@ -13,6 +13,7 @@ from gleanery.schema import LETTERS, MODES
 # Fixed values of the statistics.
 Z = 1.959963984540054
 RESAMPLES, SEED, LOW, HIGH = 2000, 20261113, 49, 1949
+MODELS = 1000
 IMAGE_PATH = r"\Aimages/[A-Za-z0-9_.-]+\.(png|jpg|jpeg)\z"
 
 
@@ -58,6 +59,15 @@ def wilson(correct: Column, n: Column) -> tuple[Column, Column]:
     return F.when(n > 0, center - half), F.when(n > 0, center + half)
 
 
+def _with_models(df: DataFrame, results: DataFrame) -> DataFrame:
+    """df once for each model of the results: a comparison has at most MODELS, which is checked."""
+    models = [r.model for r in results.select("model").distinct().orderBy("model").limit(MODELS + 1).collect()]
+    if len(models) > MODELS:
+        raise ValueError(f"more than {MODELS} models in a comparison")
+    listed = F.array(*map(F.lit, models)) if models else F.array().cast("array<string>")
+    return df.withColumn("model", F.explode(listed))
+
+
 def run_metrics(items: DataFrame, results: DataFrame, by: list[str], modes=MODES) -> DataFrame:
     """Per model, mode and group of items: planned, attempted, pending, each status, accuracies, Wilson interval.
 
@@ -66,8 +76,7 @@ def run_metrics(items: DataFrame, results: DataFrame, by: list[str], modes=MODES
     """
     planned = items.groupBy(*by).agg(F.count("*").alias("planned"))
     planned = planned.withColumn("mode", F.explode(F.array(*(F.lit(m) for m in modes))))
-    models = results.groupBy("model").agg(F.first(F.lit(1)).alias("_"))
-    grid = planned.join(F.broadcast(models.select("model")), F.lit(True))  # models of a comparison: a handful
+    grid = _with_models(planned, results)
     statuses = ("correct", "incorrect", "truncated", "refused", "format_error", "answered", "api_error")
     got = results.join(items, "question_id").groupBy("model", "mode", *by).agg(F.count("*").alias("attempted"), F.bool_and("gold_ok").alias("_gold"), *(F.count_if(F.col("status") == s).alias(s) for s in statuses))
     same = [grid[c].eqNullSafe(got[c]) for c in ("model", "mode", *by)]
@@ -133,19 +142,24 @@ def bootstrap_interval(pairs_: DataFrame, by: list[str], order: str = "question_
     def run(pdf):
         import random
 
+        import numpy as np
+
         out = []
         for row in pdf.itertuples(index=False):
-            changes = [x["c"] if isinstance(x, dict) else x[1] for x in row.ordered]
-            rng = random.Random(SEED)
+            changes = np.array([x["c"] if isinstance(x, dict) else x[1] for x in row.ordered], dtype=np.int64)
+            # the draws of Python's generator, made by numpy from the same state
+            state = random.Random(SEED).getstate()[1]
+            draws = np.random.RandomState()
+            draws.set_state(("MT19937", np.array(state[:-1], dtype=np.uint32), state[-1]))
             n = len(changes)
-            boot = sorted(sum(rng.choices(changes, k=n)) / n for _ in range(RESAMPLES))
+            boot = sorted(int(changes[(draws.random_sample(n) * n).astype(np.int64)].sum()) / n for _ in range(RESAMPLES))
             out.append((*(getattr(row, b) for b in by), boot[LOW], boot[HIGH]))
         return pd.DataFrame(out, columns=[*by, "boot_low", "boot_high"])
 
     change = (F.col("cot") == "correct").cast("int") - (F.col("direct") == "correct").cast("int")
     gathered = pairs_.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), change.alias("c")))).alias("ordered"))
     types = dict(gathered.dtypes)
-    return gathered.mapInPandas(lambda it: (run(p) for p in it), ", ".join(f"{b} {types[b]}" for b in by) + ", boot_low double, boot_high double")
+    return gathered.repartitionByRange(gathered.sparkSession.sparkContext.defaultParallelism, *by).mapInPandas(lambda it: (run(p) for p in it), ", ".join(f"{b} {types[b]}" for b in by) + ", boot_low double, boot_high double")
 
 
 def common_questions(results: DataFrame, modes=MODES) -> DataFrame:
@@ -162,10 +176,8 @@ def comparison(results: DataFrame) -> DataFrame:
 
 def error_cases(items: DataFrame, results: DataFrame) -> DataFrame:
     """model x item where either mode is missing (pending) or not correct."""
-    models = results.select("model").distinct()
     by = results.groupBy("model", "question_id").pivot("mode", list(MODES)).agg(F.first("status").alias("status"), F.first("prediction").alias("prediction"))
-    grid = items.join(F.broadcast(models), F.lit(True))  # models of a comparison: a handful
-    out = grid.join(by, ["model", "question_id"], "left")
+    out = _with_models(items, results).join(by, ["model", "question_id"], "left")
     status = lambda m: F.coalesce(f"{m}_status", F.lit("pending"))
     out = out.select("model", "question_id", *(status(m).alias(f"{m}_status") for m in MODES), *(F.coalesce(f"{m}_prediction", F.lit("")).alias(f"{m}_prediction") for m in MODES), *(c for c in items.columns if c != "question_id"))
     return out.filter("direct_status <> 'correct' or cot_status <> 'correct'")

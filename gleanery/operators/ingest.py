@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions import text as T
@@ -18,7 +18,7 @@ PROVINCES = (
 )
 SUFFIXES = (".html", ".htm", ".pdf", ".txt", ".json")
 RETRY_CRAWL = (408, 425, 429, 500, 502, 503, 504)
-RETRY_MODEL = (408, 429, 500, 502, 503, 504)
+# Words that point at pictures, words of a second term, and the patterns of item_year.
 PICTURE_CUES = ("图", "表", "漫画", "地图", "下表", "下图", "如图")
 LATE_TERMS = ("下学期", "第二学期", "期末", "春季", "3月", "4月", "5月", "6月", "7月")
 
@@ -53,6 +53,11 @@ def raw_name(url: Column) -> Column:
     return F.substring(F.sha2(url, 256), 1, 20)
 
 
+def crawl_outcome(status: Column) -> Column:
+    """What a crawler makes of an HTTP status: success, retry or failed."""
+    return F.when(status.between(200, 299), "success").when(status.isin(*RETRY_CRAWL), "retry").otherwise("failed")
+
+
 def is_answer_image(content: Column) -> Column:
     """A PNG of 10,000 bytes or more."""
     return (F.hex(F.substring(content, 1, 8)) == "89504E470D0A1A0A") & (F.octet_length(content) >= 10_000)
@@ -62,18 +67,32 @@ def fold_state(log: DataFrame) -> DataFrame:
     """The state of each (source_id, url) from its log of attempts, successes and failures, in order of `seq`.
 
     Maxima by seq are combined before the shuffle, so a URL with a long log is no burden. A success or failure without
-    an attempt counts as one; a success clears the error, a failure keeps the last file.
+    an attempt counts as one; a success clears the error, a failure keeps the last file and its fingerprint. The log's columns
+    http_status, content_hash and error_type are optional, and null where it has none.
     """
+    lacking = {"http_status": "int", "content_hash": "string", "error_type": "string"}
+    log = log.withColumns({c: F.lit(None).cast(t) for c, t in lacking.items() if c not in log.columns})
     at = lambda kind, c: F.max_by(c, F.when(F.col("kind") == kind, F.col("seq")))
     seq = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("seq")))
     first = F.min_by("kind", "seq")
     out = log.groupBy("source_id", "url").agg(
         F.max_by("kind", "seq").alias("_last"), (F.count_if(F.col("kind") == "attempt") + F.when(first != "attempt", 1).otherwise(0)).alias("attempts"), F.max_by("updated_at", "seq").alias("updated_at"),
-        at("success", F.col("raw_file")).alias("raw_file"), seq("success").alias("_ok"), seq("failure").alias("_bad"), at("failure", F.substring("message", 1, 2000)).alias("_message"),
+        at("success", F.struct("raw_file", "content_hash", "http_status")).alias("_file"), seq("success").alias("_ok"), seq("failure").alias("_bad"),
+        at("failure", F.struct(F.substring("message", 1, 2000).alias("message"), "error_type", "http_status")).alias("_error"),
     )
     failed = F.col("_bad") > F.coalesce("_ok", F.lit(-1))
     status = F.when(F.col("_last") == "attempt", "pending").when(F.col("_last") == "success", "success").otherwise("failed")
-    return out.select("source_id", "url", status.alias("status"), "attempts", F.when(F.col("_ok").isNotNull(), F.col("raw_file")).alias("raw_file"), F.when(failed, F.col("_message")).alias("error_message"), "updated_at")
+    of_error = lambda c: F.when(failed, F.col(f"_error.{c}"))
+    return out.select(
+        "source_id", "url", status.alias("status"), "attempts", F.when(failed, F.col("_error.http_status")).otherwise(F.col("_file.http_status")).alias("http_status"), F.col("_file.raw_file").alias("raw_file"),
+        F.col("_file.content_hash").alias("content_hash"), of_error("error_type").alias("error_type"), of_error("message").alias("error_message"), "updated_at",
+    )
+
+
+def get_state(state: DataFrame, source_id: str, url: str) -> DataFrame:
+    """The row of one URL, with `succeeded`: whether its last outcome is a success that left a file."""
+    done = (F.col("status") == "success") & (F.coalesce("raw_file", F.lit("")) != "")
+    return state.filter((F.col("source_id") == source_id) & (F.col("url") == url)).withColumn("succeeded", done)
 
 
 def successful_files(state: DataFrame, source_id: str, limit: int | None = None) -> DataFrame:
@@ -92,17 +111,24 @@ def page_kind(pages: DataFrame, minimum: int = 30) -> DataFrame:
 def split_options(text: Column) -> Column:
     """struct(question, A..D) of a text with its options in line, or null: at least four option marks, every letter
     there; a later mark of a letter counts."""
+    def of_pieces(parts: Column, pieces: Column) -> Column:
+        named = F.transform(pieces, lambda p: F.struct(F.substring(p, 1, 1).alias("k"), T.strip(F.regexp_replace(p, r"(?U)\A[A-D][.、．]\s*", "")).alias("v")))
+        return T.let(named, lambda n: of_named(parts, n))
+
+    def of_named(parts: Column, named: Column) -> Column:
+        last = lambda x: F.try_element_at(F.filter(named, lambda p: p["k"] == x), F.lit(-1))["v"]
+        letters = F.array_distinct(F.transform(named, lambda p: p["k"]))
+        complete = (F.size(parts) >= 5) & F.forall(letters, lambda k: k.isin(*LETTERS)) & (F.size(letters) == 4)
+        return F.when(complete, F.struct(T.strip(parts[0]).alias("question"), *(last(x).alias(x) for x in LETTERS)))
+
+    def of_parts(parts: Column) -> Column:
+        rest = F.filter(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), T.strip), lambda p: p != "")
+        pieces = F.flatten(F.transform(rest, lambda p: F.transform(F.split(p, r"(?U)\s+(?=[B-D][.、．])"), T.strip)))
+        return T.let(pieces, lambda x: of_pieces(parts, x))
+
     parts = F.split(text, r"(?=[A-D][.、．])")
     # Spark leaves out an empty first part, which stands for an empty question
-    parts = F.when(text.rlike(r"\A[A-D][.、．]"), F.concat(F.array(F.lit("")), parts)).otherwise(parts)
-    rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), T.strip)
-    rest = F.filter(rest, lambda p: p != "")
-    pieces = F.flatten(F.transform(rest, lambda p: F.concat(F.transform(F.split(p, r"(?U)\s+(?=[B-D][.、．])"), T.strip))))
-    named = F.transform(pieces, lambda p: F.struct(F.substring(p, 1, 1).alias("k"), T.strip(F.regexp_replace(p, r"(?U)\A[A-D][.、．]\s*", "")).alias("v")))
-    last = lambda x: F.try_element_at(F.filter(named, lambda p: p["k"] == x), F.lit(-1))["v"]
-    letters = F.array_distinct(F.transform(named, lambda p: p["k"]))
-    complete = (F.size(parts) >= 5) & F.forall(letters, lambda k: k.isin(*LETTERS)) & (F.size(letters) == 4)
-    return F.when(complete, F.struct(T.strip(parts[0]).alias("question"), *(last(x).alias(x) for x in LETTERS)))
+    return T.let(F.when(text.rlike(r"\A[A-D][.、．]"), F.concat(F.array(F.lit("")), parts)).otherwise(parts), of_parts)
 
 
 def exam_year(text: Column, title: bool = False) -> Column:
@@ -371,6 +397,26 @@ def ocr_confidence(lines: DataFrame) -> DataFrame:
     return good.groupBy("doc_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda x: x["text"]), "\n").alias("text"), F.avg("confidence").alias("confidence"))
 
 
+def page_records(blocks: DataFrame, order: list[str], question_start: int = 1, group_start: int = 1) -> DataFrame:
+    """Blocks of parse_pages with question_id, group_id, answer_status, has_image and issues: ids count blocks and groups of all
+    pages in the order of the columns `order`, which tell pages apart, then of the page.
+
+    A page's blocks are numbered by themselves; only its two totals, a row of numbers for each page, are summed up in order.
+    """
+    totals = blocks.groupBy(*order).agg(F.count("*").alias("_n"), F.count_distinct("group_no").alias("_m"))
+    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*order, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("n"), F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("g"))
+    page = Window.partitionBy(*order)
+    out = blocks.withColumns({"_q": F.row_number().over(page.orderBy("block")), "_g": F.dense_rank().over(page.orderBy("group_no"))}).join(totals, order)
+    number = lambda c, start, prefix: F.concat(F.lit(prefix), F.lpad((c + (start - 1)).cast("string"), 6, "0"))
+    picture = F.size("images") > 0
+    issue = F.struct(F.lit("unresolved_image_reference").alias("code"), F.lit("warning").alias("severity"), F.lit("Image reference is not saved yet").alias("message"))
+    return out.select(
+        *blocks.columns, number(F.col("_q") + F.col("n"), question_start, "CHIS_").alias("question_id"), number(F.col("_g") + F.col("g"), group_start, "GROUP_").alias("group_id"),
+        F.when(F.col("answer") == "", "missing").otherwise("single_source").alias("answer_status"), picture.alias("has_image"), F.when(picture, F.array(issue)).otherwise(F.array()).alias("issues"),
+    )
+
+
 def registry_frame(spark: SparkSession, sources: list[dict]) -> DataFrame:
     schema = "source_id string, base_url string, status string, login_required boolean, robots_checked boolean, terms_checked boolean, license_status string, allowed_domains array<string>, adapter string"
     names = [c.split()[0] for c in schema.split(", ")]

@@ -12,35 +12,35 @@ from gleanery.schema import LETTERS
 def violations(records: DataFrame, manifest: DataFrame, files: DataFrame) -> DataFrame:
     """(check, item) of what is wrong. manifest: (raw_file, content_hash); files: (path, sha256), relative to the set.
 
-    Checks read only the columns they need, and joins are by path, one row per path on the right side.
+    Records are read three times: for what each tells of itself and of the manifest, for repeated ids, and for the paths it
+    names. Paths, manifest and files, a row each, meet in one join.
     """
-    def found(df, check, item):
-        return df.select(F.lit(check).alias("check"), item.cast("string").alias("item"))
-
     qid = F.col("question_id")
     question = F.coalesce(F.nullif("normalized_question", F.lit("")), F.col("question"))
     args = (F.col("shared_material"), question, F.col("options"))
     blank = [~F.coalesce(F.col(f"options.{x}"), F.lit("")).rlike(r"(?U)\S") for x in LETTERS]
     stale = (F.col("provenance.ordered_hash") != T.ordered_hash(*args)) | (F.col("provenance.permutation_hash") != T.permutation_hash(*args))
-    rows = records.select(qid, F.filter(F.array(
-        F.when(~F.col("question").eqNullSafe(F.col("normalized_question")), "question_differs"), F.when(stale, "stale_hash"),
-        F.when(~F.coalesce("answer", F.lit("")).isin(*LETTERS) | blank[0] | blank[1] | blank[2] | blank[3], "incomplete"),
-    ), lambda x: x.isNotNull()).alias("c"))
-    out = rows.select(F.explode("c").alias("check"), qid.alias("item"))
-    out = out.unionByName(found(records.groupBy("question_id").count().filter("count > 1"), "duplicate_id", qid))
-    out = out.unionByName(found(manifest.groupBy("raw_file").count().filter("count > 1"), "duplicate_manifest", F.col("raw_file")))
-    listed = manifest.groupBy("raw_file").agg(F.max("content_hash").alias("h"))
-    used = records.select(qid, F.col("provenance.raw_file").alias("raw_file"), F.col("provenance.content_hash").alias("own"))
-    with_list = used.join(listed, "raw_file", "left")
-    out = out.unionByName(found(with_list.filter("h is null"), "not_in_manifest", qid)).unionByName(found(with_list.filter("h <> own"), "manifest_hash", qid))
-    evidence = records.select(F.explode("answer_evidence").alias("e")).select(F.col("e.raw_file").alias("path")).filter("path <> ''")
-    raw_used = used.select(F.col("raw_file").alias("path")).unionByName(evidence).distinct()
-    assets = records.select(F.explode("image_paths").alias("path")).distinct()
-    everything = raw_used.unionByName(assets).distinct()
+    named = lambda checks: F.filter(F.array(*(F.when(c, F.lit(k)) for k, c in checks.items())), lambda x: x.isNotNull())
+
+    listed = manifest.groupBy("raw_file").agg(F.max("content_hash").alias("h"), F.count("*").alias("n"))
+    own = records.select(qid, F.col("provenance.raw_file").alias("raw_file"), F.col("provenance.content_hash").alias("own"), named({
+        "question_differs": ~F.col("question").eqNullSafe(F.col("normalized_question")), "stale_hash": stale,
+        "incomplete": ~F.coalesce("answer", F.lit("")).isin(*LETTERS) | blank[0] | blank[1] | blank[2] | blank[3],
+    }).alias("c")).join(listed.select("raw_file", "h"), "raw_file", "left")
+    checks = F.concat("c", named({"not_in_manifest": F.col("h").isNull(), "manifest_hash": F.col("h") != F.col("own")}))
+    out = own.select(F.explode(checks).alias("check"), qid.cast("string").alias("item"))
+    twice = records.groupBy("question_id").agg(F.count("*").alias("n")).filter("n > 1")
+    out = out.unionByName(twice.select(F.lit("duplicate_id").alias("check"), qid.cast("string").alias("item")))
+
+    raw = F.filter(F.concat(F.array("provenance.raw_file"), F.transform("answer_evidence", lambda e: e["raw_file"])), lambda p: p.isNotNull())
+    path = lambda paths, is_raw: F.transform(paths, lambda p: F.struct(p.alias("path"), F.lit(is_raw).alias("raw")))
+    evidence = F.filter(F.array_distinct(raw), lambda p: p != "")
+    used = records.select(F.explode(F.array_union(path(evidence, True), path(F.coalesce("image_paths", F.array().cast("array<string>")), False))).alias("p"))
+    used = used.groupBy("p.path").agg(F.bool_or("p.raw").alias("raw"))
     climbs = F.col("path").rlike(r"(^|/)\.\.(/|$)|^/")
-    missing = everything.join(files, "path", "left").filter(F.col("sha256").isNull() | climbs)
-    out = out.unionByName(found(missing, "missing_file", F.col("path")))
-    bytes_ = listed.join(files, F.col("raw_file") == F.col("path")).filter("sha256 <> h")
-    out = out.unionByName(found(bytes_, "raw_bytes", F.col("raw_file")))
-    out = out.unionByName(found(files.join(everything, "path", "left_anti"), "unreferenced", F.col("path")))
-    return out.unionByName(found(listed.join(raw_used, F.col("raw_file") == F.col("path"), "left_anti"), "manifest_unused", F.col("raw_file")))
+    both = used.join(files.select("path", "sha256"), "path", "full").join(listed.select(F.col("raw_file").alias("path"), "h", "n"), "path", "full")
+    checks = named({
+        "missing_file": F.col("raw").isNotNull() & (F.col("sha256").isNull() | climbs), "raw_bytes": F.col("sha256") != F.col("h"), "unreferenced": F.col("sha256").isNotNull() & F.col("raw").isNull(),
+        "manifest_unused": F.col("h").isNotNull() & ~F.coalesce("raw", F.lit(False)), "duplicate_manifest": F.col("n") > 1,
+    })
+    return out.unionByName(both.select(F.explode(checks).alias("check"), F.col("path").alias("item")))

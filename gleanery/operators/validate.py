@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanery.schema import ANSWER_STATUSES, LETTERS
 
-# Words of a question that point at an image.
+# Words of a question that point at an image. So are the codes and messages of the rules below.
 IMAGE_CUES = ("如图", "下图", "图中", "地图", "示意图", "表中", "图表")
 
 
@@ -97,15 +97,21 @@ def validate_records(records: DataFrame, latest_year: int, earliest_year: int =
     return out.withColumn("quality", F.col("quality").withField("parse_status", status))
 
 
-def _histogram(records: DataFrame, name: str, key: Column) -> DataFrame:
-    return records.groupBy(F.coalesce(F.nullif(key.cast("string"), F.lit("")), F.lit("unknown")).alias("key")).agg(F.count("*").alias("n")).select(F.lit(name).alias("metric"), "key", "n")
+def _report(records: DataFrame, flags: dict[str, Column], histograms: dict[str, Column], *more: Column) -> DataFrame:
+    """(metric, key, n) in one pass over records: rows that a flag holds for (0 where there are none), values of histograms, and
+    the cells of further arrays of struct(metric, key)."""
+    cell = lambda metric, key: F.struct(F.lit(metric).alias("metric"), key.alias("key"))
+    held = F.filter(F.array(*(F.when(c, cell(k, F.lit(""))) for k, c in flags.items())), lambda x: x.isNotNull())
+    known = lambda c: F.coalesce(F.nullif(c.cast("string"), F.lit("")), F.lit("unknown"))
+    cells = F.concat(held, F.array(*(cell(k, known(c)) for k, c in histograms.items())), *more)
+    counts = records.select(F.explode(cells).alias("c")).groupBy("c.metric", "c.key").agg(F.count("*").alias("n"))
+    none = records.sparkSession.range(1).select(F.explode(F.array(*(cell(k, F.lit("")) for k in flags))).alias("c")).select("c.metric", "c.key", F.lit(0).cast("long").alias("n"))
+    return counts.unionByName(none).groupBy("metric", "key").agg(F.sum("n").alias("n"))
 
 
-def counters(records: DataFrame, flags: dict[str, Column]) -> DataFrame:
-    """(metric, key, n) of counts, in one pass."""
-    one = records.agg(*(F.coalesce(F.count_if(c), F.lit(0)).alias(k) for k, c in flags.items()))
-    rows = F.explode(F.array(*(F.struct(F.lit(k).alias("metric"), F.lit("").alias("key"), F.col(k).alias("n")) for k in flags)))
-    return one.select(rows.alias("r")).select("r.*")
+def _codes(metric: str) -> Column:
+    cells = F.transform("quality.issues", lambda x: F.struct(F.lit(metric).alias("metric"), x["code"].alias("key")))
+    return F.coalesce(cells, F.array().cast("array<struct<metric:string,key:string>>"))
 
 
 def validation_summary(records: DataFrame) -> DataFrame:
@@ -117,8 +123,7 @@ def validation_summary(records: DataFrame) -> DataFrame:
         "qualified": valid & (q["answer_status"] == "verified") & (q["image_dependency"] != "image_dependent"),
         "missing_answer": q["answer_status"] == "missing", "parse_failed": q["parse_status"] == "failed", "image_dependent": q["image_dependency"] == "image_dependent",
     }
-    issues = records.select(F.explode("quality.issues").alias("i")).groupBy(F.col("i.code").alias("key")).agg(F.count("*").alias("n")).select(F.lit("issue_counts").alias("metric"), "key", "n")
-    return counters(records, flags).unionByName(_histogram(records, "by_source", F.col("source.source_id"))).unionByName(_histogram(records, "by_year", F.col("source.year"))).unionByName(issues)
+    return _report(records, flags, {"by_source": F.col("source.source_id"), "by_year": F.col("source.year")}, _codes("issue_counts"))
 
 
 def quality_report(records: DataFrame) -> DataFrame:
@@ -131,17 +136,11 @@ def quality_report(records: DataFrame) -> DataFrame:
         "suspected_duplicate": q["duplicate_status"] == "suspected_duplicate", "exact_duplicate": q["duplicate_status"] == "exact_duplicate",
         "image_dependent": q["image_dependency"] == "image_dependent", "needs_human_review": q["review_status"].isin("pending", "needs_revision"),
     }
-    out = counters(records, flags)
     by = {"by_source": "source.source_id", "by_year": "source.year", "answer_statuses": "quality.answer_status", "parse_statuses": "quality.parse_status", "review_statuses": "quality.review_status", "duplicate_statuses": "quality.duplicate_status"}
-    cells = F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit("unknown")).alias("key")) for m, c in by.items())))
-    histograms = records.select(cells.alias("c")).groupBy("c.metric", "c.key").agg(F.count("*").alias("n"))
-    return out.unionByName(histograms).unionByName(rejection_reasons(records))
-
-
-def rejection_reasons(records: DataFrame) -> DataFrame:
-    code = F.explode_outer(F.transform("quality.issues", lambda x: x["code"]))
-    rejected = records.filter(F.col("quality.review_status") == "rejected").select(code.alias("code"))
-    return rejected.groupBy(F.coalesce("code", F.lit("unspecified")).alias("key")).agg(F.count("*").alias("n")).select(F.lit("rejection_reasons").alias("metric"), "key", "n")
+    codes = _codes("rejection_reasons")
+    other = F.array(F.struct(F.lit("rejection_reasons").alias("metric"), F.lit("unspecified").alias("key")))
+    reasons = F.when(F.col("quality.review_status") == "rejected", F.when(F.coalesce(F.size("quality.issues"), F.lit(0)) > 0, codes).otherwise(other)).otherwise(F.slice(other, 1, 0))
+    return _report(records, flags, {k: F.col(c) for k, c in by.items()}, reasons)
 
 
 def nested_report(spark, report: DataFrame) -> dict:

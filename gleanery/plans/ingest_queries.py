@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from gleanery.functions import text as T
 from gleanery.operators import ingest as I
 from gleanery.plans.views import LOG_SQL, Q_SQL, crawl_log, flat
+from gleanery.schema import LETTERS
+from gleanery.sources.files import table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -23,7 +25,7 @@ def query(sql: str | None = None):
 
 
 def pages(spark, d, *cols):
-    return spark.read.parquet(f"{d}/pages.parquet").select(*cols)
+    return table(spark, f"{d}/pages.parquet").select(*cols)
 
 
 @query(r"""
@@ -46,11 +48,12 @@ STATE = "WITH " + LOG_SQL + """,
 t AS (SELECT source_id, url, arg_max(kind, seq) AS last, arg_min(kind, seq) AS first, count(*) FILTER (kind = 'attempt') AS tries, arg_max(updated_at, seq) AS updated_at,
   max(seq) FILTER (kind = 'success') AS ok, max(seq) FILTER (kind = 'failure') AS bad FROM log GROUP BY 1, 2),
 state AS (SELECT source_id, url, CASE last WHEN 'attempt' THEN 'pending' WHEN 'success' THEN 'success' ELSE 'failed' END AS status, tries + CASE WHEN first <> 'attempt' THEN 1 ELSE 0 END AS attempts,
-  'f' || CAST(ok AS VARCHAR) AS raw_file, CASE WHEN bad > coalesce(ok, -1) THEN 'e' || CAST(bad AS VARCHAR) END AS error_message, updated_at FROM t)
+  'f' || CAST(ok AS VARCHAR) AS raw_file, CASE WHEN bad > coalesce(ok, -1) THEN 'e' || CAST(bad AS VARCHAR) END AS error_message, updated_at,
+  CASE WHEN bad > coalesce(ok, -1) THEN 500 + bad % 5 WHEN ok IS NOT NULL THEN 200 END AS http_status, 'h' || CAST(ok AS VARCHAR) AS content_hash, CASE WHEN bad > coalesce(ok, -1) THEN 'T' || CAST(bad % 3 AS VARCHAR) END AS error_type FROM t)
 """
 
 
-@query(STATE + "SELECT source_id, url, status, attempts, raw_file, error_message FROM state")
+@query(STATE + "SELECT source_id, url, status, attempts, raw_file, error_message, http_status, content_hash, error_type FROM state")
 def crawl_state(spark, d):
     return I.fold_state(crawl_log(spark, d)).drop("updated_at")
 
@@ -64,28 +67,32 @@ def successful_files(spark, d):
 SELECT doc_id, array_to_string(list_filter(list_transform(string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS clean FROM documents
 """)
 def light_clean(spark, d):
-    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", T.light_clean(F.col("text")).alias("clean"))
+    return table(spark, f"{d}/documents.parquet").select("doc_id", T.light_clean(F.col("text")).alias("clean"))
 
 
 @query(r"""
 SELECT source AS doc_id, CASE WHEN bool_and(n >= 400) THEN 'text' WHEN NOT bool_or(n >= 400) THEN 'scan' ELSE 'mixed' END AS kind FROM (SELECT source || '-' || CAST(doc_id // 4 AS VARCHAR) AS source, length(regexp_replace(text, '\s+', '', 'g')) AS n FROM documents) GROUP BY 1
 """)
 def page_class(spark, d):
-    docs = spark.read.parquet(f"{d}/documents.parquet").select(F.concat("source", F.lit("-"), F.floor(F.col("doc_id") / 4).cast("string")).alias("doc_id"), "text")
+    docs = table(spark, f"{d}/documents.parquet").select(F.concat("source", F.lit("-"), F.floor(F.col("doc_id") / 4).cast("string")).alias("doc_id"), "text")
     return I.page_kind(docs, 400)
 
 
-@query("WITH " + Q_SQL + r"""
-SELECT id, trim(question) AS question, trim(A) AS a, trim(D) AS d FROM q WHERE NOT regexp_matches(question || A || B || C || D, '[A-D][.、．]') AND trim(A) <> '' AND trim(B) <> '' AND trim(C) <> '' AND trim(D) <> '' AND trim(question) <> ''
+LINE_SQL = Q_SQL + r""",
+line AS (SELECT id, string_split(regexp_replace(question || chr(10) || 'A. ' || A || ' B、' || B || chr(10) || 'C．' || C || '  D. ' || D, '([A-D][.、．])', chr(1) || '\1', 'g'), chr(1)) AS parts FROM q),
+piece AS (SELECT id, parts[1] AS stem, list_filter(list_transform(parts[2:], lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS pieces FROM line)
+"""
+LAST = r"regexp_replace(regexp_replace(list_filter(pieces, lambda x: x[1] = '{0}')[-1], '^[A-D][.、．]\s*', ''), '^\s+|\s+$', '', 'g')"
+
+
+@query("WITH " + LINE_SQL + rf"""
+SELECT id, regexp_replace(stem, '^\s+|\s+$', '', 'g') AS question, {LAST.format("A")} AS a, {LAST.format("B")} AS b, {LAST.format("C")} AS c, {LAST.format("D")} AS d FROM piece
 """)
 def option_split(spark, d):
-    """A stem and options set in line, taken apart again. Rows whose own text holds an option mark are left to tests."""
-    q = flat(spark, d).filter("question || A || B || C || D not rlike '[A-D][.、．]'")
-    for x in ("A", "B", "C", "D", "question"):
-        q = q.filter(F.col(x).rlike(r"(?U)\S"))
+    """A stem and options set in line, taken apart again. Marks in a row's own text count as any other, the last of a letter
+    wins."""
     line = F.concat(F.col("question"), F.lit("\nA. "), F.col("A"), F.lit(" B、"), F.col("B"), F.lit("\nC．"), F.col("C"), F.lit("  D. "), F.col("D"))
-    p = I.split_options(line)
-    return q.select("id", p.alias("p")).select("id", "p.question", F.col("p.A").alias("a"), F.col("p.D").alias("d"))
+    return flat(spark, d).select("id", I.split_options(line).alias("p")).select("id", "p.question", *(F.col(f"p.{x}").alias(x.lower()) for x in LETTERS))
 
 
 @query(r"""
@@ -102,7 +109,7 @@ SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 2021 WHEN doc_id % 5 = 1 THEN 2020
 def exam_years(spark, d):
     m = F.col("doc_id") % 5
     info = F.when(m == 0, "2021年全国高考真题").when(m == 1, "引用：某校2019-2020学年高一下学期期末考试卷").when(m == 2, "某校2023届月考卷").when(m == 3, "更新于2022/03/04").otherwise("该试题已被下架2020年")
-    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", I.item_year(info)["year"].alias("year"))
+    return table(spark, f"{d}/documents.parquet").select("doc_id", I.item_year(info)["year"].alias("year"))
 
 
 @query("""
@@ -122,5 +129,5 @@ def crawl_gate(spark, d):
 SELECT conv_id AS doc_id, CAST(turn // 2 AS BIGINT) AS page, string_agg(text, chr(10) ORDER BY turn) AS text, round(avg(turn / 10.0), 6) AS confidence FROM conversations GROUP BY 1, 2
 """)
 def ocr_pages(spark, d):
-    lines = spark.read.parquet(f"{d}/conversations.parquet").select(F.col("conv_id").alias("doc_id"), F.floor(F.col("turn") / 2).alias("page"), F.col("turn").alias("line_no"), "text", (F.col("turn") / 10.0).alias("confidence"))
+    lines = table(spark, f"{d}/conversations.parquet").select(F.col("conv_id").alias("doc_id"), F.floor(F.col("turn") / 2).alias("page"), F.col("turn").alias("line_no"), "text", (F.col("turn") / 10.0).alias("confidence"))
     return I.ocr_confidence(lines).withColumn("confidence", F.round("confidence", 6))

@@ -8,6 +8,7 @@ from gleanery.functions import text as T
 from gleanery.operators import dedup, integrity, normalize, review, validate
 from gleanery.plans.views import RECORD_SQL, flat, records, with_q
 from gleanery.schema import LETTERS
+from gleanery.sources.files import table
 
 LATEST = 2027
 QUERIES: dict = {}
@@ -39,20 +40,20 @@ def option_prefix(spark, d):
     return flat(spark, d).select("id", T.option_text(F.concat(F.lit("Ａ．"), F.col("A"))).alias("a"), T.option_text(F.concat(F.lit(" b) "), F.col("B"))).alias("b"))
 
 
-@query(R(r"""
+PREFIX = r"^\s*[A-DＡ-Ｄa-dａ-ｄ]\s*[.．、:：)）]\s*"
+
+
+@query(R(rf"""
 SELECT id, field, before, after FROM (
   SELECT id, 'question' AS field, '3. ' || question AS before, trim(regexp_replace(question, '\s+', ' ', 'g')) AS after FROM q
-  UNION ALL SELECT id, 'options.A', A, trim(regexp_replace(A, '\s+', ' ', 'g')) FROM q
+  UNION ALL SELECT id, 'options.A', A, trim(regexp_replace(trim(regexp_replace(A, '\s+', ' ', 'g')), '{PREFIX}', '')) FROM q
+  UNION ALL SELECT id, 'options.B', B, trim(regexp_replace(trim(regexp_replace(B, '\s+', ' ', 'g')), '{PREFIX}', '')) FROM q
   UNION ALL SELECT id, 'answer', lower(answer), answer FROM q) WHERE before <> after
 """))
 def change_log(spark, d):
-    r = records(spark, d).withColumns({"raw_question": F.concat(F.lit("3. "), F.col("question")), "answer": F.lower("answer"), "raw_options": F.struct(F.col("options.A").alias("A"), *(F.lit("").alias(x) for x in "BCD"))})
+    r = records(spark, d).withColumns({"raw_question": F.concat(F.lit("3. "), F.col("question")), "answer": F.lower("answer"), "raw_options": F.struct(F.col("options.A").alias("A"), F.col("options.B").alias("B"), F.lit("").alias("C"), F.lit("").alias("D"))})
     n = normalize.normalize_records(r)
-    rows = n.select(F.col("_ord").alias("id"), F.explode("provenance.normalization_changes").alias("c")).select("id", "c.*")
-    return rows.filter("field not like 'options.%' or before not rlike '^[A-Da-d]\\\\s*[.:)]'")
-
-
-ORACLE["change_log"] = ORACLE["change_log"].replace("WHERE before <> after", r"WHERE before <> after AND NOT (field LIKE 'options.%' AND regexp_matches(before, '^[A-Da-d]\s*[.:)]'))")
+    return n.select(F.col("_ord").alias("id"), F.explode("provenance.normalization_changes").alias("c")).select("id", "c.*")
 
 
 @query(R("SELECT id, ordered_hash, permutation_hash FROM r", RECORD_SQL))
@@ -64,27 +65,37 @@ def record_hashes(spark, d):
 PAIR_SQL = """
 status AS (SELECT *, CASE WHEN answer = '' THEN 2 WHEN NOT told THEN 3 WHEN official THEN 5 ELSE 4 END AS ar,
   CASE license_status WHEN 'allowed' THEN 3 WHEN 'research_only' THEN 2 WHEN 'unknown' THEN 1 ELSE 0 END AS lr,
-  trim(CASE answer WHEN 'A' THEN A WHEN 'B' THEN B WHEN 'C' THEN C WHEN 'D' THEN D ELSE '' END) AS chosen FROM r),
-pairs AS (SELECT l.question_id AS question_id_1, r.question_id AS question_id_2, l.ordered_hash = r.ordered_hash AS same,
+  trim(CASE answer WHEN 'A' THEN A WHEN 'B' THEN B WHEN 'C' THEN C WHEN 'D' THEN D ELSE '' END) AS chosen,
+  json_object('A', A, 'B', B, 'C', C, 'D', D)::VARCHAR AS options, json_object('source_id', source_id, 'site_name', 'site', 'url', url, 'paper_title', '', 'year', year, 'province', '', 'exam_type', '', 'page_number', NULL, 'retrieved_at', '')::VARCHAR AS source FROM r),
+  pairs AS (SELECT l.question_id AS question_id_1, r.question_id AS question_id_2, l.ordered_hash = r.ordered_hash AS same, 1.0::DOUBLE AS similarity,
+  l.question AS question_1, r.question AS question_2, l.options AS options_1, r.options AS options_2, l.source AS source_1, r.source AS source_2, 'pending' AS human_status,
   CASE WHEN (-l.ar, -l.lr, l.question_id) <= (-r.ar, -r.lr, r.question_id) THEN l.question_id ELSE r.question_id END AS suggested_keep,
   CASE WHEN l.chosen = '' OR r.chosen = '' THEN 'unknown' WHEN l.chosen = r.chosen THEN 'equivalent' ELSE 'conflict' END AS answer_equivalence
   FROM status l JOIN status r ON l.permutation_hash = r.permutation_hash AND l.id < r.id)
 """
-PAIR_COLUMNS = ["question_id_1", "question_id_2", "suggested_keep", "answer_equivalence"]
 
 
 def _validated(spark, d):
     return validate.validate_records(records(spark, d), LATEST)
 
 
-@query(R("SELECT question_id_1, question_id_2, suggested_keep, answer_equivalence FROM pairs WHERE same", RECORD_SQL, PAIR_SQL))
+def _answered(spark, d):
+    """Records with their answer status, which decides on which of two is kept."""
+    return records(spark, d).withColumn("quality", F.col("quality").withField("answer_status", validate.answer_status()))
+
+
+def _flat_pairs(pairs):
+    return pairs.select(*(T.json(F.col(c)).alias(c) if c[:-2] in ("options", "source") else F.col(c) for c in pairs.columns))
+
+
+@query(R("SELECT * EXCLUDE (same), 'exact_duplicate' AS duplicate_type FROM pairs WHERE same", RECORD_SQL, PAIR_SQL))
 def exact_pairs(spark, d):
-    return dedup.exact_pairs(_validated(spark, d)).select(*PAIR_COLUMNS)
+    return _flat_pairs(dedup.exact_pairs(_answered(spark, d)))
 
 
-@query(R("SELECT question_id_1, question_id_2, suggested_keep, answer_equivalence FROM pairs WHERE NOT same", RECORD_SQL, PAIR_SQL))
+@query(R("SELECT * EXCLUDE (same), 'reordered_duplicate' AS duplicate_type FROM pairs WHERE NOT same", RECORD_SQL, PAIR_SQL))
 def reordered_pairs(spark, d):
-    return dedup.reordered_pairs(_validated(spark, d)).select(*PAIR_COLUMNS)
+    return _flat_pairs(dedup.reordered_pairs(_answered(spark, d)))
 
 
 DUP_SQL = """
@@ -108,7 +119,7 @@ def duplicate_status_rows(spark, d):
 def suspected_pairs(spark, d):
     """Turns of conversations as questions, and each fifth conversation's once more with a mark at the end. The
     sequence ratio is not SQL; tests hold this against the nested loop."""
-    turns = spark.read.parquet(f"{d}/conversations.parquet").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text", "conv_id")
+    turns = table(spark, f"{d}/conversations.parquet").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text", "conv_id")
     turns = turns.unionByName(turns.filter("conv_id % 5 = 0").withColumns({"id": F.col("id") + 1_000_000_000_000, "text": F.concat("text", F.lit("？"))}))
     fields = {"question_id": F.col("id").cast("string"), "question": F.col("text"), "normalized_question": F.col("text"), "shared_material": F.lit(""), "answer": F.lit("A"), "_ord": F.col("id")}
     fields |= {"options": F.struct(*(F.lit(x.lower()).alias(x) for x in LETTERS)), "source": F.struct(F.lit("s").alias("source_id"))}
@@ -259,13 +270,18 @@ def merge_errors(spark, d):
     return review.merge_errors(review.merge_outcomes(r, _sheet(r)))
 
 
-@query(R(f"""
-SELECT question_id, CAST(has_image AS VARCHAR) AS has_image, {SAFE.format('question')} AS question, {SAFE.format('A')} AS raw_option_A, source_id, url AS source_url, '[]' AS image_paths_json, '[]' AS issues_json,
-  ordered_hash, license_status, '0.1.0' AS schema_version, '1' AS record_version FROM r
-""", RECORD_SQL))
+@query(R("""
+SELECT '0.1.0' AS schema_version, '1' AS record_version, question_id, group_id, shared_material, {Q} AS raw_question, {Q} AS normalized_question, {Q} AS question,
+  {A} AS raw_option_A, {B} AS raw_option_B, {C} AS raw_option_C, {D} AS raw_option_D, {A} AS option_A, {B} AS option_B, {C} AS option_C, {D} AS option_D, answer, '' AS answer_explanation, 'unchecked' AS answer_status,
+  CASE WHEN has_image THEN 'True' ELSE 'False' END AS has_image, '[]' AS image_paths_json, source_id, 'site' AS source_name, url AS source_url, '' AS paper_title, coalesce(CAST(year AS VARCHAR), '') AS year,
+  '' AS province, '' AS exam_type, '' AS page_number, '' AS retrieved_at, '[]' AS source_records_json,
+  CASE WHEN told AND answer <> '' THEN '[' || json_object('source_id', source_id, 'answer', answer, 'official', official, 'reliable', reliable, 'evidence_url', '', 'raw_file', '', 'page_number', NULL, 'source_question_number', '',
+    'raw_answer', '', 'image_name', NULL, 'image_sha256', NULL, 'extraction_method', NULL, 'needs_review', NULL)::VARCHAR || ']' ELSE '[]' END AS answer_evidence_json,
+  'unchecked' AS duplicate_status, 'pending' AS parse_status, review_status, 'unknown' AS image_dependency, '[]' AS issues_json, 'c' AS collector, '' AS reviewer, '' AS notes,
+  'raw/' || source_id AS raw_file, sha256(source_id) AS content_hash, ordered_hash, permutation_hash, license_status, '[]' AS normalization_changes_json FROM r
+""".format(Q=SAFE.format("question"), **{x: SAFE.format(x) for x in LETTERS}), RECORD_SQL))
 def canonical_flat(spark, d):
-    out = review.canonical_rows(records(spark, d))
-    return out.select("question_id", F.lower("has_image").alias("has_image"), "question", "raw_option_A", "source_id", "source_url", "image_paths_json", "issues_json", "ordered_hash", "license_status", "schema_version", "record_version")
+    return review.canonical_rows(records(spark, d))
 
 
 @query(R("""
@@ -310,13 +326,49 @@ told AS (SELECT *, CASE id % 4 WHEN 0 THEN '参考答案： ' || lower(answer) |
 
 @query(R(r"""
 SELECT id, upper(CASE WHEN regexp_matches(told, '(?:参考)?答案\s*[:：]?\s*([A-Da-d])') THEN regexp_extract(told, '(?:参考)?答案\s*[:：]?\s*([A-Da-d])', 1) ELSE regexp_extract(told, '^\s*([A-Da-d])\s*$', 1) END) AS letter,
-  list_sort(list_distinct(list_concat(regexp_extract_all(told, '故选[：:\s]*([A-D])', 1), regexp_extract_all(told, '答案[：:\s]+([A-D])', 1)))) AS claims FROM told
+  array_to_string(list_sort(list_distinct(list_concat(regexp_extract_all(told, '故选[：:\s]*([A-D])', 1), regexp_extract_all(told, '答案[：:\s]+([A-D])', 1)))), ',') AS claims FROM told
 """, TOLD_SQL))
 def answer_extract(spark, d):
     q = flat(spark, d).filter("answer <> ''").withColumn("told", told(F.col("question")))
-    return q.select("id", T.answer_of(F.col("told")).alias("letter"), T.answer_claims(F.col("told")).alias("claims"))
+    return q.select("id", T.answer_of(F.col("told")).alias("letter"), F.array_join(T.answer_claims(F.col("told")), ",").alias("claims"))
+
+
+#: Records that break rules which no whole document breaks: each rule by the rest of the id.
+BROKEN_SQL = """
+b AS (SELECT id, id % 12 AS k, 'T' || CAST(id AS VARCHAR) AS t FROM q),
+w AS (SELECT id, CASE k WHEN 0 THEN 'other' ELSE t END AS question, t AS normalized, CASE k WHEN 1 THEN '' ELSE 'g' || CAST(id AS VARCHAR) END AS group_id,
+  k = 2 AS no_options, CASE k WHEN 3 THEN 'E' WHEN 4 THEN '' ELSE 'A' END AS answer, CASE k WHEN 5 THEN t || chr(65533) ELSE '' END AS material, k IN (7, 8) AS has_image,
+  CASE k WHEN 7 THEN '如图' ELSE '' END AS cue, k = 6 AS conflict, k = 9 AS two_reliable, k = 10 AS one_reliable, k FROM b)
+"""
 
 
-ORACLE["answer_extract"] = ORACLE["answer_extract"].replace("list_sort(list_distinct(", "array_to_string(list_sort(list_distinct(").replace("1)))) AS claims", "1)))), ',') AS claims")
-_claims = QUERIES["answer_extract"]
-QUERIES["answer_extract"] = lambda spark, d: _claims(spark, d).withColumn("claims", F.array_join("claims", ","))
+def _broken(spark, d):
+    k, t = F.col("_ord") % 12, F.concat(F.lit("T"), F.col("_ord").cast("string"))
+    r = records(spark, d)
+    types = {f.name: f.dataType for f in r.schema.fields}
+    option = F.struct(*(F.lit(x).alias(x) for x in LETTERS))
+    told = lambda *rows: F.array(*(F.struct(F.lit(s).alias("source_id"), F.lit(a).alias("answer"), F.lit(False).alias("official"), F.lit(r).alias("reliable")) for s, a, r in rows))
+    whole = lambda e: F.transform(e, lambda x: F.struct(*(x[n] if n in ("source_id", "answer", "official", "reliable") else F.lit(None).cast(ty) for n, ty in ((f.name, f.dataType) for f in types["answer_evidence"].elementType.fields)))).cast(types["answer_evidence"])
+    kept = F.array(F.struct(F.lit("kept").alias("code"), F.lit("warning").alias("severity"), F.lit("from before").alias("message")))
+    evidence = F.when(k == 6, whole(told(("s1", "A", True), ("s2", "b", True)))).when(k == 9, whole(told(("s1", "A", True), ("s2", "A", True), ("s2", "A", False)))).when(k == 10, whole(told(("s1", "A", True), ("s1", "A", True)))).otherwise(F.array().cast(types["answer_evidence"]))
+    material = F.concat(F.when(k == 5, F.concat(t, F.lit("\ufffd"))).otherwise(""), F.when(k == 7, "如图").otherwise(""))
+    return r.withColumns({
+        "question": F.when(k == 0, "other").otherwise(t), "normalized_question": t, "group_id": F.when(k == 1, "").otherwise(F.concat(F.lit("g"), F.col("_ord").cast("string"))), "options": F.when(k != 2, option),
+        "answer": F.when(k == 3, "E").when(k == 4, "").otherwise("A"), "answer_evidence": evidence, "shared_material": material, "has_image": k.isin(7, 8), "image_paths": F.array(F.lit("images/a.png")),
+        "quality": F.col("quality").withField("issues", F.when(k == 11, kept).otherwise(F.slice(kept, 1, 0))), "provenance": F.col("provenance").withField("ocr_confidence", F.lit(0.9)),
+        "source": F.col("source").withField("url", F.lit("HTTPS://x.example/")).withField("year", F.lit(2000)),
+    })
+
+
+@query(R("""
+SELECT id, coalesce(array_to_string(list_filter([CASE WHEN k = 11 THEN 'kept' END, CASE WHEN question <> normalized THEN 'question_normalization_mismatch' END, CASE WHEN group_id = '' THEN 'missing_group_id' END,
+  CASE WHEN no_options THEN 'invalid_option_keys' END, CASE WHEN answer = 'E' THEN 'invalid_answer' END, CASE WHEN k = 5 THEN 'abnormal_unicode' END], lambda x: x IS NOT NULL), ','), '') AS codes,
+  CASE WHEN answer = '' THEN 'missing' WHEN answer = 'E' THEN 'invalid' WHEN conflict THEN 'conflict' WHEN two_reliable THEN 'verified' WHEN one_reliable THEN 'single_source' ELSE 'unchecked' END AS answer_status,
+  CASE WHEN NOT has_image THEN 'not_image_dependent' WHEN cue <> '' THEN 'image_dependent' ELSE 'needs_review' END AS image_dependency,
+  CASE WHEN k IN (0, 1, 2, 3) THEN 'failed' WHEN k IN (5, 11) THEN 'needs_review' ELSE 'valid' END AS parse_status FROM w
+""", BROKEN_SQL))
+def broken_records(spark, d):
+    """The rules and statuses that no document of the view fires: one broken field for each rest of the id."""
+    v = validate.validate_records(_broken(spark, d), LATEST)
+    codes = F.array_join(F.transform("quality.issues", lambda x: x["code"]), ",")
+    return v.select(F.col("_ord").alias("id"), codes.alias("codes"), "quality.answer_status", "quality.image_dependency", "quality.parse_status")

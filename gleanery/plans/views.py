@@ -8,16 +8,17 @@ from pyspark.sql import types as S
 
 from gleanery.functions import text as T
 from gleanery.schema import CRAWLER_VERSION, LETTERS, RECORD, SCHEMA_VERSION
+from gleanery.sources.files import table
 
 
 EXACT, SWAPPED = 1_000_000_000, 2_000_000_000
 
-#: Flat questions: every document, an exact clone of each fiftieth, and one with options A and B swapped of others.
+#: Flat questions: every whole document as stem and, at '. ', as options (the last has all that is left), an exact clone of each fiftieth, and one with options A and B swapped of others.
 Q_SQL = f"""
 lab AS (SELECT doc_id, min(quality) AS quality, min(toxic) AS toxic FROM labels GROUP BY doc_id),
 base AS (
-  SELECT d.doc_id AS id, split_part(d.text, chr(10), 1) AS question,
-    split_part(d.text, '. ', 1) AS A, split_part(d.text, '. ', 2) AS B, split_part(d.text, '. ', 3) AS C, split_part(d.text, '. ', 4) AS D,
+  SELECT d.doc_id AS id, d.text AS question,
+    split_part(d.text, '. ', 1) AS A, split_part(d.text, '. ', 2) AS B, split_part(d.text, '. ', 3) AS C, array_to_string(string_split(d.text, '. ')[4:], '. ') AS D,
     CASE d.doc_id % 5 WHEN 1 THEN 'A' WHEN 2 THEN 'B' WHEN 3 THEN 'C' WHEN 4 THEN 'D' ELSE '' END AS answer,
     CASE WHEN d.doc_id % 20 = 0 THEN 'm' ELSE '' END AS shared_material, d.doc_id AS origin, d.source, d.lang, l.quality, l.toxic
   FROM documents d LEFT JOIN lab l ON d.doc_id = l.doc_id),
@@ -33,12 +34,13 @@ def with_q(sql: str, *more: str) -> str:
 
 
 def flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    docs, labels = table(spark, f"{sf_dir}/documents.parquet"), table(spark, f"{sf_dir}/labels.parquet")
     lab = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("toxic").alias("toxic"))
-    part = lambda sep, i: F.split_part("text", F.lit(sep), F.lit(i))
+    part = lambda i: F.split_part("text", F.lit(". "), F.lit(i))
+    rest = F.array_join(F.slice(F.split("text", r"\. "), 4, 2**31 - 1), ". ")
     m = F.col("doc_id") % 5
     base = docs.join(lab, "doc_id", "left").select(
-        F.col("doc_id").alias("id"), part("\n", 1).alias("question"), *(part(". ", i).alias(x) for i, x in enumerate(LETTERS, 1)),
+        F.col("doc_id").alias("id"), F.col("text").alias("question"), *(part(i).alias(x) for i, x in enumerate("ABC", 1)), rest.alias("D"),
         F.when(m == 1, "A").when(m == 2, "B").when(m == 3, "C").when(m == 4, "D").otherwise("").alias("answer"),
         F.when(F.col("doc_id") % 20 == 0, "m").otherwise("").alias("shared_material"), F.col("doc_id").alias("origin"), "source", "lang", "quality", "toxic",
     )
@@ -100,24 +102,25 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Results of eight models on as many questions as sixteenths of the events, with every 97th missing.
+#: Results of models on as many questions as sixteenths of the events: each pair of events is a question's two modes, and what eight
+#: models leave over is a ninth's, whose other questions are pending.
 RES_SQL = """
 n AS (SELECT greatest(count(*) // 16, 1) AS k FROM events),
 res AS (
   SELECT 'M' || CAST((event_id // 2) // k AS VARCHAR) AS model, (event_id // 2) % k AS question_id, CASE event_id % 2 WHEN 0 THEN 'direct' ELSE 'cot' END AS mode, event_id,
     CASE WHEN event_type IN ('click', 'purchase') THEN 'correct' WHEN event_type = 'view' THEN 'incorrect' WHEN event_type = 'error' THEN 'api_error' ELSE 'format_error' END AS status
-  FROM events, n WHERE event_id % 97 <> 0 AND (event_id // 2) // k < 8),
+  FROM events, n),
 items AS (SELECT range AS question_id, ['FACT', 'TIME', 'SOURCE', 'REASON'][CAST(range % 4 + 1 AS INTEGER)] AS ability, range % 5 = 0 AS image FROM range((SELECT k FROM n)))
 """
 
 
 def results(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(results, items) of the view; the one number k comes from a count."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = table(spark, f"{sf_dir}/events.parquet")
     k = max(events.count() // 16, 1)
     pair = F.floor(F.col("event_id") / 2)
     t = F.col("event_type")
-    res = events.filter((F.col("event_id") % 97 != 0) & (F.floor(pair / k) < 8)).select(
+    res = events.select(
         F.concat(F.lit("M"), F.floor(pair / k).cast("string")).alias("model"), (pair % k).alias("question_id"), F.when(F.col("event_id") % 2 == 0, "direct").otherwise("cot").alias("mode"), "event_id",
         F.when(t.isin("click", "purchase"), "correct").when(t == "view", "incorrect").when(t == "error", "api_error").otherwise("format_error").alias("status"), F.lit(True).alias("gold_ok"), F.lit("").alias("prediction"),
     )
@@ -131,13 +134,15 @@ LOG_SQL = """
 log AS (
   SELECT 's' || CAST(user_id % 3 AS VARCHAR) AS source_id, 'u' || CAST(user_id AS VARCHAR) AS url, event_id AS seq, ts AS updated_at,
     CASE WHEN event_type IN ('purchase', 'signup') THEN 'success' WHEN event_type = 'error' THEN 'failure' ELSE 'attempt' END AS kind,
-    'f' || CAST(event_id AS VARCHAR) AS raw_file, 'e' || CAST(event_id AS VARCHAR) AS message FROM events)
+    'f' || CAST(event_id AS VARCHAR) AS raw_file, 'e' || CAST(event_id AS VARCHAR) AS message, CASE WHEN event_type IN ('purchase', 'signup') THEN 200 WHEN event_type = 'error' THEN 500 + event_id % 5 END AS http_status,
+    'h' || CAST(event_id AS VARCHAR) AS content_hash, 'T' || CAST(event_id % 3 AS VARCHAR) AS error_type FROM events)
 """
 
 
 def crawl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("event_type")
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    return table(spark, f"{sf_dir}/events.parquet").select(
         F.concat(F.lit("s"), (F.col("user_id") % 3).cast("string")).alias("source_id"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("url"), F.col("event_id").alias("seq"), F.col("ts").alias("updated_at"),
         F.when(t.isin("purchase", "signup"), "success").when(t == "error", "failure").otherwise("attempt").alias("kind"), F.concat(F.lit("f"), F.col("event_id").cast("string")).alias("raw_file"), F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("message"),
+        F.when(t.isin("purchase", "signup"), 200).when(t == "error", 500 + F.col("event_id") % 5).cast("int").alias("http_status"), F.concat(F.lit("h"), F.col("event_id").cast("string")).alias("content_hash"), F.concat(F.lit("T"), (F.col("event_id") % 3).cast("string")).alias("error_type"),
     )

@@ -18,10 +18,18 @@ class BadInput(ValueError):
     """Data or configuration that an operation may not go on with."""
 
 
+def table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table; one of fewer splits than there are cores, as a small file is, is dealt out over all of them. Filters and
+    column selections still reach the scan. A table of more splits is read as it lies, without a shuffle."""
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: str = RECORD, bom: bool = False) -> DataFrame:
     """Records of JSON lines; blank lines are skipped, a malformed or non-object line is an error that names file and text.
 
-    _ord numbers the lines: by file name, then by place in the file.
+    _ord grows with the place in a file. It is unique over all files, but says nothing of the order of files.
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_ord"))
     lines = lines.withColumn("value", F.regexp_replace("value", "^\\uFEFF", "")) if bom else lines
@@ -39,13 +47,67 @@ def write_jsonl(df: DataFrame, path: str, single: bool = False) -> None:
     (out.coalesce(1) if single else out).write.mode("overwrite").text(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, quotes doubled; cells keep their newlines."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", bom: bool = True) -> None:
+    """CSV with a header, quotes doubled; cells keep their newlines. With bom, the first column's name begins with the mark that
+    tells spreadsheets of UTF-8, which heads every part file; without a header line there is no mark."""
+    first = df.columns[0]
+    out = df.select(F.col(f"`{first}`").alias("\ufeff" + first), *(F.col(f"`{c}`") for c in df.columns[1:])) if bom else df
+    out.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+
+
+def write_once(df: DataFrame, path: str, form: str = "parquet") -> None:
+    """A result that must not be there yet: a folder of this name is an error, and stays as it is."""
+    if form == "csv":
+        write_csv(df, path, mode="errorifexists")
+    elif form == "jsonl":
+        df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value")).write.mode("errorifexists").text(path)
+    else:
+        df.write.mode("errorifexists").format(form).save(path)
+
+
+def write_json_report(report: dict, path: str) -> None:
+    """A small report as one file with sorted keys, moved into place when it is whole."""
+    target = Path(path)
+    target.parent.mkdir(parents=True, exist_ok=True)
+    part = target.with_suffix(target.suffix + ".tmp")
+    part.write_text(json.dumps(report, ensure_ascii=False, sort_keys=True, indent=2) + "\n", encoding="utf-8")
+    os.replace(part, target)
+
+
+def write_dedup_reports(result, folder: str) -> None:
+    """The pairs of a DeduplicationResult as three CSV tables with nested cells as JSON, and its four counts as JSON."""
+    for name in ("exact", "reordered", "suspected"):
+        pairs = getattr(result, name)
+        flat = [F.to_json(c, {"ignoreNullFields": "false"}).alias(c) if t.startswith(("struct", "array", "map")) else F.col(c) for c, t in pairs.dtypes]
+        write_csv(pairs.select(*flat), f"{folder}/{name}_duplicates")
+    write_json_report(result.summary().first().asDict(), f"{folder}/summary.json")
+
+
+def replace_results(spark: SparkSession, fresh: DataFrame, folder: str, keys: list[str], order: str = "finished_at") -> None:
+    """Adds results to a table that holds one row for each key: the last by `order` counts when it is read. Rows are only ever
+    added, so a job that dies leaves the table as it was or with its rows."""
+    fresh.write.mode("append").parquet(folder)
+
+
+def current_results(spark: SparkSession, folder: str, keys: list[str], order: str = "finished_at") -> DataFrame:
+    """The last row of each key of such a table; maxima are combined before the shuffle."""
+    rows = spark.read.parquet(folder)
+    rest = [c for c in rows.columns if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(order, F.xxhash64(*rest))).alias("_r"))
+    return last.select(*keys, "_r.*").select(*rows.columns)
+
+
+def unread_files(files: DataFrame, cache: DataFrame, force: bool = False) -> DataFrame:
+    """Files (path, sha256) that have yet to be read: those whose name without ending is not in the cache (stem, sha256) with
+    the same fingerprint, or all."""
+    stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
+    named = files.withColumn("stem", stem)
+    return named if force else named.join(cache.select("stem", "sha256"), ["stem", "sha256"], "left_anti")
 
 
 def read_sheet(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A sheet as text columns with `line` (the header is line 1); a missing column is an error."""
+    """A sheet as text columns with `line`, which grows with the place in it (of a sheet in one file, the number of its row, the
+    header being the first); a missing column is an error."""
     df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     names = {c.lstrip("﻿"): c for c in df.columns}
     missing = sorted(set(columns) - set(names))
