@@ -71,7 +71,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     an edge to another are absent.
     """
     spark = edges.sparkSession
-    e = written(edges.select("u", "v").filter("u <> v").mapInArrow(released(contract), "u long, v long"), "edges")
+    own = written(edges.select("u", "v").filter("u <> v").mapInArrow(released(contract), "u long, v long"), "edges")
+    e = written(own.mapInArrow(released(contract), "u long, v long"), "edges")  # read again, small parts come together
+    dropped(own)
     for _ in range(rounds):
         ends = F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("parent")), F.struct(F.col("v").alias("node"), F.lit(None).cast("long").alias("parent"))))
         nodes = e.select(ends.alias("e")).groupBy("e.node").agg(F.min("e.parent").alias("component"), F.max("e.parent").alias("other"), F.bool_or(F.col("e.parent").isNull()).alias("root"))
