@@ -37,7 +37,8 @@ def flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, f"{sf_dir}/documents.parquet"), table(spark, f"{sf_dir}/labels.parquet")
     lab = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("toxic").alias("toxic"))
     part = lambda i: F.split_part("text", F.lit(". "), F.lit(i))
-    rest = F.array_join(F.slice(F.split("text", r"\. "), 4, 2**31 - 1), ". ")
+    pieces = F.split("text", r"\. ")
+    rest = F.array_join(F.slice(pieces, F.lit(4), F.greatest(F.size(pieces) - 3, F.lit(0))), ". ")
     m = F.col("doc_id") % 5
     base = docs.join(lab, "doc_id", "left").select(
         F.col("doc_id").alias("id"), F.col("text").alias("question"), *(part(i).alias(x) for i, x in enumerate("ABC", 1)), rest.alias("D"),
