@@ -515,7 +515,7 @@ def classified(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame,
         links = links.unionByName(_starred(sets, _led(deep, rows), percent))
     joined = components(links)
     if rows:
-        families = _families(deep, joined)
+        families = _families(deep, joined, share)
         for most in (TRY, None):
             lists = _crowded(families, joined, classes, words, percent, most)
             lists = None if lists is None else written(lists, "lists")
@@ -575,14 +575,16 @@ def _starred(sets: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
     return written(found, "links").filter("linked").select("u", "v")
 
 
-def _families(deep: DataFrame, joined: DataFrame) -> DataFrame:
-    """(k1, family) of the sets in crowds: a family is all sets that crowds or links connect."""
-    tops = _placed(deep, joined).select("sig", "component").distinct()
-    tops = written(tops, "tops")
-    edges = with_least(tops, tops.count(), "sig", "component", "v").select(F.col("component").alias("u"), "v")
-    family = components(edges).select(F.col("node").alias("component"), F.col("component").alias("family"))
-    members = _placed(deep.select("k1").distinct(), joined).join(family, "component", "left")
-    return written(members.select("k1", F.coalesce("family", "component").alias("family")), "families")
+def _families(deep: DataFrame, joined: DataFrame, share) -> DataFrame:
+    """(k1, family) of the sets that may be similar to one of another component: those whose shares of crowds with several
+    components add up to one. A family is all such sets that these crowds connect."""
+    placed = written(_placed(deep, joined).select("k1", "sig", "component"), "placed")
+    mixed = placed.groupBy("sig").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("sig")
+    left = placed.join(mixed, "sig", "left_semi")
+    able = left.groupBy("k1").agg(F.sum(share).alias("c")).filter(F.col("c") >= ONE).select("k1")
+    left = written(left.join(able, "k1", "left_semi").select(F.col("k1").alias("u"), "sig"), "mixed")
+    led = with_least(left, left.count(), "sig", "u", "v").select("u", "v")
+    return written(components(led).select(F.col("node").alias("k1"), F.col("component").alias("family")), "families")
 
 
 def _placed(df: DataFrame, joined: DataFrame) -> DataFrame:
