@@ -52,10 +52,18 @@ def _points(s: str) -> np.ndarray:
 
 def _gram_hash(points: np.ndarray, at: np.ndarray, n: int, salt: int) -> np.ndarray:
     """Hash of the n code points from each position; the salt tells languages and kinds apart."""
-    h = np.full(len(at), (salt + n * 0x2545F4914F6CDD1D) & (2**64 - 1), dtype=np.uint64)
-    for k in range(n):
-        h = fold(h + points[at + k] * np.uint64(_MULT[k]))
-    return h
+    salt = np.uint64((salt + n * 0x2545F4914F6CDD1D) & (2**64 - 1))
+    if 2 * len(at) > len(points):  # most positions: all of them, without look-ups
+        size = len(points) - n + 1
+        h = points[:size] * np.uint64(_MULT[0])
+        for k in range(1, n):
+            h += points[k : k + size] * np.uint64(_MULT[k])
+        h = h[at]
+    else:
+        h = points[at] * np.uint64(_MULT[0])
+        for k in range(1, n):
+            h += points[at + k] * np.uint64(_MULT[k])
+    return fold(h + salt)
 
 
 def _salt(lang: str, kind: str) -> int:
