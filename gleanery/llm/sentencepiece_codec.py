@@ -132,15 +132,16 @@ def codec(data: bytes, threads: int, keep_ids: bool):
         def encode(todo):
             out = []
             for k in range(0, len(todo), 20_000):
-                part = [t[1:] if plain else t for t in todo[k : k + 20_000]]
-                got = [e.ids for e in tok.encode_batch_fast(part, add_special_tokens=False)]
-                for t, a, b in zip(todo[k : k + 20_000], got, own.encode(part, num_threads=1), strict=True):
-                    if plain and t == " ":  # a marker alone; neither library marks an empty text
-                        a, b = [tok.token_to_id(MARK)], [own.piece_to_id(MARK)]
-                    if a != b:
-                        odd.add(t)
-                    out.append(a)
-                said.extend(tok.decode_batch(out[k:], skip_special_tokens=False))
+                part = todo[k : k + 20_000]
+                texts = [t[1:] for t in part] if plain else part
+                got, theirs = [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)], own.encode(texts, num_threads=1)
+                if plain and " " in part:  # a marker alone; neither library marks an empty text
+                    at = part.index(" ")
+                    got[at], theirs[at] = [tok.token_to_id(MARK)], [own.piece_to_id(MARK)]
+                if got != theirs:
+                    odd.update(t for t, a, b in zip(part, got, theirs, strict=True) if a != b)
+                said.extend(tok.decode_batch(got, skip_special_tokens=False))
+                out += got
             return out
 
         plain = spec.splits and spec.dummy_prefix and spec.escape and not spec.remove_extra and not spec.charsmap
@@ -174,8 +175,10 @@ def codec(data: bytes, threads: int, keep_ids: bool):
                 sha = [hashlib.sha256(d.encode("utf-8", "surrogatepass")).hexdigest() for d in decoded]
                 same = [not odd or odd.isdisjoint(chunks(t or "")) for t in texts[lo:hi]]
                 cols = [docs.slice(lo, hi - lo), pa.array(counts.astype(np.int64)), pa.array(crc, pa.int64()), pa.array([int(byte_ids[p].sum()) for p in parts], pa.int64())]
-                cols += [pa.array(sha), pa.array(back), pa.array(same), pa.array([p.tolist() for p in parts], pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays(cols[: len(COLUMNS) if keep_ids else 7], COLUMNS[: len(COLUMNS) if keep_ids else 7])
+                cols += [pa.array(sha), pa.array(back), pa.array(same)]
+                if keep_ids:
+                    cols.append(pa.array([p.tolist() for p in parts], pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(cols, COLUMNS[: len(cols)])
 
     return run
 
