@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import Memo, byte_letters, load_tokenizer, slices
+from gleanery.sources.files import table
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = PAD_ID = 50256
@@ -250,7 +251,7 @@ def _digest(batches):
 
 def op7_best_fit_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The matrices with their binaries as checksums."""
-    return packed_matrices(spark.read.parquet(f"{sf_dir}/documents.parquet"), checksums=True)
+    return packed_matrices(table(spark, f"{sf_dir}/documents.parquet"), checksums=True)
 
 
 QUERIES = {"op7_best_fit_matrices": op7_best_fit_matrices}

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.common import ranges, released, written
 from gleanery.llm.graph import components
+from gleanery.sources.files import table
 
 COSINE = 0.9
 RECALL = 0.97
@@ -268,7 +269,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, recall: float = REC
 
 
 def op5_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return near_vectors(table(spark, f"{sf_dir}/embeddings.parquet"))
 
 
 QUERIES = {"op5_collision_counting": op5_collision_counting}

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.common import fold, perhaps, ranges, released, slices, unused, written
 from gleanery.llm.graph import components, with_least
+from gleanery.sources.files import table
 
 WORDS = 8  # 64-bit words of a sketch
 CROWD = 48
@@ -677,7 +678,7 @@ def near_duplicates_dropped(docs: DataFrame, shingle: int = 5, percent: int = 80
 
 
 def op9_partition_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=4, percent=85)
+    return similar_documents(table(spark, f"{sf_dir}/documents.parquet"), shingle=4, percent=85)
 
 
 QUERIES = {"op9_partition_jaccard": op9_partition_jaccard}

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import Memo, load_tokenizer, released, slices, word_encoder, written
+from gleanery.sources.files import table
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -173,7 +174,7 @@ def sequences(pieces: DataFrame) -> DataFrame:
 
 
 def op2_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return pack_documents(table(spark, f"{sf_dir}/documents.parquet"))
 
 
 QUERIES = {"op2_online_packing": op2_online_packing}

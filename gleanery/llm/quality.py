@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import fold, ranges, released, slices, written
+from gleanery.sources.files import table
 
 ORDER = 5
 BEGIN, END = "\x02", "\x03"
@@ -430,7 +431,7 @@ def quality(docs: DataFrame, width: float = WIDTH) -> DataFrame:
 
 
 def op1_kneser_ney_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return quality(table(spark, f"{sf_dir}/documents.parquet"))
 
 
 QUERIES = {"op1_kneser_ney_perplexity": op1_kneser_ney_perplexity}

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanery.sources.files import table
+
 SCOPE = 300
 KINDS = ["assign", "access", "hex", "id", "secret", "endpoint"]
 
@@ -140,7 +142,7 @@ def redact_secrets(docs: DataFrame, mask: str = "[SECRET]", scope: int = SCOPE)
 
 
 def op3_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return scan_secrets(table(spark, f"{sf_dir}/documents.parquet"))
 
 
 QUERIES = {"op3_credential_linking": op3_credential_linking}

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import Memo, slices
+from gleanery.sources.files import table
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -221,7 +222,7 @@ def decode_documents(encoded: DataFrame, model_path: str | None = None, model_na
 
 
 def op4_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return encode_documents(table(spark, f"{sf_dir}/documents.parquet"))
 
 
 QUERIES = {"op4_sentencepiece_codec": op4_sentencepiece_codec}

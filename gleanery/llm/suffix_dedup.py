@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import bit_filter, fold, perhaps, released, unused, written
+from gleanery.sources.files import table
 
 LENGTH, ANCHOR = 200, 100
 CROWD = 512
@@ -502,7 +503,7 @@ def repeats_removed(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
 
 
 def op8_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats_digest(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return repeats_digest(table(spark, f"{sf_dir}/documents.parquet"))
 
 
 QUERIES = {"op8_linear_grouping": op8_linear_grouping}

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanery.sources.files import table
+
 SAMPLE = 12_000
 MIN_DOCS = 4
 L1 = 4e-3
@@ -270,7 +272,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 
 
 def op10_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity(table(spark, f"{sf_dir}/documents.parquet"), table(spark, f"{sf_dir}/labels.parquet"))
 
 
 QUERIES = {"op10_noisy_channel_toxicity": op10_noisy_channel_toxicity}
