@@ -13,6 +13,7 @@ from gleanery.llm.packing import pack_documents
 from gleanery.llm.quality import quality
 from gleanery.llm.secrets import redact_secrets
 from gleanery.llm.suffix_dedup import repeats_removed
+from gleanery.sources.files import table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +58,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; each stage's output is written as Parquet in the shared folder and read again, and then the
     tables that the stage wrote on its way are dropped."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, f"{sf_dir}/documents.parquet")
     tables = drop_tables(spark, 10**9)
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
