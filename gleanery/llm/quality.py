@@ -6,8 +6,8 @@ the base rules let pass: each run of characters is pre-aggregated to its differe
 Continuation counts, discounts and interpolation are DataFrame operations on the n-gram tables, so no language is ever
 gathered in one task.
 
-The model is kept as sorted arrays of all n-grams' 64-bit hashes and log probabilities, 12 bytes an entry, none
-left out. They are gathered and broadcast in shards of at most about `SHARD` entries, and mapped from the
+The model is kept as sorted arrays of the n-grams' 64-bit hashes and log probabilities, 12 bytes an entry, none left out but
+those found once, which would let the text that holds them vouch for itself. They are gathered and broadcast in shards of at most about `SHARD` entries, and mapped from the
 broadcasts' files, so what a process must hold does not grow with the corpus.
 
 Perplexity bands are per language: the mean log probability of a document must lie within `WIDTH` robust standard
@@ -204,12 +204,18 @@ def _keyed(order: int, kind: str):
     return run
 
 
-def model_table(docs: DataFrame, text: str = "text", lang: str = "lang", across: bool = False, passing: bool = False) -> DataFrame:
-    """(key, value) of all n-grams and back-off weights of all orders, of all texts or of those that pass the base rules."""
+def model_table(docs: DataFrame, text: str = "text", lang: str = "lang", across: bool = False, passing: bool = False, others: bool = False) -> DataFrame:
+    """(key, value) of all n-grams and back-off weights of all orders, of all texts or of those that pass the base rules.
+
+    With others, only what is found twice or more: a text of the corpus that holds an n-gram found once holds the one that was
+    counted, so it counts as unseen there and text cannot vouch for itself.
+    """
     counts = docs.select(F.col(lang).cast("string"), F.col(text).cast("string")).mapInArrow(released(count_grams(across, passing)), "lang string, gram string, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("c"))
     keyed = None
     for k, (grams, contexts) in enumerate(kneser_ney(counts), 1):
+        if others:
+            grams, contexts = grams.filter("c > 1") if k > 1 else grams, contexts.filter("c > 1")
         parts = [grams.select("lang", "gram", "lp").mapInArrow(_keyed(k, "p"), "key long, value float")]
         if k > 1:
             parts.append(contexts.select("lang", "ctx", "lb").mapInArrow(_keyed(k - 1, "b"), "key long, value float"))
@@ -399,7 +405,7 @@ def quality(docs: DataFrame, width: float = WIDTH) -> DataFrame:
     """
     spark: SparkSession = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
-    model = [spark.sparkContext.broadcast(packed(*part)) for part in shards(model_table(docs, across=True, passing=True))]
+    model = [spark.sparkContext.broadcast(packed(*part)) for part in shards(model_table(docs, across=True, passing=True, others=True))]
     schema = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_steps long, mean_lp double"
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     figures = written(docs.mapInArrow(released(judge(model)), schema), "quality").withColumn("base_failed", failed)

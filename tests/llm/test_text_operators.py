@@ -136,6 +136,20 @@ def test_bands_reject_labelled_junk_and_keep_clean_texts(spark):
     assert n.get((1, False), 0) <= 0.01 * n[1, True]
 
 
+def test_bands_reject_planted_gibberish(spark):
+    """Random letters and scrambled words go, though the model has counted them; clean texts beside them stay."""
+    rng = np.random.default_rng(1)
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text", "lang")
+    rows = [r for r in docs.collect() if r.text and 60 <= len(r.text.split()) <= 400]
+    pick = [rows[i] for i in rng.choice(len(rows), 30, replace=False)]
+    random = lambda w: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), len(w)))
+    scrambled = lambda w: "".join(rng.permutation(list(w)))
+    planted = [(10**7 * k + r.doc_id, " ".join(map(f, r.text.split())), r.lang) for k, f in ((1, random), (2, scrambled)) for r in pick]
+    found = quality.quality(docs.unionByName(spark.createDataFrame(planted, docs.schema))).filter("not base_failed").withColumn("k", F.floor(F.col("doc_id") / 10**7))
+    n = {(r.k, r.kept): r["count"] for r in found.groupBy("k", "kept").count().collect()}
+    assert n.get((1, True), 0) + n.get((2, True), 0) <= 3 and n.get((0, False), 0) <= 0.05 * n[0, True]
+
+
 def pieces_hold(pieces, texts, encode, size):
     by = {}
     for r in pieces:
