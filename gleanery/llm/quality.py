@@ -10,8 +10,8 @@ The model is kept as sorted arrays of the n-grams' 64-bit hashes and log probabi
 those found once, which would let the text that holds them vouch for itself. They are gathered and broadcast in shards of at most about `SHARD` entries, and mapped from the
 broadcasts' files, so what a process must hold does not grow with the corpus.
 
-Perplexity bands are per language: the mean log probability of a document must lie within `WIDTH` robust standard
-deviations of its language's median. Deviations are times sqrt(characters), and their spread is that of
+Perplexity bands are per language: a document's log perplexity must lie within `LOW` robust standard deviations below its
+language's median, and `HIGH` above it, where texts with a passage in another language have a long tail. Deviations are times sqrt(characters), and their spread is that of
 documents of the language with a like length (powers of two), since what is left of sampling error after that differs with
 length; where these are fewer than `LEAST`, it is at least the language's. A language with fewer documents has at
 least `FEW` of such deviations. Beyond the upper perplexity band a text is gibberish or markup, beyond the lower one it is
@@ -33,8 +33,8 @@ from gleanery.sources.files import table
 
 ORDER = 5
 BEGIN, END = "\x02", "\x03"
-WIDTH = 4.0
-LEAST, FEW = 100, 4.0
+LOW, HIGH = 4.0, 6.0
+LEAST, FEW = 100, 1.0
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 WORDS_BOUND = 150_000
 FEW_BANDS = 100_000
@@ -395,7 +395,7 @@ def judge(model):
 FIGURES = ["doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_steps", "mean_lp"]
 
 
-def quality(docs: DataFrame, width: float = WIDTH) -> DataFrame:
+def quality(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
     """One row per document: doc_id, lang, the base figures, base_failed, kept, perplexity and its band.
 
     Null and empty texts have no words, fail the base rules and are not kept. A null language is one of its own.
@@ -419,20 +419,20 @@ def quality(docs: DataFrame, width: float = WIDTH) -> DataFrame:
     good = good.join(middles, "lang").withColumn("z", (F.col("mean_lp") - F.col("middle")) * F.sqrt(steps))
     langs = good.groupBy("lang").agg(F.first("middle").alias("middle"), quarters("z").alias("ql"), F.count("*").alias("nl"))
     lengths = good.groupBy("lang", "length").agg(quarters("z").alias("qb"), F.count("*").alias("nb"))
-    # width times spread, times sqrt(characters)
-    scaled = width * F.when(F.col("nb") >= LEAST, wide("qb")).otherwise(F.greatest(wide("qb"), wide("ql")))
+    # spread times sqrt(characters)
+    scaled = F.when(F.col("nb") >= LEAST, wide("qb")).otherwise(F.greatest(wide("qb"), wide("ql")))
     scaled = F.when(F.col("nl") >= LEAST, scaled).otherwise(F.greatest(scaled, F.lit(FEW)))
     bands = written(lengths.join(langs, "lang").select("lang", "length", "middle", scaled.alias("scaled")), "bands")
     # rows by language and length; where they are few, as languages are, the join need not deal out documents by them
     out = figures.join(F.broadcast(bands) if bands.count() <= FEW_BANDS else bands, ["lang", "length"], "left")
     reach = F.col("scaled") / F.sqrt(steps)
-    within = F.abs(F.col("mean_lp") - F.col("middle")) <= reach
+    within = (F.col("mean_lp") - F.col("middle")).between(-high * reach, low * reach)
     return out.select(
         "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(within, F.lit(False))).alias("kept"),
         F.exp(-F.col("mean_lp")).alias("perplexity"),
-        F.exp(-(F.col("middle") + reach)).alias("band_low"),
-        F.exp(-(F.col("middle") - reach)).alias("band_high"),
+        F.exp(-(F.col("middle") + low * reach)).alias("band_low"),
+        F.exp(-(F.col("middle") - high * reach)).alias("band_high"),
     )
 
 
