@@ -2,93 +2,32 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import dropped, released, written
-
-HUB, HUBS, SALTS = 1000, 10_000, 64
-CHUNK = 1_000_000  # edges that a task contracts at a time
-
-
-def with_least(df: DataFrame, rows: int, key: str, value: str, name: str) -> DataFrame:
-    """df, of at most `rows` rows, with the least `value` of each row's key as column `name`.
-
-    Minima are combined before the shuffle and joined back. Keys with more than HUB rows and a share of over 1 / HUBS of
-    all, of which there are at most HUBS, are broadcast, and their rows dealt out in SALTS parts.
-    """
-    limit = max(HUB, rows // HUBS)
-    least = df.groupBy(key).agg(F.min(value).alias(name), F.count("*").alias("_n"))
-    if rows <= limit:
-        return df.join(least.drop("_n"), key)
-    hubs = least.filter(F.col("_n") > limit).select(key, F.lit(True).alias("_hub"))
-    salt = F.when(F.col("_hub"), F.pmod(F.xxhash64(value), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
-    salts = F.when(F.col("_n") > limit, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    dealt = df.join(F.broadcast(hubs), key, "left").withColumn("_salt", salt).drop("_hub")
-    return dealt.join(least.withColumn("_salt", F.explode(salts)).drop("_n"), [key, "_salt"]).drop("_salt")
-
-
-def spanning(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(node, smallest node of its component) of these edges' nodes, but for the smallest themselves."""
-    names, at = np.unique(np.concatenate([u, v]), return_inverse=True)
-    a, b = at[: len(u)], at[len(u) :]
-    label = np.arange(len(names))
-    while len(a):
-        np.minimum.at(label, a, label[b])
-        np.minimum.at(label, b, label[a])
-        while (label != label[label]).any():
-            label = label[label]
-        apart = label[a] != label[b]
-        a, b = label[a[apart]], label[b[apart]]
-    moved = np.flatnonzero(label != np.arange(len(names)))
-    return names[moved], names[label[moved]]
-
-
-def contract(batches):
-    """(u, v) to fewer edges that connect the same nodes: stars of the edges that a task reads, in runs of about CHUNK."""
-    held, size = [], 0
-    for batch in batches:
-        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
-        size += batch.num_rows
-        if size > CHUNK:
-            held = [spanning(*(np.concatenate(x) for x in zip(*held, strict=True)))]
-            size = len(held[0][0])
-            if size > CHUNK // 2:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], ["u", "v"])
-                held, size = [], 0
-    if held:
-        u, v = spanning(*(np.concatenate(x) for x in zip(*held, strict=True)))
-        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+from gleanery.llm.common import dropped, written
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of the undirected edges (u, v); component is its smallest node.
 
-    Each task first contracts the edges that it reads. Then come rounds of a large star and a small star, whose edges are
-    contracted again; a hub's edges are dealt over many tasks. Self-loops and repeated edges do no harm; nodes without
-    an edge to another are absent.
+    Each round is a large star and a small star: minima are combined before the shuffle and joined back, and the
+    join splits skewed nodes. Self-loops and repeated edges do no harm; nodes without an edge to another are absent.
     """
-    spark = edges.sparkSession
-    own = written(edges.select("u", "v").filter("u <> v").mapInArrow(released(contract), "u long, v long"), "edges")
-    e = written(own.mapInArrow(released(contract), "u long, v long"), "edges")  # read again, small parts come together
-    dropped(own)
+    e = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    e = written(e, "edges")
     for _ in range(rounds):
-        ends = F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("parent")), F.struct(F.col("v").alias("node"), F.lit(None).cast("long").alias("parent"))))
-        nodes = e.select(ends.alias("e")).groupBy("e.node").agg(F.min("e.parent").alias("component"), F.max("e.parent").alias("other"), F.bool_or(F.col("e.parent").isNull()).alias("root"))
-        nodes = written(nodes, "nodes")
-        if nodes.filter("component <> other or (root and component is not null)").isEmpty():
-            dropped(e)
-            return nodes.select("node", F.coalesce("component", "node").alias("component"))
-        n = 2 * e.count()
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = with_least(both, n, "u", "v", "m").filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-        small = with_least(large, n, "u", "v", "m")
-        ends = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v"))))
-        stars = small.select(ends.alias("e")).select("e.u", "e.v").filter("u <> v")
-        tasks = max(spark.sparkContext.defaultParallelism, n // CHUNK)
-        before, e = e, written(stars.coalesce(tasks).mapInArrow(released(contract), "u long, v long"), "edges")
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        before, e = e, written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
         dropped(before)
-        dropped(nodes)
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
+        # settled when no node's parent has a parent itself and no node has two
+        inner = e.join(e.select(F.col("u").alias("v")).distinct(), "v", "left_semi").select("u")
+        if inner.unionByName(e.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1").select("u")).limit(1).isEmpty():
+            break
+    else:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
+    return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

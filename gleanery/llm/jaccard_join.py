@@ -8,35 +8,26 @@ the band has twice as many segments more, so that two sets' different choices st
 bands get few segments, all with neighbourhoods.
 
 Pairs that share a signature are held against a 512-bit sketch, whose differing bits bound the sets' difference from
-below, and those left are verified on the sets themselves. Only components are wanted, so links inside a component already
-found need no verification.
-
-Signatures of more than `CROWD` sets are crowds. Sets that may have all their common signatures in crowds are first
-verified against a few leaders of their crowds, one row each, which joins most copies of a text. What is then still in different
-components of a crowd's family is compared in blocks of two chunks of about BLOCK sets by sketch, and verified: first at
-most `TRY` partners of a set in each other component, then, for what these have not joined, all. So no task holds a
-whole crowd, no pair inside a component is written, and no pair is dropped.
+below, and those left are verified on the sets themselves. Signatures of more than `CROWD` sets are compared
+in blocks of at most 2 * BLOCK sets each by sketch, so no task holds a whole crowd and no pair is dropped. Only
+components are wanted, so links inside a component already found need no verification.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import fold, perhaps, ranges, released, slices, unused, written
-from gleanery.llm.graph import components, with_least
+from gleanery.llm.graph import components
 from gleanery.sources.files import table
 
 WORDS = 8  # 64-bit words of a sketch
 CROWD = 48
 BLOCK = 2048
 ONE = 1 - 1e-9
-LEADERS, FOLLOWERS = 3, 256
-TRY = 16
 RESIDENTS = 4_000_000  # n-grams of a chunk's sets, 32 MB
 NEEDS = [1, 3, 6, 12, 24, 48, 96, 192]
 
@@ -318,14 +309,12 @@ def meet(crowd: int):
     return run
 
 
-def crowds(percent: int, most: int | None):
-    """Rows (family, lo, hi, chunk, k1, component, n, words) sorted by (family, lo, hi) to (family, u, partners, cut): the sets of
-    other components that size and sketch allow, at most `most` of each component (cut tells if there were more), and a row
-    without partners for each set that is only a partner."""
+def crowds(percent: int):
+    """Rows (family, lo, hi, chunk, cid, n, words) sorted by (family, lo, hi) to (family, u, partners): the sets v > u that
+    size and sketch allow, and a row without partners for each set that is only a partner."""
 
-    def block(fam, k, part, n, w, c, same):
+    def block(fam, k, n, w, c, same):
         left, right = (np.arange(len(k)),) * 2 if same else (np.flatnonzero(c == c.min()), np.flatnonzero(c == c.max()))
-        _, part, crew = np.unique(part, return_inverse=True, return_counts=True)
         u, v = [], []
         for i in range(0, len(left), 256):
             x = left[i : i + 256]
@@ -333,31 +322,20 @@ def crowds(percent: int, most: int | None):
             for j in range(WORDS):
                 diff += np.bitwise_count(w[x, j][:, None] ^ w[right, j][None, :])
             a, b = n[x][:, None], n[right][None, :]
-            ok = (diff * (100 + percent) <= (a + b) * (100 - percent)) & (np.minimum(a, b) * 100 >= percent * np.maximum(a, b)) & (part[x][:, None] != part[right][None, :])
-            if same:
-                ok &= x[:, None] < right[None, :]
+            ok = (diff * (100 + percent) <= (a + b) * (100 - percent)) & (np.minimum(a, b) * 100 >= percent * np.maximum(a, b)) & (k[x][:, None] < k[right][None, :] if same else True)
             p, q = np.nonzero(ok)
-            u.append(x[p])
-            v.append(right[q])
+            u.append(np.minimum(k[x[p]], k[right[q]]))
+            v.append(np.maximum(k[x[p]], k[right[q]]))
         u, v = np.concatenate(u), np.concatenate(v)
         if len(u):
-            # the one of the smaller component here asks
-            turn = (crew[part[u]] > crew[part[v]]) | ((crew[part[u]] == crew[part[v]]) & (part[u] > part[v]))
-            u, v = np.where(turn, v, u), np.where(turn, u, v)
-            order = np.lexsort((v, part[v], u))
+            order = np.lexsort((v, u))
             u, v = u[order], v[order]
-            cut = np.zeros(len(u), dtype=bool)
-            if most is not None:
-                run = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (part[v[1:]] != part[v[:-1]])]))
-                rank = np.arange(len(u)) - np.repeat(run, np.diff(np.append(run, len(u))))
-                cut, held = np.isin(u, u[rank >= most]), rank < most
-                u, v, cut = u[held], v[held], cut[held]
             start = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
-            lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(v)).astype(np.int32)), pa.array(k[v]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(start), fam)), pa.array(k[u[start]]), lists, pa.array(cut[start])], ["family", "u", "partners", "cut"])
+            lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(v)).astype(np.int32)), pa.array(v))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(start), fam)), pa.array(u[start]), lists], ["family", "u", "partners"])
             alone = np.setdiff1d(v, u)
-            none = pa.ListArray.from_arrays(pa.array(np.zeros(len(alone) + 1, dtype=np.int32)), pa.array(k[:0]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(alone), fam)), pa.array(k[alone]), none, pa.array(np.zeros(len(alone), dtype=bool))], ["family", "u", "partners", "cut"])
+            none = pa.ListArray.from_arrays(pa.array(np.zeros(len(alone) + 1, dtype=np.int32)), pa.array(v[:0]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(alone), fam)), pa.array(alone), none], ["family", "u", "partners"])
 
     def run(batches):
         held = None
@@ -375,7 +353,7 @@ def crowds(percent: int, most: int | None):
             start = np.flatnonzero(new).tolist() + [len(new)]
             for s, e in zip(start[: None if done else -2], start[1 : None if done else -1], strict=False):
                 if e > s + 1:
-                    yield from block(held[0][s], held[4][s:e], held[5][s:e], held[6][s:e], np.stack([x[s:e] for x in held[7:]], 1).view(np.uint64), held[3][s:e], held[1][s] == held[2][s])
+                    yield from block(held[0][s], held[4][s:e], held[5][s:e], np.stack([x[s:e] for x in held[6:]], 1).view(np.uint64), held[3][s:e], held[1][s] == held[2][s])
             held = [x[start[-2] if not done else start[-1] :] for x in held]
 
     return run
@@ -504,29 +482,16 @@ def classified(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame,
     able = (bits * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)) & (F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb"))
     able &= F.col("w") + F.least("sa", "sb") >= ONE
     left = pairs.join(x, "a").join(y, "b").filter(able).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    left = written(left.distinct(), "candidates")
     # two sets that may have all their common signatures in crowds are compared there
-    deep = packed.join(crowded.filter(F.col("c") >= ONE).select("k1"), "k1", "left_semi")
-    deep = written(deep, "deep")
-    rows = deep.count()
-    left = written(left, "candidates")
-    nodes = left.select("u").unionByName(left.select(F.col("v").alias("u"))).unionByName(deep.select(F.col("k1").alias("u"))).distinct()
-    sets = _sets(docs, written(nodes.join(classes.select(F.col("k1").alias("u"), "dh", "n"), "u"), "nodes"), shingle)
-    links = docs.sparkSession.createDataFrame([], "u long, v long") if left.isEmpty() else _linked(sets, left, None, percent)
-    if rows:
-        links = links.unionByName(_starred(sets, _led(deep, rows), percent))
-    joined = components(links)
-    if rows:
-        families = _families(deep, joined, share)
-        for most in (TRY, None):
-            lists = _crowded(families, joined, classes, words, percent, most)
-            lists = None if lists is None else written(lists, "lists")
-            if lists is None or lists.isEmpty():
-                break
-            links = links.unionByName(_linked(sets, left.limit(0), lists.drop("cut"), percent))
-            joined = components(links)
-            if lists.filter("cut").isEmpty():
-                break
-    named = classes.select("k1", "lead").join(joined.withColumnRenamed("node", "k1"), "k1", "left").withColumn("component", F.coalesce("component", "k1"))
+    deep = packed.withColumn("c", F.sum(share).over(Window.partitionBy("k1"))).filter(F.col("c") >= ONE)
+    lists = None if deep.isEmpty() else written(_crowded(deep, classes, words, percent), "lists")
+    named = classes.select("k1", "lead")
+    if left.isEmpty() and (lists is None or lists.isEmpty()):
+        named = named.withColumn("component", F.col("k1"))
+    else:
+        joined = components(_linked(docs, classes, left, lists, shingle, percent)).withColumnRenamed("node", "k1")
+        named = named.join(joined, "k1", "left").withColumn("component", F.coalesce("component", "k1"))
     named = written(named, "named")
     return described.select("doc_id", "dh", "n_shingles", "k1"), named.join(named.groupBy("component").agg(F.min("lead").alias("component_id")), "component").select("k1", "component", "component_id")
 
@@ -550,76 +515,19 @@ def similar_documents(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.when(F.col("found"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
-    """(u, n, set) of classes (u, dh, n), each read from the row that names it."""
-    wanted = perhaps(docs, "dh", nodes.select(F.col("dh").alias("k"))).select("dh", "text").mapInArrow(released(_wanted_sets(shingle)), "dh long, k1 long, set binary")
-    return written(nodes.join(wanted.withColumnRenamed("k1", "u"), ["u", "dh"]).select("u", "n", "set"), "sets")
-
-
-def _led(deep: DataFrame, rows: int) -> DataFrame:
-    """Pairs (u, v) of a set in crowds and the smallest set of each of LEADERS of its signatures, those of least hash, which
-    sets that share most signatures mostly have in common."""
-    least = deep.groupBy("k1").agg(*(F.min_by("sig", F.xxhash64("sig", F.lit(r))).alias(f"s{r}") for r in range(LEADERS)))
-    chosen = least.select("k1", F.explode(F.array(*(F.xxhash64(F.lit(r), f"s{r}") for r in range(LEADERS)))).alias("g"))
-    return written(with_least(chosen, LEADERS * rows, "g", "k1", "m").filter("m <> k1").select(F.col("k1").alias("u"), F.col("m").alias("v")).distinct(), "led")
-
-
-def _starred(sets: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
-    """The links among pairs (u, v) of many u and few v: a v's set goes to each part of about FOLLOWERS of its u."""
-    parts = stars.groupBy("v").agg(F.ceil(F.count("*") / FOLLOWERS).alias("parts"))
-    label = lambda part: F.xxhash64("v", part).alias("label")
-    asks = stars.join(parts, "v").select(label(F.pmod(F.xxhash64("u"), "parts")), F.lit(False).alias("lives"), "u", F.array("v").alias("partners"))
-    homes = parts.select("v", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    homes = homes.select(label(F.col("part")), F.lit(True).alias("lives"), F.col("v").alias("u"), F.array().cast("array<long>").alias("partners"))
-    rows = asks.unionByName(homes).join(sets.select("u", "set"), "u").select("label", F.lit(0).cast("long").alias("chunk"), "lives", F.col("u").alias("cid"), "set", "partners", F.lit(1).cast("long").alias("chunks"))
-    found = rows.repartition("label").sortWithinPartitions("label", F.desc("lives"), "cid").mapInArrow(released(verify(percent)), "u long, v long, linked boolean")
-    return written(found, "links").filter("linked").select("u", "v")
-
+def _crowded(packed, classes, words, percent):
+    """(family, u, partners) of the sets in crowds. A family is all sets that crowds connect; each two sets of it are
+    compared once by sketch, in blocks of two chunks of about BLOCK."""
+    led = packed.select(F.col("k1").alias("u"), F.min("k1").over(Window.partitionBy("sig")).alias("v")).distinct()
+    family = written(components(led), "families")
+    sizes = family.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("chunks"))
+    members = family.join(sizes, "component").join(classes.select(F.col("k1").alias("node"), F.col("k1").alias("cid"), "n", *words), "node")
+    spread = members.withColumn("chunk", F.pmod(F.xxhash64("cid"), "chunks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    dealt = spread.select("component", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "cid", "n", *words)
+    return dealt.repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi").mapInArrow(released(crowds(percent)), "family long, u long, partners array<long>")
 
-def _families(deep: DataFrame, joined: DataFrame, share) -> DataFrame:
-    """(k1, family) of the sets that may be similar to one of another component: those whose shares of crowds with several
-    components add up to one. A family is all such sets that these crowds connect."""
-    placed = written(_placed(deep, joined).select("k1", "sig", "component"), "placed")
-    mixed = placed.groupBy("sig").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("sig")
-    left = placed.join(mixed, "sig", "left_semi")
-    able = left.groupBy("k1").agg(F.sum(share).alias("c")).filter(F.col("c") >= ONE).select("k1")
-    left = written(left.join(able, "k1", "left_semi").select(F.col("k1").alias("u"), "sig"), "mixed")
-    led = with_least(left, left.count(), "sig", "u", "v").select("u", "v")
-    return written(components(led).select(F.col("node").alias("k1"), F.col("component").alias("family")), "families")
 
-
-def _placed(df: DataFrame, joined: DataFrame) -> DataFrame:
-    """df with the component of each k1."""
-    return df.join(joined.select(F.col("node").alias("k1"), "component"), "k1", "left").withColumn("component", F.coalesce("component", "k1"))
-
-
-def _crowded(families, joined, classes, words, percent, most):
-    """(family, u, partners, cut) of the sets in crowds that are not joined yet, or None. Each two sets of a family from
-    different components are compared once by sketch, in blocks of two chunks of about BLOCK.
-
-    A component of BLOCK sets or more has chunks of its own, which never meet one another; the others share theirs.
-    """
-    members = _placed(families, joined)
-    members = written(members, "members")
-    sizes = written(members.groupBy("family", "component").agg(F.count("*").alias("m")), "sizes")
-    small = F.coalesce(F.sum(F.when(F.col("m") < BLOCK, F.col("m"))), F.lit(0))
-    several = sizes.groupBy("family").agg(F.count("*").alias("parts"), F.ceil(small / BLOCK).alias("mixed")).filter("parts > 1")
-    if several.isEmpty():
-        return None
-    big = sizes.filter(F.col("m") >= BLOCK).join(several, "family").withColumn("chunks", F.ceil(F.col("m") / BLOCK))
-    ends = F.sum("chunks").over(Window.partitionBy("family").orderBy("component"))  # a row for BLOCK sets or more
-    big = written(big.select("family", "component", "chunks", (F.col("mixed") + ends - F.col("chunks")).alias("first")), "big")
-    total = several.join(big.groupBy("family").agg(F.sum("chunks").alias("own")), "family", "left").select("family", "mixed", (F.col("mixed") + F.coalesce("own", F.lit(0))).alias("total"))
-    dealt = members.join(total, "family").join(big, ["family", "component"], "left").join(classes.select("k1", "n", *words), "k1")
-    hashed = F.xxhash64("k1")
-    chunk = F.when(F.col("chunks").isNull(), F.pmod(F.xxhash64("component"), F.col("mixed"))).otherwise(F.col("first") + F.pmod(hashed, F.col("chunks")))
-    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("total") - 1), lambda c: F.col("chunks").isNull() | (c < F.col("first")) | (c >= F.col("first") + F.col("chunks")))
-    dealt = dealt.withColumn("chunk", chunk).withColumn("other", F.explode(others))
-    dealt = dealt.select("family", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "k1", "component", "n", *words)
-    return dealt.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi").mapInArrow(released(crowds(percent, most)), "family long, u long, partners array<long>, cut boolean")
-
-
-def _linked(sets, left, lists, percent):
+def _linked(docs, classes, left, lists, shingle, percent):
     """Verified links (u, v) of classes that span the same components as all links.
 
     left: candidate pairs; lists: (family, u, partners) of crowds, or None. Sets meet under labels, the components of each
@@ -628,6 +536,11 @@ def _linked(sets, left, lists, percent):
     what two rounds leave, pair by pair.
     """
     none = F.array().cast("array<long>")
+    nodes = left.select("u").unionByName(left.select(F.col("v").alias("u")))
+    nodes = (nodes if lists is None else nodes.unionByName(lists.select("u"))).distinct()
+    nodes = written(nodes.join(classes.select(F.col("k1").alias("u"), "dh", "n"), "u"), "nodes")
+    # a class's set comes from the row that names it
+    wanted = perhaps(docs, "dh", nodes.select(F.col("dh").alias("k"))).select("dh", "text").mapInArrow(released(_wanted_sets(shingle)), "dh long, k1 long, set binary").withColumnRenamed("k1", "u")
     links = []
     for last in (False, True):
         edges = left.groupBy("v").agg(F.min("u").alias("u")).select("u", "v").unionByName(left.groupBy("u").agg(F.min("v").alias("v")).select("u", "v"))
@@ -636,13 +549,14 @@ def _linked(sets, left, lists, percent):
             edges = edges.unionByName(lists.join(lists.groupBy("family").agg(F.min("u").alias("v")), "family").select("u", "v"))
             asks = asks.unionByName(lists.select("u", "partners"))
             lists = None
-        labels = components(edges)
-        sizes = labels.join(sets.select(F.col("u").alias("node"), "n"), "node").groupBy("component").agg(F.ceil(F.sum("n") / RESIDENTS).alias("chunks"))
+        labels = written(components(edges), "labels")
+        sizes = labels.join(nodes.select(F.col("u").alias("node"), "n"), "node").groupBy("component").agg(F.ceil(F.sum("n") / RESIDENTS).alias("chunks"))
         asks = asks.groupBy(F.col("u").alias("node")).agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners"))
         labels = labels.join(sizes, "component").join(asks, "node", "left").select(F.col("node").alias("u"), F.col("component").alias("label"), "chunks", "partners")
-        labels = labels.join(sets, "u").select("label", F.col("u").alias("cid"), "set", "partners", "chunks")
+        labels = written(labels.join(nodes.drop("n"), "u"), "labels")
+        sets = labels.join(wanted, ["u", "dh"]).select("label", F.col("u").alias("cid"), "set", "partners", "chunks")
         chunks = F.array_union(F.array(F.pmod("cid", "chunks")), F.transform(F.coalesce("partners", none), lambda v: F.pmod(v, F.col("chunks"))))
-        both = labels.withColumn("chunk", F.explode(chunks)).withColumn("lives", F.col("chunk") == F.pmod("cid", "chunks"))
+        both = sets.withColumn("chunk", F.explode(chunks)).withColumn("lives", F.col("chunk") == F.pmod("cid", "chunks"))
         both = both.repartition("label", "chunk").sortWithinPartitions("label", "chunk", F.desc("lives"), "cid").select("label", "chunk", "lives", "cid", "set", "partners", "chunks")
         found = written(both.mapInArrow(released(verify(percent)), "u long, v long, linked boolean"), "links")
         links.append(found.filter("linked").select("u", "v"))
@@ -650,10 +564,14 @@ def _linked(sets, left, lists, percent):
         if left.isEmpty():
             break
         if last:
+            sets = nodes.join(wanted, ["u", "dh"])
             x, y = (sets.select(F.col("u").alias(c), F.col("set").alias(n)) for c, n in (("u", "x"), ("v", "y")))
             found = left.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(verify_pairs(percent), "u long, v long, linked boolean")
             links.append(written(found, "links").select("u", "v"))
-    return reduce(DataFrame.unionByName, links)
+    out = links[0]
+    for more in links[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def near_duplicates_dropped(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
