@@ -36,7 +36,6 @@ BEGIN, END = "\x02", "\x03"
 LOW, HIGH = 4.0, 6.0
 LEAST, FEW = 100, 1.0
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
-WORDS_BOUND = 150_000
 FEW_BANDS = 100_000
 SLICE_CHARS = 1_500_000
 COUNT_CHARS = 4_000_000
@@ -123,16 +122,13 @@ def count_grams(across: bool, passing: bool):
     def run(batches):
         held: dict[str, list[str]] = {}
         size: dict[str, int] = {}
-        memo = _Codes()
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo, hi in slices(texts, SLICE_CHARS):
                 words = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts[lo:hi]]
                 if passing:
-                    if len(memo) > WORDS_BOUND:
-                        memo.clear()
                     sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-                    codes = np.fromiter(map(memo.__getitem__, itertools.chain.from_iterable(words)), dtype=np.int64, count=int(sizes.sum()))
+                    codes = _codes(list(itertools.chain.from_iterable(words)))
                     words = [() if f else w for w, f in zip(words, _failed(sizes, _repeated(codes, sizes)).tolist(), strict=True)]
                 for lang, found in zip(langs[lo:hi], words, strict=True):
                     lang = lang or ""
@@ -320,10 +316,9 @@ class Model:
         return np.bincount(np.array(of)[which], weights=self._grams(lang, points, at), minlength=n)
 
 
-class _Codes(dict):
-    def __missing__(self, word):
-        code = self[word] = len(self)
-        return code
+def _codes(words) -> np.ndarray:
+    """A 64-bit number for each word (bytes), the same for equal ones in a process."""
+    return np.fromiter(map(hash, words), dtype=np.int64, count=len(words)).view(np.uint64)
 
 
 def _repeated(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -332,9 +327,10 @@ def _repeated(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     doc = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
     cover = np.zeros(n + 1, dtype=np.int64)
     if n >= 5:
-        h = doc[: n - 4].astype(np.uint64)
+        h = (doc[: n - 4].astype(np.uint64) + np.uint64(1)) * np.uint64(_MULT[0] ^ _MULT[1])
         for k in range(5):
-            h = fold(h + (codes[k : n - 4 + k].astype(np.uint64) + np.uint64(1)) * np.uint64(_MULT[k]))
+            h += codes[k : n - 4 + k] * np.uint64(_MULT[k])
+        h = fold(h)
         at = np.flatnonzero(doc[: n - 4] == doc[4:])
         order = np.argsort(h[at], kind="stable")
         at, h = at[order], h[at][order]
@@ -350,17 +346,14 @@ def judge(model):
 
     def run(batches):
         m = Model([unpacked(b) for b in model])
-        memo = _Codes()
         blank = " \t\n\x0b\x0c\r"
 
         def figures(ids, langs, texts):
-            if len(memo) > WORDS_BOUND:
-                memo.clear()
             sizes, chars, symbols, dup, codes, at = [], [], [], [], [], {}
             for i, (lang, text) in enumerate(zip(langs, texts, strict=True)):
                 text, lang = text or "", lang or ""
                 words = text.encode("utf-8", "surrogatepass").split()
-                codes.append(np.fromiter(map(memo.__getitem__, words), dtype=np.int64, count=len(words)))
+                codes.append(_codes(words))
                 if words:
                     at.setdefault(lang, []).append((i, END.encode().join(words).decode("utf-8", "surrogatepass")))
                 sizes.append(len(words))
@@ -377,7 +370,7 @@ def judge(model):
             for lang, rows in at.items():
                 lp[[i for i, _ in rows]] = m.score(lang, [run for _, run in rows])
             sizes = np.array(sizes, dtype=np.int64)
-            repeat = _repeated(np.concatenate(codes) if codes else np.zeros(0, dtype=np.int64), sizes)
+            repeat = _repeated(np.concatenate(codes) if codes else np.zeros(0, dtype=np.uint64), sizes)
             chars = np.array(chars, dtype=np.int64)
             steps = chars + sizes
             cols = [pa.array(ids, pa.int64()), pa.array([x or "" for x in langs], pa.string())]
