@@ -69,7 +69,7 @@ def config_problems() -> Column:
     whole = [F.coalesce(x.rlike(r"\A[1-9][0-9]{0,17}\z"), F.lit(True)) for x in lengths]
     finite = lambda c, low, ok: F.coalesce(F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < float("inf")) & (F.col(c) >= low if ok else F.col(c) > low), F.lit(False))
     rules = {
-        "endpoint": ~endpoint, "model": ~model.rlike(r"(?U)\S") | model.startswith("REPLACE_"), "api_key_env": ~F.coalesce(F.col("api_key_env"), F.lit("CHISEVAL_API_KEY")).rlike(r"\A[A-Za-z_][A-Za-z0-9_]*\z"),
+        "endpoint": ~endpoint, "model": ~model.rlike(r"(?U)\S") | model.startswith("REPLACE_"), "api_key_env": ~F.coalesce(F.col("api_key_env"), F.lit("API_KEY")).rlike(r"\A[A-Za-z_][A-Za-z0-9_]*\z"),
         "parameters": F.arrays_overlap(F.map_keys(given), F.array(*map(F.lit, RESERVED))), "max_tokens": ~whole[0] | ~whole[1], "two lengths": lengths[0].isNotNull() & lengths[1].isNotNull(),
         "timing": ~finite("timeout_seconds", 0, False) | ~finite("min_interval_seconds", 0, True) | ~F.coalesce(F.col("retries").between(0, 5), F.lit(False)),
     }
