@@ -7,14 +7,15 @@ Continuation counts, discounts and interpolation are DataFrame operations on the
 gathered in one task.
 
 The model is kept as sorted arrays of the n-grams' 64-bit hashes and log probabilities, 12 bytes an entry, none left out but
-those found once, which would let the text that holds them vouch for itself. They are gathered and broadcast in shards of at most about `SHARD` entries, and mapped from the
-broadcasts' files, so what a process must hold does not grow with the corpus.
+those found once in different texts, which would let the text that holds them, or its copies, vouch for itself; what they weigh
+goes to the back-off weights, so probabilities still add up to 1. They are gathered and broadcast in shards of at most about
+`SHARD` entries, and mapped from the broadcasts' files, so what a process must hold does not grow with the corpus.
 
 Perplexity bands are per language: a document's log perplexity must lie within `LOW` robust standard deviations below its
 language's median, and `HIGH` above it, where texts with a passage in another language have a long tail. Deviations are times sqrt(characters), and their spread is that of
 documents of the language with a like length (powers of two), since what is left of sampling error after that differs with
 length; where these are fewer than `LEAST`, it is at least the language's. A language with fewer documents has at
-least `FEW` of such deviations. Beyond the upper perplexity band a text is gibberish or markup, beyond the lower one it is
+least `FEW` of such deviations. Copies of a text count as one in medians and deviations. Beyond the upper perplexity band a text is gibberish or markup, beyond the lower one it is
 a stock phrase repeated.
 """
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import fold, ranges, released, slices, written
+from gleanery.llm.common import fold, perhaps, ranges, released, slices, written
 from gleanery.sources.files import table
 
 ORDER = 5
@@ -145,17 +146,20 @@ def count_grams(across: bool, passing: bool):
     return run
 
 
-def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
-    """Tables of the orders 1..ORDER: (lang, gram, c, lp) and the back-off weights (lang, ctx, lb).
+def kneser_ney(counts: DataFrame, again: bool = False) -> list[tuple[DataFrame, DataFrame]]:
+    """Tables of the orders 1..ORDER: (lang, gram, lp) and the back-off weights (lang, ctx, lb).
 
     counts: (lang, gram, c) of the highest order. N-grams from the beginning of a word keep their own counts in
     lower orders, all others count their different left neighbours.
+
+    With again, n-grams of orders 2 and up that were found once only are left out; f is how often one was found, whatever its
+    order. Their whole counts go to the back-off weight of their context, so the probabilities behind any context still add up to 1.
     """
-    tables = {ORDER: written(counts, "kn-counts")}
+    tables = {ORDER: written(counts.withColumn("f", F.col("c")), "kn-counts")}
     for k in range(ORDER - 1, 0, -1):
         up = tables[k + 1].withColumn("gram", F.expr(f"right(gram, {k})"))
         c = F.when(F.first(F.col("gram").startswith(BEGIN)), F.sum("c")).otherwise(F.count("*"))
-        tables[k] = written(up.groupBy("lang", "gram").agg(c.alias("c")), "kn-counts")
+        tables[k] = written(up.groupBy("lang", "gram").agg(c.alias("c"), F.sum("f").alias("f")), "kn-counts")
     out = []
     lower = None
     for k in range(1, ORDER + 1):
@@ -169,9 +173,12 @@ def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
             kept(3 - 4 * y * n4 / F.greatest(n3, F.lit(1)), 3).alias("d3"),
             F.count("*").alias("types"),
         )
-        context = t.groupBy("lang", "ctx").agg(F.sum("c").alias("total"), *(F.count_if(F.col("c") == i).alias(f"n{i}") for i in (1, 2)), F.count_if(F.col("c") >= 3).alias("n3"))
-        context = context.join(discounts, "lang").withColumn("weight", (F.col("d1") * F.col("n1") + F.col("d2") * F.col("n2") + F.col("d3") * F.col("n3")) / F.col("total"))
-        j = t.join(context, ["lang", "ctx"])
+        stays = (F.col("f") > 1) if again and k > 1 else F.lit(True)
+        of = [F.count_if(stays & (F.col("c") == i if i < 3 else F.col("c") >= 3)).alias(f"n{i}") for i in (1, 2, 3)]
+        context = t.groupBy("lang", "ctx").agg(F.sum("c").alias("total"), *of, F.sum(F.when(stays, 0).otherwise(F.col("c"))).alias("out"))
+        context = context.filter(F.col("n1") + F.col("n2") + F.col("n3") > 0).join(discounts, "lang")
+        context = context.withColumn("weight", (F.col("d1") * F.col("n1") + F.col("d2") * F.col("n2") + F.col("d3") * F.col("n3") + F.col("out")) / F.col("total"))
+        j = t.filter(stays).join(context, ["lang", "ctx"])
         d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
         own = F.greatest(F.col("c") - d, F.lit(0.0)) / F.col("total")
         if lower is None:
@@ -179,8 +186,8 @@ def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
         else:
             below = lower.select("lang", F.col("gram").alias("suffix"), F.exp("lp").alias("p_low"))
             j = j.withColumn("suffix", F.expr(f"right(gram, {k - 1})")).join(below, ["lang", "suffix"]).withColumn("lp", F.log(own + F.col("weight") * F.col("p_low")))
-        lower = written(j.select("lang", "gram", "c", "lp"), "kn-model")
-        out.append((lower, context.select("lang", "ctx", F.col("total").alias("c"), F.log("weight").alias("lb"))))
+        lower = written(j.select("lang", "gram", "lp"), "kn-model")
+        out.append((lower, context.select("lang", "ctx", F.log("weight").alias("lb"))))
     return out
 
 
@@ -200,33 +207,46 @@ def _keyed(order: int, kind: str):
     return run
 
 
+def texts_once(docs: DataFrame) -> DataFrame:
+    """(lang, text) with each text of a language once. Only texts whose hash is found again, and a few by chance, are shuffled."""
+    rows = docs.select("lang", "text", F.xxhash64("lang", "text").alias("h"))
+    again = written(rows.groupBy("h").count().filter("count > 1").select(F.col("h").alias("k")), "kn-copies")
+    once = perhaps(rows, "h", again, inside=False)
+    return once.unionByName(perhaps(rows, "h", again).dropDuplicates(["h"])).select("lang", "text")
+
+
 def model_table(docs: DataFrame, text: str = "text", lang: str = "lang", across: bool = False, passing: bool = False, others: bool = False) -> DataFrame:
-    """(key, value) of all n-grams and back-off weights of all orders, of all texts or of those that pass the base rules.
+    """(key, value) of all n-grams and back-off weights of all orders, of all texts or of those that pass the base rules, in
+    files by the first bits of the key.
 
-    With others, only what is found twice or more: a text of the corpus that holds an n-gram found once holds the one that was
-    counted, so it counts as unseen there and text cannot vouch for itself.
+    With others, equal texts count as one and n-grams found once are left out: a text of the corpus that holds such an n-gram
+    holds the one that was counted, or is a copy of that text, so neither can vouch for itself.
     """
-    counts = docs.select(F.col(lang).cast("string"), F.col(text).cast("string")).mapInArrow(released(count_grams(across, passing)), "lang string, gram string, n long")
+    rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
+    rows = texts_once(rows) if others else rows
+    counts = rows.mapInArrow(released(count_grams(across, passing)), "lang string, gram string, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("c"))
     keyed = None
-    for k, (grams, contexts) in enumerate(kneser_ney(counts), 1):
-        if others:
-            grams, contexts = grams.filter("c > 1") if k > 1 else grams, contexts.filter("c > 1")
+    for k, (grams, contexts) in enumerate(kneser_ney(counts, others), 1):
         parts = [grams.select("lang", "gram", "lp").mapInArrow(_keyed(k, "p"), "key long, value float")]
         if k > 1:
             parts.append(contexts.select("lang", "ctx", "lb").mapInArrow(_keyed(k - 1, "b"), "key long, value float"))
         for x in parts:
             keyed = x if keyed is None else keyed.unionByName(x)
-    return written(keyed, "kn-arrays")
+    bits = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1, 31).bit_length()
+    return written(keyed.repartitionById(1 << bits, F.shiftrightunsigned("key", 64 - bits).cast("int")).sortWithinPartitions("key"), "kn-arrays")
 
 
 def shards(table: DataFrame):
-    """Sorted (keys, values) of at most about SHARD entries, by the first bits of the keys, one after another."""
+    """Sorted (keys, values) of at most about SHARD entries, by the first bits of the keys, one after another. A shard is a range of
+    keys, so of a table in files by key each is read from its own files alone."""
     n, bits = table.count(), 0
     while n >> bits > SHARD:
         bits += 1
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
     for i in range(1 << bits):
-        part = (table.filter(F.shiftrightunsigned("key", 64 - bits) == i) if bits else table).toArrow()
+        mine = F.col("key").between(signed(i << 64 - bits), signed((i + 1 << 64 - bits) - 1)) if bits else F.lit(True)
+        part = table.filter(mine).toArrow()
         keys, values = part.column("key").to_numpy().view(np.uint64), part.column("value").to_numpy()
         order = np.argsort(keys)
         yield keys[order], values[order]
@@ -406,7 +426,8 @@ def quality(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
     figures = figures.withColumn("length", F.floor(F.log2(steps)).cast("int"))
     quarters = lambda c: F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(10_000))
     wide = lambda q: (F.col(q)[2] - F.col(q)[0]) / 1.349
-    good = figures.filter("not base_failed")
+    # copies of a text, which have the same figures, are one in the bands
+    good = figures.filter("not base_failed").dropDuplicates(["lang", "n_words", "n_steps", "n_repeat_words", "mean_lp"])
     middles = written(good.groupBy("lang").agg(F.percentile_approx("mean_lp", F.lit(0.5), F.lit(10_000)).alias("middle")), "bands")
     middles = F.broadcast(middles) if middles.count() <= FEW_BANDS else middles
     good = good.join(middles, "lang").withColumn("z", (F.col("mean_lp") - F.col("middle")) * F.sqrt(steps))

@@ -474,3 +474,52 @@ def test_guard_leaves_other_queries(tmp_path):
     subprocess.run(["rm", "-r", str(tmp_path / "gleanery/llm")], check=True)
     out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; q = e.queries(); assert 'op1_kneser_ney_perplexity' not in q and len(q) > 40, len(q)"], cwd=tmp_path, capture_output=True, text=True)
     assert out.returncode == 0, out.stderr
+
+
+def test_copies_of_junk_do_not_vouch(spark):
+    """Random and scrambled texts planted once, twice and three times are rejected alike; texts that stand among them stay."""
+    rng = np.random.default_rng(11)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text")
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    planted = []
+    for times in (1, 2, 3):
+        for j in range(5):
+            text = " ".join("".join(rng.choice(letters, rng.integers(3, 9))) for _ in range(30 << j))
+            planted += [(10**6 + 100 * times + j + 10**4 * k, "en", text) for k in range(times)]
+    got = quality.quality(docs.unionByName(spark.createDataFrame(planted, "doc_id long, lang string, text string"))).collect()
+    gone = {times: [r.kept for r in got if r.doc_id >= 10**6 and (r.doc_id - 10**6) % 10**4 // 100 == times] for times in (1, 2, 3)}
+    assert [len(g) for g in gone.values()] == [5, 10, 15] and not any(map(any, gone.values()))
+    rest = [r for r in got if r.doc_id < 10**6 and not r.base_failed]
+    assert sum(r.kept for r in rest) >= 0.97 * len(rest)
+
+
+def test_probabilities_add_up_to_one(spark, monkeypatch):
+    """Behind every context, over all symbols of a language, whether n-grams found once are left out or not."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("lang = 'en'").limit(40).select("lang", "text")
+    symbols = sorted({c for r in docs.collect() for c in quality.END.join(WORD.findall(r.text or ""))} | {quality.END})
+    texts = [quality.END.join(WORD.findall(r.text or "")) for r in docs.collect()]
+    rng = np.random.default_rng(2)
+    for others in (False, True):
+        parts = list(quality.shards(quality.model_table(docs, across=True, others=others)))
+        model = quality.Model(parts)
+        held = 0
+        for _ in range(60):
+            t = quality.BEGIN * 4 + texts[rng.integers(len(texts))]
+            at = int(rng.integers(4, max(len(t), 5)))
+            grams = [t[at - 4 : at] + c for c in symbols]
+            points = quality._points("".join(grams))
+            lp = model._grams("en", points, np.arange(len(grams), dtype=np.int64) * 5)
+            # the share of unknown symbols, one in the number of known ones, is what is left over
+            total = np.exp(lp).sum()
+            assert 1 - 2e-3 < total <= 1 + 1e-5
+            held += abs(total - 1) < 1e-4
+        assert held > 30
+
+
+def test_shards_read_ranges_of_keys(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SHARD", 1000)
+    keys = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 9000)
+    table = spark.createDataFrame([(int(k), float(i % 7)) for i, k in enumerate(keys)], "key long, value float")
+    parts = list(quality.shards(table))
+    assert len(parts) == 16 and np.array_equal(np.concatenate([k for k, _ in parts]), np.sort(keys.view(np.uint64)))
+    assert all((k >> np.uint64(60) == i).all() for i, (k, _) in enumerate(parts))
