@@ -245,6 +245,17 @@ def test_credentials_link_as_a_nested_loop_does():
     assert [k for _, k, _ in secrets.finder(300)(long)[2]] == [0, 2, 3]
 
 
+def test_no_sign_elsewhere_decides_about_a_link():
+    """What stands far from a credential, without which a text has neither sign nor capital letters of a prefix, changes nothing."""
+    find = secrets.finder(60)
+    secret = "Ab3" * 11 + "x"
+    for name in ("ASIAABCDEFGH1234", "AKIAABCDEFGH1234", "akiaabcdefgh1234", "asiaabcdefgh1234", "aSiAabcdefgh1234"):
+        text = f"{name} and {secret}"
+        bare, signed = find(text)[2], find(text + " y" * 200 + " x: y")[2]
+        assert bare == signed and [k for _, k, _ in bare] == [3, 4]
+    assert find(f"russian words and {secret}")[2] == []
+
+
 def test_sentencepiece_parity(spark, odd, nothing):
     import public_tokenizers
     import sentencepiece
@@ -484,13 +495,13 @@ def test_copies_of_junk_do_not_vouch(spark):
     planted = []
     for times in (1, 2, 3):
         for j in range(5):
-            text = " ".join("".join(rng.choice(letters, rng.integers(3, 9))) for _ in range(30 << j))
+            text = " ".join("".join(rng.choice(letters, rng.integers(3, 9))) for _ in range(60 << j))
             planted += [(10**6 + 100 * times + j + 10**4 * k, "en", text) for k in range(times)]
     got = quality.quality(docs.unionByName(spark.createDataFrame(planted, "doc_id long, lang string, text string"))).collect()
     gone = {times: [r.kept for r in got if r.doc_id >= 10**6 and (r.doc_id - 10**6) % 10**4 // 100 == times] for times in (1, 2, 3)}
-    assert [len(g) for g in gone.values()] == [5, 10, 15] and not any(map(any, gone.values()))
+    assert gone == {times: [False] * 5 * times for times in (1, 2, 3)}
     rest = [r for r in got if r.doc_id < 10**6 and not r.base_failed]
-    assert sum(r.kept for r in rest) >= 0.97 * len(rest)
+    assert sum(r.kept for r in rest) >= 0.95 * len(rest)  # labelled junk among them
 
 
 def test_probabilities_add_up_to_one(spark, monkeypatch):
