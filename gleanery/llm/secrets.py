@@ -51,6 +51,7 @@ def finder(scope: int):
     access, hexa = re.compile(ACCESS), re.compile(HEX)
     weak_id, weak_secret = re.compile(WEAK_ID, re.ASCII | re.IGNORECASE), re.compile(WEAK_SECRET, re.ASCII)
     endpoint = re.compile(ENDPOINT, re.ASCII | re.IGNORECASE)
+    bare = re.compile("sia|kia", re.ASCII | re.IGNORECASE).search
 
     def find(text: str):
         base = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 6] if ":" in text or "=" in text else []
@@ -63,7 +64,8 @@ def finder(scope: int):
             counts[k] += 1
         spans = list(base)
         labelled = "=" in text or ":" in text
-        ids = [(m.start(), 3, m.end()) for m in weak_id.finditer(text)] if labelled or "KIA" in text else []
+        # no identifier without a label's sign or, in either case, the letters of a prefix
+        ids = [(m.start(), 3, m.end()) for m in weak_id.finditer(text)] if labelled or bare(text) else []
         if ids or base:
             taken = Spans(base)
             free = lambda found: [x for x in found if not taken.reach(x[0] + 1, x[2] - 1)]
