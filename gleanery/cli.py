@@ -7,11 +7,14 @@ import json
 import os
 import sys
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.operators import dedup, ingest, normalize, review, validate
+from gleanery.operators import dedup, ingest, json_schema, normalize, review, validate
+from gleanery.operators.open_records import OPEN
+from gleanery.schema import record_document
 from gleanery.sources import files
 
 
@@ -30,25 +33,32 @@ def _written(args, df: DataFrame, write, **more) -> dict:
     """Writes df, unless it is a dry run, and says how many rows there are. Input and output must differ."""
     if os.path.abspath(args.input) == os.path.abspath(args.output):
         raise files.BadInput("output must not be the input")
-    if not args.dry_run:
-        write(df, args.output)
-    return {"input": args.input, "output": None if args.dry_run else args.output, "rows": df.count(), **more}
+    rows = df.count() if args.dry_run else write(df, args.output)
+    return {"input": args.input, "output": None if args.dry_run else args.output, "rows": rows, **more}
 
 
-def _jsonl(df: DataFrame, path: str) -> None:
-    files.write_jsonl(df.drop("_ord"), path)
+def _jsonl(df: DataFrame, path: str) -> int:
+    return files.write_jsonl(df.drop("_ord"), path)
 
 
 def _normalize(spark, args):
-    return _written(args, normalize.normalize_records(files.read_jsonl(spark, args.input)), _jsonl)
+    return _written(args, normalize.normalize_records(files.read_open_jsonl(spark, args.input)), files.write_open_jsonl)
+
+
+def _conform(spark, args):
+    """Violations of a JSON-schema document, that of the record format if none is given; how many of each keyword."""
+    document = json.loads(Path(args.schema).read_text(encoding="utf-8")) if args.schema else record_document()
+    found = json_schema.violations(files.read_open_jsonl(spark, args.input), document, OPEN, "question_id")
+    report = {r.keyword: r["count"] for r in found.groupBy("keyword").count().collect()}  # a row for each keyword
+    return _written(args, found, files.write_csv, violations=report)
 
 
 def _validate(spark, args):
-    out = validate.validate_records(files.read_jsonl(spark, args.input), args.latest_year)
+    out = validate.validate_records(files.read_open_jsonl(spark, args.input), args.latest_year)
     report = validate.nested_report(spark, validate.validation_summary(out))
     if not args.dry_run:
         files.write_json_report(report, args.report)
-    return _written(args, out, _jsonl, report=report)
+    return _written(args, out, files.write_open_jsonl, report=report)
 
 
 def _deduplicate(spark, args):
@@ -103,6 +113,7 @@ def build_parser() -> argparse.ArgumentParser:
     io = {"input": {"required": True}, "output": {"required": True}}
     command("normalize", _normalize, "clean records", **io)
     command("validate", _validate, "find issues and statuses", **io, report={"default": "data/reports/validation.json"}, latest_year={"type": positive, "required": True})
+    command("conform", _conform, "list what a JSON-schema document does not allow", **io, schema={"default": ""})
     command("deduplicate", _deduplicate, "find equal, reordered and similar records", **io, report_dir={"default": "data/reports/deduplication"}, threshold={"type": float, "default": 0.88})
     command("export-review", _export_review, "write a sheet for reviewers", **io)
     command("export-csv", _export_csv, "write records as flat CSV", **io)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.operators.open_records import OPEN, option_keys
 from gleanery.schema import ANSWER_STATUSES, LETTERS
 
 # Words of a question that point at an image. So are the codes and messages of the rules below.
@@ -24,9 +25,10 @@ def _blank(c: Column) -> Column:
     return ~c.rlike(r"(?U)\S")
 
 
-def found_issues(latest_year: int, earliest_year: int = 1900) -> Column:
+def found_issues(latest_year: int, earliest_year: int = 1900, keys: Column | None = None) -> Column:
     """array<{code, severity, message}> of one record, in the order of the rules. latest_year is a parameter, so that
-    a run does not depend on its clock."""
+    a run does not depend on its clock. keys: the sorted keys of the options as they were read, null for options that are no object; without
+    them, only a null struct tells of wrong keys."""
     options = [F.coalesce(F.col(f"options.{x}"), F.lit("")) for x in LETTERS]
     empty = F.filter(F.array(*(F.when(_blank(o), F.lit(x)) for x, o in zip(LETTERS, options, strict=True))), lambda x: x.isNotNull())
     filled = F.filter(F.array(*(F.regexp_replace(o, r"(?U)^\s+|\s+\z", "") for o in options)), lambda x: x != "")
@@ -34,13 +36,14 @@ def found_issues(latest_year: int, earliest_year: int = 1900) -> Column:
     chosen = F.coalesce(*(F.when(answer == x, o) for x, o in zip(LETTERS, options, strict=True)))
     searchable = F.concat_ws(" ", _text("shared_material"), _text("question"), *options)
     main = F.coalesce(F.nullif(_text("normalized_question"), F.lit("")), _text("question"))
+    fit = F.col("options").isNotNull() if keys is None else F.coalesce(keys == F.array(*map(F.lit, LETTERS)), F.lit(False))
     rules = [
         _issue(_blank(main), "empty_question", "error", "Question text is empty"),
         _issue(~F.col("question").eqNullSafe(F.col("normalized_question")), "question_normalization_mismatch", "error", "question must equal normalized_question"),
         _issue(_blank(_text("group_id")), "missing_group_id", "error", "group_id is empty"),
-        _issue(F.col("options").isNull(), "invalid_option_keys", "error", "Options must be exactly A, B, C and D"),
-        _issue(F.col("options").isNotNull() & (F.size(empty) > 0), "empty_options", "error", F.concat(F.lit("Empty options: "), F.array_join(empty, ", "))),
-        _issue(F.col("options").isNotNull() & (F.size(filled) > F.size(F.array_distinct(filled))), "duplicate_options", "error", "Two or more options have the same text"),
+        _issue(~fit, "invalid_option_keys", "error", "Options must be exactly A, B, C and D"),
+        _issue(fit & (F.size(empty) > 0), "empty_options", "error", F.concat(F.lit("Empty options: "), F.array_join(empty, ", "))),
+        _issue(fit & (F.size(filled) > F.size(F.array_distinct(filled))), "duplicate_options", "error", "Two or more options have the same text"),
         _issue((answer != "") & ~answer.isin(*LETTERS), "invalid_answer", "error", "Answer must be A, B, C or D"),
         _issue(F.col("options").isNotNull() & (chosen == ""), "missing_answer_option", "error", "Answer points to a missing option"),
         _issue(~url.rlike(r"(?i)^https?://[^/?#]"), "invalid_source_url", "error", "A traceable HTTP(S) source URL is required"),
@@ -79,6 +82,7 @@ def image_dependency() -> Column:
 
 def validate_records(records: DataFrame, latest_year: int, earliest_year: int = 1900) -> DataFrame:
     """records with issues (kept ones first, each code and message once), answer status, image dependency, parse status.
+    Of open records, the keys of the options are those of the object that was read.
 
     The one shuffle is by group: min and max of a group's material, both combined before it, tell if they differ.
     """
@@ -87,7 +91,8 @@ def validate_records(records: DataFrame, latest_year: int, earliest_year: int =
     mixed = records.select(group.alias("_g"), material.alias("_m")).filter("_g <> ''").groupBy("_g").agg((F.min("_m") != F.max("_m")).alias("_mixed")).filter("_mixed")
     out = records.withColumn("_g", group).join(mixed, "_g", "left")
     clash = _issue(F.coalesce("_mixed", F.lit(False)), "inconsistent_group_material", "error", "Records in the same group have different shared material")
-    fresh = F.concat(found_issues(latest_year, earliest_year), F.filter(F.array(clash), lambda x: x.isNotNull()))
+    keys = option_keys(F.col(OPEN)) if OPEN in records.columns else None
+    fresh = F.concat(found_issues(latest_year, earliest_year, keys), F.filter(F.array(clash), lambda x: x.isNotNull()))
     kept = F.coalesce(F.col("quality.issues"), F.slice(fresh, 1, 0))
     issues = _first_of_each(F.concat(kept, fresh))
     quality = F.col("quality").withField("issues", issues).withField("answer_status", answer_status()).withField("image_dependency", image_dependency())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES: list[str] = ["record_queries", "evaluation_queries", "ingest_queries", "run_queries"]
+MODULES: list[str] = ["record_queries", "evaluation_queries", "ingest_queries", "run_queries", "open_queries"]
 
 
 def _gather(attribute: str) -> dict:

@@ -30,3 +30,37 @@ SOURCE_STATUSES = ("draft", "pending_review", "approved", "disabled", "rejected"
 SOURCE_TYPES = ("html", "pdf", "mixed")
 MODES = ("direct", "cot")
 ABILITIES = ("FACT", "TIME", "SOURCE", "REASON")
+
+
+def record_document() -> dict:
+    """The record format as a JSON-schema document: types from RECORD, closed sets and patterns from the values above. Options and
+    labels are closed, everything else may hold more fields."""
+    from pyspark.sql import types as S
+
+    names = {S.StringType: "string", S.IntegerType: "integer", S.LongType: "integer", S.BooleanType: "boolean", S.DoubleType: "number"}
+    nullable = {"source.year", "source.page_number", "source_records.year", "source_records.page_number", "provenance.ocr_confidence"}
+    optional = {"provenance.ocr_confidence", "provenance.source_question_number", *(f"answer_evidence.{f.name}" for f in S.DataType.fromDDL(EVIDENCE).elementType.fields[2:])}
+    rules = {
+        "schema_version": {"const": SCHEMA_VERSION}, "provenance.crawler_version": {"const": CRAWLER_VERSION}, "record_version": {"minimum": 1}, "provenance.ocr_confidence": {"minimum": 0, "maximum": 1},
+        "question_id": {"pattern": "^CHIS_[0-9]{6}$"}, "group_id": {"pattern": "^GROUP_[A-Za-z0-9_-]+$"}, "answer": {"enum": ["", *LETTERS]}, "answer_evidence.answer": {"enum": [*LETTERS]},
+        "quality.answer_status": {"enum": [*ANSWER_STATUSES]}, "quality.duplicate_status": {"enum": ["unchecked", *DUPLICATE_STATUSES]}, "quality.review_status": {"enum": [*REVIEW_STATUSES]},
+        "quality.parse_status": {"enum": ["pending", "parsed", "valid", "needs_review", "failed"]}, "quality.image_dependency": {"enum": ["unknown", "not_image_dependent", "image_dependent", "needs_review"]},
+        "provenance.license_status": {"enum": [*LICENSE_STATUSES]},
+    }
+
+    def of(kind: S.DataType, path: str) -> dict:
+        if path in ("quality.issues", "provenance.normalization_changes"):
+            return {"type": "array", "items": {"type": "object"}}
+        if isinstance(kind, S.ArrayType):
+            return {"type": "array", "items": of(kind.elementType, path)}
+        if isinstance(kind, S.StructType):
+            at = lambda f: f"{path}.{f.name}".lstrip(".")
+            known = [f for f in kind.fields if at(f) not in {"provenance.source_question_number", *(x for x in optional if x.startswith("answer_evidence.") and x.split(".")[1] not in ("official", "reliable", "evidence_url"))}]
+            closed = {"additionalProperties": False} if path in ("raw_options", "options", "labels") else {}
+            return {"type": "object", "required": [f.name for f in kind.fields if at(f) not in optional], "properties": {f.name: of(f.dataType, at(f)) for f in known}, **closed}
+        if "const" in rules.get(path, {}) or ("enum" in rules.get(path, {}) and path != "answer"):
+            return dict(rules[path])
+        name = names[type(kind)]
+        return {"type": [name, "null"] if path in nullable else name, **rules.get(path, {})}
+
+    return {"$schema": "https://json-schema.org/draft/2020-12/schema", **of(S.StructType.fromDDL(RECORD), "")}

@@ -7,10 +7,11 @@ import json
 import os
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
+from gleanery.operators.open_records import open_lines, open_records
 from gleanery.schema import LICENSE_STATUSES, RECORD, SOURCE_STATUSES, SOURCE_TYPES
 
 
@@ -41,18 +42,41 @@ def read_jsonl(spark: SparkSession, path: str, schema: str = RECORD, bom: bool =
     return parsed.withColumn("_r", checked).select(*(F.col(f"_r.{f.name}").alias(f.name) for f in full.fields), "_ord")
 
 
-def write_jsonl(df: DataFrame, path: str, single: bool = False) -> None:
-    """JSON lines with nulls, through Spark's committer; one file if asked (for small results)."""
+def read_open_jsonl(spark: SparkSession, path: str, bom: bool = False) -> DataFrame:
+    """Records of JSON lines as open records: `_open` holds all that a line says. Blank lines are skipped; a malformed or
+    non-object line, or one with a key twice, is an error that names file and text."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_ord"))
+    lines = lines.withColumn("value", F.regexp_replace("value", "^\\uFEFF", "")) if bom else lines
+    lines = lines.filter(F.col("value").rlike(r"\S"))
+    whole = F.try_variant_get(F.try_parse_json("value"), "$", "map<string,variant>")
+    wrong = F.raise_error(F.concat(F.lit("malformed line in "), F.col("_file"), F.lit(": "), F.substring("value", 1, 80)))
+    return open_records(lines.withColumn("value", F.when(whole.isNull(), wrong).otherwise(F.col("value"))).drop("_file"))
+
+
+def write_open_jsonl(records: DataFrame, path: str) -> int:
+    """Open records as JSON lines, unknown fields included; the number of lines, counted while they are written."""
+    return _counted(open_lines(records), lambda df: df.write.mode("overwrite").text(path))
+
+
+def _counted(df: DataFrame, write) -> int:
+    """Runs a write and returns how many rows it wrote, without running the plan for them again."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return seen.get["n"]
+
+
+def write_jsonl(df: DataFrame, path: str, single: bool = False) -> int:
+    """JSON lines with nulls, through Spark's committer; one file if asked (for small results). Returns the number of lines."""
     out = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
-    (out.coalesce(1) if single else out).write.mode("overwrite").text(path)
+    return _counted(out.coalesce(1) if single else out, lambda x: x.write.mode("overwrite").text(path))
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", bom: bool = True) -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", bom: bool = True) -> int:
     """CSV with a header, quotes doubled; cells keep their newlines. With bom, the first column's name begins with the mark that
-    tells spreadsheets of UTF-8, which heads every part file; without a header line there is no mark."""
+    tells spreadsheets of UTF-8, which heads every part file; without a header line there is no mark. Returns the number of rows."""
     first = df.columns[0]
     out = df.select(F.col(f"`{first}`").alias("\ufeff" + first), *(F.col(f"`{c}`") for c in df.columns[1:])) if bom else df
-    out.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    return _counted(out, lambda x: x.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", "").csv(path))
 
 
 def write_once(df: DataFrame, path: str, form: str = "parquet") -> None:
