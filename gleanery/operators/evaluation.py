@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from gleanery.functions import text as T
+from gleanery.operators.scan import runs
 from gleanery.schema import LETTERS, MODES
 
 # Fixed values of the statistics.
@@ -34,7 +35,9 @@ def image_references(items: DataFrame) -> DataFrame:
 def invalid_items(items: DataFrame) -> DataFrame:
     """(question_id, reason) of items that a run may not use; ids must be unique, stems and options filled."""
     blank = lambda c: ~F.coalesce(c, F.lit("")).rlike(r"(?U)\S")
-    twice = F.count("*").over(Window.partitionBy("question_id")) > 1
+    again = items.filter("question_id <> ''").groupBy("question_id").count().filter("count > 1").select("question_id", F.lit(True).alias("_again"))
+    items = items.join(again, "question_id", "left")
+    twice = F.coalesce("_again", F.lit(False))
     empty = blank(F.col("options.A")) | blank(F.col("options.B")) | blank(F.col("options.C")) | blank(F.col("options.D"))
     reason = F.when(F.coalesce("question_id", F.lit("")) == "", "id").when(twice, "duplicate").when(blank(F.col("question")), "stem").when(empty, "options").when(F.col("answer").isNotNull() & ~F.col("answer").isin(*LETTERS), "answer")
     return items.select("question_id", reason.alias("reason")).filter("reason is not null")
@@ -210,8 +213,4 @@ def pending_work(planned: DataFrame, done: DataFrame, retry: tuple[str, ...] = (
 
 def error_islands(log: DataFrame, order: str, limit: int = 5) -> DataFrame:
     """Runs of consecutive api errors per model: (model, first, last, n, tripped); tripped at `limit` or more."""
-    bad = F.col("status") == "api_error"
-    w = Window.partitionBy("model").orderBy(order)
-    island = F.sum((~bad).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    runs = log.withColumn("_island", island).filter(bad).groupBy("model", "_island").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n"))
-    return runs.select("model", "first", "last", "n", (F.col("n") >= limit).alias("tripped"))
+    return runs(log, "model", order, F.col("status") == "api_error").withColumn("tripped", F.col("n") >= limit)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions import text as T
+from gleanery.operators.scan import prefix_sums
 from gleanery.schema import LETTERS
 
 # Provinces in the order they are looked for, suffixes that are kept, retryable HTTP codes.
@@ -401,11 +402,10 @@ def page_records(blocks: DataFrame, order: list[str], question_start: int = 1, g
     """Blocks of parse_pages with question_id, group_id, answer_status, has_image and issues: ids count blocks and groups of all
     pages in the order of the columns `order`, which tell pages apart, then of the page.
 
-    A page's blocks are numbered by themselves; only its two totals, a row of numbers for each page, are summed up in order.
+    A page's blocks are numbered by themselves; its two totals are summed up over the pages before it by ranges of pages.
     """
-    totals = blocks.groupBy(*order).agg(F.count("*").alias("_n"), F.count_distinct("group_no").alias("_m"))
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*order, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("n"), F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("g"))
+    totals = blocks.groupBy(*order).agg(F.count("*").alias("n"), F.count_distinct("group_no").alias("g"))
+    totals = prefix_sums(totals, order, n="n", g="g")
     page = Window.partitionBy(*order)
     out = blocks.withColumns({"_q": F.row_number().over(page.orderBy("block")), "_g": F.dense_rank().over(page.orderBy("group_no"))}).join(totals, order)
     number = lambda c, start, prefix: F.concat(F.lit(prefix), F.lpad((c + (start - 1)).cast("string"), 6, "0"))

@@ -63,8 +63,9 @@ def merge_outcomes(records: DataFrame, sheet: DataFrame, line: str = "line") ->
     The first row of an id counts, even if it fails. Of records with one id the last (by _ord) is meant. Cells are
     restored, an empty status is pending.
     """
-    cells = sheet.select(F.col(line).alias("line"), *(T.csv_restore(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in REVIEW_COLUMNS))
-    nth = F.row_number().over(Window.partitionBy("question_id").orderBy("line"))
+    of = [F.col("sheet")] if "sheet" in sheet.columns else []
+    cells = sheet.select(*of, F.col(line).alias("line"), *(T.csv_restore(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in REVIEW_COLUMNS))
+    nth = F.row_number().over(Window.partitionBy("question_id").orderBy(*of, "line"))
     known = records.groupBy("question_id").agg(F.max_by(snapshot_hash(), "_ord").alias("_now"))
     status = F.when(F.col("review_status") == "", "pending").otherwise(F.col("review_status"))
     rows = cells.withColumn("_nth", nth).withColumn("review_status", status).join(known, "question_id", "left")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,6 +29,25 @@ def table(spark: SparkSession, path: str) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: spark.checkpoint.dir, or, where all is one process, a temporary one."""
+    sc = spark.sparkContext
+    found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not sc.master.startswith("local"):
+            raise BadInput("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="gleanery-"))
+        found = sc.getCheckpointDir()
+    return found.rstrip("/")
+
+
+def staged(df: DataFrame, tag: str) -> DataFrame:
+    """df written to the shared folder and read again, so that what was decided once, such as ranges, stays when executors are lost."""
+    path = f"{shared_folder(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: str = RECORD, bom: bool = False) -> DataFrame:
     """Records of JSON lines; blank lines are skipped, a malformed or non-object line is an error that names file and text.
 
@@ -130,14 +151,16 @@ def unread_files(files: DataFrame, cache: DataFrame, force: bool = False) -> Dat
 
 
 def read_sheet(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A sheet as text columns with `line`, which grows with the place in it (of a sheet in one file, the number of its row, the
-    header being the first); a missing column is an error."""
+    """Sheets as text columns with `sheet`, the file, and `line`, the number of the row in it, the header being the first; a
+    missing column is an error. A file is read in one piece, and its first row tells where its numbers begin."""
     df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     names = {c.lstrip("﻿"): c for c in df.columns}
     missing = sorted(set(columns) - set(names))
     if missing:
         raise BadInput("Review sheet is missing columns: " + ", ".join(missing))
-    return df.select(*(F.col(f"`{names[c]}`").alias(c) for c in columns)).withColumn("line", F.monotonically_increasing_id() + 2)
+    rows = staged(df.select(*(F.col(f"`{names[c]}`").alias(c) for c in columns), F.col("_metadata.file_path").alias("sheet"), F.monotonically_increasing_id().alias("line")), "sheet")
+    first = rows.groupBy("sheet").agg(F.min("line").alias("_first"))
+    return rows.join(first, "sheet").withColumn("line", F.col("line") - F.col("_first") + 2).select(*columns, "sheet", "line")
 
 
 REQUIRED = (
