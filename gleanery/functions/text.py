@@ -87,9 +87,14 @@ def csv_restore(c: Column) -> Column:
 
 def ngrams(c: Column, n: int) -> Column:
     """Different character n-grams without white space; a shorter text is one, an empty one none."""
-    t = F.regexp_replace(c, r"(?U)\s+", "")
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - (n - 1), F.lit(1))), lambda i: F.substr(t, i, F.lit(n)))
-    return F.when(F.length(t) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(grams))
+
+    def of(letters: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(letters) - (n - 1), F.lit(1)))
+        return F.when(F.size(letters) > 0, F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(letters, i, n), ""))))
+
+    # as an element of an array the letters are taken once, not for each n-gram
+    letters = F.array(F.regexp_extract_all(c, F.lit(r"(?U)\S"), F.lit(0)))
+    return F.coalesce(F.get(F.transform(letters, of), F.lit(0)), F.array().cast("array<string>"))
 
 
 def jaccard(a: Column, b: Column) -> Column:

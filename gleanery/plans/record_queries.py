@@ -117,6 +117,13 @@ def duplicate_status_rows(spark, d):
 
 @query()
 def suspected_pairs(spark, d):
+    """Records, whole documents as questions and their pieces as options, that are similar. The sequence ratio is not SQL; tests hold
+    this against the nested loop."""
+    return dedup.suspected_pairs(records(spark, d)).select("question_id_1", "question_id_2", "similarity", "suggested_keep", "answer_equivalence")
+
+
+@query()
+def suspected_turns(spark, d):
     """Turns of conversations as questions, and each fifth conversation's once more with a mark at the end. The
     sequence ratio is not SQL; tests hold this against the nested loop."""
     turns = table(spark, f"{d}/conversations.parquet").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text", "conv_id")
