@@ -38,8 +38,8 @@ LOW, HIGH = 4.0, 6.0
 LEAST, FEW = 100, 1.0
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 FEW_BANDS = 100_000
-SLICE_CHARS = 1_500_000
-COUNT_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
+COUNT_CHARS = 2_500_000
 PIECE = 500_000  # n-grams of a long text that are counted or scored at a time
 SHARD = 1 << 21  # entries of the model that are gathered and broadcast at a time
 MARK = b"kneser-ney arrays"
