@@ -138,8 +138,8 @@ def paired_stats(pairs_: DataFrame, by: list[str]) -> DataFrame:
 def bootstrap_interval(pairs_: DataFrame, by: list[str], order: str = "question_id") -> DataFrame:
     """(by, boot_low, boot_high): paired bootstrap with a fixed seed, pairs in the order of `order`.
 
-    Draws depend on the order of pairs, so a group's changes (-1, 0 or 1, a byte each) go to one task as one array,
-    after aggregation; groups run in parallel.
+    Draws depend on the order of pairs, so a group's changes, each with what it is ordered by, go to one task as one array; groups
+    run in parallel. For groups beyond a task's memory there is bootstrap_bounds.
     """
 
     def run(pdf):
@@ -165,6 +165,32 @@ def bootstrap_interval(pairs_: DataFrame, by: list[str], order: str = "question_
     return gathered.repartitionByRange(gathered.sparkSession.sparkContext.defaultParallelism, *by).mapInPandas(lambda it: (run(p) for p in it), ", ".join(f"{b} {types[b]}" for b in by) + ", boot_low double, boot_high double")
 
 
+def bootstrap_bounds(pairs_: DataFrame, by: list[str], resamples: int = RESAMPLES, seed: int = SEED) -> DataFrame:
+    """(by, n, boot_low, boot_high): the paired bootstrap from counts, for groups of any size.
+
+    A change is -1, 0 or 1, so how often each is drawn is multinomial in their counts, and a resample's mean needs nothing else. The counts
+    are combined before the shuffle; what is drawn works on three numbers a group. Same distribution as bootstrap_interval, other draws.
+    """
+    low, high = round(LOW * resamples / RESAMPLES), round(HIGH * resamples / RESAMPLES)
+
+    def run(lost: pd.Series, same: pd.Series, won: pd.Series) -> pd.DataFrame:
+        import numpy as np
+
+        out = []
+        for counts in zip(lost, same, won, strict=True):
+            n = sum(counts)
+            drawn = np.random.default_rng(seed).multinomial(n, np.array(counts) / n, size=resamples)
+            means = np.sort(drawn[:, 2] - drawn[:, 0]) / n
+            out.append((float(means[low]), float(means[high])))
+        return pd.DataFrame(out, columns=["low", "high"])
+
+    run.__annotations__ = {"lost": pd.Series, "same": pd.Series, "won": pd.Series, "return": pd.DataFrame}
+    change = (F.col("cot") == "correct").cast("int") - (F.col("direct") == "correct").cast("int")
+    counts = pairs_.groupBy(*by).agg(F.count("*").alias("n"), *(F.count_if(change == c).alias(name) for c, name in ((-1, "_lost"), (0, "_same"), (1, "_won"))))
+    bounds = F.pandas_udf(run, "low double, high double")("_lost", "_same", "_won")
+    return counts.withColumn("_b", bounds).select(*by, "n", F.col("_b.low").alias("boot_low"), F.col("_b.high").alias("boot_high"))
+
+
 def common_questions(results: DataFrame, modes=MODES) -> DataFrame:
     """(question_id) completed by every model in every mode."""
     models = results.agg(F.count_distinct("model").alias("_m"))

@@ -14,19 +14,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
 from gleanery.operators.open_records import open_lines, open_records
+from gleanery.sources.results import ResultTable
 from gleanery.schema import LICENSE_STATUSES, RECORD, SOURCE_STATUSES, SOURCE_TYPES
 
 
+SMALL = 256 << 20  # bytes of a table whose rows are worth dealing out
+
+
 class BadInput(ValueError):
     """Data or configuration that an operation may not go on with."""
 
 
 def table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table; one of fewer splits than there are cores, as a small file is, is dealt out over all of them. Filters and
-    column selections still reach the scan. A table of more splits is read as it lies, without a shuffle."""
+    """A Parquet table; one of at most SMALL bytes in fewer splits than there are cores is dealt out over all of them. Filters and
+    column selections still reach the scan. Any larger table is read as it lies, without a shuffle."""
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return df.repartition(cores) if size <= SMALL and df.rdd.getNumPartitions() < cores else df
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -129,17 +134,13 @@ def write_dedup_reports(result, folder: str) -> None:
 
 
 def replace_results(spark: SparkSession, fresh: DataFrame, folder: str, keys: list[str], order: str = "finished_at") -> None:
-    """Adds results to a table that holds one row for each key: the last by `order` counts when it is read. Rows are only ever
-    added, so a job that dies leaves the table as it was or with its rows."""
-    fresh.write.mode("append").parquet(folder)
+    """Adds results to a table that holds one row for each key, the last by `order` (`sources.results.ResultTable`)."""
+    ResultTable(spark, folder, keys, order).add(fresh)
 
 
 def current_results(spark: SparkSession, folder: str, keys: list[str], order: str = "finished_at") -> DataFrame:
-    """The last row of each key of such a table; maxima are combined before the shuffle."""
-    rows = spark.read.parquet(folder)
-    rest = [c for c in rows.columns if c not in keys]
-    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(order, F.xxhash64(*rest))).alias("_r"))
-    return last.select(*keys, "_r.*").select(*rows.columns)
+    """The last row of each key of such a table."""
+    return ResultTable(spark, folder, keys, order).current()
 
 
 def unread_files(files: DataFrame, cache: DataFrame, force: bool = False) -> DataFrame:
