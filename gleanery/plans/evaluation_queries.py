@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gleanery.operators import evaluation as E
 from gleanery.plans.views import RES_SQL, results
+from gleanery.sources.files import shared_folder
+from gleanery.sources.results import ResultTable
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -102,6 +106,23 @@ def model_comparison(spark, d):
     return _rounded(E.comparison(results(spark, d)[0]), "delta", "mcnemar_exact_p")
 
 
+@query()
+def bootstrap_bounds(spark, d):
+    """Resamples drawn from counts are not SQL; a test holds them against the seeded ones."""
+    return E.bootstrap_bounds(E.pairs(results(spark, d)[0]), ["model"])
+
+
+@query("SELECT question_id, mode, max(event_id) AS event_id, arg_max(model, event_id) AS model, arg_max(status, event_id) AS status FROM res GROUP BY question_id, mode")
+def results_replaced(spark, d):
+    """The results of all models added one after another to a table with one row for each question and mode, two of its parts merged."""
+    res = results(spark, d)[0].select("question_id", "mode", "event_id", "model", "status")
+    table = ResultTable(spark, f"{shared_folder(spark)}/results-{uuid.uuid4().hex}", ["question_id", "mode"], "event_id", buckets=4)
+    for odd in (1, 0, 2):  # later models first
+        table.add(res.filter(F.crc32("model") % 3 == odd))
+    table.compact(table.manifest()["parts"][:2])
+    return table.current()
+
+
 @query()
 def bootstrap_ci(spark, d):
     """The draws of a seeded generator are not SQL; a test holds this against the plain loop."""

@@ -30,7 +30,7 @@ def table(spark: SparkSession, path: str) -> DataFrame:
     column selections still reach the scan. Any larger table is read as it lies, without a shuffle."""
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(cores) if size <= SMALL and df.rdd.getNumPartitions() < cores else df
 
 

@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 BUCKET = "_bucket"
 
@@ -46,13 +47,15 @@ class ResultTable:
         finally:
             stream.close()
 
-    def _commit(self, gone: list[str], new: list[str]) -> dict:
-        """The next manifest: without the parts that are gone and with the new ones, whatever others have committed since."""
+    def _commit(self, gone: list[str], new: str, schema: S.StructType) -> dict:
+        """The next manifest: without the parts that are gone and with the new one, whatever others have committed since."""
         while True:
-            now = self.manifest() or {"generation": 0, "parts": []}
+            now = self.manifest() or {"generation": 0, "parts": [], "schemas": {}}
             if not set(gone) <= set(now["parts"]):
                 raise RuntimeError("another job has merged these parts")
-            made = {"generation": now["generation"] + 1, "parts": [*(p for p in now["parts"] if p not in gone), *new], "keys": self.keys, "order": self.order, "buckets": self.buckets}
+            parts = [*(p for p in now["parts"] if p not in gone), new]
+            schemas = {p: s for p, s in (now["schemas"] | {new: schema.jsonValue()}).items() if p in parts}
+            made = {"generation": now["generation"] + 1, "parts": parts, "schemas": schemas, "keys": self.keys, "order": self.order, "buckets": self.buckets}
             target, part = self._path(f"{self.folder}/manifests/{made['generation']:012d}.json"), self._path(f"{self.folder}/manifests/.{uuid.uuid4().hex}.tmp")
             stream = self._fs.create(part, False)
             stream.write(bytearray(json.dumps(made).encode()))
@@ -75,21 +78,23 @@ class ResultTable:
         last = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), F.struct(self.order, F.xxhash64(*rest))).alias("_r"))
         return last.select(*self.keys, "_r.*").select(*rows.columns)
 
-    def _parts(self, names: list[str]) -> DataFrame:
-        """Rows of parts, each read by its own path: their buckets are folders."""
+    def _parts(self, names: list[str], schemas: dict) -> DataFrame | None:
+        """Rows of parts, each read by its own path: their buckets are folders, and a part without rows has none."""
         out = None
         for n in names:
-            part = self.spark.read.option("basePath", f"{self.folder}/data/{n}").parquet(f"{self.folder}/data/{n}")
+            schema = S.StructType.fromJson(schemas[n]).add(BUCKET, S.IntegerType())
+            part = self.spark.read.schema(schema).option("basePath", f"{self.folder}/data/{n}").parquet(f"{self.folder}/data/{n}")
             out = part if out is None else out.unionByName(part, allowMissingColumns=True)
         return out
 
     def add(self, rows: DataFrame) -> dict:
         """Adds rows, whose keys may be there already, as one part."""
-        return self._commit([], [self._write(rows)])
+        return self._commit([], self._write(rows), rows.schema)
 
     def current(self, wanted: DataFrame | None = None) -> DataFrame:
         """The current row of each key, or of the keys in `wanted`."""
-        rows = self._parts((self.manifest() or {"parts": []})["parts"])
+        now = self.manifest() or {"parts": [], "schemas": {}}
+        rows = self._parts(now["parts"], now["schemas"])
         if rows is None:
             raise ValueError(f"{self.folder} holds no results yet")
         if wanted is not None:
@@ -100,11 +105,14 @@ class ResultTable:
     def compact(self, parts: list[str] | None = None) -> dict | None:
         """Merges the given parts, or all, into one that holds their keys' last rows, and reads no others. None if there is
         nothing to merge. The merged folders stay for those who read them, until clean()."""
-        have = (self.manifest() or {"parts": []})["parts"]
-        parts = have if parts is None else parts
+        now = self.manifest() or {"parts": [], "schemas": {}}
+        parts = now["parts"] if parts is None else parts
+        if not set(parts) <= set(now["parts"]):
+            raise RuntimeError("another job has merged these parts")
         if len(parts) < 2:
             return None
-        return self._commit(parts, [self._write(self._last(self._parts(parts).drop(BUCKET)))])
+        merged = self._last(self._parts(parts, now["schemas"]).drop(BUCKET))
+        return self._commit(parts, self._write(merged), merged.schema)
 
     def clean(self) -> list[str]:
         """Deletes the parts that the newest manifest does not name, of dead jobs and merged ones, and says which. For times at which

@@ -40,6 +40,8 @@ def test_the_last_row_of_a_key_counts(spark, tmp_path):
     again = ResultTable(spark, str(tmp_path / "t"))
     assert again.keys == ["question_id", "mode"] and again.buckets == 3
     assert [tuple(r) for r in again.current(make((3, "c", "", 0), (9, "c", "", 0))).collect()] == rows((3, "c", "ok", 2))
+    table.add(make((1, "d", "", 0)).filter("mode = 'none'"))
+    assert held(table) == want
     with pytest.raises(ValueError):
         ResultTable(spark, str(tmp_path / "t"), ["mode"])
     with pytest.raises(ValueError):
