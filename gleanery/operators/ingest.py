@@ -341,7 +341,9 @@ def agieval(lines: DataFrame) -> DataFrame:
 
 def _gaokao(items: DataFrame, group: str, suffix: str) -> DataFrame:
     answer = F.coalesce(F.try_element_at("answer", F.lit(1)), F.lit(""))
-    rows = items.withColumn("p", split_options(F.col("question"))).filter(answer.isin(*LETTERS) & F.col("p").isNotNull() & (F.col("p.question") != ""))
+    # an exploded array of one: its element is made once, whatever is asked of it later
+    whole = F.filter(F.array(split_options(F.col("question"))), lambda p: p.isNotNull() & (p["question"] != ""))
+    rows = items.filter(answer.isin(*LETTERS)).withColumn("p", F.explode(whole))
     year = F.when(F.col("year").cast("string").rlike("^[0-9]+$"), F.col("year").cast("int")).otherwise(2022)
     images = F.transform(F.coalesce("picture", F.array().cast("array<string>")), lambda p: F.concat(F.lit("assets/"), F.element_at(F.split(p, "/"), -1)))
     rows = rows.select(
