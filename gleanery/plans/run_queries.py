@@ -135,21 +135,25 @@ def config_problems(spark, d):
     return rows.select("event_id", F.array_join(runs.config_problems(), ",").alias("problems"))
 
 
-@query("""
-SELECT * FROM (VALUES ('r1', 'dataset'), ('r2', 'modes'), ('r3', 'question_ids'), ('r4', 'question_ids'), ('r5', 'prompts'), ('r6', 'repeated model'), ('r7', 'repeated model')) t(run, problem)
+@query("WITH " + RES_SQL + """,
+told AS (SELECT e.user_id, r.* FROM res r JOIN events e USING (event_id)),
+runs AS (SELECT 'r' || CAST(user_id AS VARCHAR) AS run, user_id, arg_min(model, event_id) AS model, count(DISTINCT mode) AS modes, bool_or(status = 'api_error') AS failed, arg_max(status, event_id) AS last FROM told GROUP BY user_id),
+ids AS (SELECT user_id, question_id, count(*) AS n FROM told WHERE status = 'correct' GROUP BY ALL),
+checked AS (SELECT r.*, coalesce(i.most, 2) AS most, count(*) OVER (PARTITION BY model) AS runs FROM runs r LEFT JOIN (SELECT user_id, max(n) AS most FROM ids GROUP BY user_id) i USING (user_id))
+SELECT run, unnest(list_filter([CASE WHEN last = 'format_error' THEN 'dataset' END, CASE WHEN modes < 2 THEN 'modes' END, CASE WHEN most > 1 THEN 'question_ids' END, CASE WHEN failed THEN 'prompts' END, CASE WHEN runs > 1 THEN 'repeated model' END], lambda x: x IS NOT NULL)) AS problem FROM checked
 """)
 def manifest_problems(spark, d):
-    """Eight manifests over all items: the first is right, each other one wrong in its own way."""
-    items = results(spark, d)[1]
-    i = F.col("id")
-    ids = F.sequence(F.lit(0).cast("long"), F.lit(items.count() - 1).cast("long"))
-    prompts = {"direct": "p1", "cot": "p2"}
-    given = F.create_map(F.lit("direct"), F.lit("p1"), F.lit("cot"), F.when(i == 5, "other").otherwise("p2"))
-    rows = spark.range(8).select(
-        F.concat(F.lit("r"), i.cast("string")).alias("run"), F.when(i == 1, "other").otherwise("h").alias("dataset_sha256"), F.when(i == 3, F.concat(ids, F.array(F.lit(-1).cast("long")))).when(i == 4, F.concat(ids, F.array(F.lit(0).cast("long")))).otherwise(ids).alias("question_ids"),
-        F.when(i == 2, F.array(F.lit("direct"))).otherwise(F.array(F.lit("direct"), F.lit("cot"))).alias("modes"), F.lit("https://x").alias("endpoint"), F.when(i == 7, "m6").otherwise(F.concat(F.lit("m"), i.cast("string"))).alias("model"), F.lit("{}").alias("parameters"), given.alias("prompts"),
+    """A manifest for each user's log of results: the questions it got right (twice, or none, is a problem), the modes that it has,
+    a data set that its last result names, a prompt that errors changed, and the model it began with."""
+    res, items = results(spark, d)
+    told = res.join(table(spark, f"{d}/events.parquet").select("event_id", "user_id"), "event_id")
+    seen = F.array_sort(F.collect_set("mode"), lambda a, b: F.when(a == "direct", -1).when(b == "direct", 1).otherwise(0))
+    rows = told.groupBy("user_id").agg(
+        F.when(F.max_by("status", "event_id") == "format_error", "other").otherwise("h").alias("dataset_sha256"), F.collect_list(F.when(F.col("status") == "correct", F.col("question_id"))).alias("question_ids"), seen.alias("modes"),
+        F.create_map(F.lit("direct"), F.lit("p1"), F.lit("cot"), F.when(F.bool_or(F.col("status") == "api_error"), "other").otherwise("p2")).alias("prompts"), F.min_by("model", "event_id").alias("model"),
     )
-    return runs.manifest_problems(rows, items, "h", prompts)
+    rows = rows.select(F.concat(F.lit("r"), F.col("user_id").cast("string")).alias("run"), "dataset_sha256", "question_ids", "modes", F.lit("https://x").alias("endpoint"), "model", F.lit("{}").alias("parameters"), "prompts")
+    return runs.manifest_problems(rows, items, "h", {"direct": "p1", "cot": "p2"})
 
 
 @query(with_q("""
