@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import itertools
 import sys
 import tempfile
@@ -36,8 +38,19 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-#: Paths of the tables that this process has written, empty where they were dropped.
-_tables: list[str] = []
+#: Paths of the tables that a run has written, empty where they were dropped; of all that belongs to no run, one list.
+_tables: contextvars.ContextVar[list[str]] = contextvars.ContextVar("tables", default=[])  # noqa: B039
+
+
+@contextlib.contextmanager
+def own_tables():
+    """A run: tables written in it are noted by themselves, so dropping them leaves those of other queries of this process alone,
+    of other threads as well as of results that are still to be read."""
+    token = _tables.set([])
+    try:
+        yield
+    finally:
+        _tables.reset(token)
 
 
 def written(df: DataFrame, tag: str = "table") -> DataFrame:
@@ -51,32 +64,34 @@ def written(df: DataFrame, tag: str = "table") -> DataFrame:
     if int(spark.conf.get(BATCH_ROWS)) > 2000:
         spark.conf.set(BATCH_ROWS, "2000")
     df.write.parquet(path)
-    _tables.append(path)
+    _tables.get().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def _delete(spark: SparkSession, i: int) -> None:
-    if _tables[i]:
-        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_tables[i])
+    mine = _tables.get()
+    if mine[i]:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(mine[i])
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-        _tables[i] = ""
+        mine[i] = ""
 
 
 def dropped(table: DataFrame) -> None:
     """Delete a table of written() that nothing reads again: what came of it has been written in turn."""
     for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-        for i in range(len(_tables) - 1, -1, -1):
-            if _tables[i] and path.endswith(_tables[i].rsplit("/", 1)[1]):
+        mine = _tables.get()
+        for i in range(len(mine) - 1, -1, -1):
+            if mine[i] and path.endswith(mine[i].rsplit("/", 1)[1]):
                 _delete(table.sparkSession, i)
                 break
 
 
 def drop_tables(spark: SparkSession, since: int) -> int:
-    """Delete all but the last of the tables that written() has made after its first `since`; how many it has made. For callers
-    that have written a result and read none of the tables behind it again."""
-    for i in range(since, len(_tables) - 1):
+    """Delete all but the last of the tables that written() has made in this run after its first `since`; how many it has made. For
+    callers that have written a result and read none of the tables behind it again."""
+    for i in range(since, len(_tables.get()) - 1):
         _delete(spark, i)
-    return len(_tables)
+    return len(_tables.get())
 
 
 def released(run):

@@ -239,3 +239,15 @@ def test_mix_of_odd_rows(spark, odd, nothing):
     assert {r.source for r in got} == {"s", "S", "t", None} and all(r.taken == 0 for r in got if r.size == 0)
     assert mixing.mix(nothing).count() == 0
     assert [r.target for r in mixing.mix(odd.filter("doc_id = 1")).collect()] == [0.0, 0.0]
+
+
+def test_a_run_drops_its_own_tables_only(spark):
+    from gleanery.llm.common import drop_tables, own_tables, written
+
+    before = written(spark.range(3).toDF("a"))
+    with own_tables():
+        first, last = written(spark.range(4).toDF("a")), written(spark.range(5).toDF("a"))
+        assert drop_tables(spark, 0) == 2
+    assert before.count() == 3 and last.count() == 5
+    with pytest.raises(Exception):
+        first.count()
