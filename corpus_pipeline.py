@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import drop_tables, unused, written
+from gleanery.llm.common import drop_tables, own_tables, unused, written
 from gleanery.llm.jaccard_join import near_duplicates_dropped
 from gleanery.llm.packing import pack_documents
 from gleanery.llm.quality import quality
@@ -59,12 +59,13 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; each stage's output is written as Parquet in the shared folder and read again, and then the
     tables that the stage wrote on its way are dropped."""
     docs = table(spark, f"{sf_dir}/documents.parquet")
-    tables = drop_tables(spark, 10**9)
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = written(docs, "stage")
-            tables = drop_tables(spark, tables) - 1
+    with own_tables():
+        tables = 0
+        for k, (_, stage) in enumerate(STAGES):
+            docs = stage(spark, docs, sf_dir)
+            if k < len(STAGES) - 1:
+                docs = written(docs, "stage")
+                tables = drop_tables(spark, tables) - 1
     return docs
 
 
