@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import contextlib
-import contextvars
 import itertools
 import sys
 import tempfile
+import threading
 import uuid
 
 import numpy as np
@@ -38,19 +38,24 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-#: Paths of the tables that a run has written, empty where they were dropped; of all that belongs to no run, one list.
-_tables: contextvars.ContextVar[list[str]] = contextvars.ContextVar("tables", default=[])  # noqa: B039
+#: By thread, paths of the tables that its run has written, empty where they were dropped. Functions travel with it by value.
+_tables: dict[int, list[str]] = {}
+
+
+def _mine() -> list[str]:
+    return _tables.setdefault(threading.get_ident(), [])
 
 
 @contextlib.contextmanager
 def own_tables():
     """A run: tables written in it are noted by themselves, so dropping them leaves those of other queries of this process alone,
     of other threads as well as of results that are still to be read."""
-    token = _tables.set([])
+    before = _mine()
+    _tables[threading.get_ident()] = []
     try:
         yield
     finally:
-        _tables.reset(token)
+        _tables[threading.get_ident()] = before
 
 
 def written(df: DataFrame, tag: str = "table") -> DataFrame:
@@ -64,12 +69,12 @@ def written(df: DataFrame, tag: str = "table") -> DataFrame:
     if int(spark.conf.get(BATCH_ROWS)) > 2000:
         spark.conf.set(BATCH_ROWS, "2000")
     df.write.parquet(path)
-    _tables.get().append(path)
+    _mine().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def _delete(spark: SparkSession, i: int) -> None:
-    mine = _tables.get()
+    mine = _mine()
     if mine[i]:
         at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(mine[i])
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
@@ -79,7 +84,7 @@ def _delete(spark: SparkSession, i: int) -> None:
 def dropped(table: DataFrame) -> None:
     """Delete a table of written() that nothing reads again: what came of it has been written in turn."""
     for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-        mine = _tables.get()
+        mine = _mine()
         for i in range(len(mine) - 1, -1, -1):
             if mine[i] and path.endswith(mine[i].rsplit("/", 1)[1]):
                 _delete(table.sparkSession, i)
@@ -89,9 +94,9 @@ def dropped(table: DataFrame) -> None:
 def drop_tables(spark: SparkSession, since: int) -> int:
     """Delete all but the last of the tables that written() has made in this run after its first `since`; how many it has made. For
     callers that have written a result and read none of the tables behind it again."""
-    for i in range(since, len(_tables.get()) - 1):
+    for i in range(since, len(_mine()) - 1):
         _delete(spark, i)
-    return len(_tables.get())
+    return len(_mine())
 
 
 def released(run):
