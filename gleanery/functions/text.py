@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -144,3 +146,8 @@ def light_clean(c: Column) -> Column:
     """Lines with single blanks, without empty ones."""
     lines = F.transform(F.split(F.regexp_replace(c, "\r\n", "\n"), "\n"), lambda x: F.trim(F.regexp_replace(x, r"(?U)\s+", " ")))
     return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
+
+
+def utc_now_iso() -> str:
+    """The time, to the second, in UTC."""
+    return datetime.datetime.now(datetime.UTC).isoformat(timespec="seconds")

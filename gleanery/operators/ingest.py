@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gleanery.functions import text as T
+from gleanery.operators.conform import build_records
 from gleanery.operators.scan import prefix_sums
-from gleanery.schema import LETTERS
+from gleanery.schema import LETTERS, RECORD
 
 # Provinces in the order they are looked for, suffixes that are kept, retryable HTTP codes.
 PROVINCES_SHORT = ("北京", "上海", "天津", "重庆", "江苏", "浙江", "山东", "广东", "福建")
@@ -402,23 +404,75 @@ def ocr_confidence(lines: DataFrame) -> DataFrame:
 
 def page_records(blocks: DataFrame, order: list[str], question_start: int = 1, group_start: int = 1) -> DataFrame:
     """Blocks of parse_pages with question_id, group_id, answer_status, has_image and issues: ids count blocks and groups of all
-    pages in the order of the columns `order`, which tell pages apart, then of the page.
+    pages in the order of the columns `order`, which tell pages apart, then of the page. Groups without blocks count up to a page's last
+    one with some.
 
     A page's blocks are numbered by themselves; its two totals are summed up over the pages before it by ranges of pages.
     """
-    totals = blocks.groupBy(*order).agg(F.count("*").alias("n"), F.count_distinct("group_no").alias("g"))
-    totals = prefix_sums(totals, order, n="n", g="g")
+    totals = blocks.groupBy(*order).agg(F.count("*").alias("_blocks"), (F.max("group_no") + 1).alias("_groups"))
+    totals = prefix_sums(totals, order, _blocks="_blocks", _groups="_groups")
     page = Window.partitionBy(*order)
-    out = blocks.withColumns({"_q": F.row_number().over(page.orderBy("block")), "_g": F.dense_rank().over(page.orderBy("group_no"))}).join(totals, order)
+    out = blocks.withColumns({"_q": F.row_number().over(page.orderBy("block")), "_g": F.col("group_no") + 1}).join(totals, order)
     number = lambda c, start, prefix: F.concat(F.lit(prefix), F.lpad((c + (start - 1)).cast("string"), 6, "0"))
     picture = F.size("images") > 0
-    issue = F.struct(F.lit("unresolved_image_reference").alias("code"), F.lit("warning").alias("severity"), F.lit("Image reference is not saved yet").alias("message"))
+    issue = F.struct(F.lit("unresolved_image_reference").alias("code"), F.lit("warning").alias("severity"), F.array_join("images", "; ").alias("message"))
     return out.select(
-        *blocks.columns, number(F.col("_q") + F.col("n"), question_start, "CHIS_").alias("question_id"), number(F.col("_g") + F.col("g"), group_start, "GROUP_").alias("group_id"),
+        *blocks.columns, number(F.col("_q") + F.col("_blocks"), question_start, "CHIS_").alias("question_id"), number(F.col("_g") + F.col("_groups"), group_start, "GROUP_").alias("group_id"),
         F.when(F.col("answer") == "", "missing").otherwise("single_source").alias("answer_status"), picture.alias("has_image"), F.when(picture, F.array(issue)).otherwise(F.array()).alias("issues"),
     )
 
 
+@dataclass(frozen=True)
+class PageContext:
+    """Where pages come from, for the source, evidence and provenance of their records: columns of the pages, or values for all."""
+
+    source_id: Column | str
+    site_name: Column | str
+    url: Column | str
+    raw_file: Column | str
+    content_hash: Column | str
+    license_status: Column | str = "unknown"
+    collector: Column | str = ""
+    paper_title: Column | str = ""
+    year: Column | int | None = None
+    province: Column | str = ""
+    exam_type: Column | str = ""
+    retrieved_at: Column | str = ""
+
+    def column(self, now: str) -> Column:
+        """All of it as one struct; retrieved_at is `now` where nothing is known."""
+        given = {f.name: getattr(self, f.name) for f in fields(self)}
+        cols = {k: v if isinstance(v, Column) else F.lit(v) for k, v in given.items()}
+        cols |= {k: F.coalesce(c.cast("string"), F.lit("")) for k, c in cols.items() if k != "year"} | {"year": cols["year"].cast("int")}
+        cols["retrieved_at"] = F.coalesce(F.nullif(cols["retrieved_at"], F.lit("")), F.lit(now))
+        return F.struct(*(c.alias(k) for k, c in cols.items()))
+
+
+def html_records(pages: DataFrame, spec: Selectors, context: PageContext, order: list[str], question_start: int = 1, group_start: int = 1, html: str = "html", now: str | None = None) -> DataFrame:
+    """Whole records of the question blocks of pages, numbered over all pages in the order of the columns `order`.
+
+    An answer is evidence of the page's source; images are issues until they are saved. now: the time of pages that have none,
+    when the plan is made if not given.
+    """
+    about = context.column(now or T.utc_now_iso())
+    blocks = parse_pages(pages.select(*order, html, about.alias("_about")), spec, html)
+    rows = page_records(blocks, order, question_start, group_start)
+    text = lambda c: F.col(f"_about.{c}").alias(c)
+    source = F.struct(*map(text, ("source_id", "site_name", "url", "paper_title", "year", "province", "exam_type", "retrieved_at")))
+    kinds = {f.name: f.dataType for f in StructType.fromDDL(RECORD).fields}
+    one = kinds["answer_evidence"].elementType
+    full = F.struct(*((F.col("_about.source_id") if f.name == "source_id" else F.col("answer") if f.name == "answer" else F.lit(None).cast(f.dataType)).alias(f.name) for f in one.fields))
+    evidence = F.when(F.col("answer") != "", F.array(full)).otherwise(F.array().cast(kinds["answer_evidence"]))
+    page = F.struct(*((source[f.name] if f.name != "page_number" else F.lit(None).cast("int")).alias(f.name) for f in kinds["source"].fields))
+    quality = F.struct("answer_status", F.lit("parsed").alias("parse_status"), text("collector"), "issues")
+    parts = rows.select(
+        *order, "question_id", "group_id", "shared_material", "raw_question", F.col("raw_question").alias("normalized_question"), F.col("raw_question").alias("question"), F.col("options").alias("raw_options"), "options", "answer",
+        F.col("explanation").alias("answer_explanation"), evidence.alias("answer_evidence"), "has_image", page.alias("source"), F.array(page).alias("source_records"), quality.alias("quality"),
+        F.struct(*map(text, ("raw_file", "content_hash", "license_status"))).alias("provenance"),
+    )
+    return build_records(parts)
+
+
 def registry_frame(spark: SparkSession, sources: list[dict]) -> DataFrame:
     schema = "source_id string, base_url string, status string, login_required boolean, robots_checked boolean, terms_checked boolean, license_status string, allowed_domains array<string>, adapter string"
     names = [c.split()[0] for c in schema.split(", ")]

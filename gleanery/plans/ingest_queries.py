@@ -103,6 +103,20 @@ def page_parse(spark, d):
     return rows.select("page_id", "block", F.col("raw_question").alias("title"))
 
 
+@query(r"""
+WITH found AS (SELECT page_id, url, html, trim(replace(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS title, row_number() OVER (ORDER BY page_id) AS n FROM pages WHERE regexp_matches(html, '<article'))
+SELECT 'CHIS_' || lpad(CAST(n AS VARCHAR), 6, '0') AS question_id, 'GROUP_' || lpad(CAST(n AS VARCHAR), 6, '0') AS group_id, title AS question, url, 'raw/' || CAST(page_id AS VARCHAR) AS raw_file, sha256(html) AS content_hash,
+  'missing' AS answer_status, 'parsed' AS parse_status, 0 AS n_evidence, '2024-01-01' AS retrieved_at, '0.1.0' AS schema_version FROM found
+""")
+def html_page_records(spark, d):
+    """Whole records of pages, with where they come from: URL, file and fingerprint are each page's own."""
+    about = I.PageContext(source_id="s", site_name="site", url=F.col("url"), raw_file=F.concat(F.lit("raw/"), F.col("page_id").cast("string")), content_hash=F.sha2("html", 256))
+    rows = I.html_records(table(spark, f"{d}/pages.parquet"), I.Selectors(group="body", block="article", question="h1", option="li.option"), about, ["page_id"], now="2024-01-01")
+    return rows.select(
+        "question_id", "group_id", "question", "source.url", "provenance.raw_file", "provenance.content_hash", "quality.answer_status", "quality.parse_status", F.size("answer_evidence").alias("n_evidence"), "source.retrieved_at", "schema_version"
+    )
+
+
 @query(r"""
 SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 2021 WHEN doc_id % 5 = 1 THEN 2020 WHEN doc_id % 5 = 2 THEN 2023 WHEN doc_id % 5 = 3 THEN 2022 ELSE NULL END AS year FROM documents
 """)
