@@ -198,6 +198,26 @@ def common_questions(results: DataFrame, modes=MODES) -> DataFrame:
     return done.join(F.broadcast(models), F.col("_n") == F.col("_m") * len(modes)).select("question_id")
 
 
+BITS = 8 * 4096  # of a bitmap of Spark's
+
+
+def numbered_in_all(results: DataFrame, modes=MODES) -> DataFrame:
+    """(question_id) completed by every model in every mode, of questions with numbers for ids.
+
+    What a model has done in a mode is a bitmap for each 32,768 ids, made before the shuffle; they are intersected by range of ids. So
+    4 KB travel for as many ids as a range has, where common_questions sends a row for each of them.
+    """
+    done = results.filter(F.col("mode").isin(*modes))
+    held = done.groupBy("model", "mode", F.bitmap_bucket_number("question_id").alias("_b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("question_id")).alias("_bits"))
+    models = results.agg((F.count_distinct("model") * len(modes)).alias("_all"))
+    both = held.groupBy("_b").agg(F.count("*").alias("_n"), F.bitmap_and_agg("_bits").alias("_bits")).join(F.broadcast(models), F.col("_n") == F.col("_all"))  # one row
+    byte = lambda i: F.conv(F.hex(F.substring("_bits", i + 1, F.lit(1))), 16, 10).cast("int")
+    full = F.filter(F.transform(F.sequence(F.lit(0), F.lit(BITS // 8 - 1)), lambda i: F.struct(i.alias("i"), byte(i).alias("v"))), lambda x: x["v"] > 0)
+    of_byte = lambda x: F.transform(F.filter(F.sequence(F.lit(0), F.lit(7)), lambda k: F.getbit(x["v"], k) == 1), lambda k: x["i"] * 8 + k)
+    at = both.select("_b", F.explode(F.flatten(F.transform(full, of_byte))).alias("_p"))
+    return at.select(F.when(F.col("_b") > 0, (F.col("_b") - 1) * BITS + F.col("_p") + 1).otherwise(F.col("_b") * BITS - F.col("_p")).alias("question_id"))
+
+
 def comparison(results: DataFrame) -> DataFrame:
     """paired_stats of every model on the common questions."""
     return paired_stats(pairs(results).join(common_questions(results), "question_id", "left_semi"), ["model"])

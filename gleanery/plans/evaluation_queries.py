@@ -101,6 +101,11 @@ def common_ids(spark, d):
     return E.common_questions(results(spark, d)[0])
 
 
+@query(PAIRS + COMMON + "SELECT question_id FROM common")
+def common_ids_by_bitmap(spark, d):
+    return E.numbered_in_all(results(spark, d)[0])
+
+
 @query(PAIRS + COMMON + STATS.format(source="pc"))
 def model_comparison(spark, d):
     return _rounded(E.comparison(results(spark, d)[0]), "delta", "mcnemar_exact_p")

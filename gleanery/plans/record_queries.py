@@ -322,6 +322,14 @@ def integrity_checks(spark, d):
     return integrity.violations(r, manifest, files)
 
 
+@query(R("""SELECT 'duplicate_id' AS "check", sha256(question) AS item FROM r GROUP BY 2 HAVING count(*) > 1""", RECORD_SQL))
+def repeated_ids(spark, d):
+    """Records with their question's fingerprint as id, which equal questions share."""
+    r = records(spark, d).withColumn("question_id", F.sha2("question", 256))
+    files = r.select(F.col("provenance.raw_file").alias("path"), F.col("provenance.content_hash").alias("sha256")).distinct()
+    return integrity.violations(r, files.select(F.col("path").alias("raw_file"), F.col("sha256").alias("content_hash")), files).filter("check = 'duplicate_id'")
+
+
 def told(text):
     return F.when(F.col("id") % 4 == 0, F.concat(F.lit("参考答案： "), F.lower("answer"), F.lit(" "), text)).when(F.col("id") % 4 == 1, F.col("answer")).when(F.col("id") % 4 == 2, F.concat(F.lit("故选"), F.col("answer"), F.lit("。答案: B"))).otherwise(F.concat(text, F.lit("\n答案："), F.col("answer")))
 

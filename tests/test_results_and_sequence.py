@@ -161,3 +161,14 @@ def test_bootstrap_from_counts_is_the_seeded_one(spark):
         spread = max(r.boot_high - r.boot_low, 0) / 3.92
         assert abs(got[r.model].boot_low - r.boot_low) <= 4 * spread * (2.7 / 2000**0.5 * 2) + 1.01 / n * (spread > 0) and abs(got[r.model].boot_high - r.boot_high) <= 4 * spread * (2.7 / 2000**0.5 * 2) + 1.01 / n * (spread > 0)
     assert got["c"].n == 1 and (got["c"].boot_low, got["d"].boot_high) == (0.0, 0.0)
+
+
+def test_bitmaps_intersect_as_counts_do(spark):
+    """Ids over several ranges, their borders, and ids that are not positive."""
+    rng = random.Random(6)
+    ids = [0, 1, 2, 32_767, 32_768, 32_769, 65_536, 65_537, 10**12, -1, -32_767, -32_768, -40_000, *(rng.randrange(200_000) for _ in range(300))]
+    rows = [(m, q, mode, "correct") for q in set(ids) for m in ("a", "b") for mode in ("direct", "cot") if rng.random() < 0.85]
+    df = spark.createDataFrame([*rows, ("c", 1, "other", "x")], "model string, question_id long, mode string, status string").filter("model <> 'c'")
+    want = sorted(r.question_id for r in evaluation.common_questions(df).collect())
+    assert sorted(r.question_id for r in evaluation.numbered_in_all(df).collect()) == want and len(want) > 100
+    assert evaluation.numbered_in_all(df.filter("model = 'z'")).count() == 0
