@@ -37,10 +37,6 @@ def _written(args, df: DataFrame, write, **more) -> dict:
     return {"input": args.input, "output": None if args.dry_run else args.output, "rows": rows, **more}
 
 
-def _jsonl(df: DataFrame, path: str) -> int:
-    return files.write_jsonl(df.drop("_ord"), path)
-
-
 def _normalize(spark, args):
     return _written(args, normalize.normalize_records(files.read_open_jsonl(spark, args.input)), files.write_open_jsonl)
 
@@ -62,10 +58,11 @@ def _validate(spark, args):
 
 
 def _deduplicate(spark, args):
-    result = dedup.deduplicate_records(files.read_jsonl(spark, args.input), args.threshold)
-    if not args.dry_run:
-        files.write_dedup_reports(result, args.report_dir)
-    return _written(args, result.records, _jsonl, **result.summary().first().asDict())
+    result = dedup.deduplicate_records(files.read_open_jsonl(spark, args.input), args.threshold)
+    if args.dry_run:
+        return _written(args, result.records, files.write_open_jsonl, **result.summary().first().asDict())
+    out = _written(args, result.records, files.write_open_jsonl)
+    return out | files.write_dedup_reports(result, args.report_dir, out["rows"])
 
 
 def _export_review(spark, args):
@@ -77,13 +74,13 @@ def _export_csv(spark, args):
 
 
 def _merge_review(spark, args):
-    records, sheet = files.read_jsonl(spark, args.input), files.read_sheet(spark, args.review, review.REVIEW_COLUMNS)
+    records, sheet = files.read_open_jsonl(spark, args.input), files.read_sheet(spark, args.review, review.REVIEW_COLUMNS)
     outcomes = review.merge_outcomes(records, sheet)
     summary = review.merge_summary(outcomes).first().asDict()
     errors = [r.message for r in review.merge_errors(outcomes).orderBy("line").limit(args.errors).collect()]  # for the screen
     if not args.dry_run:
         files.write_json_report(summary | {"errors": errors}, args.report)
-    return _written(args, review.merge_review(records, sheet), _jsonl, errors=errors, **summary)
+    return _written(args, review.merge_review(records, sheet), files.write_open_jsonl, errors=errors, **summary)
 
 
 def _report(spark, args):

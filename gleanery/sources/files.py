@@ -124,13 +124,16 @@ def write_json_report(report: dict, path: str) -> None:
     os.replace(part, target)
 
 
-def write_dedup_reports(result, folder: str) -> None:
-    """The pairs of a DeduplicationResult as three CSV tables with nested cells as JSON, and its four counts as JSON."""
+def write_dedup_reports(result, folder: str, records: int | None = None) -> dict:
+    """The pairs of a DeduplicationResult as three CSV tables with nested cells as JSON, and its four counts as JSON; returns these.
+    Pairs are counted while they are written, records unless their number is known."""
+    counts = {"records": result.records.count() if records is None else records}
     for name in ("exact", "reordered", "suspected"):
         pairs = getattr(result, name)
         flat = [F.to_json(c, {"ignoreNullFields": "false"}).alias(c) if t.startswith(("struct", "array", "map")) else F.col(c) for c, t in pairs.dtypes]
-        write_csv(pairs.select(*flat), f"{folder}/{name}_duplicates")
-    write_json_report(result.summary().first().asDict(), f"{folder}/summary.json")
+        counts[f"{name}_duplicate_pairs"] = write_csv(pairs.select(*flat), f"{folder}/{name}_duplicates")
+    write_json_report(counts, f"{folder}/summary.json")
+    return counts
 
 
 def replace_results(spark: SparkSession, fresh: DataFrame, folder: str, keys: list[str], order: str = "finished_at") -> None:
