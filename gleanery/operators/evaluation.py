@@ -100,8 +100,8 @@ def _all(conditions):
 
 
 def pairs(results: DataFrame) -> DataFrame:
-    """(model, question_id, direct, cot) of questions with both modes."""
-    by = results.groupBy("model", "question_id").pivot("mode", list(MODES)).agg(F.first("status"))
+    """(model, question_id, direct, cot) of questions with both modes. Of repeated results of a mode the last status by name counts."""
+    by = results.groupBy("model", "question_id").pivot("mode", list(MODES)).agg(F.max("status"))
     return by.filter("direct is not null and cot is not null")
 
 
@@ -225,7 +225,7 @@ def comparison(results: DataFrame) -> DataFrame:
 
 def error_cases(items: DataFrame, results: DataFrame) -> DataFrame:
     """model x item where either mode is missing (pending) or not correct."""
-    by = results.groupBy("model", "question_id").pivot("mode", list(MODES)).agg(F.first("status").alias("status"), F.first("prediction").alias("prediction"))
+    by = results.groupBy("model", "question_id").pivot("mode", list(MODES)).agg(F.max("status").alias("status"), F.max_by("prediction", F.struct("status", "prediction")).alias("prediction"))
     out = _with_models(items, results).join(by, ["model", "question_id"], "left")
     status = lambda m: F.coalesce(f"{m}_status", F.lit("pending"))
     out = out.select("model", "question_id", *(status(m).alias(f"{m}_status") for m in MODES), *(F.coalesce(f"{m}_prediction", F.lit("")).alias(f"{m}_prediction") for m in MODES), *(c for c in items.columns if c != "question_id"))
