@@ -186,7 +186,7 @@ def by_hand(sizes, weights=(3, 1, 2), share=1.5, most=2):
         full |= above
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_mix_meets_its_targets(spark, seed):
     """Sources of all sizes: one document, one giant among small ones, copies of one row, no words."""
     rng = random.Random(seed)
@@ -222,15 +222,15 @@ def test_inclusion_follows_size(spark):
     sizes = [10, 20, 40, 80] * 30 + [5000]
     docs = spark.createDataFrame([(i, "s", "w " * n) for i, n in enumerate(sizes)], "doc_id long, source string, text string").coalesce(1).cache()
     hits = [0] * len(sizes)
-    for seed in range(12):
+    for seed in range(8):
         for r in mixing.mix(docs, share=0.85, seed=seed).collect():
             hits[r.doc_id] += r.taken == r.size
-    assert hits[-1] == 12
+    assert hits[-1] == 8
     rest, squares = 0.85 * sum(sizes) - 5000, sum(n * n for n in sizes[:-1])
     for n in (10, 20, 40, 80):
         p = rest / squares * n
-        mean = sum(h for h, s in zip(hits, sizes, strict=True) if s == n) / 360
-        assert abs(mean - p) < 4 * math.sqrt(p * (1 - p) / 360) + 0.02
+        mean = sum(h for h, s in zip(hits, sizes, strict=True) if s == n) / 240
+        assert abs(mean - p) < 4 * math.sqrt(p * (1 - p) / 240) + 0.02
 
 
 def test_mix_of_odd_rows(spark, odd, nothing):
