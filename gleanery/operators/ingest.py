@@ -185,8 +185,15 @@ class Selectors:
     label: str = "data-option"
 
 
-def html_blocks(spec: Selectors):
-    """A pandas function html -> [{group, material, question, options, answer, explanation, images}], tolerant of unclosed tags."""
+def html_blocks(spec: Selectors, references: tuple[str, ...] | None = None):
+    """A pandas function html -> [{group, material, question, options, answer, explanation, images}], tolerant of unclosed tags.
+
+    references: the names of the character references that are resolved, each with its semicolon, where pages escape no others; any
+    other ampersand stands for itself. None: all that HTML knows, some of them without a semicolon.
+    """
+    import re
+
+    bare = None if references is None else re.compile(f"&(?!(?:{'|'.join(map(re.escape, references))});)" if references else "&")
 
     def parse(html: str):
         from html.parser import HTMLParser
@@ -222,7 +229,7 @@ def html_blocks(spec: Selectors):
                     self.stack[-1][2].append(data)
 
         tree = Tree()
-        tree.feed(html or "")
+        tree.feed(bare.sub("&amp;", html or "") if bare else html or "")
         tree.close()
 
         def all_of(node, selector):
@@ -267,13 +274,13 @@ def html_blocks(spec: Selectors):
 BLOCKS = "array<struct<group:int,material:string,question:string,options:array<struct<label:string,text:string>>,answer:string,explanation:string,images:array<string>>>"
 
 
-def parse_pages(pages: DataFrame, spec: Selectors, html: str = "html") -> DataFrame:
+def parse_pages(pages: DataFrame, spec: Selectors, html: str = "html", references: tuple[str, ...] | None = None) -> DataFrame:
     """One row per question block of pages: the pages' columns but html, then block (its number in the page), group_no,
     shared_material, raw_question, options A..D, answer, explanation, images. Pages without groups give no rows.
 
-    The tree is built in Python over Arrow batches; options and answers are expressions.
+    The tree is built in Python over Arrow batches; options and answers are expressions. references: as of html_blocks.
     """
-    parse = html_blocks(spec)
+    parse = html_blocks(spec, references)
 
     def run(s):
         return s.map(parse)

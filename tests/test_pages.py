@@ -28,6 +28,19 @@ def test_records_of_pages(spark):
     assert first.schema_version == "0.1.0" and second.answer_evidence == [] and first.labels.primary_ability == ""
 
 
+CUT = ["a&amp;&amp", "&amp;lt; &lt;b&gt;", "x &quot;y&quot", "&copy; &amp;copy;", "A&B &a"]
+
+
+def test_only_named_references_are_resolved(spark):
+    """A reference that was cut short, or one that the pages do not escape, is text; by default all of HTML's are resolved."""
+    pages = spark.createDataFrame([(i, f"<body><article><h1>{t}</h1></article></body>") for i, t in enumerate(CUT)], "n int, html string")
+    spec = I.Selectors(group="body", block="article", question="h1", option="li")
+    title = lambda **more: [r.raw_question for r in I.parse_pages(pages, spec, **more).orderBy("n").collect()]
+    assert title(references=("lt", "gt", "amp")) == [t.replace("&lt;", "<").replace("&gt;", ">").replace("&amp;", "&") for t in CUT]
+    assert title(references=()) == CUT
+    assert title() == ["a&&", "&lt; <b>", 'x "y"', "© &copy;", "A&B &a"]
+
+
 def test_pages_without_groups_give_no_records(spark):
     pages = spark.createDataFrame([(1, "<p>x</p>"), (2, "")], "n int, html string")
     about = I.PageContext(source_id="s", site_name="", url="u", raw_file="", content_hash="")
