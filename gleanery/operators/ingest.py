@@ -455,14 +455,14 @@ class PageContext:
         return F.struct(*(c.alias(k) for k, c in cols.items()))
 
 
-def html_records(pages: DataFrame, spec: Selectors, context: PageContext, order: list[str], question_start: int = 1, group_start: int = 1, html: str = "html", now: str | None = None) -> DataFrame:
+def html_records(pages: DataFrame, spec: Selectors, context: PageContext, order: list[str], question_start: int = 1, group_start: int = 1, html: str = "html", now: str | None = None, references: tuple[str, ...] | None = None) -> DataFrame:
     """Whole records of the question blocks of pages, numbered over all pages in the order of the columns `order`.
 
     An answer is evidence of the page's source; images are issues until they are saved. now: the time of pages that have none,
-    when the plan is made if not given.
+    when the plan is made if not given. references: as of html_blocks.
     """
     about = context.column(now or T.utc_now_iso())
-    blocks = parse_pages(pages.select(*order, html, about.alias("_about")), spec, html)
+    blocks = parse_pages(pages.select(*order, html, about.alias("_about")), spec, html, references)
     rows = page_records(blocks, order, question_start, group_start)
     text = lambda c: F.col(f"_about.{c}").alias(c)
     source = F.struct(*map(text, ("source_id", "site_name", "url", "paper_title", "year", "province", "exam_type", "retrieved_at")))

@@ -41,6 +41,14 @@ def test_only_named_references_are_resolved(spark):
     assert title() == ["a&&", "&lt; <b>", 'x "y"', "© &copy;", "A&B &a"]
 
 
+def test_records_keep_a_reference_cut_short(spark):
+    pages = spark.createDataFrame([(1, "<div class=g><div class=q><h2>a &amp;&amp</h2></div></div>")], "n int, html string")
+    about = I.PageContext(source_id="s", site_name="s", url="u", raw_file="r", content_hash="h")
+    for references, want in ((("lt", "gt", "amp"), "a &&amp"), (None, "a &&")):
+        row = I.html_records(pages, SPEC, about, ["n"], now="t", references=references).first()
+        assert row.question == row.raw_question == row.normalized_question == want
+
+
 def test_pages_without_groups_give_no_records(spark):
     pages = spark.createDataFrame([(1, "<p>x</p>"), (2, "")], "n int, html string")
     about = I.PageContext(source_id="s", site_name="", url="u", raw_file="", content_hash="")
