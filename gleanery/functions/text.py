@@ -104,6 +104,22 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
+# Small letters whose capital is one character, though the full mapping writes them as several.
+SMALL = "ß" + "".join(map(chr, [*range(0x1F80, 0x1F88), *range(0x1F90, 0x1F98), *range(0x1FA0, 0x1FA8), 0x1FB3, 0x1FC3, 0x1FF3]))
+LARGE = "ẞ" + "".join(map(chr, [*range(0x1F88, 0x1F90), *range(0x1F98, 0x1FA0), *range(0x1FA8, 0x1FB0), 0x1FBC, 0x1FCC, 0x1FFC]))
+
+
+def capital(c: Column) -> Column:
+    """The capital of one character, one character in turn: ẞ of ß, and itself where only several would do."""
+    upper = F.upper(c)
+    return F.when(F.char_length(upper) > F.char_length(c), F.translate(c, SMALL, LARGE)).otherwise(upper)
+
+
+def small_letters(c: Column) -> Column:
+    """In small letters, character by character: what stands around one is not asked."""
+    return F.lower(F.translate(c, "İΣ", "iσ"))
+
+
 def _letter(c: Column) -> Column:
     return F.upper(F.translate(c, WIDE, NARROW))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanery.functions import text as T
 from gleanery.operators.json_schema import violations
 from gleanery.operators.open_records import OPEN, open_lines, open_records
 from gleanery.operators.validate import validate_records
@@ -39,10 +40,10 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     quality = F.struct(*(F.lit(v).alias(c) for c, v in (("answer_status", "unchecked"), ("duplicate_status", "unchecked"), ("parse_status", "pending"), ("review_status", "pending"), ("image_dependency", "unknown"), ("collector", ""), ("reviewer", ""), ("notes", ""))), F.array().cast("array<struct<code:string>>").alias("issues"))
     license_ = F.when(lang == "en", "allowed").when(lang == "de", "research_only").otherwise(lang)
     provenance = F.struct(*(none.alias(c) for c in ("raw_file", "content_hash", "ordered_hash", "permutation_hash")), F.lit("v0.1").alias("crawler_version"), license_.alias("license_status"), F.array().cast("array<struct<field:string>>").alias("normalization_changes"), (F.col("n_chars") / 1000.0).cast("double").alias("ocr_confidence"))
-    evidence = F.transform(pieces, lambda x: F.struct(lang.alias("source_id"), F.upper(F.substring(x, 1, 1)).alias("answer")))
+    evidence = F.transform(pieces, lambda x: F.struct(lang.alias("source_id"), T.capital(F.substring(x, 1, 1)).alias("answer")))
     record = F.struct(
         F.lit("0.1.0").alias("schema_version"), F.col("n_chars").cast("long").alias("record_version"), F.concat(F.lit("CHIS_"), F.lpad(F.col("doc_id").cast("string"), 6, "0")).alias("question_id"), F.concat(F.lit("GROUP_"), F.substring(text, 1, 3)).alias("group_id"),
-        none.alias("shared_material"), text.alias("raw_question"), text.alias("normalized_question"), text.alias("question"), options.alias("raw_options"), options.alias("options"), F.upper(F.substring(text, 1, 1)).alias("answer"), none.alias("answer_explanation"),
+        none.alias("shared_material"), text.alias("raw_question"), text.alias("normalized_question"), text.alias("question"), options.alias("raw_options"), options.alias("options"), T.capital(F.substring(text, 1, 1)).alias("answer"), none.alias("answer_explanation"),
         evidence.alias("answer_evidence"), F.lit(False).alias("has_image"), F.array().cast("array<string>").alias("image_paths"), source.alias("source"), F.array().cast("array<struct<x:string>>").alias("source_records"), labels.alias("labels"), quality.alias("quality"),
         provenance.alias("provenance"), lang.alias("language"), F.col("n_chars").alias("length"),
     )
@@ -64,7 +65,7 @@ def schema_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def open_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records read, changed (answer and option A in lower case) and written again: what the typed record cannot hold is there."""
     records = open_records(lines(spark, sf_dir))
-    changed = records.withColumn("answer", F.lower("answer")).withColumn("options", F.col("options").withField("A", F.lower("options.A")))
+    changed = records.withColumn("answer", T.small_letters(F.col("answer"))).withColumn("options", F.col("options").withField("A", T.small_letters(F.col("options.A"))))
     got = lambda path: F.try_variant_get("v", path, "string")
     return open_lines(changed).select(F.parse_json("value").alias("v")).select(
         got("$.question_id").alias("question_id"), got("$.language").alias("language"), F.try_variant_get("v", "$.length", "long").alias("length"), got("$.labels.language").alias("label"), got("$.answer").alias("answer"),
