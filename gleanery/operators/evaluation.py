@@ -113,11 +113,30 @@ def transitions(pairs_: DataFrame) -> DataFrame:
     return out.withColumn("paired_cot_minus_direct", (F.col("incorrect_to_correct") - F.col("correct_to_incorrect")) / F.col("paired_valid_answers"))
 
 
+COUNTED = 1000  # changes up to which p is worked out in whole numbers
+
+
 def _exact_p(improved, degraded):
+    """2 P(X <= k) of d fair coins. Of many, the largest term comes from its distance to the middle and Stirling's series, and each
+    one below it from the one before, until they no longer count: about as many as the root of d."""
     import math
 
+    import numpy as np
+
     d, k = improved + degraded, min(improved, degraded)
-    return min(1.0, 2 * sum(math.comb(d, i) for i in range(k + 1)) / 2**d) if d else 1.0
+    if d <= COUNTED:
+        return min(1.0, 2 * sum(math.comb(d, i) for i in range(k + 1)) / 2**d) if d else 1.0
+    if k < 16:
+        return min(1.0, math.exp(math.log(2 * sum(math.comb(d, i) for i in range(k + 1))) - d * math.log(2)))
+    series = lambda n: 1 / (12 * n) - 1 / (360 * n**3) + 1 / (1260 * n**5)
+    x = (d - 2 * k) / d
+    most = math.exp(series(d) - series(k) - series(d - k) - d / 2 * ((1 - x) * math.log1p(-x) + (1 + x) * math.log1p(x))) * math.sqrt(2 / (math.pi * d * (1 - x * x)))
+    total, last, at = 1.0, 1.0, k
+    while at > 0 and last > 1e-18:
+        i = np.arange(at, max(0, at - 65536), -1, dtype=np.float64)
+        terms = last * np.cumprod(i / (d - i + 1))
+        total, last, at = total + float(terms.sum()), float(terms[-1]), at - len(i)
+    return min(1.0, 2 * most * total)
 
 
 @F.pandas_udf(DoubleType())

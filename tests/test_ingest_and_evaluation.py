@@ -2,6 +2,8 @@
 
 import math
 import random
+import time
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,6 +93,21 @@ def test_state_by_stream_is_the_fold(spark, tmp_path):
     assert [r.url for r in I.successful_files(I.fold_state(log), "s", 1).collect()] == ["u"]
 
 
+def test_mcnemar_of_many_changes(spark):
+    """Beyond whole numbers the same p, and for hundreds of thousands of changes at once."""
+    pairs = [(500, 501), (480, 600), (2000, 2100), (4000, 4000), (1500, 1700), (16, 1000), (15, 1200), (0, 1001)]
+    for i, d in pairs:
+        n, term, total = i + d, 1, 1
+        for k in range(min(i, d)):
+            term = term * (n - k) // (k + 1)
+            total += term
+        want = min(1.0, float(Fraction(2 * total, 2**n)))
+        assert math.isclose(E._exact_p(i, d), want, rel_tol=1e-10) and E._exact_p(i, d) == E._exact_p(d, i)
+    start = time.monotonic()
+    got = spark.createDataFrame([(300_000, 301_000), (400_000, 400_000)], "i long, d long").select(E.mcnemar_p("i", "d").alias("p")).collect()
+    assert math.isclose(got[0].p, math.erfc(999 / math.sqrt(2 * 601_000)), rel_tol=1e-4) and got[1].p == 1.0 and time.monotonic() - start < 60
+
+
 def test_mcnemar_bootstrap_and_wilson(spark):
     rng = random.Random(1)
     rows = []
