@@ -108,6 +108,14 @@ def test_mcnemar_of_many_changes(spark):
     assert math.isclose(got[0].p, math.erfc(999 / math.sqrt(2 * 601_000)), rel_tol=1e-4) and got[1].p == 1.0 and time.monotonic() - start < 60
 
 
+def test_comparison_of_many_questions(spark):
+    """200,000 changes on common questions, half each way."""
+    both = spark.range(400_000).select(F.lit("M").alias("model"), F.col("id").alias("question_id"), F.explode(F.array(F.lit("direct"), F.lit("cot"))).alias("mode"))
+    right = F.col("question_id") % 4 == F.when(F.col("mode") == "direct", 0).otherwise(1)
+    row = E.comparison(both.withColumn("status", F.when(right, "correct").otherwise("incorrect"))).first()
+    assert (row.pairs, row.improved, row.degraded, row.delta, row.mcnemar_exact_p) == (400_000, 100_000, 100_000, 0.0, 1.0)
+
+
 def test_mcnemar_bootstrap_and_wilson(spark):
     rng = random.Random(1)
     rows = []
