@@ -142,6 +142,20 @@ def test_suspected_pairs_of_whole_documents(spark):
     assert got == want and len(want) >= 6
 
 
+def test_similar_sets_by_sketches(spark, monkeypatch):
+    """All pairs by size and sketch, in several chunks a band, against the loop; rows that are the same are not asked for."""
+    monkeypatch.setattr(dedup, "CHUNK", 16)
+    rng = random.Random(5)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.choice([4, 9, 30, 200, 1200]))) for _ in range(30)]
+    texts = base + [changed(rng, t, k) for t in base for k in (0, 1, 3)] + ["", " ", "a", "ab", "ab", "a b c", "abc", "日本🙂日本", "日本🙂日本🙂"]
+    same = [i % 7 if i % 2 else None for i in range(len(texts))]
+    sets = [set(dedup.gram_set("".join(t.split()), 3).tolist()) for t in texts]
+    for tau in (0.3, 0.76, 1.0):
+        got = [(r.a, r.b, round(r.jaccard, 9)) for r in dedup.similar_sets(spark.createDataFrame(list(zip(range(len(texts)), texts, same)), "id long, text string, same int"), tau).collect()]
+        want = {(i, j, round(len(x & y) / len(x | y), 9)) for (i, x), (j, y) in itertools.combinations(enumerate(sets), 2) if x and y and len(x & y) >= tau * len(x | y) and (same[i] is None or same[i] != same[j])}
+        assert sorted(got) == sorted(want) and len(want) > 10
+
+
 def test_n_grams_are_those_of_the_text(spark):
     texts = ["", " \t", "ab", "abc", "a b　c d", "日本🙂日本🙂日", None, "aaaaaa"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
