@@ -29,6 +29,7 @@ CROWD = 48
 BLOCK = 2048
 ONE = 1 - 1e-9
 RESIDENTS = 4_000_000  # n-grams of a chunk's sets, 32 MB
+PASSES = 3  # over the signatures, so that a third of them at a time is on disks
 NEEDS = [1, 3, 6, 12, 24, 48, 96, 192]
 
 BASE = 0x9E3779B97F4A7C15
@@ -222,8 +223,8 @@ class Crowds:
         return out
 
 
-def sign(n: int, percent: int, crowd: int):
-    """(text) to (sig, k1, known); each set once in a partition."""
+def sign(n: int, percent: int, crowd: int, part: int = 0, parts: int = 1):
+    """(text) to (sig, k1, known) of this part's signatures; each set once in a partition."""
 
     def run(batches):
         hashes, bands, seen, crowds_ = WordHash(), Bands(percent), set(), Crowds(crowd)
@@ -238,6 +239,8 @@ def sign(n: int, percent: int, crowd: int):
                         fresh.append(s)
                         keys.append(k)
                 sig, src = signatures(fresh, bands)
+                mine = np.flatnonzero((sig >> np.uint64(32)) % np.uint64(parts) == np.uint64(part))
+                sig, src = sig[mine], src[mine]
                 known = crowds_.known(sig)
                 yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(np.array(keys, dtype=np.int64)[src]), pa.array(known)], ["sig", "k1", "known"])
 
@@ -465,9 +468,13 @@ def classified(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame,
     classes = described.filter("n_shingles > 0").groupBy("k1").agg(F.min("doc_id").alias("lead"), F.coalesce(F.min_by("dh", "doc_id"), F.min("dh")).alias("dh"), *(F.min(c).alias(c) for c in ("n_shingles", *words)))
     classes = written(classes.withColumnRenamed("n_shingles", "n"), "classes")
 
-    signed = docs.select("text").mapInArrow(released(sign(shingle, percent, CROWD)), "sig long, k1 long, known boolean")
-    dealt = signed.repartition(F.when(F.col("known"), F.xxhash64("sig", "k1")).otherwise(F.col("sig"))).sortWithinPartitions("sig", "k1")
-    met = written(dealt.mapInArrow(meet(CROWD), "a long, b long, sig long"), "met")
+    # what the signatures take on disks is most of what the join needs: they are made again for each part of them
+    met = None
+    for part in range(PASSES):
+        signed = docs.select("text").mapInArrow(released(sign(shingle, percent, CROWD, part, PASSES)), "sig long, k1 long, known boolean")
+        dealt = signed.repartition(F.when(F.col("known"), F.xxhash64("sig", "k1")).otherwise(F.col("sig"))).sortWithinPartitions("sig", "k1")
+        found = written(dealt.mapInArrow(meet(CROWD), "a long, b long, sig long"), "met")
+        met = found if met is None else met.unionByName(found)
     share = F.element_at(F.array(*(F.lit(1 / n) for n in NEEDS)), F.col("sig").bitwiseAND(F.lit(7).cast("long")).cast("int") + 1)
     packed = written(met.filter("b is null").select("sig", F.col("a").alias("k1")).distinct(), "crowds")
     crowded = written(packed.groupBy("k1").agg(F.sum(share).alias("c")), "crowded")

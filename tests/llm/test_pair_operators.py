@@ -334,3 +334,24 @@ def test_pipeline_stages(spark):
     assert e.groupBy("doc_id").agg(F.sum("length").alias("n"), F.first("doc_tokens").alias("t")).filter("doc_id is not null and n <> t").count() == 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "n-gram Jaccard join", "suffix-array dedup", "secret scans", "packing"]
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_signatures_in_passes_are_all_of_them_and_shuffles_go(spark, tmp_path):
+    """The parts of the signatures are disjoint, together the whole, and about equal; a written table leaves no shuffle files."""
+    import pathlib
+
+    import numpy as np
+    import pyarrow as pa
+
+    from gleanery.llm import common, jaccard_join
+
+    rng = np.random.default_rng(2)
+    texts = pa.RecordBatch.from_arrays([pa.array([" ".join(f"w{k}" for k in rng.integers(0, 5000, n)) for n in rng.integers(1, 300, 60)])], ["text"])
+    rows = lambda *part: sorted((s, k) for b in jaccard_join.sign(5, 80, 48, *part)([texts]) for s, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+    whole, parts = rows(), [rows(p, 3) for p in range(3)]
+    assert sorted(sum(parts, [])) == whole and min(map(len, parts)) > len(whole) / 4
+    before = spark.conf.get(common.CLEANUP)
+    files = lambda: {p for d in spark._jvm.org.apache.spark.util.Utils.getConfiguredLocalDirs(spark._jsc.sc().getConf()) for p in pathlib.Path(d).rglob("shuffle_*.data")}
+    held = files()
+    table = common.written(spark.range(1000).repartition("id"))
+    assert files() <= held and spark.conf.get(common.CLEANUP) == before and table.count() == 1000
