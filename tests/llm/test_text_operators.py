@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -9,9 +10,10 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from gleanery.llm import binary_packing, packing, quality, secrets, sentencepiece_codec, toxicity, url_filter
+from gleanery.llm import binary_packing, common, packing, quality, secrets, sentencepiece_codec, toxicity, url_filter
 from tests.conftest import SF, normal
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -107,6 +109,14 @@ def test_model_keeps_every_n_gram(spark, monkeypatch):
     assert np.allclose(model.score("en", words), quality.Model(list(quality.shards(table))).score("en", words))
 
 
+def test_scoring_travels_to_tasks(spark):
+    """The function that scores, and whatever it reaches in these modules, can be taken along by value."""
+    for f in (quality.judge([]), quality.count_grams(True, True), quality.model_table, common.written, common.drop_tables):
+        pickle.loads(cloudpickle.dumps(common.released(f)))
+    copy = pickle.loads(cloudpickle.dumps(common._cleaning))
+    assert copy.before == [] and copy.lock is not common._cleaning.lock
+
+
 def test_n_grams_cross_words(spark):
     """Texts of one bag of words differ by their order, and pieces of a long text score as the whole."""
     rng = np.random.default_rng(3)
