@@ -14,7 +14,8 @@ goes to the back-off weights, so probabilities still add up to 1. They are gathe
 Perplexity bands are per language: a document's log perplexity must lie within `LOW` robust standard deviations below its
 language's median, and `HIGH` above it, where texts with a passage in another language have a long tail. Deviations are times sqrt(characters), and their spread is that of
 documents of the language with a like length (powers of two), since what is left of sampling error after that differs with
-length; where these are fewer than `LEAST`, it is at least the language's. A language with fewer documents has at
+length; where these are fewer than `LEAST`, it is the median distance from the middle, which takes half of them to be moved where
+quartiles take a quarter, and at least the language's. A language with fewer documents has at
 least `FEW` of such deviations. Copies of a text count as one in medians and deviations. Beyond the upper perplexity band a text is gibberish or markup, beyond the lower one it is
 a stock phrase repeated.
 """
@@ -432,9 +433,10 @@ def quality(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
     middles = F.broadcast(middles) if middles.count() <= FEW_BANDS else middles
     good = good.join(middles, "lang").withColumn("z", (F.col("mean_lp") - F.col("middle")) * F.sqrt(steps))
     langs = good.groupBy("lang").agg(F.first("middle").alias("middle"), quarters("z").alias("ql"), F.count("*").alias("nl"))
-    lengths = good.groupBy("lang", "length").agg(quarters("z").alias("qb"), F.count("*").alias("nb"))
+    far = F.percentile_approx(F.abs("z"), F.lit(0.5), F.lit(10_000)) * 1.4826
+    lengths = good.groupBy("lang", "length").agg(quarters("z").alias("qb"), far.alias("far"), F.count("*").alias("nb"))
     # spread times sqrt(characters)
-    scaled = F.when(F.col("nb") >= LEAST, wide("qb")).otherwise(F.greatest(wide("qb"), wide("ql")))
+    scaled = F.when(F.col("nb") >= LEAST, wide("qb")).otherwise(F.greatest("far", wide("ql")))
     scaled = F.when(F.col("nl") >= LEAST, scaled).otherwise(F.greatest(scaled, F.lit(FEW)))
     bands = written(lengths.join(langs, "lang").select("lang", "length", "middle", scaled.alias("scaled")), "bands")
     # rows by language and length; where they are few, as languages are, the join need not deal out documents by them
