@@ -238,8 +238,21 @@ def numbered_in_all(results: DataFrame, modes=MODES) -> DataFrame:
 
 
 def comparison(results: DataFrame) -> DataFrame:
-    """paired_stats of every model on the common questions."""
-    return paired_stats(pairs(results).join(common_questions(results), "question_id", "left_semi"), ["model"])
+    """paired_stats of every model on the common questions. A question's models meet once: each brings its statuses and how many modes it
+    has done, and the question is common if these add up to all (as of common_questions, which is not worked out beside it)."""
+    of = lambda m: F.max(F.when(F.col("mode") == m, F.col("status"))).alias(m)
+    modes = _total([F.max(F.when(F.col("mode") == m, 1).otherwise(0)) for m in MODES])
+    by = results.filter("question_id is not null").groupBy("model", "question_id").agg(*map(of, MODES), F.when(F.col("model").isNotNull(), modes).otherwise(0).alias("_done"))
+    models = results.agg((F.count_distinct("model") * len(MODES)).alias("_all"))
+    met = by.withColumn("_done", F.sum("_done").over(Window.partitionBy("question_id"))).join(F.broadcast(models), F.col("_done") == F.col("_all"))  # one row
+    return paired_stats(met.filter("direct is not null and cot is not null"), ["model"])
+
+
+def _total(columns):
+    out = columns[0]
+    for c in columns[1:]:
+        out = out + c
+    return out
 
 
 def error_cases(items: DataFrame, results: DataFrame) -> DataFrame:

@@ -108,6 +108,18 @@ def test_mcnemar_of_many_changes(spark):
     assert math.isclose(got[0].p, math.erfc(999 / math.sqrt(2 * 601_000)), rel_tol=1e-4) and got[1].p == 1.0 and time.monotonic() - start < 60
 
 
+def test_comparison_meets_questions_once(spark):
+    """The rows of the pairs on common questions, nulls and other modes among them, from one shuffle by question."""
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None] if i % 7 == 0 else ["a", "b"]), rng.choice([None, *range(40)]), rng.choice(["direct", "cot", "direct", "cot", "other", None]), rng.choice(["correct", "incorrect", "api_error", None])) for i in range(1500)]
+    res = spark.createDataFrame(rows, "model string, question_id long, mode string, status string")
+    want = E.paired_stats(E.pairs(res).join(E.common_questions(res), "question_id", "left_semi"), ["model"])
+    got = E.comparison(res)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() == 3
+    plan = got._jdf.queryExecution().sparkPlan().toString() + got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and plan.count("SortMergeJoin") == 0
+
+
 def test_comparison_of_many_questions(spark):
     """200,000 changes on common questions, half each way."""
     both = spark.range(400_000).select(F.lit("M").alias("model"), F.col("id").alias("question_id"), F.explode(F.array(F.lit("direct"), F.lit("cot"))).alias("mode"))
