@@ -117,6 +117,20 @@ def test_ratio_is_the_library_s():
         assert sequence.longest_stretch(a, 0, len(a), b, 0, len(b), sequence.frequent(b)) == tuple(want.find_longest_match(0, len(a), 0, len(b)))
 
 
+def test_ratio_of_whole_texts_and_its_bound():
+    """Texts whose stretches start at few characters, against the library; below the bound a number under it will do."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice("eeeeetttaaaoooinshrdlucmfwypvbgkqjxzQZ.,") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.choice([60, 300, 900]))) for _ in range(30)]
+    for a in texts:
+        for b in (changed(rng, a, rng.choice([1, 5, 40])), rng.choice(texts)):
+            want = SequenceMatcher(None, a, b).ratio()
+            assert sequence.ratio(a, b) == want
+            for least in (0.3, 0.7, 0.95):
+                got = sequence.ratio(a, b, sequence.counted(b), least)
+                assert got == want if want >= least else got < least
+
+
 def test_suspected_pairs_of_whole_documents(spark):
     """Long records against the loop over all pairs."""
     rng = random.Random(8)
