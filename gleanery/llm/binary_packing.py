@@ -13,10 +13,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import Memo, byte_letters, load_tokenizer, slices
+from gleanery.llm.common import byte_letters, load_tokenizer, ranges, released, slices
 from gleanery.sources.files import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -73,61 +74,99 @@ def best_fit_decreasing(lengths: np.ndarray, width: int) -> list[list[int]]:
     return rows
 
 
-START = "\x00"  # before the key of a text's first chunk, which has no blank
+#: White space in Arrow's regular expressions, of Python's \s: what the tokenizer takes for it, and four control characters.
+SPACE = r"[\s\pZ\x0b\x1c-\x1f\x{85}]"
 
 
-def blank_chunks(text: str) -> list[str]:
-    """Keys of chunks that begin with the last blank before a character that is none, without that blank: pre-tokens
-    never cross these. A text's first chunk, without a blank, has START before it."""
+def blank_chunks(texts: pa.Array, strings: list) -> pa.Array:
+    """A list of chunks for each text: pre-tokens never cross a blank before a character that is no white space. These
+    blanks are left out; what comes before the first of them is the first chunk."""
     import re
 
-    keys = text.split(" ") if "  " not in text else re.split(" (?=[^ ])", text)
-    keys[0] = START + keys[0]
-    return keys
+    odd = np.array([k for k, t in enumerate(strings) if t and re.search(r" \s| \Z", t)], dtype=np.int64)
+    if not len(odd):
+        return pc.split_pattern(texts, " ")
+    plain = np.ones(len(strings), dtype=bool)
+    plain[odd] = False
+    at = np.empty(len(strings), dtype=np.int64)
+    at[plain], at[odd] = np.arange(plain.sum()), plain.sum() + np.arange(len(odd))
+    split = pa.array([re.split(r" (?=\S)", strings[k]) for k in odd], pa.list_(pa.string()))
+    return pa.concat_arrays([pc.split_pattern(texts.filter(pa.array(plain)), " "), split]).take(pa.array(at))
 
 
-def byte_encoder(tok, bound: int = 300_000):
-    """Encoder of such keys for byte-level BPE. Printable ASCII without apostrophes and Latin letters fall into blank
-    and letters, blank and digits, blank and signs, which go to the model directly; others go through all of it."""
-    import re
+class Chunks:
+    """Ids of such chunks for byte-level BPE, each different one encoded once until there are `bound`.
+
+    Chunks without blanks, and without white space at their ends, go to the tokenizer some hundreds in a text, with their blanks:
+    each begins where a token begins with a blank. Others go by themselves. Code 0 stands for `tail`, which ends a text.
+    """
 
-    plain = re.compile("[!-&(-~À-ÖØ-öø-ſ]+").fullmatch
-    pieces = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ſ]+| ?[0-9]+| ?[^ A-Za-z0-9À-ÖØ-öø-ſ]+").findall
-    letters = byte_letters()
-    model, blank = tok.model, letters[32]
-
-    class Pieces(dict):
-        """Ids of a blank and the piece; of the piece alone under START."""
-
-        def __missing__(self, piece):
-            text = piece[1:] if piece[0] == START else " " + piece
-            mapped = text.replace(" ", blank) if text.isascii() else text.encode().decode("latin-1").translate(letters)
-            ids = self[piece] = [t.id for t in model.tokenize(mapped)]
-            return ids
-
-    book = Pieces()
-
-    def encode(todo):
-        if len(book) > bound:
-            book.clear()
-        out, odd = [None] * len(todo), []
-        for k, key in enumerate(todo):
-            if key.isascii() and key.isalpha():
-                out[k] = book[key]
-            elif key[-1:] in (".", ",") and key.isascii() and key[:-1].isalpha():
-                out[k] = book[key[:-1]] + book[START + key[-1]]
-            elif plain(key) and "<|" not in key:
-                out[k] = [i for p in pieces(" " + key) for i in book[p[1:] if p[0] == " " else START + p]]
-            else:
-                odd.append(k)
-        for k in range(0, len(odd), 1000):
-            part = odd[k : k + 1000]
-            texts = [todo[i][1:] if todo[i][:1] == START else " " + todo[i] for i in part]
-            for j, e in zip(part, tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                out[j] = e.ids
-        return out
-
-    return encode
+    def __init__(self, tok, tail, bound: int = 600_000, together: int = 500):
+        self.tok, self.tail, self.bound, self.together = tok, np.array(tail, dtype=np.uint32), bound, together
+        vocab, blank = tok.get_vocab(), byte_letters()[32]
+        self.blank = np.zeros(1 + max(vocab.values()), dtype=bool)
+        self.blank[[i for t, i in vocab.items() if t[:1] == blank]] = True
+        self.reset()
+
+    def reset(self):
+        self.known = pa.array([], pa.string())
+        self.ids, self.count = self.tail, np.array([len(self.tail)], dtype=np.int64)
+
+    def alone(self, texts: list[str], at_once: int = 1000) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the texts one after another, number of ids of each)."""
+        ids = [np.zeros(0, dtype=np.uint32)]
+        for k in range(0, len(texts), at_once):
+            ids += [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch_fast(texts[k : k + at_once], add_special_tokens=False)]
+        return np.concatenate(ids), np.fromiter(map(len, ids[1:]), dtype=np.int64, count=len(texts))
+
+    def joined(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for plain chunks, each after its blank."""
+        cuts = pa.array([*range(0, len(chunks), self.together), len(chunks)], pa.int32())
+        texts = pc.binary_join(pa.ListArray.from_arrays(cuts, chunks), " ").to_pylist()
+        ids, _ = self.alone([" " + t for t in texts], 20)  # the tokenizer takes about 1 KB for a chunk while it encodes
+        first = np.flatnonzero(self.blank[ids])
+        if len(first) != len(chunks):
+            return self.alone([" " + c for c in chunks.to_pylist()])
+        return ids, np.diff(np.append(first, len(ids)))
+
+    def codes(self, chunks: pa.Array) -> np.ndarray:
+        """A code for each of these different chunks."""
+        at = pc.fill_null(pc.index_in(chunks, self.known), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        odd = pc.match_substring_regex(chunks.take(pa.array(new)), rf"^$|^{SPACE}|{SPACE}$| |<\|").to_numpy(zero_copy_only=False)
+        for where, encode in ((new[~odd], self.joined), (new[odd], lambda c: self.alone([" " + x for x in c.to_pylist()]))):
+            if len(where):
+                part = chunks.take(pa.array(where))
+                ids, count = encode(part)
+                at[where] = len(self.known) + np.arange(len(part))
+                self.known = pa.concat_arrays([self.known, part])
+                self.ids, self.count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
+        return 1 + at
+
+    def batch(self, texts: pa.Array, strings: list) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, number of ids of each text); each text ends with the tail. `strings` has the texts as str."""
+        if len(self.known) > self.bound:
+            self.reset()
+        lists = blank_chunks(texts.cast(pa.string()), strings)
+        n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+        flat, ends = lists.flatten(), np.cumsum(n + 1)
+        first = (np.cumsum(n) - n)[n > 0]
+        later = np.ones(len(flat), dtype=bool)
+        later[first] = False
+        different = flat.filter(pa.array(later)).dictionary_encode()
+        known = self.codes(different.dictionary)
+        # first chunks have no blank, and are encoded for this batch alone
+        head_ids, head_count = self.alone(flat.take(pa.array(first)).to_pylist())
+        inside = np.ones(int(ends[-1]), dtype=bool)
+        inside[ends - 1] = False
+        code = np.zeros(len(inside), dtype=np.int64)
+        of_flat = np.empty(len(flat), dtype=np.int64)
+        of_flat[later] = known[different.indices.to_numpy()]
+        of_flat[first] = len(self.count) + np.arange(len(first))
+        code[inside] = of_flat
+        ids, counts = np.concatenate([self.ids, head_ids]), np.concatenate([self.count, head_count])
+        count = counts[code]
+        return ids[ranges((np.cumsum(counts) - counts)[code], count)], np.add.reduceat(count, ends - n - 1)
 
 
 def packer(tokenizer_path, tokenizer_name, end_id, pad_id, width, n_rows, stretch):
@@ -135,8 +174,7 @@ def packer(tokenizer_path, tokenizer_name, end_id, pad_id, width, n_rows, stretc
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        tok = load_tokenizer(tokenizer_path, tokenizer_name)
-        memo = Memo(byte_encoder(tok, 250_000), [end_id], 600_000)
+        chunks = Chunks(load_tokenizer(tokenizer_path, tokenizer_name), [end_id])
         made = 0
 
         def pack(held):
@@ -180,7 +218,7 @@ def packer(tokenizer_path, tokenizer_name, end_id, pad_id, width, n_rows, stretc
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo, hi in slices(texts):
-                flat, counts = memo.batch(texts[lo:hi], blank_chunks)
+                flat, counts = chunks.batch(batch.column(1).slice(lo, hi - lo), texts[lo:hi])
                 held.append(((ids[lo:hi], counts), flat))
                 n += len(flat)
                 if n >= stretch:
@@ -210,7 +248,7 @@ def packed_matrices(
     whatever its id; other columns are left out. No rows give no matrices. Padding positions count from 0.
     With checksums=True the same work gives the CRC-32 of each binary in its place, and the pieces as lists.
     """
-    run = packer(tokenizer_path, tokenizer_name, end_id, pad_id, width, n_rows, stretch)
+    run = released(packer(tokenizer_path, tokenizer_name, end_id, pad_id, width, n_rows, stretch))
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return docs.mapInArrow(lambda batches: _digest(run(batches)), DIGEST) if checksums else docs.mapInArrow(run, SCHEMA)
 

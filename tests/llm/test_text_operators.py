@@ -9,6 +9,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -418,6 +419,42 @@ def test_matrices(spark, odd, nothing):
     assert binary_packing.packed_matrices(nothing).count() == 0
 
 
+def test_matrix_ids_are_the_tokenizers():
+    """White space of any kind beside blanks, and zero characters, keep the tokenizer's ids; blanks of all texts may be odd ones."""
+    tok = binary_packing.load_tokenizer(None, binary_packing.TOKENIZER)
+    rng = np.random.default_rng(5)
+    parts = ["a", "Be", "'s", " ", " ", "  ", "\n", "\t", "\r", "\x00", "\x1c", "\x85", "\u00a0", " \u00a0", "\u180e", "\u200b", "\u3000", "1", ".", "é", "日", "🙂", "<|endoftext|>", "<|", "Ġ"]
+    texts = ["a \x00b", "x  \u00a0 \u00a0", "a\n ", "\x00b", " ", "", None, " lead", "end ", *("".join(rng.choice(parts, n)) for n in rng.integers(1, 12, 3000))]
+    chunks = binary_packing.Chunks(tok, [7], bound=1500, together=10)
+    for lo in range(0, len(texts), 500):
+        ids, counts = chunks.batch(pa.array(texts, pa.string()).slice(lo, 500), texts[lo : lo + 500])
+        got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+        assert got == [tok.encode(t or "", add_special_tokens=False).ids + [7] for t in texts[lo : lo + 500]]
+    for some in ([None, None], [""], ["  ", None, " \n"]):
+        ids, counts = chunks.batch(pa.array(some, pa.string()), some)
+        assert ids.tolist() == [i for t in some for i in tok.encode(t or "", add_special_tokens=False).ids + [7]] and len(counts) == len(some)
+
+
+def test_chunks_go_to_the_tokenizer_together():
+    """Different chunks are encoded some hundreds in one text, and once."""
+    tok, seen = binary_packing.load_tokenizer(None, binary_packing.TOKENIZER), []
+
+    class Counting:
+        get_vocab = tok.get_vocab
+
+        def encode_batch_fast(self, texts, **options):
+            seen.extend(texts)
+            return tok.encode_batch_fast(texts, **options)
+
+    words = [f"wo{chr(97 + i % 26)}rd{i // 26}é," for i in range(4000)]
+    chunks = binary_packing.Chunks(Counting(), [7])
+    texts = [" ".join(words[k:] + words[:k]) for k in range(0, 4000, 1000)]
+    for _ in range(2):
+        ids, _ = chunks.batch(pa.array(texts), texts)
+        assert ids.tolist() == [i for t in texts for i in tok.encode(t).ids + [7]]
+    assert len(seen) <= 4000 // 500 + 2 * len(texts)
+
+
 def test_best_fit_by_tree_is_best_fit_by_scan():
     rng = np.random.default_rng(0)
     for _ in range(50):
