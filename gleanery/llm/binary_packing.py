@@ -171,8 +171,11 @@ class Chunks:
 
 def packer(tokenizer_path, tokenizer_name, end_id, pad_id, width, n_rows, stretch):
     def run(batches):
+        import os
+
         from pyspark import TaskContext
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; threads of its own take more time and memory
         part = TaskContext.get().partitionId()
         chunks = Chunks(load_tokenizer(tokenizer_path, tokenizer_name), [end_id])
         made = 0
