@@ -74,6 +74,7 @@ def best_fit_decreasing(lengths: np.ndarray, width: int) -> list[list[int]]:
     return rows
 
 
+LONG = 100  # bytes of a chunk that goes to the tokenizer by itself
 #: White space in Arrow's regular expressions, of Python's \s: what the tokenizer takes for it, and four control characters.
 SPACE = r"[\s\pZ\x0b\x1c-\x1f\x{85}]"
 
@@ -95,14 +96,14 @@ def blank_chunks(texts: pa.Array, strings: list) -> pa.Array:
 
 
 class Chunks:
-    """Ids of such chunks for byte-level BPE, each different one encoded once until there are `bound`.
+    """Ids of such chunks for byte-level BPE, each different one encoded once until there are `bound` or they take `room` bytes.
 
-    Chunks without blanks, and without white space at their ends, go to the tokenizer some hundreds in a text, with their blanks:
+    Short chunks without blanks, and without white space at their ends, go to the tokenizer some hundreds in a text, with their blanks:
     each begins where a token begins with a blank. Others go by themselves. Code 0 stands for `tail`, which ends a text.
     """
 
-    def __init__(self, tok, tail, bound: int = 600_000, together: int = 500):
-        self.tok, self.tail, self.bound, self.together = tok, np.array(tail, dtype=np.uint32), bound, together
+    def __init__(self, tok, tail, bound: int = 600_000, together: int = 500, room: int = 20_000_000):
+        self.tok, self.tail, self.bound, self.together, self.room = tok, np.array(tail, dtype=np.uint32), bound, together, room
         vocab, blank = tok.get_vocab(), byte_letters()[32]
         self.blank = np.zeros(1 + max(vocab.values()), dtype=bool)
         self.blank[[i for t, i in vocab.items() if t[:1] == blank]] = True
@@ -133,7 +134,8 @@ class Chunks:
         """A code for each of these different chunks."""
         at = pc.fill_null(pc.index_in(chunks, self.known), -1).to_numpy().astype(np.int64)
         new = np.flatnonzero(at < 0)
-        odd = pc.match_substring_regex(chunks.take(pa.array(new)), rf"^$|^{SPACE}|{SPACE}$| |<\|").to_numpy(zero_copy_only=False)
+        part = chunks.take(pa.array(new))
+        odd = pc.or_(pc.match_substring_regex(part, rf"^$|^{SPACE}|{SPACE}$| |<\|"), pc.greater(pc.binary_length(part), LONG)).to_numpy(zero_copy_only=False)
         for where, encode in ((new[~odd], self.joined), (new[odd], lambda c: self.alone([" " + x for x in c.to_pylist()]))):
             if len(where):
                 part = chunks.take(pa.array(where))
@@ -145,7 +147,7 @@ class Chunks:
 
     def batch(self, texts: pa.Array, strings: list) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids of each text); each text ends with the tail. `strings` has the texts as str."""
-        if len(self.known) > self.bound:
+        if len(self.known) > self.bound or self.known.nbytes > self.room:
             self.reset()
         lists = blank_chunks(texts.cast(pa.string()), strings)
         n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)

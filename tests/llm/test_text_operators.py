@@ -453,6 +453,14 @@ def test_chunks_go_to_the_tokenizer_together():
         ids, _ = chunks.batch(pa.array(texts), texts)
         assert ids.tolist() == [i for t in texts for i in tok.encode(t).ids + [7]]
     assert len(seen) <= 4000 // 500 + 2 * len(texts)
+    # long chunks go by themselves, and what is remembered of them is bounded in bytes
+    seen.clear()
+    chunks = binary_packing.Chunks(Counting(), [7], room=5_000)
+    for k in range(4):
+        long = [f"{k}x{i}" * 100 for i in range(20)]
+        ids, _ = chunks.batch(pa.array([" ".join(long)]), [" ".join(long)])
+        assert ids.tolist() == tok.encode(" ".join(long)).ids + [7] and len(chunks.known) == 19
+    assert len(seen) == 80 and " " not in "".join(t[1:] for t in seen)
 
 
 def test_best_fit_by_tree_is_best_fit_by_scan():
