@@ -8,9 +8,11 @@ the band has twice as many segments more, so that two sets' different choices st
 bands get few segments, all with neighbourhoods.
 
 Pairs that share a signature are held against a 512-bit sketch, whose differing bits bound the sets' difference from
-below, and those left are verified on the sets themselves. Signatures of more than `CROWD` sets are compared
-in blocks of at most 2 * BLOCK sets each by sketch, so no task holds a whole crowd and no pair is dropped. Only
-components are wanted, so links inside a component already found need no verification.
+below, and those left are verified on the sets themselves. Signatures of more than `CROWD` sets are crowds: similar sets
+that meet in no others share as many of one band's crowds as the band needs, so one of the rarest of each set's is common
+to both, and only sets that these connect are compared by sketch, in blocks of at most 2 * BLOCK sets each. So no
+task holds a whole crowd and no pair is dropped. Only components are wanted, so links inside a component already
+found need no verification.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ ONE = 1 - 1e-9
 RESIDENTS = 4_000_000  # n-grams of a chunk's sets, 32 MB
 PASSES = 3  # over the signatures, so that a third of them at a time is on disks
 NEEDS = [1, 3, 6, 12, 24, 48, 96, 192]
+KIND = 1023  # lowest bits of a signature: three for the place in NEEDS, seven for the band
 
 BASE = 0x9E3779B97F4A7C15
 _MULT = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3]
@@ -157,8 +160,7 @@ def signatures(sets: list[np.ndarray], bands: Bands):
     rank = np.empty(len(total), dtype=np.int64)
     rank[order] = np.arange(len(total)) - base[owner[order]]
     kept = np.flatnonzero(rank >= skips[owner])
-    # the lowest bits tell the place in NEEDS
-    low, kind = np.uint64(7), need[owner].astype(np.uint64)
+    low, kind = np.uint64(KIND), (need + (band % 128 << 3))[owner].astype(np.uint64)
     sig = [fold(total[kept] + salt[kept]) & ~low | kind[kept]]
     src = [of[owner[kept]]]
     near_token = np.flatnonzero(seg < near[row])
@@ -313,22 +315,26 @@ def meet(crowd: int):
 
 
 def crowds(percent: int):
-    """Rows (family, lo, hi, chunk, cid, n, words) sorted by (family, lo, hi) to (family, u, partners): the sets v > u that
-    size and sketch allow, and a row without partners for each set that is only a partner."""
+    """Rows (family, lo, hi, chunk, cid, n, words, two words of cells) sorted by (family, lo, hi) to (family, u, partners): the
+    sets v > u with a cell in common that size and sketch allow, and a row without partners for each set that is only a partner."""
 
     def block(fam, k, n, w, c, same):
         left, right = (np.arange(len(k)),) * 2 if same else (np.flatnonzero(c == c.min()), np.flatnonzero(c == c.max()))
         u, v = [], []
         for i in range(0, len(left), 256):
             x = left[i : i + 256]
-            diff = np.zeros((len(x), len(right)), dtype=np.int64)
-            for j in range(WORDS):
-                diff += np.bitwise_count(w[x, j][:, None] ^ w[right, j][None, :])
+            met = (w[x, WORDS][:, None] & w[right, WORDS][None, :]) | (w[x, WORDS + 1][:, None] & w[right, WORDS + 1][None, :])
             a, b = n[x][:, None], n[right][None, :]
-            ok = (diff * (100 + percent) <= (a + b) * (100 - percent)) & (np.minimum(a, b) * 100 >= percent * np.maximum(a, b)) & (k[x][:, None] < k[right][None, :] if same else True)
+            ok = (met != 0) & (np.minimum(a, b) * 100 >= percent * np.maximum(a, b)) & (k[x][:, None] < k[right][None, :] if same else True)
             p, q = np.nonzero(ok)
-            u.append(np.minimum(k[x[p]], k[right[q]]))
-            v.append(np.maximum(k[x[p]], k[right[q]]))
+            p, q = x[p], right[q]
+            diff = np.zeros(len(p), dtype=np.int64)
+            for j in range(WORDS):
+                diff += np.bitwise_count(w[p, j] ^ w[q, j])
+            near = diff * (100 + percent) <= (n[p] + n[q]) * (100 - percent)
+            p, q = k[p[near]], k[q[near]]
+            u.append(np.minimum(p, q))
+            v.append(np.maximum(p, q))
         u, v = np.concatenate(u), np.concatenate(v)
         if len(u):
             order = np.lexsort((v, u))
@@ -491,7 +497,7 @@ def classified(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame,
     left = pairs.join(x, "a").join(y, "b").filter(able).select(F.col("a").alias("u"), F.col("b").alias("v"))
     left = written(left.distinct(), "candidates")
     # two sets that may have all their common signatures in crowds are compared there
-    deep = packed.withColumn("c", F.sum(share).over(Window.partitionBy("k1"))).filter(F.col("c") >= ONE)
+    deep = written(_rarest(packed), "deep")
     lists = None if deep.isEmpty() else written(_crowded(deep, classes, words, percent), "lists")
     named = classes.select("k1", "lead")
     if left.isEmpty() and (lists is None or lists.isEmpty()):
@@ -522,15 +528,32 @@ def similar_documents(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.when(F.col("found"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _crowded(packed, classes, words, percent):
-    """(family, u, partners) of the sets in crowds. A family is all sets that crowds connect; each two sets of it are
-    compared once by sketch, in blocks of two chunks of about BLOCK."""
-    led = packed.select(F.col("k1").alias("u"), F.min("k1").over(Window.partitionBy("sig")).alias("v")).distinct()
+def _rarest(packed):
+    """(sig, k1, node) of the crowds in which similar sets surely meet that share only crowds: of a set's m crowds in a band that needs
+    k, all but the k - 1 most frequent. Sets share k of a band at least, and the rarest one of these is among both sets'. A
+    node is a set in a band."""
+    kind = F.col("sig").bitwiseAND(F.lit(KIND).cast("long"))
+    need = F.element_at(F.array(*map(F.lit, NEEDS)), kind.bitwiseAND(F.lit(7).cast("long")).cast("int") + 1)
+    ranked = packed.join(packed.groupBy("sig").agg(F.count("*").alias("f")), "sig").withColumn("node", F.xxhash64("k1", kind))
+    own = Window.partitionBy("k1", "node")
+    ranked = ranked.withColumns({"m": F.count("*").over(own), "at": F.row_number().over(own.orderBy("f", "sig"))})
+    return ranked.filter(F.col("at") <= F.col("m") - need + 1).select("sig", "k1", "node")
+
+
+def _crowded(deep, classes, words, percent):
+    """(family, u, partners) of the sets in crowds. A family is all sets of a band that its rarest crowds connect; each two sets of it
+    are compared once, by what crowds they are in and by sketch, in blocks of two chunks of about BLOCK."""
+    led = deep.join(deep.groupBy("sig").agg(F.min("node").alias("v")), "sig").select(F.col("node").alias("u"), "v").distinct()
     family = written(components(led), "families")
     sizes = family.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("chunks"))
-    members = family.join(sizes, "component").join(classes.select(F.col("k1").alias("node"), F.col("k1").alias("cid"), "n", *words), "node")
+    # a set's crowds as cells of 128: sets without one in common are in no crowd together
+    cell = F.shiftright("sig", 10).bitwiseAND(F.lit(127).cast("long")).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(F.lit(63)))
+    cells = [F.bit_or(F.when(side, bit).otherwise(F.lit(0).cast("long"))).alias(f"c{j}") for j, side in enumerate((cell < 64, cell >= 64))]
+    nodes = deep.groupBy("node", "k1").agg(*cells)
+    members = family.join(sizes, "component").join(nodes, "node").join(classes.select("k1", F.col("k1").alias("cid"), "n", *words), "k1")
     spread = members.withColumn("chunk", F.pmod(F.xxhash64("cid"), "chunks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    dealt = spread.select("component", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "cid", "n", *words)
+    dealt = spread.select("component", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "cid", "n", *words, "c0", "c1")
     return dealt.repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi").mapInArrow(released(crowds(percent)), "family long, u long, partners array<long>")
 
 
@@ -564,6 +587,7 @@ def _linked(docs, classes, left, lists, shingle, percent):
         sets = labels.join(wanted, ["u", "dh"]).select("label", F.col("u").alias("cid"), "set", "partners", "chunks")
         chunks = F.array_union(F.array(F.pmod("cid", "chunks")), F.transform(F.coalesce("partners", none), lambda v: F.pmod(v, F.col("chunks"))))
         both = sets.withColumn("chunk", F.explode(chunks)).withColumn("lives", F.col("chunk") == F.pmod("cid", "chunks"))
+        both = both.withColumn("partners", F.filter("partners", lambda v: F.pmod(v, F.col("chunks")) == F.col("chunk")))
         both = both.repartition("label", "chunk").sortWithinPartitions("label", "chunk", F.desc("lives"), "cid").select("label", "chunk", "lives", "cid", "set", "partners", "chunks")
         found = written(both.mapInArrow(released(verify(percent)), "u long, v long, linked boolean"), "links")
         links.append(found.filter("linked").select("u", "v"))

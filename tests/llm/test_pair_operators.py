@@ -129,6 +129,29 @@ def test_a_crowd_of_near_copies_is_one_component(spark, monkeypatch):
     assert got == jaccard_brute(rows, 4, 85)
 
 
+def test_a_common_passage_makes_no_family(spark, monkeypatch):
+    """Sets that a common passage brings into the same crowds are not all one family, whatever their sizes."""
+    monkeypatch.setattr(jaccard_join, "CROWD", 8)
+    rng, rows = random.Random(5), []
+    passage = [f"p{i}" for i in range(100)]
+    for i in range(300):
+        rows.append((i, " ".join([*passage, *(f"w{rng.randrange(100_000)}" for _ in range(rng.randint(10, 120)))])))
+    for i in range(300, 340):
+        rows.append((i, rows[i % 10][1] + f" v{i}"))
+    sizes, write = {}, jaccard_join.written
+
+    def noted(df, tag="table"):
+        out = write(df, tag)
+        if tag == "families":
+            sizes.update((r.component, r.n) for r in out.groupBy("component").agg(F.count("*").alias("n")).collect())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", noted)
+    got = sorted((tuple(r) for r in jaccard_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 4, 85).collect()), key=str)
+    assert got == jaccard_brute(rows, 4, 85)
+    assert 0 < max(sizes.values()) < 200, sizes
+
+
 def test_similar_sets_share_enough_signatures():
     rng = np.random.default_rng(0)
     for percent in (80, 85, 90):
