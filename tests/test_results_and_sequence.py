@@ -200,3 +200,25 @@ def test_bitmaps_intersect_as_counts_do(spark):
     want = sorted(r.question_id for r in evaluation.common_questions(df).collect())
     assert sorted(r.question_id for r in evaluation.numbered_in_all(df).collect()) == want and len(want) > 100
     assert evaluation.numbered_in_all(df.filter("model = 'z'")).count() == 0
+
+
+def test_tables_of_pairs_are_not_broadcast(spark, monkeypatch):
+    """Pairs take next to nothing on disk and much in memory: joins with them do not go by the size of their files."""
+    import re
+
+    plans, write = {}, dedup.written
+
+    def noted(df, tag="table"):
+        plans[tag] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, tag)
+
+    monkeypatch.setattr(dedup, "written", noted)
+    rows = [(str(i), f"which of these events came first in the year {1900 + i % 3}", i) for i in range(12)]
+    df = spark.createDataFrame(rows, "question_id string, question string, _ord long").withColumns({"normalized_question": F.col("question"), "shared_material": F.lit(""), "answer": F.lit("A")})
+    df = df.withColumns({"options": F.struct(*(F.lit(x).alias(x) for x in "ABCD")), "source": F.struct(F.lit("s").alias("source_id"))})
+    df = df.withColumns({"quality": F.struct(F.lit("verified").alias("answer_status")), "provenance": F.struct(F.lit("allowed").alias("license_status"))})
+    out = dedup.suspected_pairs(normalize.with_hashes(df), 0.8)
+    plans["out"] = out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 48
+    for tag in ("near", "scored", "out"):
+        assert "SortMergeJoin [a#" in plans[tag] and not re.search(r"(BroadcastHash|ShuffledHash)Join \[[ab]#", plans[tag]), tag
